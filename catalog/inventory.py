@@ -1 +1,149 @@
-"""To be filled."""
+"""Sources, sinks and store inventories."""
+
+from pyspark.sql import functions as F
+
+from invspark import schemas
+from invspark.functions import paths, units
+from invspark.operators import runs, stats
+from invspark.plans import actions
+from invspark.session import shared_dir
+from invspark.sources import listing, tables, text
+
+from .base import query
+from .views import DEST, LAKE
+
+
+@query("i01_tree_listing", sql="SELECT DISTINCT source||'/'||lang AS folder, true AS has_files FROM documents")
+def i01(t):
+    where = shared_dir(t.spark, "tree")
+    t.table("documents").select("source", "lang", "text").write.partitionBy("source", "lang").parquet(where)
+    folder = F.regexp_extract("path", "source=([^/]+)/lang=([^/]+)/", 1), F.regexp_extract("path", "source=([^/]+)/lang=([^/]+)/", 2)
+    found = listing.list_files(t.spark, where).filter(F.endswith("path", F.lit(".parquet")))
+    return found.groupBy(F.concat_ws("/", *folder).alias("folder")).agg((F.sum("size") > 0).alias("has_files"))
+
+
+@query("i01_frozen_listing", sql="SELECT count(DISTINCT source||lang) AS n_folders, true AS dense, true AS in_path_order FROM documents")
+def i01_frozen(t):
+    """Walk a written tree level by level and number its files in path order."""
+    where = shared_dir(t.spark, "tree")
+    t.table("documents").select("source", "lang", "doc_id").write.partitionBy("source", "lang").parquet(where)
+    local = where.removeprefix("file:")
+    frozen = listing.freeze(listing.walk_tree(t.spark, local).filter("is_dir or path like '%.parquet' and path not like '%/.%'"), local, DEST)
+    pairs = frozen.select((F.col("ord") + 1).alias("ord"), F.col("path").alias("before"))
+    ordered_ok = frozen.join(pairs, "ord").agg(F.coalesce(F.bool_and(F.col("before") < F.col("path")), F.lit(True))).scalar()
+    return frozen.agg(
+        F.countDistinct(paths.parent_dir(F.col("path"))).alias("n_folders"),
+        ((F.min("ord") == 0) & (F.max("ord") == F.count(F.lit(1)) - 1)).alias("dense"),
+    ).withColumn("in_path_order", ordered_ok)
+
+
+@query("i02_prefix_listing", sql="SELECT key, size FROM lake WHERE starts_with(key,'lake/collated_')")
+def i02(t):
+    return listing.with_prefix(t.lake, LAKE + "/collated_")
+
+
+@query("i03_bucket_config", sql="SELECT lower(n_name) AS name, 'region '||n_regionkey AS description FROM nation")
+def i03(t):
+    where = shared_dir(t.spark, "buckets")
+    entry = F.struct(F.lower("n_name").alias("name"), F.concat(F.lit("region "), F.col("n_regionkey").cast("string")).alias("description"))
+    # One array in one file: a configuration of as many entries as there are nations.
+    t.table("nation").agg(F.to_json(F.collect_list(entry)).alias("value")).coalesce(1).write.text(where)
+    return listing.buckets(t.spark, where)
+
+
+def _raw_log(t):
+    stamp = lambda us: F.date_format(F.timestamp_micros(us), "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    return t.upload_log.select(
+        "LOCAL_FOLDER", "LOCAL_PATH", "FILE_SIZE", "BUCKET_NAME", "DESTINATION_KEY", "CHECKSUM", "ZIP_CONTENTS", "FILES_PER_ZIP",
+        F.col("UPLOAD_TIME").cast("string").alias("UPLOAD_TIME"), stamp("start_us").alias("UPLOAD_START"), stamp("end_us").alias("UPLOAD_END"),
+    )
+
+
+@query("i04_csv_upload_log", sql="SELECT LOCAL_PATH, FILE_SIZE, try_cast(FILES_PER_ZIP AS BIGINT) AS FILES_PER_ZIP, UPLOAD_TIME, start_us, end_us, ZIP_CONTENTS FROM upload_log")
+def i04(t):
+    where = shared_dir(t.spark, "log")
+    tables.write_csv(_raw_log(t), where)
+    return tables.read_upload_log(t.spark, [where]).select("LOCAL_PATH", "FILE_SIZE", "FILES_PER_ZIP", "UPLOAD_TIME", "start_us", "end_us", "ZIP_CONTENTS")
+
+
+@query("i05_csv_append", sql="SELECT DESTINATION_KEY, CHECKSUM, CHECKSUM_MATCH, SIZE_MATCH FROM verification UNION ALL SELECT DESTINATION_KEY, CHECKSUM, CHECKSUM_MATCH, SIZE_MATCH FROM verification")
+def i05(t):
+    where = shared_dir(t.spark, "verification")
+    for _ in range(2):
+        tables.write_csv(t.verification, where, append=True)
+    return tables.read_csv(t.spark, where, "DESTINATION_KEY string, CHECKSUM string, CHECKSUM_MATCH boolean, SIZE_MATCH boolean")
+
+
+@query("i06_plan_hand_off", sql="SELECT zip_key AS key, text IS NULL AS extract FROM manifest")
+def i06(t):
+    where = shared_dir(t.spark, "extract")
+    plan = t.manifest.select(F.col("zip_key").alias("key"), F.col("text").isNull().alias("extract"))
+    tables.write_plan(plan, where, schemas.EXTRACT_PLAN)
+    return tables.read_plan(t.spark, where, schemas.EXTRACT_PLAN)
+
+
+@query("i07_appended_upload_log", sql="SELECT kind, count(*) AS n, sum(size)::BIGINT AS bytes FROM transfers GROUP BY kind")
+def i07(t):
+    where = shared_dir(t.spark, "uploads")
+    for kind in ("zip", "file"):
+        tables.append_log(t.transfers.filter(F.col("kind") == kind).select("ord", "kind", "size"), where)
+    return t.spark.read.schema("ord long, kind string, size long").parquet(where).groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes"))
+
+
+@query("i09_text_log_lines", sql="SELECT file, count(*) AS n, count_if(contains(value,'MiB uploaded in'))::BIGINT AS n_transfers FROM run_lines WHERE contains(value,'uploaded in') GROUP BY file")
+def i09(t):
+    where = shared_dir(t.spark, "runs")
+    # Spread over files by run; each run's lines may lie in several files.
+    t.run_lines.select("file", "value").write.partitionBy("file").text(where)
+    lines = text.read_lines(t.spark, where).withColumn("file", F.url_decode(F.url_decode(F.regexp_extract("file", "file=([^/]+)/", 1))))
+    found = runs.matching(lines, "uploaded in")
+    return found.groupBy("file").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.contains("value", F.lit("MiB uploaded in"))).alias("n_transfers"))
+
+
+@query("i10_export_paths", sql="SELECT ord, '/base/data/'||substr(path,7) AS path FROM files WHERE NOT contains(path,'/fr/')")
+def i10(t):
+    relative = F.substring("path", 7, 10_000)
+    lines = t.files.select("ord", F.when(F.contains("path", F.lit("/fr/")), F.concat(F.lit("  name: "), relative)).otherwise(F.concat(F.lit("  path: "), relative)).alias("value"))
+    return text.export_paths(lines, "/base/data")
+
+
+@query("i11_generated_tree", sql="SELECT '/'||c_custkey||'/'||c_custkey||'_'||j||'.f' AS path, 34*1048576::BIGINT AS size FROM customer, range(1,4) AS r(j)")
+def i11(t):
+    folders = t.table("customer").select(F.concat(F.lit("/"), F.col("c_custkey").cast("string")).alias("folder"))
+    return listing.synthetic_tree(folders, 3, 34 * units.MIB)
+
+
+@query("i12_contents_report", sql="""SELECT s.key, round(s.size/1048576.0::DOUBLE,2) AS mib, s.modified_us, coalesce(m.text,'n/a') AS contents FROM
+    (SELECT key, size, modified_us FROM remote UNION ALL SELECT zip_key, length(zip_key)*70000, 0 FROM manifest) s LEFT JOIN manifest m ON m.zip_key=s.key""")
+def i12(t):
+    zips = t.manifest.select(F.col("zip_key").alias("key"), (F.length("zip_key") * 70000).cast("long").alias("size"), F.lit(0).cast("long").alias("modified_us"))
+    return actions.report(t.remote.select("key", "size", "modified_us").unionByName(zips), t.manifest)
+
+
+@query("a02_totals", sql="""SELECT split_part(key,'/',1) AS top, count(*) AS n, sum(size)::BIGINT AS bytes, sum(size)/1048576.0::DOUBLE AS mib, sum(size)/1073741824.0::DOUBLE AS gib,
+    sum(size)/1099511627776.0::DOUBLE AS tib FROM page_objects GROUP BY 1""")
+def a02(t):
+    return stats.totals(t.page_objects.withColumn("top", paths.first_component(F.col("key"))), ["top"])
+
+
+@query("a02_bucket_size", sql="SELECT count(*) AS n, sum(size)::BIGINT AS bytes, sum(size)/1048576.0::DOUBLE AS mib, sum(size)/1073741824.0::DOUBLE AS gib, sum(size)/1099511627776.0::DOUBLE AS tib FROM lake")
+def a02_all(t):
+    return stats.totals(t.lake)
+
+
+@query("a08_top_folders", sql="SELECT 'pages' AS bucket_name, split_part(key,'/',1) AS prefix, min(ord) AS first_ord FROM page_objects WHERE contains(key,'/') GROUP BY 2")
+def a08(t):
+    return stats.top_folders(t.page_objects.withColumn("bucket", F.lit("pages"))).orderBy("first_ord")
+
+
+@query("a18_quota", sql="""SELECT bucket, count(*) AS n, sum(size)::BIGINT AS bytes, sum(size)/1073741824.0::DOUBLE AS gib, sum(size)::BIGINT*100.0::DOUBLE/1000000000 AS percent_of_quota FROM
+    (SELECT split_part(key,'/',1) AS bucket, size FROM page_objects UNION ALL SELECT 'lake', size FROM lake) GROUP BY bucket""")
+def a18(t):
+    objects = t.page_objects.select(paths.first_component(F.col("key")).alias("bucket"), "size").unionByName(t.lake.select(F.lit("lake").alias("bucket"), "size"))
+    return stats.quota(objects, 1_000_000_000)
+
+
+@query("a22_download_session", sql="SELECT bool_and(size>0) AS all_ok, count(*) AS n, sum(size)::BIGINT AS bytes, round(avg(size),6) AS mean_bytes FROM lake")
+def a22(t):
+    done = t.lake.withColumn("ok", F.col("size") > 0)
+    return done.agg(stats.all_true(F.col("ok")).alias("all_ok"), F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes"), F.round(F.avg("size"), 6).alias("mean_bytes"))

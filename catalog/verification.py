@@ -1 +1,166 @@
-"""To be filled."""
+"""Archive completeness, audits and action tables."""
+
+from pyspark.sql import functions as F
+
+from invspark.functions import names
+from invspark.operators import lookups, stats
+from invspark.plans import actions, verify
+
+from .base import query
+from .views import DEST, LAKE
+
+VERDICTS = """zips AS (SELECT key AS zip_key FROM lake WHERE key LIKE '%.zip'),
+    c AS (SELECT zip_key, count(*) AS total, count(key) AS found FROM packed LEFT JOIN lake ON key=member GROUP BY zip_key),
+    verdicts AS (SELECT z.zip_key, coalesce(total,0) AS total, coalesce(found,0) AS found, coalesce(found<>total,true) AS extract, coalesce(found=total,false) AS deletable
+      FROM zips z LEFT JOIN c USING (zip_key))"""
+
+
+def verdicts(t):
+    zips = t.lake.filter(names.is_zip(F.col("key"))).select(F.col("key").alias("zip_key"))
+    return verify.completeness(zips, t.packed, t.lake)
+
+
+@query("j04_existing_members", sql="SELECT zip_key, member FROM packed WHERE member IN (SELECT key FROM lake)")
+def j04(t):
+    return verify.existing_members(t.packed, t.lake).select("zip_key", "member")
+
+
+@query("j05_folded_flags", ctes=VERDICTS, sql="SELECT key, coalesce(extract,false) AS extract FROM lake LEFT JOIN verdicts ON zip_key=key")
+def j05(t):
+    flags = verdicts(t).select(F.col("zip_key").alias("key"), "extract")
+    return lookups.fold_flag(t.lake.select("key"), flags, "key", "extract")
+
+
+@query("j06_counts_for_all_archives", ctes=VERDICTS, sql="SELECT zip_key, found FROM verdicts")
+def j06(t):
+    return verdicts(t).select("zip_key", "found")
+
+
+@query("a05_archive_completeness", ctes=VERDICTS, sql="SELECT * FROM verdicts")
+def a05(t):
+    return verdicts(t)
+
+
+@query("a05_manifest_completeness", ctes="""n AS (SELECT zip_key, unnest(list_distinct(string_split_regex(text,'[|;,]'))) AS name FROM manifest),
+    c AS (SELECT zip_key, count(*) AS total, count(key) AS found FROM n LEFT JOIN remote ON key='backup/'||name GROUP BY zip_key)""",
+    sql="SELECT m.zip_key, coalesce(total,0) AS total, coalesce(found,0) AS found, coalesce(found<>total,true) AS extract, coalesce(found=total,false) AS deletable FROM manifest m LEFT JOIN c USING (zip_key)")
+def a05_manifests(t):
+    return verify.completeness(t.manifest, verify.explode_members(t.manifest), t.store)
+
+
+@query("i08_manifest_members", ctes="n AS (SELECT zip_key, unnest(string_split_regex(text,'[|;,]')) AS name FROM manifest)", sql="SELECT zip_key, count(*) AS n, min('backup/'||name) AS first_key FROM n GROUP BY zip_key")
+def i08(t):
+    """Manifests written as text objects, read back and parsed."""
+    from invspark.session import shared_dir
+    from invspark.sources import text
+
+    where = shared_dir(t.spark, "manifests")
+    t.manifest.filter("text is not null").select("zip_key", F.col("text").alias("value")).write.partitionBy("zip_key").text(where)
+    raw = t.spark.read.text(where, wholetext=True, recursiveFileLookup=True, pathGlobFilter="part-*").select(
+        F.url_decode(F.regexp_extract("_metadata.file_path", "zip_key=([^/]+)", 1)).alias("zip_key"), F.rtrim(F.col("value"), F.lit("\n")).alias("text")
+    )
+    raw = raw.withColumn("zip_key", F.url_decode("zip_key"))
+    return verify.explode_members(raw).groupBy("zip_key").agg(F.count(F.lit(1)).alias("n"), F.min("member").alias("first_key"))
+
+
+@query("j07_not_yet_verified", sql="""SELECT ord, DESTINATION_KEY FROM upload_log WHERE NOT ends_with(DESTINATION_KEY,'.symlink')
+    AND DESTINATION_KEY NOT IN (SELECT DESTINATION_KEY FROM verification)""")
+def j07(t):
+    return verify.to_verify(t.upload_log, t.verification).select("ord", "DESTINATION_KEY")
+
+
+@query("j08_logs_without_verification", sql="""SELECT key FROM log_keys WHERE (key LIKE '%backup.csv' OR key LIKE '%files.csv')
+    AND regexp_replace(key,'-(files|backup)[.]csv$','-backup-verification.csv') NOT IN (SELECT key FROM log_keys WHERE key LIKE '%backup-verification.csv')""")
+def j08(t):
+    return lookups.unverified_logs(t.log_keys).select("key")
+
+
+@query("j09_orphan_manifests", sql="SELECT key FROM lake WHERE key LIKE '%.metadata' AND replace(key,'.metadata','') NOT IN (SELECT key FROM lake WHERE key LIKE '%.zip')")
+def j09(t):
+    return lookups.orphan_manifests(t.lake).select("key")
+
+
+DECISIONS = """SELECT 'backup/'||source||'/'||lang||'/'||doc_id||'.txt' AS key, CASE WHEN etag IS NULL THEN 'upload' WHEN etag=md5(text) THEN 'skip' WHEN contains(etag,'-') THEN 'skip segmented' ELSE 'replace' END AS decision
+    FROM documents LEFT JOIN remote r ON r.key='backup/'||source||'/'||lang||'/'||doc_id||'.txt'"""
+
+
+@query("j10_sync_decision", sql=DECISIONS)
+def j10(t):
+    members = t.contents.select(F.concat(F.lit(DEST + "/"), "member").alias("key"), F.md5("content").alias("md5"))
+    return lookups.sync_decision(members, t.remote).select("key", "decision")
+
+
+@query("a03_any_and_all", sql="""SELECT DESTINATION_KEY, bool_and(CHECKSUM_MATCH) AS all_match, bool_or(SIZE_MATCH) AS any_size FROM verification GROUP BY 1""")
+def a03(t):
+    return t.verification.groupBy("DESTINATION_KEY").agg(
+        stats.all_true(F.col("CHECKSUM_MATCH")).alias("all_match"), stats.any_true(F.col("SIZE_MATCH")).alias("any_size")
+    )
+
+
+@query("a03_empty_all", sql="SELECT count(*) AS n, coalesce(bool_and(CHECKSUM_MATCH),true) AS checksums_match, coalesce(bool_and(SIZE_MATCH),true) AS sizes_match FROM verification WHERE DESTINATION_KEY=''")
+def a03_empty(t):
+    return verify.audit_verdict(t.verification.filter("DESTINATION_KEY = ''"))
+
+
+@query("a04_session_verdict", sql="""SELECT coalesce(bool_and(dur_us>0) FILTER (kind='zip'),true) AS zips_ok, coalesce(bool_and(dur_us>0) FILTER (kind='file'),true) AS files_ok,
+    coalesce(bool_and(dur_us>0),true) AS success FROM transfers""")
+def a04(t):
+    return stats.verdict(t.transfers.withColumn("ok", F.col("dur_us") > 0))
+
+
+@query("c03_content_audit", sql="""SELECT key AS DESTINATION_KEY, etag AS CHECKSUM, etag=md5(text) AS CHECKSUM_MATCH, md5(text) AS NEW_CHECKSUM, size AS FILE_SIZE,
+    octet_length(encode(text))::BIGINT AS SIZE_ON_S3, size=octet_length(encode(text)) AS SIZE_MATCH FROM remote JOIN documents ON key='backup/'||source||'/'||lang||'/'||doc_id||'.txt'""")
+def c03(t):
+    log = t.remote.select(F.col("key").alias("DESTINATION_KEY"), F.col("etag").alias("CHECKSUM"), F.col("size").alias("FILE_SIZE"))
+    objects = t.contents.select(
+        F.concat(F.lit(DEST + "/"), "member").alias("key"), F.md5("content").alias("md5"), F.octet_length("content").cast("long").alias("size")
+    )
+    return verify.audit(log, objects)
+
+
+@query("c03_audit_verdict", sql="SELECT count(*) AS n, bool_and(CHECKSUM_MATCH) AS checksums_match, bool_and(SIZE_MATCH) AS sizes_match FROM verification")
+def c03_verdict(t):
+    return verify.audit_verdict(t.verification)
+
+
+@query("c05_delete_plan", ctes=VERDICTS, sql="""SELECT 'delete' AS action, zip_key AS key, NULL::VARCHAR AS target, 'all members in store' AS reason FROM verdicts WHERE deletable
+    UNION ALL SELECT 'delete', zip_key||'.metadata', NULL, 'all members in store' FROM verdicts WHERE deletable
+    UNION ALL SELECT 'keep', zip_key, NULL, CASE WHEN total=0 THEN 'no readable manifest' ELSE 'members missing' END FROM verdicts WHERE NOT deletable""")
+def c05(t):
+    return actions.delete_archives(verdicts(t))
+
+
+@query("c05_orphan_delete_plan", sql="SELECT 'delete' AS action, key, NULL::VARCHAR AS target, 'archive is gone' AS reason FROM lake WHERE key LIKE '%.metadata' AND replace(key,'.metadata','') NOT IN (SELECT key FROM lake)")
+def c05_orphans(t):
+    return actions.delete_orphans(t.lake)
+
+
+@query("c06_move_plan", sql="SELECT 'copy' AS action, key, 'archive/'||key AS target, 'move' AS reason FROM lake")
+def c06(t):
+    return actions.move(t.lake, "archive")
+
+
+@query("c06_delete_copied", sql="SELECT 'delete' AS action, key, NULL::VARCHAR AS target, 'copied' AS reason FROM lake WHERE size>20000")
+def c06_second(t):
+    results = t.lake.select("key", F.when(F.col("size") > 20000, "done").otherwise("failed").alias("status"))
+    return actions.delete_copied(actions.move(t.lake, "archive"), results)
+
+
+@query("c07_download_plan", sql="""SELECT CASE WHEN regexp_matches(key,'collated_.*\\.zip$','i') THEN 'fetch and extract' ELSE 'fetch' END AS action, key, NULL::VARCHAR AS target, 'not present' AS reason
+    FROM lake WHERE NOT regexp_matches(key,'collated_.*\\.zip\\.metadata','i') AND key NOT IN (SELECT member FROM packed JOIN lineitem ON member='lake/'||l_partkey||'-'||l_linenumber||'-'||l_suppkey WHERE l_linestatus='O')""")
+def c07(t):
+    here = t.table("lineitem").filter("l_linestatus = 'O'").select(t._lake_member().alias("path"))
+    return actions.download(t.lake, here)
+
+
+@query("c08_bulk_delete_plan", sql="SELECT 'delete' AS action, key, NULL::VARCHAR AS target, 'listed' AS reason, NULL::VARCHAR AS status, NULL::VARCHAR AS error FROM lake WHERE starts_with(key,'lake/collated_1')")
+def c08(t):
+    return actions.delete_listed(t.lake, LAKE + "/collated_1")
+
+
+@query("c09_log_retention", ctes="""aged AS (SELECT folder, name, ((SELECT max(modified_us) FROM old_logs)-modified_us)//86400000000>=400 AS old FROM old_logs),
+    ok AS (SELECT folder FROM aged GROUP BY folder HAVING count(*)>2 AND count_if(old)>0 AND count(*)-count_if(old)>2)""",
+    sql="SELECT 'delete' AS action, folder||'/'||name AS key, NULL::VARCHAR AS target, 'old log' AS reason FROM aged WHERE old AND folder IN (SELECT folder FROM ok)")
+def c09(t):
+    now = t.old_logs.agg(F.max("modified_us")).scalar()
+    return actions.retention(t.old_logs, now, min_age_days=400)
