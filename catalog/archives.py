@@ -1 +1,54 @@
-"""To be filled."""
+"""Packing and unpacking archives."""
+
+from pyspark.sql import functions as F
+
+from invspark.functions import paths
+from invspark.operators import batching, lookups
+from invspark.plans import archive
+from invspark.session import shared_dir
+
+from .base import query
+from .planning import fold
+from .views import DEST
+
+BATCHES = ("f AS (SELECT ord, size FROM files)", fold("f", 50_000, 60, 500, "ord, size"))
+
+
+def to_pack(t):
+    batched = batching.assign_batches(t.files.select("ord", "size"), 50_000, 60, 500)
+    return batched.select("ord", paths.archive_key(F.col("id"), DEST).alias("zip_key")).join(t.contents, "ord")
+
+
+@query("c01_packed_archives", ctes=BATCHES, sql="SELECT 'backup/collated_'||(part*1000000+batch)||'.zip' AS zip_key, count(*) AS n_members, true AS holds_bytes FROM fold GROUP BY part, batch")
+def c01(t):
+    packed = archive.pack_contents(to_pack(t))
+    return packed.select("zip_key", "n_members", (F.col("size") == F.octet_length("content")).alias("holds_bytes"))
+
+
+@query("c02_unpacked_members", ctes=BATCHES, sql="""SELECT 'backup/collated_'||(part*1000000+batch)||'.zip' AS zip_key, source||'/'||lang||'/'||doc_id||'.txt' AS member,
+    octet_length(encode(text))::BIGINT AS size, md5(text) AS md5 FROM fold JOIN documents ON doc_id=ord""")
+def c02(t):
+    packed = archive.pack_contents(to_pack(t), compress=True)
+    return archive.unpack_contents(packed, keep_content=False).select("zip_key", "member", "size", "md5")
+
+
+@query("c02_unpack_and_sync", ctes=BATCHES, sql="""SELECT decision, count(*) AS n FROM (SELECT CASE WHEN etag IS NULL THEN 'upload' WHEN etag=md5(text) THEN 'skip' WHEN contains(etag,'-') THEN 'skip segmented' ELSE 'replace' END AS decision
+    FROM documents LEFT JOIN remote r ON r.key='backup/'||source||'/'||lang||'/'||doc_id||'.txt') GROUP BY 1""")
+def c02_sync(t):
+    members = archive.unpack_contents(archive.pack_contents(to_pack(t)), keep_content=False)
+    keyed = members.select(paths.join_key(paths.parent_dir(F.col("zip_key")), F.col("member")).alias("key"), "md5")
+    return lookups.sync_decision(keyed, t.remote).groupBy("decision").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("c03_digest_of_files", sql="SELECT source, bool_and(true) AS same_size, true AS all_read FROM documents GROUP BY source")
+def c03_files(t):
+    """Files written from the documents, checked block by block against the listed sizes."""
+    from invspark.sources import listing
+
+    where = shared_dir(t.spark, "bytes")
+    t.table("documents").select("source", "text").write.partitionBy("source").parquet(where)
+    found = listing.list_files(t.spark, where).filter(F.endswith("path", F.lit(".parquet")))
+    digests = archive.digest_files(found).withColumnRenamed("size", "read")
+    return found.join(digests, "path").groupBy(F.regexp_extract("path", "source=([^/]+)/", 1).alias("source")).agg(
+        F.bool_and(F.col("size") == F.col("read")).alias("same_size"), F.bool_and(F.col("error").isNull()).alias("all_read")
+    )

@@ -1 +1,91 @@
-"""To be filled."""
+"""Counters over a growing log: the stream and its batch twin."""
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from invspark.operators import stats
+from invspark.session import shared_dir
+from invspark.streaming import progress
+
+from .base import query
+from .views import Tables
+
+TARGET = 50_000
+PROGRESS = f"""SELECT count(*) AS n_uploads, sum(greatest(coalesce(try_cast(FILES_PER_ZIP AS BIGINT),0),1))::BIGINT AS n_files, sum(FILE_SIZE)::BIGINT AS bytes,
+    sum(greatest(coalesce(try_cast(FILES_PER_ZIP AS BIGINT),0),1))/{TARGET}.0::DOUBLE AS fraction FROM upload_log"""
+
+
+@query("s01_progress_batch", sql=PROGRESS)
+def s01(t):
+    return progress.progress(t.upload_log, TARGET)
+
+
+class Growing(Tables):
+    """The same views over a stream of the given table's file."""
+
+    def table(self, name):
+        schema = super().table(name).schema
+        return self.spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(self.sf_dir)
+
+
+@query("s01_progress_stream", sql=PROGRESS)
+def s01_stream(t):
+    table = "progress_" + uuid.uuid4().hex
+    log = Growing(t.spark, t.sf_dir).upload_log
+    progress.start_progress(log, table, shared_dir(t.spark, "progress"), TARGET).awaitTermination()
+    return t.spark.table(table)
+
+
+GROWTH = """SELECT taken_us, files-f AS files_added, bytes-b AS bytes_added, round((bytes-b)/1048576.0::DOUBLE/s,6) AS mib_s, round((bytes-b)/1048576.0::DOUBLE/s*8,6) AS mibit_s,
+    round((bytes-b)/1048576.0::DOUBLE/s*8/1024,6) AS gibit_s, round(CASE WHEN files>f THEN s/(files-f) ELSE 0 END,6) AS s_per_file
+    FROM (SELECT *, lag(files) OVER w AS f, lag(bytes) OVER w AS b, (taken_us-lag(taken_us) OVER w)/1e6::DOUBLE AS s FROM snapshots WINDOW w AS (ORDER BY taken_us)) WHERE f IS NOT NULL"""
+
+
+def rounded(df):
+    return df.select(*[F.round(c, 6).alias(c) if kind == "double" else c for c, kind in df.dtypes])
+
+
+@query("s02_growth_between_listings", sql=GROWTH)
+def s02(t):
+    return rounded(stats.growth(t.snapshots))
+
+
+@query("s02_growth_stream", sql=GROWTH)
+def s02_stream(t):
+    """Snapshots arriving one file at a time, each compared with the one before."""
+    source, state, out = (shared_dir(t.spark, name) for name in ("snapshots", "state", "growth"))
+    # Four files, oldest first: the stream reads them in the order they were written.
+    bounds = t.snapshots.agg(F.min("taken_us").alias("lo"), (F.max("taken_us") - F.min("taken_us") + 1).alias("w"))
+    quarter = F.call_function("div", (F.col("taken_us") - bounds.select("lo").scalar()) * 4, bounds.select("w").scalar())
+    parts = t.snapshots.withColumn("q", quarter).persist()
+    for q in range(4):
+        parts.filter(F.col("q") == q).drop("q").coalesce(1).write.mode("append").parquet(source)
+    parts.unpersist()
+    stream = t.spark.readStream.schema("taken_us long, files long, bytes long").option("maxFilesPerTrigger", 1).parquet(source)
+    (stream.writeStream.foreachBatch(progress.growth_writer(state, out))
+     .option("checkpointLocation", shared_dir(t.spark, "growth-log")).trigger(availableNow=True).start().awaitTermination())
+    schema = stats.growth(t.snapshots).schema
+    return rounded(t.spark.read.schema(schema).option("recursiveFileLookup", True).parquet(out))
+
+
+NEW_LOGS = """SELECT key FROM log_keys WHERE (key LIKE '%backup.csv' OR key LIKE '%files.csv')
+    AND regexp_replace(key,'-(files|backup)[.]csv$','-backup-verification.csv') NOT IN (SELECT key FROM log_keys WHERE key LIKE '%backup-verification.csv')"""
+
+
+@query("s03_new_logs_stream", sql=NEW_LOGS)
+def s03(t):
+    """The listing arrives twice; the second time nothing new is reported."""
+    source, out = shared_dir(t.spark, "listings"), shared_dir(t.spark, "new-logs")
+    for _ in range(2):
+        t.log_keys.select("key").coalesce(1).write.mode("append").parquet(source)
+    stream = t.spark.readStream.schema("key string").option("maxFilesPerTrigger", 1).parquet(source)
+    (stream.writeStream.foreachBatch(progress.new_log_writer(out))
+     .option("checkpointLocation", shared_dir(t.spark, "new-logs-log")).trigger(availableNow=True).start().awaitTermination())
+    return t.spark.read.schema("key string").option("recursiveFileLookup", True).parquet(out)
+
+
+@query("s04_quota_watch", sql="""SELECT taken_us, bytes, round(bytes*100.0::DOUBLE/1e13::DOUBLE,6) AS percent_used, bytes-lag(bytes) OVER w AS bytes_added,
+    round((bytes-lag(bytes) OVER w)/1048576.0::DOUBLE/((taken_us-lag(taken_us) OVER w)/1e6::DOUBLE),6) AS mib_s FROM snapshots WINDOW w AS (ORDER BY taken_us)""")
+def s04(t):
+    return rounded(progress.quota_watch(t.snapshots, 10_000_000_000_000))

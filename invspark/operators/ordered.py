@@ -106,7 +106,7 @@ def rolling_rows(
     df: DataFrame, keys: Sequence[str], order: str, value: Column, n: int, name: str = "rolling",
     full_only: bool = False, shifts=ROWS, block: int = 1 << 16,
 ) -> DataFrame:
-    """Mean over the last ``n`` rows, null until ``n`` rows were seen.
+    """Mean over the last ``n`` rows, null until ``n`` values were seen and where one of them is null.
 
     Rows are numbered, cut into blocks, and the last ``n - 1`` rows of each
     block are also given to the next one, so every frame is complete inside
@@ -121,9 +121,8 @@ def rolling_rows(
     )
     frame = Window.partitionBy(*keys, "_block").orderBy("_idx").rowsBetween(1 - n, 0)
     out = (
-        spread.withColumn("_mean", F.avg("_value").over(frame))
+        spread.withColumn(name, F.when(F.count("_value").over(frame) == n, F.avg("_value").over(frame)))
         .filter(F.col("_block") == F.col("_home"))
-        .withColumn(name, F.when(F.col("_idx") >= n - 1, F.col("_mean")))
     )
     if full_only:
         out = out.filter(F.col("_idx") >= n - 1)
