@@ -44,7 +44,7 @@ def j01(t):
 
 @query("j01_not_in_store_at_size", sql="SELECT zip_key, member FROM packed WHERE member NOT IN (SELECT key FROM lake)")
 def j01_big(t):
-    return lookups.missing(t.packed, t.lake, "member").select("zip_key", "member")
+    return lookups.missing(t.packed, t.lake, "member", unique=True).select("zip_key", "member")
 
 
 @query("w01_archives_to_build", ctes=PLAN, sql="""SELECT part*1000000+batch AS id, 'backup/collated_'||(part*1000000+batch)||'.zip' AS zip_key, count(*) AS n_members,
@@ -157,7 +157,7 @@ def j15(t):
 
 @query("j15_membership_flag", sql="SELECT member, key IS NOT NULL AS present FROM packed LEFT JOIN lake ON key=member")
 def j15_flag(t):
-    return lookups.membership(t.packed, t.lake, "member").select("member", "present")
+    return lookups.membership(t.packed, t.lake, "member", unique=True).select("member", "present")
 
 
 @query("a07_distinct_rows_in_order", sql="SELECT l_partkey, l_suppkey, min(l_orderkey*10+l_linenumber) AS first_ord FROM lineitem GROUP BY ALL")

@@ -17,12 +17,12 @@ VERDICTS = """zips AS (SELECT key AS zip_key FROM lake WHERE key LIKE '%.zip'),
 
 def verdicts(t):
     zips = t.lake.filter(names.is_zip(F.col("key"))).select(F.col("key").alias("zip_key"))
-    return verify.completeness(zips, t.packed, t.lake)
+    return verify.completeness(zips, t.packed, t.lake, unique=True)
 
 
 @query("j04_existing_members", sql="SELECT zip_key, member FROM packed WHERE member IN (SELECT key FROM lake)")
 def j04(t):
-    return verify.existing_members(t.packed, t.lake).select("zip_key", "member")
+    return verify.existing_members(t.packed, t.lake, unique=True).select("zip_key", "member")
 
 
 @query("j05_folded_flags", ctes=VERDICTS, sql="SELECT key, coalesce(extract,false) AS extract FROM lake LEFT JOIN verdicts ON zip_key=key")

@@ -244,30 +244,22 @@ class Tables:
             F.concat_ws("_", strategy, tokens, F.concat(cpus, F.lit("-procs"))).alias("file"),
             F.col("o_orderkey").alias("n"), cents.alias("cents"), secs.alias("secs"),
         )
-        one = base.select(
-            "file", (F.col("n") * 2).alias("line_no"),
-            F.concat(hundredths(F.col("cents")), F.lit(" MiB uploaded in "), hundredths(F.col("secs")), F.lit(" seconds, "),
-                     hundredths(F.call_function("div", F.col("cents") * 100, F.col("secs"))), F.lit(" MiB/s")).alias("value"),
-        )
-        two = base.select(
-            "file", (F.col("n") * 2 + 1).alias("line_no"),
-            F.concat(F.lit("2 files (avg "), hundredths(div(F.col("cents"), 2)), F.lit(" MiB/file) uploaded in "), hundredths(F.col("secs")),
-                     F.lit(" seconds, "), hundredths(div(F.col("secs"), 2)), F.lit(" s/file")).alias("value"),
-        )
+        line = lambda number, *parts: F.struct(number.cast("long").alias("line_no"), F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts]).alias("value"))
+        cents, secs, n = F.col("cents"), F.col("secs"), F.col("n")
+        rate = hundredths(F.call_function("div", cents * 100, secs))
+        each = base.select("file", F.inline(F.array(
+            line(n * 2, hundredths(cents), " MiB uploaded in ", hundredths(secs), " seconds, ", rate, " MiB/s"),
+            line(n * 2 + 1, "2 files (avg ", hundredths(div(cents, 2)), " MiB/file) uploaded in ", hundredths(secs), " seconds, ", hundredths(div(secs, 2)), " s/file"),
+        )))
         total = base.groupBy("file").agg(F.count(F.lit(1)).alias("k"), F.sum("cents").alias("cents"), F.sum("secs").alias("secs"))
         pad = lambda c, w: F.lpad(c.cast("string"), w, "0")
-        finished = total.select(
-            "file", F.lit(1_000_000_000_000).cast("long").alias("line_no"),
-            F.concat(F.lit("Finished at 2024-05-29 20:38:23.761037, elapsed time = "), div(F.col("secs"), 360_000).cast("string"), F.lit(":"),
-                     pad(div(F.col("secs"), 6000) % 60, 2), F.lit(":"), pad(div(F.col("secs"), 100) % 60, 2), F.lit("."), pad(F.col("secs") % 100 * 10_000, 6)).alias("value"),
-        )
-        totals = total.select(
-            "file", F.lit(1_000_000_000_001).cast("long").alias("line_no"),
-            F.concat(F.lit("Total: "), F.col("k").cast("string"), F.lit(" files; "), hundredths(F.col("cents")), F.lit(" MiB; "),
-                     hundredths(F.call_function("div", F.col("cents") * 100, F.col("secs"))), F.lit(" MiB/s including setup time; "),
-                     hundredths(F.call_function("div", F.col("secs"), F.col("k"))), F.lit(" s/file including setup time")).alias("value"),
-        )
-        return one.unionByName(two).unionByName(finished).unionByName(totals)
+        clock = F.concat(div(secs, 360_000).cast("string"), F.lit(":"), pad(div(secs, 6000) % 60, 2), F.lit(":"), pad(div(secs, 100) % 60, 2), F.lit("."), pad(secs % 100 * 10_000, 6))
+        closing = total.select("file", F.inline(F.array(
+            line(F.lit(1_000_000_000_000), "Finished at 2024-05-29 20:38:23.761037, elapsed time = ", clock),
+            line(F.lit(1_000_000_000_001), "Total: ", F.col("k").cast("string"), " files; ", hundredths(cents), " MiB; ", rate,
+                 " MiB/s including setup time; ", hundredths(F.call_function("div", secs, F.col("k"))), " s/file including setup time"),
+        )))
+        return each.unionByName(closing)
 
     @cached_property
     def snapshots(self) -> DataFrame:

@@ -2,8 +2,9 @@
 
 Object keys are unique in a store, so lookups are plain equi-joins: Spark
 broadcasts the small side when its size allows and otherwise shuffles, with
-AQE splitting skewed partitions. The looked-up side is made distinct first;
-that reuses the shuffle of the join and collapses hot duplicates map-side.
+AQE splitting skewed partitions. Where the looked-up keys may repeat they are
+made distinct first; that reuses the shuffle of the join and collapses hot
+duplicates map-side. ``unique=True`` says a listing holds each key once.
 """
 
 from __future__ import annotations
@@ -14,23 +15,24 @@ from ..functions import names, values
 from . import ordered
 
 
-def key_set(df: DataFrame, column: str, name: str) -> DataFrame:
-    return df.select(F.col(column).alias(name)).filter(F.col(name).isNotNull()).distinct()
+def key_set(df: DataFrame, column: str, name: str, unique: bool = False) -> DataFrame:
+    keys = df.select(F.col(column).alias(name)).filter(F.col(name).isNotNull())
+    return keys if unique else keys.distinct()
 
 
-def missing(df: DataFrame, other: DataFrame, on: str, other_key: str = "key") -> DataFrame:
+def missing(df: DataFrame, other: DataFrame, on: str, other_key: str = "key", unique: bool = False) -> DataFrame:
     """Rows whose ``on`` is not among the other table's keys."""
-    return df.join(key_set(other, other_key, on), on, "left_anti")
+    return df.join(key_set(other, other_key, on, unique), on, "left_anti")
 
 
-def present(df: DataFrame, other: DataFrame, on: str, other_key: str = "key") -> DataFrame:
+def present(df: DataFrame, other: DataFrame, on: str, other_key: str = "key", unique: bool = False) -> DataFrame:
     """Rows whose ``on`` is among the other table's keys."""
-    return df.join(key_set(other, other_key, on), on, "left_semi")
+    return df.join(key_set(other, other_key, on, unique), on, "left_semi")
 
 
-def membership(df: DataFrame, other: DataFrame, on: str, other_key: str = "key", name: str = "present") -> DataFrame:
+def membership(df: DataFrame, other: DataFrame, on: str, other_key: str = "key", name: str = "present", unique: bool = False) -> DataFrame:
     """All rows, with a flag telling whether ``on`` is among the other table's keys."""
-    known = key_set(other, other_key, on).withColumn("_known", F.lit(True))
+    known = key_set(other, other_key, on, unique).withColumn("_known", F.lit(True))
     return df.join(known, on, "left").withColumn(name, F.col("_known").isNotNull()).drop("_known")
 
 

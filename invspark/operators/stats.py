@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import paths, units, values
 from . import ordered
@@ -114,26 +114,42 @@ def by_type(log: DataFrame, keys: Sequence[str]) -> DataFrame:
 def quantiles(df: DataFrame, keys: Sequence[str], value: str, probabilities: Sequence[float], names: Sequence[str]) -> DataFrame:
     """Exact quantiles (linear interpolation) of a long column.
 
-    Equal values are counted first, the counts are summed in value order by
-    the bucketed scan, and the values at the wanted ranks are picked: nothing
-    holds a group's values in one place.
+    Rows are counted in buckets of 2**20 values, which shrinks map-side. The
+    running counts show which few buckets hold the wanted ranks; only their
+    rows are looked at again, counted per distinct value and ranked. No group
+    is ever sorted whole.
     """
-    keys = list(keys)
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    ranked = ordered.scan(counts, keys, value, sums={"_below": F.col("_n")}, shifts=ordered.VALUES)
-    sizes = counts.groupBy(*keys).agg((F.sum("_n") - 1).alias("_last"))
+    keys, shift = list(keys), 20
+    rows = df.filter(F.col(value).isNotNull()).select(*keys, value, F.shiftright(value, shift).alias("_bucket"))
+    coarse = rows.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    coarse = ordered.small_copy(coarse) or coarse
+    ranked = ordered.scan(coarse, keys, "_bucket", sums={"_below": F.col("_n")}, shifts=ordered.ROWS)
+    sizes = coarse.groupBy(*keys).agg((F.sum("_n") - 1).alias("_last"))
     if keys:
-        ranked = ordered.attach(ranked, sizes, keys, value)
+        ranked = ordered.attach(ranked, sizes, keys, "_bucket")
     else:
         ranked = ranked.withColumn("_last", sizes.scalar())
-    at = lambda rank: F.max(F.when((F.col("_below") <= rank) & (rank < F.col("_below") + F.col("_n")), F.col(value)))
+    places = [F.col("_last") * F.lit(float(p)) for p in probabilities]
+    inside = lambda rank: (F.col("_below") <= rank) & (rank < F.col("_below") + F.col("_n"))
+    holds = F.lit(False)
+    for place in places:
+        holds = holds | inside(F.floor(place)) | inside(F.ceil(place))
+    wanted = ranked.filter(holds).select(*keys, "_bucket", F.col("_below").alias("_base"), "_last")
+    wanted = ordered.checked_broadcast(wanted) or wanted
+    window = Window.partitionBy(*keys, "_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    fine = (
+        rows.join(wanted, [*keys, "_bucket"])
+        .groupBy(*keys, "_bucket", "_base", "_last", value)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_below", F.col("_base") + F.coalesce(F.sum("_n").over(window), F.lit(0)))
+    )
     picks, result = [F.first("_last").alias("_last")], []
-    for p, name in zip(probabilities, names):
-        place = F.col("_last") * F.lit(float(p))
-        picks += [at(F.floor(place)).alias(f"_lo_{name}"), at(F.ceil(place)).alias(f"_hi_{name}")]
+    for place, name in zip(places, names):
+        picks += [F.max(F.when(inside(F.floor(place)), F.col(value))).alias(f"_lo_{name}")]
+        picks += [F.max(F.when(inside(F.ceil(place)), F.col(value))).alias(f"_hi_{name}")]
         low, high = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
         result.append((low + (high - low) * (place - F.floor(place))).cast("double").alias(name))
-    return ranked.groupBy(*keys).agg(*picks).select(*keys, *result)
+    return fine.groupBy(*keys).agg(*picks).select(*keys, *result)
 
 
 def describe(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:

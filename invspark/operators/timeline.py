@@ -53,7 +53,7 @@ def step_curve(curve: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def _moved(rate: Column, micros: Column) -> Column:
-    return F.sum(rate.cast("decimal(20,0)") * micros.cast("decimal(18,0)"))
+    return F.coalesce(F.sum(rate.cast("decimal(20,0)") * micros.cast("decimal(18,0)")), F.lit(0))
 
 
 def integral(curve: DataFrame, keys: Sequence[str]) -> DataFrame:

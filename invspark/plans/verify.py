@@ -20,18 +20,18 @@ def explode_members(manifest: DataFrame, distinct: bool = True) -> DataFrame:
     return listed.select("zip_key", F.size("_names").cast("long").alias("total"), F.explode("_names").alias("member"))
 
 
-def existing_members(members: DataFrame, store: DataFrame, key: str = "key") -> DataFrame:
-    return lookups.present(members, store, "member", key)
+def existing_members(members: DataFrame, store: DataFrame, key: str = "key", unique: bool = False) -> DataFrame:
+    return lookups.present(members, store, "member", key, unique)
 
 
-def completeness(zips: DataFrame, members: DataFrame, store: DataFrame, key: str = "key") -> DataFrame:
+def completeness(zips: DataFrame, members: DataFrame, store: DataFrame, key: str = "key", unique: bool = False) -> DataFrame:
     """Per archive: members listed, members found in the store, and two verdicts.
 
     ``members`` holds distinct (zip_key, member). One left join and one
     aggregation; no manifest means ``extract`` and not ``deletable``.
     """
     counted = (
-        lookups.membership(members, store, "member", key)
+        lookups.membership(members, store, "member", key, unique=unique)
         .groupBy("zip_key")
         .agg(F.count(F.lit(1)).alias("total"), F.count_if("present").alias("found"))
     )
