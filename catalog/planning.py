@@ -127,9 +127,10 @@ def j03(t):
 
 def _folder_members(t):
     # Orders seen as folders: their lines are the files on disk.
-    return t.table("lineitem").filter(F.col("l_linestatus") == "F").select(
+    lines = t.table("lineitem").filter(F.col("l_linestatus") == "F")
+    return lines.select("l_orderkey", "l_partkey", "l_linenumber", "l_suppkey").distinct().select(
         F.col("l_orderkey").alias("folder"), t._lake_member().alias("member")
-    ).distinct()
+    )
 
 
 @query("j13_folders_already_archived", ctes="""disk AS (SELECT DISTINCT l_orderkey AS folder, 'lake/'||l_partkey||'-'||l_linenumber||'-'||l_suppkey AS member FROM lineitem WHERE l_linestatus='F'),

@@ -168,14 +168,14 @@ def checked_broadcast(df: DataFrame, rows: int = 10_000) -> DataFrame | None:
     return None if copy is None else F.broadcast(copy)
 
 
-def attach(df: DataFrame, groups: DataFrame, on: Sequence[str], spread: str, salts: int = 16) -> DataFrame:
+def attach(df: DataFrame, groups: DataFrame, on: Sequence[str], spread: str, salts: int = 16, few: bool = False) -> DataFrame:
     """Left join of one row per group onto a large table whose groups may be very uneven.
 
-    Few groups are broadcast, after counting them. Otherwise the rows of a
-    group are spread over ``salts`` join keys by ``spread``, and the (much
-    smaller) group table is repeated once per salt.
+    The rows of a group are spread over ``salts`` join keys by ``spread``, and
+    the (much smaller) group table is repeated once per salt. Groups expected
+    to be ``few`` are broadcast instead, if counting them bears that out.
     """
-    small = checked_broadcast(groups)
+    small = checked_broadcast(groups) if few else None
     if small is not None:
         return df.join(small, list(on), "left")
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))

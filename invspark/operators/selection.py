@@ -24,7 +24,7 @@ def exclude_folders(listing: DataFrame, folders: DataFrame, folder: str = "folde
         hits = folders.select(F.col(folder).alias("_above")).distinct()
         folders = above.join(hits, "_above", "left_semi").select(folder)
     marked = folders.select(folder).distinct().withColumn("_excluded", F.lit(True))
-    return ordered.attach(listing, marked, [folder], spread).filter(F.col("_excluded").isNull()).select(*listing.columns)
+    return ordered.attach(listing, marked, [folder], spread, few=True).filter(F.col("_excluded").isNull()).select(*listing.columns)
 
 
 def remaining(keys: DataFrame, key: str = "key") -> DataFrame:

@@ -126,7 +126,7 @@ def quantiles(df: DataFrame, keys: Sequence[str], value: str, probabilities: Seq
     ranked = ordered.scan(coarse, keys, "_bucket", sums={"_below": F.col("_n")}, shifts=ordered.ROWS)
     sizes = coarse.groupBy(*keys).agg((F.sum("_n") - 1).alias("_last"))
     if keys:
-        ranked = ordered.attach(ranked, sizes, keys, "_bucket")
+        ranked = ordered.attach(ranked, sizes, keys, "_bucket", few=True)
     else:
         ranked = ranked.withColumn("_last", sizes.scalar())
     places = [F.col("_last") * F.lit(float(p)) for p in probabilities]
@@ -165,7 +165,8 @@ def describe(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     cuts = quantiles(df, keys, value, QUARTILES, ["q25", "q50", "q75"])
     if keys:
         return basic.join(cuts, keys)
-    return basic.withColumn("_one", F.lit(1)).join(cuts.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    cuts = ordered.small_copy(cuts) or cuts
+    return basic.withColumns({name: cuts.select(name).scalar() for name in ("q25", "q50", "q75")})
 
 
 def describe_approx(df: DataFrame, keys: Sequence[str], value: str, accuracy: int = 10_000) -> DataFrame:
@@ -183,17 +184,18 @@ def histogram(df: DataFrame, keys: Sequence[str], value: str, bins: int) -> Data
     A group of equal values gets a range of width 1 around them.
     """
     keys = list(keys)
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    ends = counts.groupBy(*keys).agg(F.min(value).cast("double").alias("_lo"), F.max(value).cast("double").alias("_hi"))
+    rows = df.filter(F.col(value).isNotNull()).select(*keys, value)
+    ends = rows.groupBy(*keys).agg(F.min(value).cast("double").alias("_lo"), F.max(value).cast("double").alias("_hi"))
     flat = F.col("_lo") == F.col("_hi")
     ends = ends.withColumns({"_lo": F.when(flat, F.col("_lo") - 0.5).otherwise(F.col("_lo")), "_hi": F.when(flat, F.col("_hi") + 0.5).otherwise(F.col("_hi"))})
+    ends = ordered.small_copy(ends) or ends
     if keys:
-        placed = ordered.attach(counts, ends, keys, value)
+        placed = ordered.attach(rows, ends, keys, value, few=True)
     else:
-        placed = counts.withColumns({"_lo": ends.select("_lo").scalar(), "_hi": ends.select("_hi").scalar()})
+        placed = rows.withColumns({"_lo": ends.select("_lo").scalar(), "_hi": ends.select("_hi").scalar()})
     width = F.col("_hi") - F.col("_lo")
     index = F.least(F.floor((F.col(value) - F.col("_lo")) / width * bins), F.lit(bins - 1)).cast("long")
-    filled = placed.groupBy(*keys, index.alias("bin")).agg(F.sum("_n").alias("n"))
+    filled = placed.groupBy(*keys, index.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     grid = ends.withColumn("bin", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(bins - 1).cast("long"))))
     return grid.join(filled, [*keys, "bin"], "left").select(
         *keys, "bin",

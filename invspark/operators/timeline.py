@@ -103,6 +103,7 @@ def grid(transfers: DataFrame, step_us: int, start: str = "start_us", end: str =
     running sum; the work does not grow with how long transfers last.
     """
     ends = transfers.agg(F.min(start).alias("first"), F.max(end).alias("last"))
+    ends = ordered.small_copy(ends) or ends
     origin = ends.select("first").scalar()
     last_tick = ends.select(F.call_function("div", F.col("last") - F.col("first"), F.lit(step_us))).scalar()
     enter = F.ceil((F.col(start) - origin) / F.lit(step_us)).cast("long")
@@ -155,5 +156,5 @@ def elapsed_hours(df: DataFrame, time: str, keys: Sequence[str] = ()) -> DataFra
     """Hours since the first event."""
     if keys:
         first = df.groupBy(*keys).agg(F.min(time).alias("_first"))
-        return ordered.attach(df, first, keys, time).withColumn("hours", (F.col(time) - F.col("_first")) / 3.6e9).drop("_first")
+        return ordered.attach(df, first, keys, time, few=True).withColumn("hours", (F.col(time) - F.col("_first")) / 3.6e9).drop("_first")
     return df.withColumn("hours", (F.col(time) - df.agg(F.min(time)).scalar()) / 3.6e9)

@@ -63,8 +63,8 @@ def new_log_writer(out_path: str, **suffixes) -> Callable[[DataFrame, int], None
         spark = batch.sparkSession
         found = lookups.unverified_logs(batch.select("key").distinct(), **suffixes).select("key")
         if number > 0:
-            earlier = [f"{out_path}/batch={n}" for n in range(number)]
-            found = lookups.missing(found, spark.read.schema("key string").parquet(*earlier), "key")
+            earlier = spark.read.schema("key string, batch long").parquet(out_path).filter(F.col("batch") < number)
+            found = lookups.missing(found, earlier, "key")
         found.write.mode("overwrite").parquet(f"{out_path}/batch={number}")
 
     return write
