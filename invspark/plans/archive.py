@@ -123,18 +123,24 @@ def digest_files(paths: DataFrame, path: str = "path") -> DataFrame:
 
 
 def _members(zip_key: str, archive: zipfile.ZipFile, keep: bool) -> Iterator[pd.DataFrame]:
+    columns = ["zip_key", "member", "size", "md5", "content"]
     rows, held = [], 0
     for info in archive.infolist():
         if info.is_dir():
             continue
-        data = archive.read(info)
-        rows.append((zip_key, info.filename, len(data), hashlib.md5(data).hexdigest(), data if keep else None))
-        held += len(data)
-        if held > FLUSH:
-            yield pd.DataFrame(rows, columns=["zip_key", "member", "size", "md5", "content"])
+        digest, kept = hashlib.md5(), []
+        with archive.open(info) as stream:
+            while block := stream.read(BLOCK):
+                digest.update(block)
+                if keep:
+                    kept.append(block)
+        rows.append((zip_key, info.filename, info.file_size, digest.hexdigest(), b"".join(kept) if keep else None))
+        held += info.file_size if keep else 0
+        if held > FLUSH or len(rows) == 10_000:
+            yield pd.DataFrame(rows, columns=columns)
             rows, held = [], 0
     if rows:
-        yield pd.DataFrame(rows, columns=["zip_key", "member", "size", "md5", "content"])
+        yield pd.DataFrame(rows, columns=columns)
 
 
 def unpack_contents(archives: DataFrame, keep_content: bool = True) -> DataFrame:
