@@ -2,10 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from invspark.functions import paths
+from invspark.functions import names, paths
 from invspark.operators import batching, lookups
 from invspark.plans import archive
-from invspark.session import shared_dir
+from invspark.session import materialise, shared_dir
 
 from .base import query
 from .planning import fold
@@ -40,6 +40,80 @@ def c02_sync(t):
     return lookups.sync_decision(keyed, t.remote).groupBy("decision").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _tree(t):
+    """One file per source and language, listed and frozen."""
+    from invspark.sources import listing
+
+    where = shared_dir(t.spark, "tree").removeprefix("file:")
+    t.table("documents").repartition("source", "lang").write.partitionBy("source", "lang").parquet(where)
+    found = listing.walk_tree(t.spark, where).filter("is_dir or path like '%.parquet' and path not like '%/.%'")
+    return where, listing.freeze(found, where, DEST)
+
+
+def _folder():
+    return F.concat(F.regexp_extract("key", "source=([^/]+)", 1), F.lit("/"), F.regexp_extract("key", "lang=([^/]+)", 1)).alias("folder")
+
+
+@query("c01_packed_files", sql="SELECT DISTINCT source||'/'||lang AS folder, true AS same_bytes FROM documents")
+def c01_files(t):
+    """Files packed into archives on disk, unpacked again, and compared with the originals by checksum."""
+    _, files = _tree(t)
+    plan = batching.roll_up(batching.assign_batches(files, 200_000, 20), DEST)
+    out = shared_dir(t.spark, "archives").removeprefix("file:")
+    packed = materialise(archive.pack_files(plan, out, DEST, compress=True), "packed")
+    members = archive.unpack_files(packed, out).select(F.concat(F.lit(DEST + "/"), "member").alias("object_name"), F.col("md5").alias("unpacked"))
+    digests = archive.digest_files(files).select("path", "md5")
+    both = files.join(digests, "path").join(members, "object_name", "left")
+    return both.select(F.col("path").alias("key"), F.coalesce(F.col("md5") == F.col("unpacked"), F.lit(False)).alias("same_bytes")).select(_folder(), "same_bytes")
+
+
+@query("u05_applied_actions", sql="SELECT DISTINCT source||'/'||lang AS folder, 'done' AS copied, 'done' AS deleted, true AS moved FROM documents")
+def u05(t):
+    """A move carried out on files by tasks with side effects: copy, then delete what was copied."""
+    from invspark.plans import actions
+    from invspark.sources import listing
+
+    where, files = _tree(t)
+    keys = files.select(F.substring("path", len(where) + 2, 10_000).alias("key"))
+    copies = actions.move(keys, "moved")
+    first = materialise(archive.apply_actions(copies, where), "copied")
+    second = materialise(archive.apply_actions(actions.delete_copied(copies, first), where), "deleted")
+    now = listing.walk_tree(t.spark, where).filter("not is_dir").select(F.substring("path", len(where) + 2, 10_000).alias("target"))
+    old_gone = lookups.missing(second, now, "key", "target").select("key", F.col("status").alias("deleted"))
+    arrived = lookups.membership(first.select("key", "target", F.col("status").alias("copied")), now, "target", "target", "moved")
+    return arrived.join(old_gone, "key").select(_folder(), "copied", "deleted", "moved")
+
+
+@query("u01_partition_function", sql="SELECT doc_id AS ord, length(text)::BIGINT AS n_chars, len(string_split(text,' '))::BIGINT AS n_words FROM documents")
+def u01(t):
+    """A frame-to-frame function over batches of a partition, with its output schema."""
+
+    def count(batches):
+        for batch in batches:
+            text = batch["text"]
+            yield batch[["ord"]].assign(n_chars=text.str.len(), n_words=text.str.count(" ") + 1)
+
+    return t.table("documents").select(F.col("doc_id").alias("ord"), "text").mapInPandas(count, "ord long, n_chars long, n_words long")
+
+
+@query("u03_grouped_function", sql="SELECT site, day, count(*) AS n, max(end_us)-min(start_us) AS span_us FROM (SELECT *, start_us//86400000000 AS day, split_part(run,'_',2) AS site FROM transfers) GROUP BY ALL")
+def u03(t):
+    """A function applied to groups: one site's transfers of one day."""
+
+    def summarise(group):
+        import pandas as pd
+
+        return pd.DataFrame({"site": [group["site"].iloc[0]], "day": [group["day"].iloc[0]], "n": [group["n"].sum()], "span_us": [group["last"].max() - group["first"].min()]})
+
+    # Summed per minute first, so a group holds at most 1440 rows whatever the traffic.
+    minute = F.call_function("div", F.col("start_us"), F.lit(60_000_000))
+    rows = t.transfers.groupBy(names.site(F.col("run")).alias("site"), minute.alias("minute")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("start_us").alias("first"), F.max("end_us").alias("last")
+    )
+    days = rows.withColumn("day", F.call_function("div", F.col("minute"), F.lit(1440)))
+    return days.groupBy("site", "day").applyInPandas(summarise, "site string, day long, n long, span_us long")
+
+
 @query("c03_digest_of_files", sql="SELECT source, bool_and(true) AS same_size, true AS all_read FROM documents GROUP BY source")
 def c03_files(t):
     """Files written from the documents, checked block by block against the listed sizes."""

@@ -38,7 +38,9 @@ def follow(listing: DataFrame, max_hops: int = MAX_HOPS) -> DataFrame:
     links, files = listing.filter("is_link"), listing.filter(~F.col("is_link"))
     found = resolve(links, max_hops).filter(F.col("target").isNotNull())
     sizes = files.select(F.col("path").alias("target"), F.col("size").alias("_size"))
-    sized = found.join(sizes, "target", "left")
+    # Each target's size once, then back to its links, of which one target may have very many.
+    known = sizes.join(found.select("target").distinct(), "target", "left_semi")
+    sized = ordered.attach(found, known, ["target"], "path")
     followed = links.join(sized, "path").select(
         "ord",
         F.col("target").alias("path"),

@@ -33,62 +33,68 @@ def scan(
     previous: Mapping[str, Column] | None = None,
     following: Mapping[str, Column] | None = None,
     shifts: Sequence[int] = ROWS,
+    narrow: bool = False,
 ) -> DataFrame:
     """Add columns that depend on all earlier (or the next) rows of a sequence.
 
     ``sums``: sum over all earlier rows, the current one excluded, 0 at the start.
     ``previous`` / ``following``: the value on the neighbouring row, null at the ends.
+    ``narrow``: the rows hold no columns beyond those named here. Windows and
+    summaries then share one shuffle, and what lies before it runs once; wider
+    rows are better summed map-side.
     """
-    sums, previous, following = dict(sums or {}), dict(previous or {}), dict(following or {})
-    # Inputs sit in plain columns; neighbours in structs, so that null values survive a coalesce.
-    ready = df.withColumns(
-        {f"_s_{n}": c for n, c in sums.items()}
-        | {f"_p_{n}": F.struct(c.alias("v")) for n, c in previous.items()}
-        | {f"_f_{n}": F.struct(c.alias("v")) for n, c in following.items()}
+    # Neighbours travel in structs, so that null values survive a coalesce.
+    kinds = (
+        dict(sums or {}),
+        {n: F.struct(c.alias("v")) for n, c in (previous or {}).items()},
+        {n: F.struct(c.alias("v")) for n, c in (following or {}).items()},
+    )
+    out = _scan(df, list(keys), order, kinds, list(shifts), narrow)
+    return out.select(
+        *df.columns,
+        *[F.col(f"_s_{n}").alias(n) for n in kinds[0]],
+        *[F.col(f"_p_{n}.v").alias(n) for n in kinds[1]],
+        *[F.col(f"_f_{n}.v").alias(n) for n in kinds[2]],
     )
-    out = _scan(ready, list(keys), order, list(sums), list(previous), list(following), list(shifts))
-    return out.withColumns(
-        {n: F.col(f"_xs_{n}") for n in sums}
-        | {n: F.col(f"_xp_{n}.v") for n in previous}
-        | {n: F.col(f"_xf_{n}.v") for n in following}
-    ).select(*df.columns, *sums, *previous, *following)
 
 
-def _scan(df, keys, order, sums, previous, following, shifts):
+def _scan(df, keys, order, kinds, shifts, narrow):
+    sums, previous, following = kinds
     if not shifts:
-        return df.withColumns(_local(keys or [F.lit(0)], order, sums, previous, following))
+        return df.withColumns(_local(keys or [F.lit(0)], order, kinds))
     bucket = f"_b{len(shifts)}"
     cut = df.withColumn(bucket, F.shiftright(F.col(order), shifts[0]))
-    inside = cut.withColumns(_local([*keys, bucket], order, sums, previous, following))
+    if narrow:
+        cut = cut.repartition(*keys, bucket)
+    inside = cut.withColumns(_local([*keys, bucket], order, kinds))
     summary = cut.groupBy(*keys, bucket).agg(
-        *[F.sum(f"_s_{n}").alias(f"_s_{n}") for n in sums],
-        *[F.max_by(f"_p_{n}", order).alias(f"_p_{n}") for n in previous],
-        *[F.min_by(f"_f_{n}", order).alias(f"_f_{n}") for n in following],
-        F.count(F.lit(1)).alias("_rows"),
+        *[F.sum(c).alias(f"_i_{n}") for n, c in sums.items()],
+        *[F.max_by(c, order).alias(f"_i_{n}") for n, c in previous.items()],
+        *[F.min_by(c, order).alias(f"_i_{n}") for n, c in following.items()],
     )
-    carried = _scan(summary, keys, bucket, sums, previous, following, shifts[1:]).select(
+    inputs = tuple({n: F.col(f"_i_{n}") for n in kind} for kind in kinds)
+    carried = _scan(summary, keys, bucket, inputs, shifts[1:], False).select(
         *keys,
         bucket,
-        *[F.col(f"_xs_{n}").alias(f"_cs_{n}") for n in sums],
-        *[F.col(f"_xp_{n}").alias(f"_cp_{n}") for n in previous],
-        *[F.col(f"_xf_{n}").alias(f"_cf_{n}") for n in following],
+        *[F.col(f"_s_{n}").alias(f"_c_{n}") for n in sums],
+        *[F.col(f"_p_{n}").alias(f"_c_{n}") for n in previous],
+        *[F.col(f"_f_{n}").alias(f"_c_{n}") for n in following],
     )
-    joined = inside.join(carried, [*keys, bucket], "left")
-    return joined.withColumns(
-        {f"_xs_{n}": F.col(f"_xs_{n}") + F.col(f"_cs_{n}") for n in sums}
-        | {f"_xp_{n}": F.coalesce(f"_xp_{n}", f"_cp_{n}") for n in previous}
-        | {f"_xf_{n}": F.coalesce(f"_xf_{n}", f"_cf_{n}") for n in following}
+    return inside.join(carried, [*keys, bucket], "left").withColumns(
+        {f"_s_{n}": F.col(f"_s_{n}") + F.col(f"_c_{n}") for n in sums}
+        | {f"_p_{n}": F.coalesce(f"_p_{n}", f"_c_{n}") for n in previous}
+        | {f"_f_{n}": F.coalesce(f"_f_{n}", f"_c_{n}") for n in following}
     )
 
 
-def _local(partition, order, sums, previous, following):
+def _local(partition, order, kinds):
+    sums, previous, following = kinds
     window = Window.partitionBy(*partition).orderBy(order)
     before = window.rowsBetween(Window.unboundedPreceding, -1)
-    # A decimal sum would widen at every level; keep the input type.
     return (
-        {f"_xs_{n}": F.coalesce(F.sum(f"_s_{n}").over(before), F.lit(0)) for n in sums}
-        | {f"_xp_{n}": F.lag(f"_p_{n}").over(window) for n in previous}
-        | {f"_xf_{n}": F.lead(f"_f_{n}").over(window) for n in following}
+        {f"_s_{n}": F.coalesce(F.sum(c).over(before), F.lit(0)) for n, c in sums.items()}
+        | {f"_p_{n}": F.lag(c).over(window) for n, c in previous.items()}
+        | {f"_f_{n}": F.lead(c).over(window) for n, c in following.items()}
     )
 
 
@@ -137,17 +143,21 @@ def rolling_span(
     Each row adds its value at ``t`` and takes it back at ``t + span``, so the
     window mean is a ratio of two running sums: linear work, no sliding frame.
     """
-    held = df.withColumn("_v", value.cast("decimal(38,0)"))
-    enter = held.select(*keys, order, F.col("_v"), F.lit(1).cast("long").alias("_n"))
-    leave = enter.withColumns({order: F.col(order) + span, "_v": -F.col("_v"), "_n": -F.col("_n")})
+    held, one, none = value.cast("decimal(38,0)"), F.lit(1).cast("long"), F.lit(0).cast("long")
+    turns = F.array(
+        F.struct(F.col(order).alias(order), held.alias("_v"), one.alias("_in"), none.alias("_out")),
+        F.struct((F.col(order) + span).alias(order), (-held).alias("_v"), none.alias("_in"), one.alias("_out")),
+    )
     moves = (
-        enter.unionByName(leave)
+        df.select(*keys, F.inline(turns))
         .groupBy(*keys, order)
-        .agg(F.sum("_v").cast("decimal(38,0)").alias("_v"), F.sum("_n").alias("_n"), F.max("_n").alias("_enters"))
+        .agg(F.sum("_v").cast("decimal(38,0)").alias("_v"), F.sum("_in").alias("_in"), F.sum("_out").alias("_out"))
     )
-    run = scan(moves, keys, order, sums={"_sv": F.col("_v"), "_sn": F.col("_n")}, shifts=shifts)
-    mean = (F.col("_sv") + F.col("_v")).cast("double") / (F.col("_sn") + F.col("_n")).cast("double")
-    return run.filter(F.col("_enters") > 0).select(*keys, order, mean.alias(name))
+    sums = {"_sv": F.col("_v"), "_si": F.col("_in"), "_so": F.col("_out")}
+    run = scan(moves, keys, order, sums=sums, shifts=shifts, narrow=True)
+    held_now = F.col("_si") + F.col("_in") - F.col("_so") - F.col("_out")
+    mean = (F.col("_sv") + F.col("_v")).cast("double") / held_now.cast("double")
+    return run.filter(F.col("_in") > 0).select(*keys, order, mean.alias(name))
 
 
 def small_copy(df: DataFrame, rows: int = 10_000) -> DataFrame | None:

@@ -34,7 +34,8 @@ def levels(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rate and concurrency from each moment ``t`` until ``next_t``; input has one row per keys and t."""
     run = ordered.scan(
         changes, keys, "t",
-        sums={"_rate": F.col("delta"), "_level": F.col("step")}, following={"next_t": F.col("t")}, shifts=ordered.MICROS,
+        sums={"_rate": F.col("delta"), "_level": F.col("step")}, following={"next_t": F.col("t")},
+        shifts=ordered.MICROS, narrow=True,
     )
     return run.withColumns({"rate": F.col("_rate") + F.col("delta"), "concurrency": F.col("_level") + F.col("step")}).drop("_rate", "_level")
 

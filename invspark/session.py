@@ -27,6 +27,7 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, name: str =
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in {**RECOMMENDED, **conf}.items():
         builder = builder.config(key, value)
