@@ -43,18 +43,13 @@ def scan(
     summaries then share one shuffle, and what lies before it runs once; wider
     rows are better summed map-side.
     """
-    # Neighbours travel in structs, so that null values survive a coalesce.
-    kinds = (
-        dict(sums or {}),
-        {n: F.struct(c.alias("v")) for n, c in (previous or {}).items()},
-        {n: F.struct(c.alias("v")) for n, c in (following or {}).items()},
-    )
+    kinds = (dict(sums or {}), dict(previous or {}), dict(following or {}))
     out = _scan(df, list(keys), order, kinds, list(shifts), narrow)
     return out.select(
         *df.columns,
         *[F.col(f"_s_{n}").alias(n) for n in kinds[0]],
-        *[F.col(f"_p_{n}.v").alias(n) for n in kinds[1]],
-        *[F.col(f"_f_{n}.v").alias(n) for n in kinds[2]],
+        *[F.col(f"_p_{n}").alias(n) for n in kinds[1]],
+        *[F.col(f"_f_{n}").alias(n) for n in kinds[2]],
     )
 
 
@@ -82,8 +77,8 @@ def _scan(df, keys, order, kinds, shifts, narrow):
     )
     return inside.join(carried, [*keys, bucket], "left").withColumns(
         {f"_s_{n}": F.col(f"_s_{n}") + F.col(f"_c_{n}") for n in sums}
-        | {f"_p_{n}": F.coalesce(f"_p_{n}", f"_c_{n}") for n in previous}
-        | {f"_f_{n}": F.coalesce(f"_f_{n}", f"_c_{n}") for n in following}
+        | {f"_p_{n}": F.when(F.col("_opens"), F.col(f"_c_{n}")).otherwise(F.col(f"_p_{n}")) for n in previous}
+        | {f"_f_{n}": F.when(F.col("_closes"), F.col(f"_c_{n}")).otherwise(F.col(f"_f_{n}")) for n in following}
     )
 
 
@@ -95,6 +90,9 @@ def _local(partition, order, kinds):
         {f"_s_{n}": F.coalesce(F.sum(c).over(before), F.lit(0)) for n, c in sums.items()}
         | {f"_p_{n}": F.lag(c).over(window) for n, c in previous.items()}
         | {f"_f_{n}": F.lead(c).over(window) for n, c in following.items()}
+        # The bucket's first and last rows take their neighbour from another bucket, even where values are null.
+        | ({"_opens": F.lag(F.lit(True)).over(window).isNull()} if previous else {})
+        | ({"_closes": F.lead(F.lit(True)).over(window).isNull()} if following else {})
     )
 
 
