@@ -73,6 +73,22 @@ def test_attach_splits_groups(df, spark):
     assert out.filter("total is null").count() == df.filter("run = 2").count()
 
 
+def test_attach_broadcasts_few_groups_only(df, spark):
+    groups = df.groupBy("run").agg(F.sum("v").alias("total"))
+    few = ordered.attach(df, groups, ["run"], "ord", few=True)
+    assert "BroadcastHashJoin" in few._jdf.queryExecution().toString()
+    assert few.agg(F.sum("total")).first() == ordered.attach(df, groups, ["run"], "ord").agg(F.sum("total")).first()
+    assert ordered.checked_broadcast(spark.range(100), rows=99) is None
+    assert ordered.small_copy(spark.range(100), rows=100).count() == 100
+
+
+def test_narrow_scan_gives_the_same(df):
+    slim = df.select("run", "ord", "v")
+    named = dict(sums={"s": F.col("v")}, previous={"p": F.col("v")}, following={"n": F.col("ord")}, shifts=(5,))
+    wide, narrow = (ordered.scan(slim, ["run"], "ord", narrow=flag, **named) for flag in (False, True))
+    assert wide.exceptAll(narrow).isEmpty() and narrow.exceptAll(wide).isEmpty()
+
+
 def brute_next_fit(sizes, max_size, max_count):
     out, held, count, number = [], 0, 0, 0
     for size in sizes:
