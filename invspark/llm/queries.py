@@ -7,9 +7,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import quality
+from . import bpe, quality
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,8 +30,8 @@ def query(name: str, sql: str | None = None):
 @query("op10_quality_rules", r"""
 WITH d AS (
     SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t,
-        list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS w,
-        list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+        list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+        list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
     FROM documents),
 g AS (SELECT rid, p, list_slice(w, p, p + 4) AS gram FROM (SELECT rid, w, unnest(range(1, len(w) - 3)) AS p FROM d WHERE len(w) >= 5)),
 twice AS (SELECT rid, p FROM (SELECT rid, p, count(*) OVER (PARTITION BY rid, gram) AS n FROM g) WHERE n > 1),
@@ -41,7 +42,7 @@ m AS (
         length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
         len(l) AS n_lines, len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words,
         length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) AS n_capitals,
-        len(list_filter(range(2, len(w) + 1), i -> w[i] = w[i - 1])) AS n_stutters
+        len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) AS n_stutters
     FROM d LEFT JOIN covered USING (rid)),
 f AS (SELECT *,
         (n_words < 10)::BIGINT + 2 * (100 * n_repeat_words > 20 * n_words)::BIGINT + 4 * (100 * n_symbols > 10 * n_words)::BIGINT
@@ -60,3 +61,22 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         base.alias("base_failed"), (~base & quality.passes()).alias("kept"), "failed",
     )
+
+
+VOCABULARY = "byte_bpe_50k.tiktoken"
+
+
+def encoded(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    return bpe.encode(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
+
+
+@query("op1_byte_level_bpe")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document to ids and back. No SQL: merges are iterative; the tests hold it against the library."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    both = bpe.decode(encoded(spark, docs), public_tokenizers.path(VOCABULARY))
+    return both.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
