@@ -10,7 +10,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, quality
+from . import bpe, quality, simhash
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +80,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@query("op5_simhash_near_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and class of every document. No SQL: DuckDB has no XXH64 with a seed; tested against all pairs."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    printed = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
+    return simhash.classes(docs).select("doc_id", printed.alias("fingerprint"), "component_id")
