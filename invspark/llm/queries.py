@@ -10,7 +10,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, quality, simhash
+from . import bpe, quality, simhash, vafile
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,3 +88,16 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     printed = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
     return simhash.classes(docs).select("doc_id", printed.alias("fingerprint"), "component_id")
+
+
+@query("op9_exact_top_k", """
+WITH v AS (SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.rid, q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score
+    FROM v q JOIN v c ON c.vec_id <> q.vec_id AND len(c.e) = len(q.e) WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best of all rows for every row whose id is divisible by 50."""
+    vectors = read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return vafile.top_k(vectors, vectors.filter("vec_id % 50 = 0"))
