@@ -10,7 +10,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, quality, simhash, vafile
+from . import bpe, quality, simhash, vafile, warc
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,3 +101,20 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five best of all rows for every row whose id is divisible by 50."""
     vectors = read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return vafile.top_k(vectors, vectors.filter("vec_id % 50 = 0"))
+
+
+@query("op2_warc", """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+d AS (SELECT page_id, octet_length(b)::BIGINT AS payload_bytes, sha256(b) AS payload_digest FROM p),
+f AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+    CASE WHEN page_id > first OR (page_id IS NULL AND first IS NOT NULL) THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN page_id > first OR (page_id IS NULL AND first IS NOT NULL) THEN first END AS refers_to
+FROM f""")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page to an archive and back, digests verified by the reader."""
+    archives = warc.write(read(spark, sf_dir, "pages"), warc.folder(spark))
+    found = warc.read(archives, keep_payload=False)
+    # A damaged record must not pass for a missing one.
+    sound = F.when(F.col("error").isNull(), F.col("id")).otherwise(F.raise_error(F.col("error")).cast("long"))
+    return found.select(sound.alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
