@@ -33,9 +33,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from .common import batches, outside
 
 #: Bounds on what a worker remembers.
-MAX_STATES = 250_000
-MAX_PAIRS = 500_000
-MAX_PIECES = 400_000
+MAX_STATES = 60_000
+MAX_PAIRS = 300_000
+MAX_PIECES = 200_000
 MAX_PIECE_BYTES = 64
 
 
@@ -90,6 +90,7 @@ class Transducer:
         self.pairs: dict[tuple[int | None, int], bool] = {}
         self.made: dict[int, tuple[bytes, bytes] | None] = {}
         self.pieces: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
         self._restart()
 
     def _restart(self) -> None:
@@ -177,27 +178,60 @@ class Transducer:
             state[byte] = arc
         return arc
 
+    def _finish(self, hypotheses: tuple, rest: bytes) -> list[int]:
+        """Read the rest of a short piece without determinising: the hypotheses are moved as they are."""
+        step, pairs, inner, token_of = self.step, self.pairs, self.inner, self.token
+        alive = [(owed, before, node) for owed, before, node in hypotheses]
+        for byte in rest:
+            after = []
+            for owed, before, node in alive:
+                node = step.get(node << 8 | byte)
+                if node is None:
+                    continue
+                if inner[node]:
+                    after.append((owed, before, node))
+                token = token_of[node]
+                if token is not None:
+                    follows = pairs.get((before, token))
+                    if self._follows(before, token) if follows is None else follows:
+                        after.append(((*owed, token), token, 0))
+            alive = after
+        return next(owed for owed, _, node in alive if node == 0)
+
     def read(self, piece: bytes) -> Iterator[int]:
-        """Ids of a piece, each as soon as its bytes leave no other choice."""
+        """Ids of a piece, each as soon as its bytes leave no other choice.
+
+        An arc is determinised when it is wanted again; a short piece that meets a new one is finished without.
+        """
         if self.misses > 8 * MAX_STATES:
             self._restart()
         state = self.start
-        for byte in piece:
-            state, emitted = state.get(byte) or self._arc(state, byte)
+        for place, byte in enumerate(piece):
+            arc = state.get(byte, False)
+            if not arc:
+                if arc is False and len(piece) - place <= MAX_PIECE_BYTES:
+                    state[byte] = None
+                    yield from self._finish(state.hypotheses, piece[place:])
+                    return
+                arc = self._arc(state, byte)
+            state, emitted = arc
             if emitted:
                 yield from emitted
         yield from state.last
 
     def encode(self, piece: str) -> tuple[int, ...]:
-        """The ids of a piece. Short pieces are remembered, up to a bound."""
+        """The ids of a piece. Short pieces are remembered in two generations, each up to a bound."""
         known = self.pieces.get(piece)
         if known is None:
-            data = piece.encode()
-            # A piece that is a token as a whole is that token, even where merges do not lead to it.
-            whole = self.ranks.get(data)
-            known = tuple(self.read(data)) if whole is None else (whole,)
-            if len(data) <= MAX_PIECE_BYTES:
+            known = self.older.get(piece)
+            if known is None:
+                data = piece.encode()
+                # A piece that is a token as a whole is that token, even where merges do not lead to it.
+                whole = self.ranks.get(data)
+                known = tuple(self.read(data)) if whole is None else (whole,)
+            if len(piece) <= MAX_PIECE_BYTES:
                 if len(self.pieces) >= MAX_PIECES:
+                    self.older = self.pieces.copy()
                     self.pieces.clear()
                 self.pieces[piece] = known
         return known

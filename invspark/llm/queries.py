@@ -10,7 +10,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, quality, simhash, vafile, warc
+from . import bpe, chat, quality, secrets, simhash, vafile, warc
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -118,3 +118,49 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     # A damaged record must not pass for a missing one.
     sound = F.when(F.col("error").isNull(), F.col("id")).otherwise(F.raise_error(F.col("error")).cast("long"))
     return found.select(sound.alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op3_chat_formatting", r"""
+WITH c AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (
+    SELECT *, regexp_replace(text, '(\\|<s>|</s>|\[ROLE\]|\[SAYS\]|\[INST\]|\[/INST\]|<<SYS>>|<</SYS>>|<\|im_start\|>|<\|im_end\|>|<\|endoftext\|>|\[IMG\]|\[AUDIO\]|\[DOC\])', '#\1', 'g') AS t FROM c),
+g AS (
+    SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+        coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss,
+        (3 + sum(length(role) + length(t) + 16))::BIGINT AS formatted_chars
+    FROM e GROUP BY conv_id)
+SELECT conv_id, n_turns, turns_sha256, length(loss)::BIGINT AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars FROM g""")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one of control strings only, formatted and read back. Each text is a message of one part."""
+    said = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = "</s>[INST] ok [/INST]"
+    added = spark.range(2).select(
+        F.lit(-1).cast("long"), F.col("id"), F.when(F.col("id") == 0, "user").otherwise("assistant"), F.lit(control)
+    )
+    messages = said.union(added).select("conv_id", "turn", "role", chat.text_parts(F.col("text")).alias("parts"))
+    read_back = chat.render(messages).select(
+        "conv_id", "formatted", "expanded_tokens",
+        chat.turns(F.col("formatted")).alias("turns"), chat.under_loss(F.col("formatted"), F.col("loss")).alias("said"),
+    )
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return read_back.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("turns_sha256"),
+        F.char_length("said").cast("long").alias("loss_chars"), F.sha2(F.col("said").cast("binary"), 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+def joined(spans: str):
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+@query("op8_secret_scan")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Known forms and random strings in every document. No SQL: sliding windows; tested against brute force."""
+    found = secrets.scan(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id", *[count(form.kind) for form in secrets.FORMS], F.sha2(joined("base").cast("binary"), 256).alias("base_sha256"), joined("spans").alias("spans")
+    )
