@@ -10,7 +10,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, chat, quality, secrets, simhash, vafile, warc
+from . import bpe, chat, pii, quality, secrets, simhash, vafile, warc
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -164,3 +164,14 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", *[count(form.kind) for form in secrets.FORMS], F.sha2(joined("base").cast("binary"), 256).alias("base_sha256"), joined("spans").alias("spans")
     )
+
+
+#: Stands in for the secret a deployment would pass.
+PII_KEY = "sample key of the registered queries"
+
+
+@query("op7_pii_surrogates")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with surrogates. No SQL: keyed permutations; tested for form, distinctness and coreference."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymise(docs, PII_KEY).select("doc_id", "text", F.size("surrogates").cast("long").alias("n_entities"), "surrogates")
