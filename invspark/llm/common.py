@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from invspark.session import materialise, shared_dir
 
-__all__ = ["BLANK", "batches", "materialise", "outside", "read", "shared_dir", "uniform"]
+__all__ = ["BLANK", "batches", "folder_uri", "materialise", "outside", "read", "running", "shared_dir", "uniform"]
 
 #: Space, tab, line feed, vertical tab, form feed and carriage return: what separates words.
 BLANK = r"[\x20\x09-\x0D]+"
@@ -18,6 +18,14 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def folder_uri(spark: SparkSession, name: str) -> str:
+    """A fresh folder below the shared one, as a URI that any file system library can open."""
+    place = shared_dir(spark, name)
+    if "://" in place:
+        return place
+    return "file://" + place.removeprefix("file:")
+
+
 def outside(df: DataFrame, names: list[str]) -> list[str]:
     """The columns of ``df`` that do not clash with ``names`` (Spark compares names without case)."""
     taken = {n.lower() for n in names}

@@ -10,8 +10,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, chat, pii, quality, secrets, simhash, vafile, warc
-from .common import read
+from . import bpe, chat, mixing, pii, quality, secrets, shards, simhash, vafile, warc
+from .common import folder_uri, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -113,7 +113,7 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM f""")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page to an archive and back, digests verified by the reader."""
-    archives = warc.write(read(spark, sf_dir, "pages"), warc.folder(spark))
+    archives = warc.write(read(spark, sf_dir, "pages"), folder_uri(spark, "warc"))
     found = warc.read(archives, keep_payload=False)
     # A damaged record must not pass for a missing one.
     sound = F.when(F.col("error").isNull(), F.col("id")).otherwise(F.raise_error(F.col("error")).cast("long"))
@@ -175,3 +175,34 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with surrogates. No SQL: keyed permutations; tested for form, distinctness and coreference."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return pii.pseudonymise(docs, PII_KEY).select("doc_id", "text", F.size("surrogates").cast("long").alias("n_entities"), "surrogates")
+
+
+#: The hot source is held to an eighth, the languages are moved towards each other, contact pages are halved.
+MIX = mixing.Targets(
+    source={"src0": 0.125} | {f"src{i}": 0.875 / 19 for i in range(1, 20)},
+    lang={"en": 0.55, "de": 0.15, "fr": 0.15, "es": 0.15},
+    topic={"contact": 0.02, "licence": 0.02, "figures": 0.04, "prose": 0.92},
+    topics=(("contact", r"@\w|\+\d|\(\d{3}\)"), ("licence", r"(?i)licen[cs]e|copyright"), ("figures", r"\d"), ("prose", r"\S")),
+)
+MIX_RATE = 0.8
+MIX_KEY = "mix"
+
+
+@query("op4_mixing")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight, chance and draw of every document. No SQL: fitting is iterative; tested against a plain version."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    return mixing.mix(docs, MIX, MIX_RATE, MIX_KEY).drop("text")
+
+
+#: Byte-level ids: a text's UTF-8 bytes; 0xFF and 0xFE occur in none, so they can end documents and pad.
+SHARD_KEY = b"training order"
+SHARD = shards.Layout(length=2048, dtype="u1", end=0xFF, pad=0xFE, per_shard=8192)
+
+
+@query("op6_training_order")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every sequence as read back from the shards. No SQL: a keyed permutation; tested by an exact round trip."""
+    docs = read(spark, sf_dir, "documents").select(F.col("text").cast("binary").alias("ids"))
+    written = shards.write(docs, folder_uri(spark, "shards"), SHARD_KEY, SHARD)
+    return shards.read(written).select("slot", "index", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"))
