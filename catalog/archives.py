@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from invspark.functions import names, paths
+from invspark.functions import paths
 from invspark.operators import batching, lookups
 from invspark.plans import archive
 from invspark.session import materialise, shared_dir
@@ -19,10 +19,16 @@ def to_pack(t):
     return batched.select("ord", paths.archive_key(F.col("id"), DEST).alias("zip_key")).join(t.contents, "ord")
 
 
-@query("c01_packed_archives", ctes=BATCHES, sql="SELECT 'backup/collated_'||(part*1000000+batch)||'.zip' AS zip_key, count(*) AS n_members, true AS holds_bytes FROM fold GROUP BY part, batch")
+@query("c01_packed_archives", ctes=BATCHES, sql="""SELECT 'backup/collated_'||(part*1000000+batch)||'.zip' AS zip_key, count(*) AS n_members, sum(octet_length(encode(text)))::BIGINT AS bytes,
+    md5(string_agg(md5(text),'' ORDER BY source||'/'||lang||'/'||doc_id||'.txt')) AS digests FROM fold JOIN documents ON doc_id=ord GROUP BY part, batch""")
 def c01(t):
+    """Packed, read back, and compared by the digests of all members."""
     packed = archive.pack_contents(to_pack(t))
-    return packed.select("zip_key", "n_members", (F.col("size") == F.octet_length("content")).alias("holds_bytes"))
+    members = archive.unpack_contents(packed.select("zip_key", "content"), keep_content=False)
+    ordered = F.transform(F.sort_array(F.collect_list(F.struct("member", "md5"))), lambda m: m["md5"])
+    return members.groupBy("zip_key").agg(
+        F.count("member").alias("n_members"), F.sum("size").alias("bytes"), F.md5(F.array_join(ordered, "")).alias("digests")
+    )
 
 
 @query("c02_unpacked_members", ctes=BATCHES, sql="""SELECT 'backup/collated_'||(part*1000000+batch)||'.zip' AS zip_key, source||'/'||lang||'/'||doc_id||'.txt' AS member,
@@ -40,6 +46,23 @@ def c02_sync(t):
     return lookups.sync_decision(keyed, t.remote).groupBy("decision").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("c02_extracted_members", ctes=BATCHES, sql="""SELECT status, 'backup/'||source||'/'||lang||'/'||doc_id||'.txt' AS key, octet_length(encode(text))::BIGINT AS size, md5(text) AS md5
+    FROM (SELECT *, 'done' AS status FROM fold JOIN documents ON doc_id=ord) LEFT JOIN remote r ON r.key='backup/'||source||'/'||lang||'/'||doc_id||'.txt'
+    WHERE etag IS NULL OR (etag<>md5(text) AND NOT contains(etag,'-'))""")
+def c02_extracted(t):
+    """Archives written as files; members that the store lacks or holds otherwise are written out and read again."""
+    out, target = (shared_dir(t.spark, name).removeprefix("file:") for name in ("archives", "members"))
+    contents = archive.pack_contents(to_pack(t), compress=True)
+    stored = materialise(archive.write_contents(contents, out), "stored")
+    members = materialise(archive.unpack_files(stored, out), "members")
+    keyed = members.select("zip_key", "member", paths.join_key(paths.parent_dir(F.col("zip_key")), F.col("member")).alias("key"), "md5")
+    wanted = lookups.sync_decision(keyed, t.remote).filter(F.col("decision").isin("upload", "replace"))
+    done = materialise(archive.extract_files(wanted.select("zip_key", "member"), out, target), "extracted")
+    written = done.select("status", paths.join_key(paths.parent_dir(F.col("zip_key")), F.col("member")).alias("key"))
+    digests = archive.digest_files(written.select(F.concat(F.lit(target + "/"), "key").alias("path")))
+    return written.join(digests.select(F.substring("path", F.lit(len(target) + 2), F.length("path")).alias("key"), "size", "md5"), "key")
+
+
 def _tree(t):
     """One file per source and language, listed and frozen."""
     from invspark.sources import listing
@@ -74,44 +97,82 @@ def u05(t):
     from invspark.sources import listing
 
     where, files = _tree(t)
-    keys = files.select(F.substring("path", len(where) + 2, 10_000).alias("key"))
+    keys = files.select(F.substring("path", F.lit(len(where) + 2), F.length("path")).alias("key"))
     copies = actions.move(keys, "moved")
     first = materialise(archive.apply_actions(copies, where), "copied")
     second = materialise(archive.apply_actions(actions.delete_copied(copies, first), where), "deleted")
-    now = listing.walk_tree(t.spark, where).filter("not is_dir").select(F.substring("path", len(where) + 2, 10_000).alias("target"))
+    now = listing.walk_tree(t.spark, where).filter("not is_dir").select(F.substring("path", F.lit(len(where) + 2), F.length("path")).alias("target"))
     old_gone = lookups.missing(second, now, "key", "target").select("key", F.col("status").alias("deleted"))
     arrived = lookups.membership(first.select("key", "target", F.col("status").alias("copied")), now, "target", "target", "moved")
     return arrived.join(old_gone, "key").select(_folder(), "copied", "deleted", "moved")
 
 
-@query("u01_partition_function", sql="SELECT doc_id AS ord, length(text)::BIGINT AS n_chars, len(string_split(text,' '))::BIGINT AS n_words FROM documents")
+@query("u01_partition_function", sql="SELECT p_partkey, jaccard(p_name,p_type) AS alike FROM part")
 def u01(t):
-    """A frame-to-frame function over batches of a partition, with its output schema."""
+    """A frame-to-frame function over batches of a partition, for work that has no built-in: overlap of character sets."""
 
-    def count(batches):
+    def alike(batches):
         for batch in batches:
-            text = batch["text"]
-            yield batch[["ord"]].assign(n_chars=text.str.len(), n_words=text.str.count(" ") + 1)
+            sets = [(set(a), set(b)) for a, b in zip(batch["p_name"], batch["p_type"])]
+            yield batch[["p_partkey"]].assign(alike=[len(a & b) / len(a | b) for a, b in sets])
+
+    return t.table("part").select("p_partkey", "p_name", "p_type").mapInPandas(alike, "p_partkey long, alike double")
+
+
+@query("u02_row_function", sql="SELECT p_partkey, damerau_levenshtein(lower(p_name),lower(p_type)) AS edits FROM part")
+def u02(t):
+    """A function applied to rows: edits between two strings, swaps included."""
+
+    @F.udf("long", useArrow=True)
+    def edits(a, b):
+        # cost[i][j]: edits between the first i and the first j characters; last: where a character was seen before.
+        most, last = len(a) + len(b), {}
+        cost = [[most] * (len(b) + 2) for _ in range(len(a) + 2)]
+        for i in range(len(a) + 1):
+            cost[i + 1][1] = i
+        for j in range(len(b) + 1):
+            cost[1][j + 1] = j
+        for i in range(1, len(a) + 1):
+            swap = 0
+            for j in range(1, len(b) + 1):
+                k, m, same = last.get(b[j - 1], 0), swap, a[i - 1] == b[j - 1]
+                swap = j if same else swap
+                cost[i + 1][j + 1] = min(
+                    cost[i][j] + (not same), cost[i + 1][j] + 1, cost[i][j + 1] + 1, cost[k][m] + (i - k - 1) + 1 + (j - m - 1)
+                )
+            last[a[i - 1]] = i
+        return cost[-1][-1]
 
-    return t.table("documents").select(F.col("doc_id").alias("ord"), "text").mapInPandas(count, "ord long, n_chars long, n_words long")
+    return t.table("part").select("p_partkey", edits(F.lower("p_name"), F.lower("p_type")).alias("edits"))
 
 
-@query("u03_grouped_function", sql="SELECT site, day, count(*) AS n, max(end_us)-min(start_us) AS span_us FROM (SELECT *, start_us//86400000000 AS day, split_part(run,'_',2) AS site FROM transfers) GROUP BY ALL")
+PARTS = ("f AS (SELECT ord, size FROM files)", fold("f", 40_000, 30, 200, "ord, size"))
+
+
+@query("u03_grouped_function", ctes=PARTS, sql="SELECT part, batch, count(*) AS n, sum(size)::BIGINT AS bytes FROM fold GROUP BY part, batch")
 def u03(t):
-    """A function applied to groups: one site's transfers of one day."""
+    """A function applied to groups: next-fit over the files of a part, which is sequential. A part holds 200 files."""
 
-    def summarise(group):
-        import pandas as pd
+    def fit(group):
+        group = group.sort_values("ord")
+        batch = batching._next_fit(group["size"].to_numpy(), 40_000, 30)
+        return group.assign(batch=batch).groupby(["part", "batch"], as_index=False).agg(n=("size", "count"), bytes=("size", "sum"))
 
-        return pd.DataFrame({"site": [group["site"].iloc[0]], "day": [group["day"].iloc[0]], "n": [group["n"].sum()], "span_us": [group["last"].max() - group["first"].min()]})
+    parts = t.files.select("ord", "size", F.call_function("div", F.col("ord"), F.lit(200)).alias("part"))
+    return parts.groupBy("part").applyInPandas(fit, "part long, batch long, n long, bytes long")
 
-    # Summed per minute first, so a group holds at most 1440 rows whatever the traffic.
-    minute = F.call_function("div", F.col("start_us"), F.lit(60_000_000))
-    rows = t.transfers.groupBy(names.site(F.col("run")).alias("site"), minute.alias("minute")).agg(
-        F.count(F.lit(1)).alias("n"), F.min("start_us").alias("first"), F.max("end_us").alias("last")
-    )
-    days = rows.withColumn("day", F.call_function("div", F.col("minute"), F.lit(1440)))
-    return days.groupBy("site", "day").applyInPandas(summarise, "site string, day long, n long, span_us long")
+
+@query("u04_custom_aggregate", ctes=PARTS, sql="SELECT part, max(batch)+1 AS n_archives FROM fold GROUP BY part")
+def u04(t):
+    """An aggregate of one's own: how many archives next-fit needs for a part."""
+    import pandas as pd
+
+    @F.pandas_udf("long")
+    def archives(ord: pd.Series, size: pd.Series) -> int:
+        return int(batching._next_fit(size[ord.sort_values().index].to_numpy(), 40_000, 30)[-1]) + 1
+
+    parts = t.files.select("ord", "size", F.call_function("div", F.col("ord"), F.lit(200)).alias("part"))
+    return parts.groupBy("part").agg(archives("ord", "size").alias("n_archives"))
 
 
 @query("c03_digest_of_files", sql="SELECT source, bool_and(true) AS same_size, true AS all_read FROM documents GROUP BY source")

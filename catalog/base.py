@@ -55,5 +55,7 @@ def full_sql(entry: Entry) -> str:
     for name in views.SQL:
         if uses(text, name):
             visit(name)
-    ctes = [f"{n} AS ({views.SQL[n]})" for n in needed] + list(entry.ctes)
+    # Views that queries read more than once are computed once.
+    kept = {"lake": "MATERIALIZED ", "packed": "MATERIALIZED "}
+    ctes = [f"{n} AS {kept.get(n, '')}({views.SQL[n]})" for n in needed] + list(entry.ctes)
     return (f"WITH RECURSIVE {', '.join(ctes)} " if ctes else "") + entry.body

@@ -102,7 +102,7 @@ def i09(t):
 
 @query("i10_export_paths", sql="SELECT ord, '/base/data/'||substr(path,7) AS path FROM files WHERE NOT contains(path,'/fr/')")
 def i10(t):
-    relative = F.substring("path", 7, 10_000)
+    relative = F.substring("path", F.lit(7), F.length("path"))
     lines = t.files.select("ord", F.when(F.contains("path", F.lit("/fr/")), F.concat(F.lit("  name: "), relative)).otherwise(F.concat(F.lit("  path: "), relative)).alias("value"))
     return text.export_paths(lines, "/base/data")
 

@@ -220,7 +220,7 @@ def a17(t):
 
 @query("a19_logged_lists_per_folder", ctes="""lv AS (SELECT *, len(string_split(folder,'/')) AS d FROM (SELECT event_id AS ord, CASE WHEN user_id%3=0 THEN '/data' WHEN user_id%3=1 THEN '/data/run'||(user_id%4)
     ELSE '/data/run'||(user_id%4)||'/u'||user_id END AS folder, event_id::VARCHAR AS name FROM events))""",
-    sql="SELECT folder, ord//500 AS list_no, string_agg(name,',' ORDER BY ord) AS names, count(*) AS n FROM lv WHERE d>(SELECT min(d) FROM lv)+1 GROUP BY ALL")
+    sql="SELECT folder, list_no, string_agg(name,',' ORDER BY ord) AS names, count(*) AS n FROM (SELECT *, (row_number() OVER (PARTITION BY folder ORDER BY ord)-1)//500 AS list_no FROM lv WHERE d>(SELECT min(d) FROM lv)+1) GROUP BY folder, list_no")
 def a19(t):
     user = F.col("user_id")
     run = F.concat(F.lit("/data/run"), (user % 4).cast("string"))

@@ -1,7 +1,5 @@
 """Counters over a growing log: the stream and its batch twin."""
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from invspark.operators import stats
@@ -31,10 +29,10 @@ class Growing(Tables):
 
 @query("s01_progress_stream", sql=PROGRESS)
 def s01_stream(t):
-    table = "progress_" + uuid.uuid4().hex
+    out = shared_dir(t.spark, "totals")
     log = Growing(t.spark, t.sf_dir).upload_log
-    progress.start_progress(log, table, shared_dir(t.spark, "progress"), TARGET).awaitTermination()
-    return t.spark.table(table)
+    progress.start_progress(log, out, shared_dir(t.spark, "progress"), TARGET).awaitTermination()
+    return t.spark.read.parquet(out)
 
 
 GROWTH = """SELECT taken_us, files-f AS files_added, bytes-b AS bytes_added, round((bytes-b)/1048576.0::DOUBLE/s,6) AS mib_s, round((bytes-b)/1048576.0::DOUBLE/s*8,6) AS mibit_s,
@@ -53,20 +51,15 @@ def s02(t):
 
 @query("s02_growth_stream", sql=GROWTH)
 def s02_stream(t):
-    """Snapshots arriving one file at a time, each compared with the one before."""
-    source, state, out = (shared_dir(t.spark, name) for name in ("snapshots", "state", "growth"))
-    # Four files, oldest first: the stream reads them in the order they were written.
-    bounds = t.snapshots.agg(F.min("taken_us").alias("lo"), (F.max("taken_us") - F.min("taken_us") + 1).alias("w"))
-    quarter = F.call_function("div", (F.col("taken_us") - bounds.select("lo").scalar()) * 4, bounds.select("w").scalar())
-    parts = t.snapshots.withColumn("q", quarter).persist()
-    for q in range(4):
-        parts.filter(F.col("q") == q).drop("q").coalesce(1).write.mode("append").parquet(source)
-    parts.unpersist()
-    stream = t.spark.readStream.schema("taken_us long, files long, bytes long").option("maxFilesPerTrigger", 1).parquet(source)
-    (stream.writeStream.foreachBatch(progress.growth_writer(state, out))
-     .option("checkpointLocation", shared_dir(t.spark, "growth-log")).trigger(availableNow=True).start().awaitTermination())
-    schema = stats.growth(t.snapshots).schema
-    return rounded(t.spark.read.schema(schema).option("recursiveFileLookup", True).parquet(out))
+    """Snapshots arriving in four batches and out of order; late ones correct what was reported."""
+    source, state, out, log = (shared_dir(t.spark, name) for name in ("snapshots", "state", "growth", "growth-log"))
+    snapshots = t.snapshots.withColumn("part", F.pmod(F.xxhash64("taken_us"), F.lit(4)))
+    for part in range(4):
+        snapshots.filter(F.col("part") == part).drop("part").write.mode("append").parquet(source)
+        stream = t.spark.readStream.schema("taken_us long, files long, bytes long").parquet(source)
+        (stream.writeStream.foreachBatch(progress.growth_writer(state, out))
+         .option("checkpointLocation", log).trigger(availableNow=True).start().awaitTermination())
+    return rounded(progress.read_growth(t.spark, out))
 
 
 NEW_LOGS = """SELECT key FROM log_keys WHERE (key LIKE '%backup.csv' OR key LIKE '%files.csv')
@@ -76,12 +69,11 @@ NEW_LOGS = """SELECT key FROM log_keys WHERE (key LIKE '%backup.csv' OR key LIKE
 @query("s03_new_logs_stream", sql=NEW_LOGS)
 def s03(t):
     """The listing arrives twice; the second time nothing new is reported."""
-    source, out = shared_dir(t.spark, "listings"), shared_dir(t.spark, "new-logs")
+    source, out, log = (shared_dir(t.spark, name) for name in ("listings", "new-logs", "new-logs-log"))
     for _ in range(2):
-        t.log_keys.select("key").coalesce(1).write.mode("append").parquet(source)
-    stream = t.spark.readStream.schema("key string").option("maxFilesPerTrigger", 1).parquet(source)
-    (stream.writeStream.foreachBatch(progress.new_log_writer(out))
-     .option("checkpointLocation", shared_dir(t.spark, "new-logs-log")).trigger(availableNow=True).start().awaitTermination())
+        t.log_keys.select("key").write.mode("append").parquet(source)
+        stream = t.spark.readStream.schema("key string").parquet(source)
+        progress.start_new_logs(stream, out, log).awaitTermination()
     return t.spark.read.schema("key string").option("recursiveFileLookup", True).parquet(out)
 
 

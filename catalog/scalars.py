@@ -218,7 +218,7 @@ def p07(t):
 
 
 CHAIN = """hops AS (SELECT ord, path, link_target AS target, object_name, 1 AS n FROM listing WHERE is_link
-    UNION ALL SELECT h.ord, h.path, l.link_target, h.object_name, n+1 FROM hops h JOIN listing l ON l.path=h.target WHERE l.is_link AND n<41),
+    UNION ALL SELECT h.ord, h.path, l.link_target, h.object_name, n+1 FROM hops h JOIN listing l ON l.path=h.target WHERE l.is_link AND n<(SELECT count(*)+1 FROM listing WHERE is_link)),
     resolved AS (SELECT h.ord, h.path, h.object_name, h.target FROM hops h LEFT JOIN listing l ON l.path=h.target WHERE h.target IS NOT NULL AND NOT coalesce(l.is_link,false))"""
 
 
@@ -268,9 +268,9 @@ def p15(t):
 
 
 @query("p16_log_presence", sql="""SELECT c_name, coalesce(max(CASE WHEN key=c_name||'-backup.csv' THEN 2 WHEN key=c_name||'-files.csv' THEN 1 END),0) AS state
-    FROM customer JOIN log_keys ON left(key,18)=c_name GROUP BY c_name""")
+    FROM customer JOIN log_keys ON regexp_extract(key,'^Customer#[0-9]+')=c_name GROUP BY c_name""")
 def p16(t):
-    logs = t.log_keys.withColumn("c_name", F.substring("key", 1, 18))
+    logs = t.log_keys.withColumn("c_name", F.regexp_extract("key", "^Customer#[0-9]+", 0))
     state = selection.log_state(F.col("key"), F.concat("c_name", F.lit("-backup.csv")), F.concat("c_name", F.lit("-files.csv")))
     return logs.join(t.table("customer").select("c_name"), "c_name", "left_semi").groupBy("c_name").agg(state.alias("state"))
 

@@ -10,8 +10,8 @@ from .base import query
 from .views import DEST, LAKE
 
 VERDICTS = """zips AS (SELECT key AS zip_key FROM lake WHERE key LIKE '%.zip'),
-    c AS (SELECT zip_key, count(*) AS total, count(key) AS found FROM packed LEFT JOIN lake ON key=member GROUP BY zip_key),
-    verdicts AS (SELECT z.zip_key, coalesce(total,0) AS total, coalesce(found,0) AS found, coalesce(found<>total,true) AS extract, coalesce(found=total,false) AS deletable
+    c AS MATERIALIZED (SELECT zip_key, count(*) AS total, count(key) AS found FROM packed LEFT JOIN (SELECT key FROM lake WHERE key NOT LIKE '%.zip' AND key NOT LIKE '%.metadata') ON key=member GROUP BY zip_key),
+    verdicts AS MATERIALIZED (SELECT z.zip_key, coalesce(total,0) AS total, coalesce(found,0) AS found, coalesce(found<>total,true) AS extract, coalesce(found=total,false) AS deletable
       FROM zips z LEFT JOIN c USING (zip_key))"""
 
 
@@ -48,19 +48,23 @@ def a05_manifests(t):
     return verify.completeness(t.manifest, verify.explode_members(t.manifest), t.store)
 
 
+@query("a05_loose_completeness", ctes=VERDICTS.replace("lake WHERE key NOT LIKE '%.zip' AND key NOT LIKE '%.metadata'", "lake"), sql="SELECT * FROM verdicts")
+def a05_loose(t):
+    """Archives and manifests in the store count as members found, too."""
+    zips = t.lake.filter(names.is_zip(F.col("key"))).select(F.col("key").alias("zip_key"))
+    return verify.completeness(zips, t.packed, t.lake, unique=True, strict=False)
+
+
 @query("i08_manifest_members", ctes="n AS (SELECT zip_key, unnest(string_split_regex(text,'[|;,]')) AS name FROM manifest)", sql="SELECT zip_key, count(*) AS n, min('backup/'||name) AS first_key FROM n GROUP BY zip_key")
 def i08(t):
     """Manifests written as text objects, read back and parsed."""
-    from invspark.session import shared_dir
+    from invspark.plans import archive
+    from invspark.session import materialise, shared_dir
     from invspark.sources import text
 
     where = shared_dir(t.spark, "manifests")
-    t.manifest.filter("text is not null").select("zip_key", F.col("text").alias("value")).write.partitionBy("zip_key").text(where)
-    raw = t.spark.read.text(where, wholetext=True, recursiveFileLookup=True, pathGlobFilter="part-*").select(
-        F.url_decode(F.regexp_extract("_metadata.file_path", "zip_key=([^/]+)", 1)).alias("zip_key"), F.rtrim(F.col("value"), F.lit("\n")).alias("text")
-    )
-    raw = raw.withColumn("zip_key", F.url_decode("zip_key"))
-    return verify.explode_members(raw).groupBy("zip_key").agg(F.count(F.lit(1)).alias("n"), F.min("member").alias("first_key"))
+    materialise(archive.write_manifests(t.manifest.filter("text is not null"), where), "written")
+    return verify.explode_members(text.read_manifests(t.spark, where)).groupBy("zip_key").agg(F.count(F.lit(1)).alias("n"), F.min("member").alias("first_key"))
 
 
 @query("j07_not_yet_verified", sql="""SELECT ord, DESTINATION_KEY FROM upload_log WHERE NOT ends_with(DESTINATION_KEY,'.symlink')
@@ -123,14 +127,13 @@ def c03_verdict(t):
     return verify.audit_verdict(t.verification)
 
 
-@query("c05_delete_plan", ctes=VERDICTS, sql="""SELECT 'delete' AS action, zip_key AS key, NULL::VARCHAR AS target, 'all members in store' AS reason FROM verdicts WHERE deletable
-    UNION ALL SELECT 'delete', zip_key||'.metadata', NULL, 'all members in store' FROM verdicts WHERE deletable
+@query("c05_delete_plan", ctes=VERDICTS, sql="""SELECT 'delete' AS action, zip_key AS key, zip_key||'.metadata' AS target, 'all members in store' AS reason FROM verdicts WHERE deletable
     UNION ALL SELECT 'keep', zip_key, NULL, CASE WHEN total=0 THEN 'no readable manifest' ELSE 'members missing' END FROM verdicts WHERE NOT deletable""")
 def c05(t):
     return actions.delete_archives(verdicts(t))
 
 
-@query("c05_orphan_delete_plan", sql="SELECT 'delete' AS action, key, NULL::VARCHAR AS target, 'archive is gone' AS reason FROM lake WHERE key LIKE '%.metadata' AND replace(key,'.metadata','') NOT IN (SELECT key FROM lake)")
+@query("c05_orphan_delete_plan", sql="SELECT 'delete' AS action, key, NULL::VARCHAR AS target, 'archive is gone' AS reason FROM lake WHERE key LIKE '%.metadata' AND NOT EXISTS (SELECT 1 FROM lake z WHERE z.key=replace(lake.key,'.metadata',''))")
 def c05_orphans(t):
     return actions.delete_orphans(t.lake)
 

@@ -110,7 +110,7 @@ class Tables:
             .otherwise(F.array_join("names", "|"))
         )
         return (
-            self.files.select("ord", F.substring("path", len(ROOT) + 2, 10_000).alias("name"), number.alias("zip_no"))
+            self.files.select("ord", F.substring("path", F.lit(len(ROOT) + 2), F.length("path")).alias("name"), number.alias("zip_no"))
             .groupBy("zip_no")
             .agg(names_.alias("names"))
             .select(paths.archive_key(F.col("zip_no"), DEST).alias("zip_key"), text.alias("text"))

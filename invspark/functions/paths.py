@@ -35,7 +35,8 @@ def ancestors(folder) -> Column:
 
 def strip_prefix(path, folder) -> Column:
     """Path relative to ``folder`` when it lies below it, else unchanged."""
-    return F.when(F.startswith(path, folder), F.substring(path, F.length(folder) + 2, F.length(path))).otherwise(path)
+    below = F.startswith(path, F.concat(folder, F.lit("/")))
+    return F.when(below, F.substring(path, F.length(folder) + 2, F.length(path))).otherwise(path)
 
 
 def object_name(path, root: str, dest: str) -> Column:

@@ -55,7 +55,9 @@ def assign_batches(
     ``rows_per_part`` consecutive ``ord`` values, so a group never holds more
     rows than that and parts run in parallel.
     """
-    ready = df.withColumn("part", F.floor(F.col(ord_col) / rows_per_part).cast("long"))
+    # A size that could not be read counts as 0.
+    sized = df.withColumn(size_col, F.coalesce(F.col(size_col), F.lit(0).cast(df.schema[size_col].dataType)))
+    ready = sized.withColumn("part", F.floor(F.col(ord_col) / rows_per_part).cast("long"))
     schema = T.StructType([*ready.schema.fields, T.StructField("batch", T.LongType(), False)])
 
     def fold(table: pa.Table) -> pa.Table:

@@ -106,12 +106,12 @@ def deep_only(df: DataFrame, folder: str = "folder", skip: int = 2) -> DataFrame
 def file_lists(df: DataFrame, folder: str = "folder", name: str = "name", order: str = "ord", per_list: int = 10_000) -> DataFrame:
     """Comma-joined file names per folder, in lists of bounded length.
 
-    A list covers ``per_list`` consecutive ``ord`` values, so one folder with
-    most of the files becomes many rows instead of one huge cell.
+    Files are numbered within their folder and every ``per_list`` of them make a
+    list, so only a folder with more files becomes several rows.
     """
-    part = F.call_function("div", F.col(order), F.lit(per_list)).alias("list_no")
     listed = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(name).alias("n"))))
-    return df.groupBy(folder, part).agg(
+    cut = ordered.chunks(df.select(folder, order, name), [folder], order, per_list, "list_no")
+    return cut.groupBy(folder, "list_no").agg(
         F.array_join(F.transform(listed, lambda x: x["n"]), ",").alias("names"), F.count(F.lit(1)).alias("n")
     )
 

@@ -20,8 +20,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 ROWS = (20,)
 # Microseconds: 67 s per bucket, about 470,000 buckets per year of log.
 MICROS = (26,)
-# Any long value: three levels, each bounded by 2**20 or 2**23 rows.
-VALUES = (20, 20)
 
 
 def scan(
@@ -158,34 +156,21 @@ def rolling_span(
     return run.filter(F.col("_in") > 0).select(*keys, order, mean.alias(name))
 
 
-def small_copy(df: DataFrame, rows: int = 10_000) -> DataFrame | None:
-    """A local copy of ``df`` when it has at most ``rows`` rows, else None.
-
-    Runs the query once, for at most ``rows + 1`` rows; a small result is kept,
-    so it is not computed again.
-    """
-    if df.isStreaming:
-        return None
-    found = df.limit(rows + 1).toArrow()
-    return df.sparkSession.createDataFrame(found, df.schema) if found.num_rows <= rows else None
-
-
-def checked_broadcast(df: DataFrame, rows: int = 10_000) -> DataFrame | None:
-    """``df`` marked for broadcast once its size is known to be at most ``rows`` rows, else None."""
-    copy = small_copy(df, rows)
-    return None if copy is None else F.broadcast(copy)
-
-
-def attach(df: DataFrame, groups: DataFrame, on: Sequence[str], spread: str, salts: int = 16, few: bool = False) -> DataFrame:
+def attach(df: DataFrame, groups: DataFrame, on: Sequence[str], spread: str, salts: int = 16) -> DataFrame:
     """Left join of one row per group onto a large table whose groups may be very uneven.
 
     The rows of a group are spread over ``salts`` join keys by ``spread``, and
-    the (much smaller) group table is repeated once per salt. Groups expected
-    to be ``few`` are broadcast instead, if counting them bears that out.
+    the (much smaller) group table is repeated once per salt. Null keys match
+    each other.
     """
-    small = checked_broadcast(groups) if few else None
-    if small is not None:
-        return df.join(small, list(on), "left")
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
-    copies = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, [*on, "_salt"], "left").drop("_salt")
+    names = [f"_on_{name}" for name in on]
+    copies = groups.select(
+        *[F.col(name).alias(other) for name, other in zip(on, names)],
+        *[name for name in groups.columns if name not in on],
+        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_copy"),
+    )
+    same = F.col("_salt") == F.col("_copy")
+    for name, other in zip(on, names):
+        same = same & salted[name].eqNullSafe(copies[other])
+    return salted.join(copies, same, "left").drop("_salt", "_copy", *names)

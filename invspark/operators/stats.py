@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions import paths, units, values
 from . import ordered
@@ -33,15 +33,27 @@ def verdict(results: DataFrame, kind: str = "kind", ok: str = "ok") -> DataFrame
     return results.agg(part("zip").alias("zips_ok"), part("file").alias("files_ok"), all_true(F.col(ok)).alias("success"))
 
 
-def last_per_key(df: DataFrame, key: str | Sequence[str], order: str) -> DataFrame:
-    """The row with the highest ``order`` per key; combines map-side, so hot keys stay cheap."""
+def _at(df: DataFrame, key: str | Sequence[str], order: str, choose) -> DataFrame:
+    """Rows whose ``order`` is the chosen one of their key.
+
+    Only the key and one number are aggregated (by hash, map-side first); rows
+    are then found by key and number, so a hot key is spread over many tasks.
+    """
     keys = [key] if isinstance(key, str) else list(key)
-    return df.groupBy(*keys).agg(F.max_by(F.struct(*df.columns), order).alias("_row")).select("_row.*")
+    chosen = df.groupBy(*keys).agg(choose(order).alias("_order")).select(*[F.col(k).alias(f"_key_{k}") for k in keys], "_order")
+    same = F.col(order) == F.col("_order")
+    for k in keys:
+        same = same & df[k].eqNullSafe(chosen[f"_key_{k}"])
+    return df.join(chosen, same, "left_semi")
+
+
+def last_per_key(df: DataFrame, key: str | Sequence[str], order: str) -> DataFrame:
+    """The row with the highest ``order`` per key; ``order`` is unique within a key."""
+    return _at(df, key, order, F.max)
 
 
 def first_per_key(df: DataFrame, key: str | Sequence[str], order: str) -> DataFrame:
-    keys = [key] if isinstance(key, str) else list(key)
-    return df.groupBy(*keys).agg(F.min_by(F.struct(*df.columns), order).alias("_row")).select("_row.*")
+    return _at(df, key, order, F.min)
 
 
 def distinct_in_order(df: DataFrame, columns: Sequence[str], order: str) -> DataFrame:
@@ -111,36 +123,60 @@ def by_type(log: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def _bucket(df: DataFrame, value: str) -> Column:
+    """A long that never falls as the value grows, with few values to a bucket.
+
+    Longs: 2**20 values each. Doubles: by sign and logarithm, 4096 buckets to a
+    factor of e; infinities at the ends.
+    """
+    if not isinstance(df.schema[value].dataType, T.FractionalType):
+        return F.shiftright(F.col(value).cast("long"), 20)
+    size = F.abs(F.col(value).cast("double"))
+    rank = F.when(size == float("inf"), F.lit(1 << 40)).otherwise(F.floor((F.log(size) + 800) * 4096))
+    return F.when(size == 0, F.lit(0)).otherwise(F.signum(F.col(value).cast("double")).cast("long") * rank).cast("long")
+
+
+def _present(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """(_key, value) of rows with a value; the keys in one struct, in which nulls equal each other."""
+    there = F.col(value).isNotNull()
+    if isinstance(df.schema[value].dataType, (T.DoubleType, T.FloatType)):
+        there = there & ~F.isnan(value)
+    return df.filter(there).select(F.struct(F.lit(0).alias("_all"), *keys).alias("_key"), value)
+
+
+def _unbound(keys: Sequence[str]) -> list[Column]:
+    return [F.col("_key").getField(k).alias(k) for k in keys]
+
+
 def quantiles(df: DataFrame, keys: Sequence[str], value: str, probabilities: Sequence[float], names: Sequence[str]) -> DataFrame:
-    """Exact quantiles (linear interpolation) of a long column.
+    """Exact quantiles (linear interpolation) of a number; null keys are a group, null and NaN values are left out.
 
-    Rows are counted in buckets of 2**20 values, which shrinks map-side. The
-    running counts show which few buckets hold the wanted ranks; only their
+    Rows are counted in buckets of neighbouring values, which shrinks map-side.
+    The running counts show which few buckets hold the wanted ranks; only their
     rows are looked at again, counted per distinct value and ranked. No group
     is ever sorted whole.
     """
-    keys, shift = list(keys), 20
-    rows = df.filter(F.col(value).isNotNull()).select(*keys, value, F.shiftright(value, shift).alias("_bucket"))
-    coarse = rows.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    coarse = ordered.small_copy(coarse) or coarse
-    ranked = ordered.scan(coarse, keys, "_bucket", sums={"_below": F.col("_n")}, shifts=ordered.ROWS)
-    sizes = coarse.groupBy(*keys).agg((F.sum("_n") - 1).alias("_last"))
-    if keys:
-        ranked = ordered.attach(ranked, sizes, keys, "_bucket", few=True)
-    else:
-        ranked = ranked.withColumn("_last", sizes.scalar())
+    found = _quantiles(_present(df, keys, value), value, probabilities, names)
+    return found.select(*_unbound(keys), *names)
+
+
+def _quantiles(rows: DataFrame, value: str, probabilities: Sequence[float], names: Sequence[str]) -> DataFrame:
+    rows = rows.withColumn("_bucket", _bucket(rows, value))
+    coarse = rows.groupBy("_key", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    ranked = ordered.scan(coarse, ["_key"], "_bucket", sums={"_below": F.col("_n")}, shifts=ordered.ROWS)
+    sizes = coarse.groupBy("_key").agg((F.sum("_n") - 1).alias("_last"))
+    ranked = ordered.attach(ranked, sizes, ["_key"], "_bucket")
     places = [F.col("_last") * F.lit(float(p)) for p in probabilities]
     inside = lambda rank: (F.col("_below") <= rank) & (rank < F.col("_below") + F.col("_n"))
     holds = F.lit(False)
     for place in places:
         holds = holds | inside(F.floor(place)) | inside(F.ceil(place))
-    wanted = ranked.filter(holds).select(*keys, "_bucket", F.col("_below").alias("_base"), "_last")
-    wanted = ordered.checked_broadcast(wanted) or wanted
-    window = Window.partitionBy(*keys, "_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    wanted = ranked.filter(holds).select("_key", "_bucket", F.col("_below").alias("_base"), "_last")
+    window = Window.partitionBy("_key", "_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    # Counted per distinct value before the buckets meet: hot values shrink map-side.
     fine = (
-        rows.join(wanted, [*keys, "_bucket"])
-        .groupBy(*keys, "_bucket", "_base", "_last", value)
-        .agg(F.count(F.lit(1)).alias("_n"))
+        rows.groupBy("_key", "_bucket", value).agg(F.count(F.lit(1)).alias("_n"))
+        .join(wanted, ["_key", "_bucket"])
         .withColumn("_below", F.col("_base") + F.coalesce(F.sum("_n").over(window), F.lit(0)))
     )
     picks, result = [F.first("_last").alias("_last")], []
@@ -148,25 +184,23 @@ def quantiles(df: DataFrame, keys: Sequence[str], value: str, probabilities: Seq
         picks += [F.max(F.when(inside(F.floor(place)), F.col(value))).alias(f"_lo_{name}")]
         picks += [F.max(F.when(inside(F.ceil(place)), F.col(value))).alias(f"_hi_{name}")]
         low, high = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
-        result.append((low + (high - low) * (place - F.floor(place))).cast("double").alias(name))
-    return fine.groupBy(*keys).agg(*picks).select(*keys, *result)
+        between = F.when(low == high, low.cast("double")).otherwise(low + (high - low) * (place - F.floor(place)))
+        result.append(between.cast("double").alias(name))
+    return fine.groupBy("_key").agg(*picks).select("_key", *result)
 
 
 def describe(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """count, mean, sample deviation, min, quartiles and max of a long column."""
-    keys = list(keys)
-    basic = df.filter(F.col(value).isNotNull()).groupBy(*keys).agg(
+    """count, mean, sample deviation, min, quartiles and max of a number; null keys are a group."""
+    rows = _present(df, keys, value)
+    basic = rows.groupBy("_key").agg(
         F.count(F.lit(1)).alias("n"),
         F.avg(value).alias("mean"),
         F.stddev_samp(value).alias("std"),
         F.min(value).alias("min"),
         F.max(value).alias("max"),
     )
-    cuts = quantiles(df, keys, value, QUARTILES, ["q25", "q50", "q75"])
-    if keys:
-        return basic.join(cuts, keys)
-    cuts = ordered.small_copy(cuts) or cuts
-    return basic.withColumns({name: cuts.select(name).scalar() for name in ("q25", "q50", "q75")})
+    cuts = _quantiles(rows, value, QUARTILES, ["q25", "q50", "q75"])
+    return basic.join(cuts, "_key").select(*_unbound(keys), "n", "mean", "std", "min", "max", "q25", "q50", "q75")
 
 
 def describe_approx(df: DataFrame, keys: Sequence[str], value: str, accuracy: int = 10_000) -> DataFrame:
@@ -181,24 +215,19 @@ def describe_approx(df: DataFrame, keys: Sequence[str], value: str, accuracy: in
 def histogram(df: DataFrame, keys: Sequence[str], value: str, bins: int) -> DataFrame:
     """Equal-width bins between min and max per group, the last one closed; empty bins included.
 
-    A group of equal values gets a range of width 1 around them.
+    A group of equal values gets a range of width 1 around them. Null keys are a group, null and NaN values are left out.
     """
-    keys = list(keys)
-    rows = df.filter(F.col(value).isNotNull()).select(*keys, value)
-    ends = rows.groupBy(*keys).agg(F.min(value).cast("double").alias("_lo"), F.max(value).cast("double").alias("_hi"))
+    rows = _present(df, keys, value)
+    ends = rows.groupBy("_key").agg(F.min(value).cast("double").alias("_lo"), F.max(value).cast("double").alias("_hi"))
     flat = F.col("_lo") == F.col("_hi")
     ends = ends.withColumns({"_lo": F.when(flat, F.col("_lo") - 0.5).otherwise(F.col("_lo")), "_hi": F.when(flat, F.col("_hi") + 0.5).otherwise(F.col("_hi"))})
-    ends = ordered.small_copy(ends) or ends
-    if keys:
-        placed = ordered.attach(rows, ends, keys, value, few=True)
-    else:
-        placed = rows.withColumns({"_lo": ends.select("_lo").scalar(), "_hi": ends.select("_hi").scalar()})
+    placed = ordered.attach(rows, ends, ["_key"], value)
     width = F.col("_hi") - F.col("_lo")
     index = F.least(F.floor((F.col(value) - F.col("_lo")) / width * bins), F.lit(bins - 1)).cast("long")
-    filled = placed.groupBy(*keys, index.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    filled = placed.groupBy("_key", index.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     grid = ends.withColumn("bin", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(bins - 1).cast("long"))))
-    return grid.join(filled, [*keys, "bin"], "left").select(
-        *keys, "bin",
+    return grid.join(filled, ["_key", "bin"], "left").select(
+        *_unbound(keys), "bin",
         (F.col("_lo") + width * F.col("bin") / bins).alias("from_value"),
         (F.col("_lo") + width * (F.col("bin") + 1) / bins).alias("to_value"),
         F.coalesce("n", F.lit(0)).alias("n"),

@@ -104,7 +104,6 @@ def grid(transfers: DataFrame, step_us: int, start: str = "start_us", end: str =
     running sum; the work does not grow with how long transfers last.
     """
     ends = transfers.agg(F.min(start).alias("first"), F.max(end).alias("last"))
-    ends = ordered.small_copy(ends) or ends
     origin = ends.select("first").scalar()
     last_tick = ends.select(F.call_function("div", F.col("last") - F.col("first"), F.lit(step_us))).scalar()
     enter = F.ceil((F.col(start) - origin) / F.lit(step_us)).cast("long")
@@ -124,12 +123,13 @@ def grid(transfers: DataFrame, step_us: int, start: str = "start_us", end: str =
     block = 4096
     ticks = (
         ends.select(F.explode(F.sequence(F.lit(0).cast("long"), F.call_function("div", F.col("last") - F.col("first"), F.lit(step_us * block)))).alias("_k"))
+        .repartition("_k")
         .select(F.explode(F.sequence(F.col("_k") * block, F.col("_k") * block + (block - 1))).alias("tick"))
         .filter(F.col("tick") <= last_tick)
         .select("tick", F.lit(0).cast("long").alias("delta"), F.lit(0).cast("long").alias("step"))
     )
     summed = moves.filter(F.col("tick") <= last_tick).unionByName(ticks).groupBy("tick").agg(F.sum("delta").alias("delta"), F.sum("step").alias("step"))
-    run = ordered.scan(summed, [], "tick", sums={"_r": F.col("delta"), "_c": F.col("step")}, shifts=(16,))
+    run = ordered.scan(summed, [], "tick", sums={"_r": F.col("delta"), "_c": F.col("step")}, shifts=(16,), narrow=True)
     return run.select(
         "tick",
         (origin + F.col("tick") * step_us).alias("t"),
@@ -157,5 +157,5 @@ def elapsed_hours(df: DataFrame, time: str, keys: Sequence[str] = ()) -> DataFra
     """Hours since the first event."""
     if keys:
         first = df.groupBy(*keys).agg(F.min(time).alias("_first"))
-        return ordered.attach(df, first, keys, time, few=True).withColumn("hours", (F.col(time) - F.col("_first")) / 3.6e9).drop("_first")
+        return ordered.attach(df, first, keys, time).withColumn("hours", (F.col(time) - F.col("_first")) / 3.6e9).drop("_first")
     return df.withColumn("hours", (F.col(time) - df.agg(F.min(time)).scalar()) / 3.6e9)

@@ -22,12 +22,14 @@ def _action(action: Column | str, key: str, reason: Column, target: Column | Non
 
 
 def delete_archives(verdicts: DataFrame) -> DataFrame:
-    """Delete complete archives with their manifests; keep and name the others."""
+    """Delete complete archives, then their manifests; keep and name the others.
+
+    One row per archive: ``target`` is its manifest, which goes only after the archive has gone.
+    """
     ok = F.coalesce(F.col("deletable"), F.lit(False))
     reason = F.when(ok, "all members in store").when(F.col("total") == 0, "no readable manifest").otherwise("members missing")
-    keys = F.when(ok, F.array("zip_key", F.concat("zip_key", F.lit(".metadata")))).otherwise(F.array("zip_key"))
-    rows = verdicts.select(F.when(ok, "delete").otherwise("keep").alias("_do"), reason.alias("_why"), F.explode(keys).alias("key"))
-    return rows.select(*_action(F.col("_do"), "key", F.col("_why")))
+    manifest = F.when(ok, F.concat("zip_key", F.lit(".metadata")))
+    return verdicts.select(*_action(F.when(ok, "delete").otherwise("keep"), "zip_key", reason, manifest)).withColumnRenamed("zip_key", "key")
 
 
 def delete_orphans(keys: DataFrame, key: str = "key") -> DataFrame:

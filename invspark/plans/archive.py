@@ -10,6 +10,7 @@ from __future__ import annotations
 import hashlib
 import io
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -21,8 +22,9 @@ MEMBER_DATE = (1980, 1, 1, 0, 0, 0)
 BLOCK = 8 * 1024**2
 FLUSH = 64 * 1024**2
 
-PACKED = "zip_key string, n_members long, n_skipped long, size long, md5 string, members string"
-UNPACKED = "zip_key string, member string, size long, md5 string, content binary"
+PACKED = "zip_key string, n_members long, n_skipped long, size long, md5 string, members string, skipped string"
+UNPACKED = "zip_key string, member string, size long, md5 string, content binary, error string"
+EXTRACTED = "zip_key string, member string, size long, md5 string, status string, error string"
 
 
 def _open(path: str):
@@ -58,10 +60,12 @@ def pack_contents(members: DataFrame, compress: bool = False) -> DataFrame:
 
 
 def pack_files(plan: DataFrame, out_root: str, dest: str, compress: bool = False, tasks: int | None = None) -> DataFrame:
-    """Write the archives of a batch plan below ``out_root``, streaming member files; one result row each.
+    """Write the archives of a batch plan below ``out_root`` with their manifests, streaming member files; one result row each.
 
-    Unreadable members are skipped and left out of the archive's member list.
-    Member names are relative to the archive's folder ``dest``.
+    Unreadable members are skipped, left out of the archive's member list and
+    named in ``skipped``. Member names are relative to the archive's folder
+    ``dest``. The manifest (``.metadata``, names joined by ``|``) is written
+    once the archive is in place.
     """
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -70,7 +74,7 @@ def pack_files(plan: DataFrame, out_root: str, dest: str, compress: bool = False
                 system, target = _open(f"{out_root}/{row.zip_key}")
                 system.create_dir(target.rsplit("/", 1)[0], recursive=True)
                 partial = f"{target}.{row.attempt}.partial"
-                names, skipped = [], 0
+                names, skipped = [], []
                 with system.open_output_stream(partial) as sink, zipfile.ZipFile(sink, "w") as archive:
                     for member in row.members:
                         name = member["object_name"]
@@ -79,7 +83,7 @@ def pack_files(plan: DataFrame, out_root: str, dest: str, compress: bool = False
                             source_fs, source = _open(member["path"])
                             stream = source_fs.open_input_stream(source)
                         except OSError:
-                            skipped += 1
+                            skipped.append(name)
                             continue
                         with stream, archive.open(_info(name, compress), "w", force_zip64=True) as slot:
                             while block := stream.read(BLOCK):
@@ -87,9 +91,10 @@ def pack_files(plan: DataFrame, out_root: str, dest: str, compress: bool = False
                         names.append(name)
                 size, md5 = _digest(system, partial)
                 system.move(partial, target)
+                _put(system, f"{target}.metadata", "|".join(names).encode(), row.attempt)
                 yield pd.DataFrame({
-                    "zip_key": [row.zip_key], "n_members": [len(names)], "n_skipped": [skipped],
-                    "size": [size], "md5": [md5], "members": ["|".join(names)],
+                    "zip_key": [row.zip_key], "n_members": [len(names)], "n_skipped": [len(skipped)],
+                    "size": [size], "md5": [md5], "members": ["|".join(names)], "skipped": ["|".join(skipped)],
                 })
 
     rows = plan.select("zip_key", "members", F.expr("uuid()").alias("attempt"))
@@ -97,6 +102,44 @@ def pack_files(plan: DataFrame, out_root: str, dest: str, compress: bool = False
     return rows.mapInPandas(pack, PACKED)
 
 
+def _put(system, path: str, data: bytes, attempt: str) -> None:
+    with system.open_output_stream(f"{path}.{attempt}.partial", compression=None) as sink:
+        sink.write(data)
+    system.move(f"{path}.{attempt}.partial", path)
+
+
+def write_contents(archives: DataFrame, root: str) -> DataFrame:
+    """Write archives given by value (zip_key, content) below ``root``; (zip_key, size) of each."""
+
+    def write(batches):
+        for batch in batches:
+            for key, content, attempt in zip(batch["zip_key"], batch["content"], batch["attempt"]):
+                system, path = _open(f"{root}/{key}")
+                system.create_dir(path.rsplit("/", 1)[0], recursive=True)
+                _put(system, path, content, attempt)
+            yield batch[["zip_key"]].assign(size=batch["content"].str.len())
+
+    rows = archives.select("zip_key", "content", F.expr("uuid()").alias("attempt"))
+    return rows.mapInPandas(write, "zip_key string, size long")
+
+
+def write_manifests(manifest: DataFrame, root: str) -> DataFrame:
+    """Write manifests (zip_key, text) as ``<root>/<zip_key>.metadata``; (zip_key, size) of each."""
+
+    def write(batches):
+        for batch in batches:
+            sizes = []
+            for key, text, attempt in zip(batch["zip_key"], batch["text"], batch["attempt"]):
+                system, path = _open(f"{root}/{key}.metadata")
+                system.create_dir(path.rsplit("/", 1)[0], recursive=True)
+                _put(system, path, text.encode(), attempt)
+                sizes.append(len(text.encode()))
+            yield batch[["zip_key"]].assign(size=sizes)
+
+    rows = manifest.select("zip_key", "text", F.expr("uuid()").alias("attempt"))
+    return rows.repartition("zip_key").mapInPandas(write, "zip_key string, size long")
+
+
 def _digest(system, path: str) -> tuple[int, str]:
     digest, size = hashlib.md5(), 0
     with system.open_input_stream(path) as stream:
@@ -123,7 +166,7 @@ def digest_files(paths: DataFrame, path: str = "path") -> DataFrame:
 
 
 def _members(zip_key: str, archive: zipfile.ZipFile, keep: bool) -> Iterator[pd.DataFrame]:
-    columns = ["zip_key", "member", "size", "md5", "content"]
+    columns = ["zip_key", "member", "size", "md5", "content", "error"]
     rows, held = [], 0
     for info in archive.infolist():
         if info.is_dir():
@@ -134,7 +177,7 @@ def _members(zip_key: str, archive: zipfile.ZipFile, keep: bool) -> Iterator[pd.
                 digest.update(block)
                 if keep:
                     kept.append(block)
-        rows.append((zip_key, info.filename, info.file_size, digest.hexdigest(), b"".join(kept) if keep else None))
+        rows.append((zip_key, info.filename, info.file_size, digest.hexdigest(), b"".join(kept) if keep else None, None))
         held += info.file_size if keep else 0
         if held > FLUSH or len(rows) == 10_000:
             yield pd.DataFrame(rows, columns=columns)
@@ -143,34 +186,96 @@ def _members(zip_key: str, archive: zipfile.ZipFile, keep: bool) -> Iterator[pd.
         yield pd.DataFrame(rows, columns=columns)
 
 
+def _failed(zip_key: str, error: Exception) -> pd.DataFrame:
+    row = {"zip_key": [zip_key], "member": [None], "size": [None], "md5": [None], "content": [None], "error": [type(error).__name__]}
+    return pd.DataFrame(row).astype({"size": "Int64"})
+
+
+#: What reading a missing, damaged or encrypted archive may raise.
+UNREADABLE = (OSError, ValueError, zipfile.BadZipFile, zlib.error, NotImplementedError, RuntimeError, EOFError)
+
+
 def unpack_contents(archives: DataFrame, keep_content: bool = True) -> DataFrame:
-    """Members with size and md5 of archives given as (zip_key, content)."""
+    """Members with size and md5 of archives given as (zip_key, content); an unreadable archive gives a row with its error."""
 
     def unpack(batches):
         for batch in batches:
             for row in batch.itertuples(index=False):
-                with zipfile.ZipFile(io.BytesIO(row.content)) as archive:
-                    yield from _members(row.zip_key, archive, keep_content)
+                try:
+                    with zipfile.ZipFile(io.BytesIO(row.content or b"")) as archive:
+                        yield from _members(row.zip_key, archive, keep_content)
+                except UNREADABLE as error:
+                    yield _failed(row.zip_key, error)
 
     return archives.select("zip_key", "content").mapInPandas(unpack, UNPACKED)
 
 
 def unpack_files(archives: DataFrame, root: str, keep_content: bool = False) -> DataFrame:
-    """Members with size and md5 of archives below ``root``, given by key; the archive is not loaded whole."""
+    """Members with size and md5 of archives below ``root``, given by key; the archive is not loaded whole.
+
+    A missing or unreadable archive gives a row with its error, and no members after the damage.
+    """
 
     def unpack(batches):
         for batch in batches:
             for key in batch["zip_key"]:
-                system, path = _open(f"{root}/{key}")
-                with system.open_input_file(path) as source, zipfile.ZipFile(source) as archive:
-                    yield from _members(key, archive, keep_content)
+                try:
+                    system, path = _open(f"{root}/{key}")
+                    with system.open_input_file(path) as source, zipfile.ZipFile(source) as archive:
+                        yield from _members(key, archive, keep_content)
+                except UNREADABLE as error:
+                    yield _failed(key, error)
 
     return archives.select("zip_key").mapInPandas(unpack, UNPACKED)
 
 
+def extract_files(wanted: DataFrame, root: str, out_root: str) -> DataFrame:
+    """Write the wanted members (zip_key, member) of archives below ``root`` to ``out_root``, under the archive's folder.
+
+    One row per member with its size and md5. A missing archive counts as done
+    (its members went with it): one row with status ``missing``. An unreadable
+    archive or an absent member gives ``failed`` with the error. Members are
+    streamed to a temporary name and renamed, so a task may run again. The list
+    of one archive is bounded by its member count.
+    """
+
+    def extract(batches):
+        columns = ["zip_key", "member", "size", "md5", "status", "error"]
+        for batch in batches:
+            for key, members, attempt in zip(batch["zip_key"], batch["members"], batch["attempt"]):
+                rows, folder = [], key.rsplit("/", 1)[0] + "/" if "/" in key else ""
+                try:
+                    system, path = _open(f"{root}/{key}")
+                    with system.open_input_file(path) as source, zipfile.ZipFile(source) as archive:
+                        for member in members:
+                            try:
+                                out, target = _open(f"{out_root}/{folder}{member}")
+                                out.create_dir(target.rsplit("/", 1)[0], recursive=True)
+                                digest, size = hashlib.md5(), 0
+                                with archive.open(member) as stream, out.open_output_stream(f"{target}.{attempt}.partial", compression=None) as sink:
+                                    while block := stream.read(BLOCK):
+                                        digest.update(block)
+                                        size += len(block)
+                                        sink.write(block)
+                                out.move(f"{target}.{attempt}.partial", target)
+                                rows.append((key, member, size, digest.hexdigest(), "done", None))
+                            except (*UNREADABLE, KeyError) as error:
+                                rows.append((key, member, None, None, "failed", type(error).__name__))
+                except FileNotFoundError:
+                    rows = [(key, None, None, None, "missing", None)]
+                except UNREADABLE as error:
+                    rows = [(key, None, None, None, "failed", type(error).__name__)]
+                yield pd.DataFrame(rows, columns=columns).astype({"size": "Int64"})
+
+    rows = wanted.groupBy("zip_key").agg(F.sort_array(F.collect_set("member")).alias("members"))
+    return rows.withColumn("attempt", F.expr("uuid()")).mapInPandas(extract, EXTRACTED)
+
+
 def apply_actions(actions: DataFrame, root: str) -> DataFrame:
     """Carry out copy and delete rows on files below ``root``; every row comes back with status and error.
 
+    A delete row with a ``target`` removes the key first and the target only when that went well.
+
     Rows may run twice when a task is retried: deleting what is gone and
     copying over an equal copy both count as done.
     """
@@ -182,8 +287,10 @@ def apply_actions(actions: DataFrame, root: str) -> DataFrame:
                 try:
                     system, path = _open(f"{root}/{key}")
                     if action == "delete":
-                        if system.get_file_info(path).type != pafs.FileType.NotFound:
-                            system.delete_file(path)
+                        # What hangs on the object goes after it, and stays if the object could not go.
+                        for gone in (path, f"{path[: -len(key)]}{target}") if target else (path,):
+                            if system.get_file_info(gone).type != pafs.FileType.NotFound:
+                                system.delete_file(gone)
                         status.append("done")
                     elif action == "copy":
                         there = f"{path[: -len(key)]}{target}"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import manifests
-from ..operators import lookups, stats
+from ..operators import lookups, selection, stats
 
 
 def explode_members(manifest: DataFrame, distinct: bool = True) -> DataFrame:
@@ -24,12 +24,18 @@ def existing_members(members: DataFrame, store: DataFrame, key: str = "key", uni
     return lookups.present(members, store, "member", key, unique)
 
 
-def completeness(zips: DataFrame, members: DataFrame, store: DataFrame, key: str = "key", unique: bool = False) -> DataFrame:
+def completeness(
+    zips: DataFrame, members: DataFrame, store: DataFrame, key: str = "key", unique: bool = False, strict: bool = True,
+) -> DataFrame:
     """Per archive: members listed, members found in the store, and two verdicts.
 
     ``members`` holds distinct (zip_key, member). One left join and one
-    aggregation; no manifest means ``extract`` and not ``deletable``.
+    aggregation; no manifest means ``extract`` and not ``deletable``. Archives
+    and manifests in the store do not count as members found, as they may go
+    themselves; ``strict=False`` lets them count.
     """
+    if strict:
+        store = selection.remaining(store, key)
     counted = (
         lookups.membership(members, store, "member", key, unique=unique)
         .groupBy("zip_key")

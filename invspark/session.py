@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,14 +38,9 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, name: str =
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below the one the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session without that setting falls back to a temporary folder:
-    executors of a cluster could not see it.
+    Without that setting, a session uses its warehouse, which is shared as well.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="invspark-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_work")
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
 
 

@@ -10,7 +10,7 @@ from ..functions import paths
 from ..operators import ordered
 from ..session import materialise, shared_dir
 
-ENTRY = "path string, is_dir boolean, is_link boolean, link_target string, size long, modified_us long"
+ENTRY = "path string, is_dir boolean, is_link boolean, link_target string, size long, modified_us long, error string"
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
@@ -28,13 +28,15 @@ def read_contents(spark: SparkSession, root: str, pattern: str = "*") -> DataFra
 def _scan_folders(batches):
     import pandas as pd
 
-    columns = ["path", "is_dir", "is_link", "link_target", "size", "modified_us"]
+    columns = ["path", "is_dir", "is_link", "link_target", "size", "modified_us", "error"]
     for batch in batches:
         for folder in batch["path"]:
             rows = []
             try:
                 entries = os.scandir(folder)
-            except OSError:
+            except OSError as error:
+                rows = [(folder, True, False, None, 0, None, type(error).__name__)]
+                yield pd.DataFrame(rows, columns=columns).astype({"modified_us": "Int64"})
                 continue
             with entries:
                 for entry in entries:
@@ -45,7 +47,7 @@ def _scan_folders(batches):
                     except OSError:
                         size, modified = 0, None
                     target = os.path.join(folder, os.readlink(entry.path)) if link else None
-                    rows.append((entry.path, is_dir, link, target and os.path.normpath(target), 0 if is_dir or link else size, modified))
+                    rows.append((entry.path, is_dir, link, target and os.path.normpath(target), 0 if is_dir or link else size, modified, None))
                     if len(rows) == 10_000:
                         yield pd.DataFrame(rows, columns=columns).astype({"modified_us": "Int64"})
                         rows = []
@@ -57,7 +59,8 @@ def walk_tree(spark: SparkSession, root: str, skip: DataFrame | None = None) ->
     """List a mounted tree level by level, the folders of a level in parallel.
 
     Each level is written out before the next is read, so a lost executor
-    repeats one level at most and the driver never sees the listing.
+    repeats one level at most and the driver never sees the listing. A folder
+    that cannot be read has a second row with its ``error``.
     ``skip`` holds folders (folder) not to enter.
     """
     out = shared_dir(spark, "walk")
@@ -67,7 +70,7 @@ def walk_tree(spark: SparkSession, root: str, skip: DataFrame | None = None) ->
         if skip is not None:
             found = found.join(skip.select(F.col("folder").alias("path")).distinct(), "path", "left_anti").select(*found.columns)
         done = materialise(found, "level", f"{out}/level={depth}")
-        level = done.filter("is_dir").select("path")
+        level = done.filter("is_dir and error is null").select("path")
         if level.isEmpty():
             return spark.read.schema(ENTRY).parquet(out).drop("level")
         depth += 1
@@ -79,7 +82,7 @@ def freeze(entries: DataFrame, root: str, dest: str) -> DataFrame:
     Rows are range-partitioned and sorted, written, and numbered from the
     position they were written at: file order, then row order in the file.
     """
-    files = entries.filter("not is_dir").drop("is_dir")
+    files = entries.filter("not is_dir").drop("is_dir", "error")
     placed = files.orderBy("path").withColumn("_row", F.monotonically_increasing_id())
     numbered = ordered.numbered(materialise(placed, "listing"), [], "_row", "ord", shifts=(20, 23))
     return numbered.select(

@@ -27,11 +27,17 @@ def read_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return raw.join(first, ["file", "_start"]).select("file", (F.col("_start") + F.col("_id") - F.col("_first")).alias("line_no"), "value")
 
 
-def read_manifests(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """(zip_key, text) of manifest files; the key is the file name without its ``.metadata``."""
-    where = [path] if isinstance(path, str) else list(path)
-    raw = spark.read.text(where, wholetext=True)
-    return raw.select(F.regexp_replace(F.col("_metadata.file_path"), "[.]metadata$", "").alias("zip_key"), F.col("value").alias("text"))
+def read_manifests(spark: SparkSession, root: str) -> DataFrame:
+    """(zip_key, text) of the manifests (``*.metadata``) below ``root``; the key is the path from ``root`` without the suffix.
+
+    White space at the ends of a manifest does not belong to its members.
+    """
+    raw = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.metadata")
+    # File paths are URIs: decoded, and cut behind the root whatever scheme it was given with.
+    below = "/" + root.split(":", 1)[-1].strip("/") + "/"
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    key = F.substring(path, F.locate(below, path) + len(below), F.length(path))
+    return raw.select(F.regexp_replace(key, "[.]metadata$", "").alias("zip_key"), F.regexp_replace("value", r"^\s+|\s+$", "").alias("text"))
 
 
 def export_paths(lines: DataFrame, base: str = "", value: str = "value") -> DataFrame:

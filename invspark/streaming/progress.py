@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import values
-from ..operators import lookups, stats
+from ..operators import lookups, ordered, stats
 
 
 def progress(log: DataFrame, target_files: int | None = None) -> DataFrame:
@@ -21,53 +21,66 @@ def progress(log: DataFrame, target_files: int | None = None) -> DataFrame:
     return out if target_files is None else out.withColumn("fraction", F.col("n_files") / F.lit(float(target_files)))
 
 
-def first_attempts(stream: DataFrame, time: str = "UPLOAD_END", key: str = "DESTINATION_KEY", late: str = "1 hour") -> DataFrame:
-    """Drop repeated keys of a log stream; keys are forgotten once ``late`` has passed."""
-    return stream.withWatermark(time, late).dropDuplicatesWithinWatermark([key])
+def start_progress(log_stream: DataFrame, out_path: str, checkpoint: str, target_files: int | None = None):
+    """Keep the totals of a log stream (a single row) in the table at ``out_path``, rewritten by each batch."""
 
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(out_path)
 
-def start_progress(log_stream: DataFrame, table: str, checkpoint: str, target_files: int | None = None):
-    """Keep the totals of a log stream in an in-memory table (a single row)."""
     return (
         progress(log_stream, target_files)
-        .writeStream.outputMode("complete").format("memory").queryName(table)
+        .writeStream.outputMode("complete").foreachBatch(write)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
 
 
 def growth_writer(state_path: str, out_path: str) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function: rates between the newest known snapshot and the ones arriving.
+    """``foreachBatch`` function: rates between snapshots, which may arrive in any order.
 
-    Each batch writes its rows and its latest snapshot under its own batch
-    number, so a repeated batch overwrites itself instead of adding up.
+    Each batch writes its snapshots, the rows they change (their own and those
+    of their successors) and its number below its own folder, so a repeated
+    batch overwrites itself instead of adding up. ``read_growth`` takes the
+    newest row of each snapshot.
     """
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        new = batch.select("taken_us", "files", "bytes")
-        rows = new
+        rows = batch.select("taken_us", "files", "bytes", F.lit(True).alias("new"))
         if number > 0:
-            earlier = spark.read.schema("taken_us long, files long, bytes long").parquet(f"{state_path}/batch={number - 1}")
-            rows = earlier.unionByName(new)
-        latest = rows.agg(F.max_by(F.struct("taken_us", "files", "bytes"), "taken_us").alias("s")).filter("s is not null").select("s.*")
-        stats.growth(rows).write.mode("overwrite").parquet(f"{out_path}/batch={number}")
-        latest.write.mode("overwrite").parquet(f"{state_path}/batch={number}")
+            earlier = spark.read.schema("taken_us long, files long, bytes long, batch long").parquet(state_path)
+            rows = earlier.filter(F.col("batch") < number).select("taken_us", "files", "bytes", F.lit(False).alias("new")).unionByName(rows)
+        # A row changes if its snapshot or the one before it is new.
+        marked = ordered.scan(rows, [], "taken_us", previous={"_new": F.col("new")}, shifts=(36,))
+        changed = marked.filter(F.col("new") | F.coalesce("_new", F.lit(False))).select("taken_us")
+        grown = stats.growth(rows.select("taken_us", "files", "bytes"))
+        grown.join(changed, "taken_us", "left_semi").write.mode("overwrite").parquet(f"{out_path}/batch={number}")
+        batch.select("taken_us", "files", "bytes").write.mode("overwrite").parquet(f"{state_path}/batch={number}")
 
     return write
 
 
-def new_log_writer(out_path: str, **suffixes) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function: unverified logs of a listing not reported by an earlier batch."""
+def read_growth(spark: SparkSession, out_path: str) -> DataFrame:
+    """What ``growth_writer`` has written so far, each snapshot as of its last change."""
+    rows = spark.read.parquet(out_path)
+    return stats.last_per_key(rows.withColumn("batch", F.col("batch").cast("long")), "taken_us", "batch").drop("batch")
+
+
+def start_new_logs(listings: DataFrame, out_path: str, checkpoint: str, **suffixes):
+    """Report unverified logs once, over repeated listings (key); each trigger takes the listings there are.
+
+    Keys seen before are kept in the stream's state store, partitioned by key;
+    neither earlier listings nor earlier results are read again. A log and its
+    verification must arrive in one trigger, as they do in one listing.
+    """
 
     def write(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        found = lookups.unverified_logs(batch.select("key").distinct(), **suffixes).select("key")
-        if number > 0:
-            earlier = spark.read.schema("key string, batch long").parquet(out_path).filter(F.col("batch") < number)
-            found = lookups.missing(found, earlier, "key")
-        found.write.mode("overwrite").parquet(f"{out_path}/batch={number}")
+        lookups.unverified_logs(batch, **suffixes).select("key").write.mode("overwrite").parquet(f"{out_path}/batch={number}")
 
-    return write
+    return (
+        listings.select("key").dropDuplicates(["key"])
+        .writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
 
 
 def quota_watch(totals: DataFrame, quota_bytes: int) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import os
 import sys
+import tempfile
 import time
 import traceback
 
@@ -14,7 +15,8 @@ from tests.compare import differences, oracle
 if __name__ == "__main__":
     sf = os.environ.get("SF_DIR", "/root/testdata/sf0.01")
     wanted = sys.argv[1:]
-    spark, con = local_session(8), oracle(sf)
+    shared = {"spark.checkpoint.dir": tempfile.mkdtemp(prefix="check-")}
+    spark, con = local_session(8, **shared), oracle(sf)
     sqls, bad = entry.oracle_sql(), 0
     for name, run in entry.queries().items():
         if wanted and not any(w in name for w in wanted):

@@ -9,5 +9,5 @@ from invspark.session import local_session
 
 
 @pytest.fixture(scope="session")
-def spark():
-    return local_session(8, 4, "tests")
+def spark(tmp_path_factory):
+    return local_session(8, 4, "tests", **{"spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))})

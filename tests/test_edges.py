@@ -1,10 +1,11 @@
 """One small table per rule that an ordinary row would not show."""
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from invspark.functions import manifests, names, paths, times, units, values
-from invspark.operators import folders, links, lookups, selection, stats
+from invspark.operators import batching, folders, links, lookups, selection, stats
 from invspark.plans import actions, segments, verify
 
 
@@ -87,10 +88,14 @@ def test_links(spark):
 
 
 def test_long_chain(spark):
-    n = 30
-    rows = [(f"/l{i}", f"/l{i + 1}") for i in range(n)]
-    df = spark.createDataFrame(rows, "path string, link_target string")
-    assert {r["target"] for r in links.resolve(df).collect()} == {f"/l{n}"}
+    for n in (1, 30, 70, 1000):
+        rows = [(f"/l{i}", f"/l{i + 1}") for i in range(n)]
+        df = spark.createDataFrame(rows, "path string, link_target string")
+        assert {r["target"] for r in links.resolve(df).collect()} == {f"/l{n}"}
+    ring = [(f"/c{i}", f"/c{(i + 1) % 7}") for i in range(7)] + [("/in", "/c0"), ("/out", "/file")]
+    found = {r["path"]: r["target"] for r in links.resolve(spark.createDataFrame(ring, "path string, link_target string")).collect()}
+    assert found == {**{p: None for p, _ in ring}, "/out": "/file"}
+    assert links.resolve(spark.createDataFrame([], "path string, link_target string")).count() == 0
 
 
 def test_excluded_folders(spark):
@@ -108,7 +113,35 @@ def test_completeness_without_manifest(spark):
     got = {r["zip_key"]: tuple(r)[1:] for r in verify.completeness(zips, members, store).collect()}
     assert got == {"z1": (2, 2, False, True), "z2": (2, 1, True, False), "z3": (0, 0, True, False)}
     plan = {(r["action"], r["key"]) for r in actions.delete_archives(verify.completeness(zips, members, store)).collect()}
-    assert plan == {("delete", "z1"), ("delete", "z1.metadata"), ("keep", "z2"), ("keep", "z3")}
+    assert plan == {("delete", "z1"), ("keep", "z2"), ("keep", "z3")}
+
+
+def test_archives_do_not_count_as_members(spark):
+    zips = spark.createDataFrame([("b/collated_1.zip",)], "zip_key string")
+    members = spark.createDataFrame([("b/collated_1.zip", "b/collated_2.zip")], "zip_key string, member string")
+    store = spark.createDataFrame([("b/collated_2.zip",)], "key string")
+    assert not verify.completeness(zips, members, store).first()["deletable"]
+    assert verify.completeness(zips, members, store, strict=False).first()["deletable"]
+
+
+def test_statistics_of_doubles_and_null_keys(spark):
+    values = [1e12, 2.5, -7.25, 3e10, 0.0, 1e-9, 2.5, float("nan"), None, -1e300, 4.0]
+    rows = spark.createDataFrame([("a" if i % 2 else None, v) for i, v in enumerate(values)], "k string, v double")
+    found = {r["k"]: r for r in stats.describe(rows, ["k"], "v").collect()}
+    for key in ("a", None):
+        want = pd.Series([v for i, v in enumerate(values) if v is not None and v == v and ("a" if i % 2 else None) == key])
+        row = found[key]
+        assert row["n"] == len(want) and row["min"] == want.min() and row["max"] == want.max()
+        for name, q in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75)):
+            assert row[name] == pytest.approx(want.quantile(q))
+    bins = stats.histogram(rows.filter("v > -1e300"), ["k"], "v", 4).groupBy("k").agg(F.sum("n").alias("n")).collect()
+    assert {r["k"]: r["n"] for r in bins} == {"a": 3, None: 5}
+    assert stats.quantiles(rows, [], "v", [0.5], ["m"]).first()["m"] == 2.5
+
+
+def test_unread_sizes_count_as_nothing(spark):
+    rows = spark.createDataFrame([(0, 50), (1, None), (2, 60)], "ord long, size long")
+    assert [r["batch"] for r in batching.assign_batches(rows, 10, 5).orderBy("ord").collect()] == [0, 1, 1]
 
 
 def test_extract_and_deletable_never_agree(spark):
@@ -160,6 +193,8 @@ def test_file_lists_are_bounded(spark):
     df = spark.range(1000).select(F.lit("/hot").alias("folder"), F.col("id").alias("ord"), F.col("id").cast("string").alias("name"))
     lists = folders.file_lists(df, per_list=100).orderBy("list_no").collect()
     assert [r["n"] for r in lists] == [100] * 10 and lists[1]["names"].startswith("100,101,")
+    few = df.withColumn("folder", F.concat(F.lit("/f"), F.call_function("div", F.col("ord") + 1, F.lit(3)).cast("string")))
+    assert folders.file_lists(few, per_list=100).count() == few.select("folder").distinct().count()
 
 
 def test_segments(spark):

@@ -141,25 +141,55 @@ def test_resume_reuses_the_saved_plan(spark, tmp_path):
     assert [r["id"] for r in upload.resume(where, lambda: pytest.fail("saved plan ignored"), store).collect()] == [2]
 
 
-def test_stream_drops_repeated_keys(spark, tmp_path):
-    source = str(tmp_path / "in")
-    rows = [("k1", "2024-01-01 00:00:00", 1), ("k1", "2024-01-01 00:00:10", 1), ("k2", "2024-01-01 00:00:20", 5)]
-    df = spark.createDataFrame(rows, "DESTINATION_KEY string, s string, FILE_SIZE long")
-    df.select("DESTINATION_KEY", F.to_timestamp("s").alias("UPLOAD_END"), "FILE_SIZE", F.lit("n/a").alias("FILES_PER_ZIP")).write.parquet(source)
-    stream = spark.readStream.schema("DESTINATION_KEY string, UPLOAD_END timestamp, FILE_SIZE long, FILES_PER_ZIP string").parquet(source)
-    query = (progress.first_attempts(stream).writeStream.format("memory").queryName("kept").outputMode("append")
-             .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start())
-    query.awaitTermination()
-    assert sorted(r["FILE_SIZE"] for r in spark.table("kept").collect()) == [1, 5]
-
-
 def test_stream_adds_up_over_batches(spark, tmp_path):
     source = str(tmp_path / "in")
     for n in range(3):
         spark.createDataFrame([(10 * (n + 1), "2"), (1, "n/a")], "FILE_SIZE long, FILES_PER_ZIP string").coalesce(1).write.mode("append").parquet(source)
     stream = spark.readStream.schema("FILE_SIZE long, FILES_PER_ZIP string").option("maxFilesPerTrigger", 1).parquet(source)
-    progress.start_progress(stream, "totals", str(tmp_path / "cp"), 18).awaitTermination()
-    assert tuple(spark.table("totals").first()) == (6, 9, 63, 0.5)
+    progress.start_progress(stream, str(tmp_path / "totals"), str(tmp_path / "cp"), 18).awaitTermination()
+    assert tuple(spark.read.parquet(str(tmp_path / "totals")).first()) == (6, 9, 63, 0.5)
+
+
+def test_late_snapshots_correct_earlier_rows(spark, tmp_path):
+    state, out, source, log = (str(tmp_path / n) for n in ("state", "out", "in", "cp"))
+    for batch in ([(0, 0), (10, 10)], [(5, 2), (12, 15)], [(20, 16)], [(11, 11)]):
+        spark.createDataFrame([(t * 1_000_000, f, f) for t, f in batch], "taken_us long, files long, bytes long").write.mode("append").parquet(source)
+        stream = spark.readStream.schema("taken_us long, files long, bytes long").parquet(source)
+        stream.writeStream.foreachBatch(progress.growth_writer(state, out)).option("checkpointLocation", log).trigger(availableNow=True).start().awaitTermination()
+    found = {r["taken_us"] // 1_000_000: r["files_added"] for r in progress.read_growth(spark, out).collect()}
+    assert found == {5: 2, 10: 8, 11: 1, 12: 4, 20: 1}
+
+
+def test_manifest_stays_when_the_archive_does(spark, tmp_path):
+    root = tmp_path / "s"
+    (root / "z1.zip").mkdir(parents=True)  # a folder cannot be deleted as a file
+    (root / "z1.zip" / "x").write_text("x")
+    for name in ("z1.zip.metadata", "z2.zip", "z2.zip.metadata"):
+        (root / name).write_text("m")
+    verdicts = spark.createDataFrame([("z1.zip", 1, True), ("z2.zip", 1, True)], "zip_key string, total long, deletable boolean")
+    done = {r["key"]: r["status"] for r in archive.apply_actions(actions.delete_archives(verdicts), str(root)).collect()}
+    assert done == {"z1.zip": "failed", "z2.zip": "done"}
+    assert sorted(p.name for p in root.iterdir()) == ["z1.zip", "z1.zip.metadata"]
+
+
+def test_unreadable_archives_are_rows(spark, tmp_path):
+    (tmp_path / "bad.zip").write_bytes(b"no archive" * 100)
+    names = spark.createDataFrame([("bad.zip",), ("gone.zip",)], "zip_key string")
+    assert {r["zip_key"]: r["error"] for r in archive.unpack_files(names, str(tmp_path)).collect()} == {"bad.zip": "BadZipFile", "gone.zip": "FileNotFoundError"}
+    cells = spark.createDataFrame([("a", b"no archive"), ("b", None)], "zip_key string, content binary")
+    assert {r["error"] for r in archive.unpack_contents(cells).collect()} == {"BadZipFile"}
+    wanted = names.withColumn("member", F.lit("m"))
+    assert {r["zip_key"]: r["status"] for r in archive.extract_files(wanted, str(tmp_path), str(tmp_path / "o")).collect()} == {"bad.zip": "failed", "gone.zip": "missing"}
+
+
+def test_manifests_beside_archives_are_read_back(spark, tmp_path):
+    root = str(tmp_path / "store root+")
+    written = spark.createDataFrame([("b/collated_1.zip", "a.txt|b c.txt\n"), ("b/collated_2.zip", "x")], "zip_key string, text string")
+    archive.write_manifests(written, root).collect()
+    from invspark.sources import text
+
+    found = {r["zip_key"]: r["text"] for r in text.read_manifests(spark, root).collect()}
+    assert found == {"b/collated_1.zip": "a.txt|b c.txt", "b/collated_2.zip": "x"}
 
 
 def test_move_then_delete_copied(spark, tmp_path):

@@ -73,13 +73,10 @@ def test_attach_splits_groups(df, spark):
     assert out.filter("total is null").count() == df.filter("run = 2").count()
 
 
-def test_attach_broadcasts_few_groups_only(df, spark):
-    groups = df.groupBy("run").agg(F.sum("v").alias("total"))
-    few = ordered.attach(df, groups, ["run"], "ord", few=True)
-    assert "BroadcastHashJoin" in few._jdf.queryExecution().toString()
-    assert few.agg(F.sum("total")).first() == ordered.attach(df, groups, ["run"], "ord").agg(F.sum("total")).first()
-    assert ordered.checked_broadcast(spark.range(100), rows=99) is None
-    assert ordered.small_copy(spark.range(100), rows=100).count() == 100
+def test_attach_matches_null_keys(spark):
+    rows = spark.createDataFrame([(None, 1), (None, 2), ("a", 3), ("b", 4)], "run string, ord long")
+    groups = spark.createDataFrame([(None, 10), ("a", 20)], "run string, total long")
+    assert sorted((r["ord"], r["total"]) for r in ordered.attach(rows, groups, ["run"], "ord").collect()) == [(1, 10), (2, 10), (3, 20), (4, None)]
 
 
 def test_narrow_scan_gives_the_same(df):
