@@ -341,6 +341,34 @@ def j11(t):
     return rounded(runs.parallel_speed_up(means, ["dataset"]))
 
 
+TITLES = """t AS (SELECT nullif(regexp_extract(title,'([0-9]+)MiB-[0-9]+GiB',1),'')::INT AS file_mib, nullif(regexp_extract(title,'_([0-9]+)-procs',1),'')::INT AS n_procs,
+    nullif(regexp_extract(title,'([0-9]+)fpf',1),'')::INT AS files_per_folder, avg(rate) AS rate FROM titled GROUP BY 1, 2, 3)"""
+
+
+def by_title(t):
+    figures = names.title_figures(F.col("title"))
+    return t.titled.groupBy(*[c.alias(n) for n, c in figures.items()]).agg(F.avg("rate").alias("rate"))
+
+
+@query("f16_title_figures", sql="""SELECT DISTINCT title, nullif(regexp_extract(title,'([0-9]+)MiB-[0-9]+GiB',1),'')::INT AS file_mib,
+    nullif(regexp_extract(title,'_([0-9]+)-procs',1),'')::INT AS n_procs, nullif(regexp_extract(title,'([0-9]+)fpf',1),'')::INT AS files_per_folder FROM titled""")
+def f16_title(t):
+    return t.titled.select("title").distinct().withColumns(names.title_figures(F.col("title")))
+
+
+@query("a21_rates_by_file_size", ctes=TITLES, sql="SELECT file_mib, files_per_folder, n_procs, round(rate,6) AS rate, round(rate*n_procs,6) AS total_rate FROM t WHERE file_mib IS NOT NULL")
+def a21_size(t):
+    known = by_title(t).filter("file_mib is not null")
+    return rounded(runs.mean_rates(known.withColumnRenamed("rate", "r"), ["file_mib", "files_per_folder", "n_procs"], "r", "n_procs"))
+
+
+@query("j11_speed_up_by_file_size", ctes=TITLES, sql="""SELECT a.file_mib, a.files_per_folder, a.n_procs, round(a.rate*a.n_procs/b.rate,6) AS speed_up
+    FROM t a JOIN t b ON a.file_mib=b.file_mib AND a.files_per_folder=b.files_per_folder AND b.n_procs=1""")
+def j11_size(t):
+    fast = runs.parallel_speed_up(by_title(t), ["file_mib", "files_per_folder"], "n_procs")
+    return rounded(fast.select("file_mib", "files_per_folder", "n_procs", "speed_up"))
+
+
 @query("t11_parallel_speed_up", ctes=SUMMARY, sql="""SELECT a.file, a.cpus, round(a.mib_s*a.cpus/b.mib_s,6) AS speed_up FROM (SELECT *, total_mib/total_s AS mib_s FROM s) a
     JOIN (SELECT dataset, collated, compressed, avg(total_mib/total_s) AS mib_s FROM s WHERE cpus=1 GROUP BY ALL) b USING (dataset, collated, compressed)""")
 def t11(t):

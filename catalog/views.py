@@ -224,6 +224,14 @@ class Tables:
         nested = c.filter(F.col("c_mktsegment") == "MACHINERY").select(F.concat(F.lit("old/"), "c_name", F.lit("-backup.csv")).alias("key"), modified)
         return logs.unionByName(checks).unionByName(nested)
 
+    @cached_property
+    def titled(self) -> DataFrame:
+        """Readings (title, rate) of runs whose titles name file size, connections and files per folder."""
+        pick = lambda by, *choices: F.element_at(F.array(*[F.lit(x) for x in choices]), (F.col(by) % len(choices) + 1).cast("int"))
+        size = F.when(F.col("o_custkey") % 11 == 0, "mixed").otherwise(F.concat(pick("o_custkey", "34", "64", "128", "256", "512"), F.lit("MiB-100GiB")))
+        title = F.concat(size, F.lit("_"), pick("o_orderkey", "1", "2", "4", "8", "12"), F.lit("-procs_"), pick("o_orderkey", "1", "2"), F.lit("fpf"))
+        return self.table("orders").select(title.alias("title"), F.round(F.col("o_totalprice") * 100).cast("long").alias("rate"))
+
     @cached_property
     def run_lines(self) -> DataFrame:
         """Text logs of many runs, one line per row."""
@@ -254,7 +262,7 @@ class Tables:
         pad = lambda c, w: F.lpad(c.cast("string"), w, "0")
         clock = F.concat(div(secs, 360_000).cast("string"), F.lit(":"), pad(div(secs, 6000) % 60, 2), F.lit(":"), pad(div(secs, 100) % 60, 2), F.lit("."), pad(secs % 100 * 10_000, 6))
         closing = total.select("file", F.inline(F.array(
-            line(F.lit(1_000_000_000_000), "Finished at 2024-05-29 20:38:23.761037, elapsed time = ", clock),
+            line(F.lit(1_000_000_000_000), "Finished at 2001-02-03 04:05:06.000007, elapsed time = ", clock),
             line(F.lit(1_000_000_000_001), "Total: ", F.col("k").cast("string"), " files; ", hundredths(cents), " MiB; ", rate,
                  " MiB/s including setup time; ", hundredths(F.call_function("div", secs, F.col("k"))), " s/file including setup time"),
         )))
@@ -331,13 +339,15 @@ SQL: dict[str, str] = {
     "log_keys": """SELECT c_name||CASE WHEN c_nationkey%2=0 THEN '-backup.csv' ELSE '-files.csv' END AS key, c_custkey*60000000 AS modified_us FROM customer
         UNION ALL SELECT c_name||'-backup-verification.csv', c_custkey*60000000 FROM customer WHERE c_acctbal>0
         UNION ALL SELECT 'old/'||c_name||'-backup.csv', c_custkey*60000000 FROM customer WHERE c_mktsegment='MACHINERY'""",
+    "titled": """SELECT CASE WHEN o_custkey%11=0 THEN 'mixed' ELSE ([34,64,128,256,512])[o_custkey%5+1]||'MiB-100GiB' END||'_'||([1,2,4,8,12])[o_orderkey%5+1]||'-procs_'||
+        (o_orderkey%2+1)||'fpf' AS title, round(o_totalprice*100)::BIGINT AS rate FROM orders""",
     "run_base": """SELECT CASE o_orderstatus WHEN 'F' THEN 'no-collate' WHEN 'O' THEN 'no-compression' ELSE 'collate' END||'_'||
         ['dummy-data_1perc','dummy-data_10perc','dummy-data_25perc','vhs_merged','vhs'][left(o_orderpriority,1)::INT]||'_'||
         ['1','2','4','8','12'][o_custkey%5+1]||'-procs' AS file, o_orderkey AS n, round(o_totalprice*100)::BIGINT AS cents, (o_custkey%10+1)*100+25 AS secs
         FROM orders""",
     "run_lines": f"""SELECT file, n*2 AS line_no, {_c('cents')}||' MiB uploaded in '||{_c('secs')}||' seconds, '||{_c('cents*100//secs')}||' MiB/s' AS value FROM run_base
         UNION ALL SELECT file, n*2+1, '2 files (avg '||{_c('cents//2')}||' MiB/file) uploaded in '||{_c('secs')}||' seconds, '||{_c('secs//2')}||' s/file' FROM run_base
-        UNION ALL SELECT file, 1000000000000, 'Finished at 2024-05-29 20:38:23.761037, elapsed time = '||(s//360000)||':'||lpad((s//6000%60)::VARCHAR,2,'0')||':'
+        UNION ALL SELECT file, 1000000000000, 'Finished at 2001-02-03 04:05:06.000007, elapsed time = '||(s//360000)||':'||lpad((s//6000%60)::VARCHAR,2,'0')||':'
           ||lpad((s//100%60)::VARCHAR,2,'0')||'.'||lpad((s%100*10000)::VARCHAR,6,'0') FROM (SELECT file, sum(secs)::BIGINT AS s FROM run_base GROUP BY file)
         UNION ALL SELECT file, 1000000000001, 'Total: '||k||' files; '||{_c('c')}||' MiB; '||{_c('c*100//s')}||' MiB/s including setup time; '||{_c('s//k')}||' s/file including setup time'
           FROM (SELECT file, count(*) AS k, sum(cents)::BIGINT AS c, sum(secs)::BIGINT AS s FROM run_base GROUP BY file)""",

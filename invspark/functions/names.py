@@ -94,6 +94,16 @@ def label_ladder(tokens, rules: Sequence[tuple[Sequence[str], str]] = DATASET_LA
     return ladder.otherwise(other)
 
 
+def title_figures(title) -> dict[str, Column]:
+    """What a run's title says of its set-up: MiB per file, connections, files per folder; null where it does not."""
+    figure = lambda pattern: F.nullif(F.regexp_extract(title, pattern, 1), F.lit("")).cast("int")
+    return {
+        "file_mib": figure("([0-9]+)MiB-[0-9]+GiB"),
+        "n_procs": figure("_([0-9]+)-procs"),
+        "files_per_folder": figure("([0-9]+)fpf"),
+    }
+
+
 def transfer_type(path) -> Column:
     return F.when(F.endswith(path, F.lit(".zip")), "zip").otherwise("file")
 

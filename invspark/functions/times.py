@@ -16,17 +16,9 @@ def micros(stamp) -> Column:
     return F.unix_micros(stamp.cast("timestamp"))
 
 
-def elapsed_us(start, end) -> Column:
-    return micros(end) - micros(start)
-
-
 def duration_us(text) -> Column:
     """``H:MM:SS.ffffff`` as microseconds; null when the text is not a duration."""
     part = lambda i: F.regexp_extract(text, r"^([0-9]+):([0-9]{1,2}):([0-9]{1,2})(?:[.]([0-9]{1,6}))?$", i)
     whole = (part(1).cast("long") * 3600 + part(2).cast("long") * 60 + part(3).cast("long")) * 1_000_000
     fraction = F.rpad(part(4), 6, "0").cast("long")
     return F.when(F.rlike(text, F.lit(r"^[0-9]+:[0-9]{1,2}:[0-9]{1,2}([.][0-9]{1,6})?$")), whole + fraction)
-
-
-def hours_since(value_us, origin_us) -> Column:
-    return (value_us - origin_us) / F.lit(3_600_000_000.0)

@@ -60,11 +60,6 @@ def download(keys: DataFrame, local: DataFrame, key: str = "key", local_key: str
     return todo.select(*_action(F.when(F.col("expand"), "fetch and extract").otherwise("fetch"), key, F.lit("not present")))
 
 
-def extract(verdicts: DataFrame) -> DataFrame:
-    """Plan handed to the extraction job: archive key and whether it must be unpacked."""
-    return verdicts.select(F.col("zip_key").alias("key"), "extract")
-
-
 def retention(logs: DataFrame, now_us: Column, min_keep: int = 2, min_age_days: int = 2, pattern: str = r"^backup-logs-.*[.]csv$") -> DataFrame:
     """Old log files to remove per folder, when more than ``min_keep`` exist and would remain."""
     day = 86_400_000_000

@@ -1,24 +1,8 @@
 """Fixed schemas of the tables the jobs read and write (no inference)."""
-
-LISTING = "ord long, path string, is_link boolean, link_target string, object_name string, size long"
-REMOTE = "bucket string, key string, size long, etag string, last_modified timestamp"
-MANIFEST = "zip_key string, text string"
-MEMBERS = "zip_key string, member string"
-BATCH_PLAN = (
-    "id long, zip_key string, "
-    "members array<struct<ord:long,path:string,object_name:string,size:long>>, n_members long, size long"
-)
 UPLOAD_LOG = (
     "LOCAL_FOLDER string, LOCAL_PATH string, FILE_SIZE long, BUCKET_NAME string, DESTINATION_KEY string, "
     "CHECKSUM string, ZIP_CONTENTS string, FILES_PER_ZIP string, UPLOAD_TIME double, "
     "UPLOAD_START string, UPLOAD_END string"
 )
-VERIFICATION = (
-    "DESTINATION_KEY string, CHECKSUM string, CHECKSUM_MATCH boolean, NEW_CHECKSUM string, "
-    "FILE_SIZE long, SIZE_ON_S3 long, SIZE_MATCH boolean"
-)
 EXTRACT_PLAN = "key string, extract boolean"
 RUN_LOG = "file string, line_no long, value string"
-BUCKETS = "name string, description string"
-SNAPSHOTS = "taken_us long, files long, bytes long"
-ACTIONS = "plan_id string, action string, key string, target string, reason string, status string, error string"

@@ -19,12 +19,6 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
     return files.select("path", F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
 
 
-def read_contents(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
-    """(path, size, content) of the files below ``root`` whose names match."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root)
-    return files.select("path", F.col("length").alias("size"), "content")
-
-
 def _scan_folders(batches):
     import pandas as pd
 
