@@ -4,12 +4,13 @@ from pyspark.sql import functions as F
 
 from invspark import schemas
 from invspark.functions import paths, units
-from invspark.operators import runs, stats
-from invspark.plans import actions
+from invspark.operators import batching, runs, stats
+from invspark.plans import actions, logs
 from invspark.session import shared_dir
 from invspark.sources import listing, tables, text
 
 from .base import query
+from .planning import fold
 from .views import DEST, LAKE
 
 
@@ -90,6 +91,34 @@ def i07(t):
     return t.spark.read.schema("ord long, kind string, size long").parquet(where).groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes"))
 
 
+def _fields(prefix):
+    return f"""'{prefix}' AS BUCKET_NAME, CASE WHEN ord%4=0 THEN NULL ELSE start END AS s, CASE WHEN ord%4=0 THEN NULL ELSE start+ord%900+1 END AS e"""
+
+
+LOG_ROWS = ("f AS (SELECT ord, size FROM files)", fold("f", 50_000, 12, 500, "ord, size"), f"""sent AS (SELECT parent AS LOCAL_FOLDER, path AS LOCAL_PATH, size AS FILE_SIZE, object_name AS DESTINATION_KEY, md5(path) AS CHECKSUM,
+      'n/a' AS ZIP_CONTENTS, 'n/a' AS FILES_PER_ZIP, 'n/a' AS none, {_fields('one')} FROM (SELECT *, regexp_replace(path,'/[^/]*$','') AS parent, ord*1000003::BIGINT AS start FROM files)
+    UNION ALL SELECT '/work', '/work/'||id||'.zip', bytes, 'backup/collated_'||id||'.zip', md5(id::VARCHAR), CASE WHEN n>5 THEN list_aggregate(names[1:5],'string_agg','|')||' abbreviated' ELSE list_aggregate(names,'string_agg','|') END, n::VARCHAR, '',
+      {_fields('many')} FROM (SELECT part*1000000+batch AS id, min(fold.ord) AS ord, count(*) AS n, sum(fold.size)::BIGINT AS bytes, list(object_name ORDER BY fold.ord) AS names, min(fold.ord)*1000003::BIGINT AS start FROM fold JOIN files USING (ord) GROUP BY part, batch))""")
+
+
+@query("i07_log_rows", ctes=LOG_ROWS, sql="""SELECT LOCAL_FOLDER, LOCAL_PATH, FILE_SIZE, BUCKET_NAME, DESTINATION_KEY, CHECKSUM, ZIP_CONTENTS, FILES_PER_ZIP,
+    CASE WHEN s IS NULL THEN none ELSE printf('%.6f',(e-s)/1e6::DOUBLE) END AS UPLOAD_TIME, CASE WHEN s IS NULL THEN none ELSE strftime(make_timestamp(s),'%Y-%m-%d %H:%M:%S.%f') END AS UPLOAD_START,
+    CASE WHEN s IS NULL THEN none ELSE strftime(make_timestamp(e),'%Y-%m-%d %H:%M:%S.%f') END AS UPLOAD_END FROM sent""")
+def i07_rows(t):
+    """Both forms of rows, appended by two jobs to one log and read back."""
+    timed = lambda df: df.withColumn("start_us", F.when(F.col("ord") % 4 != 0, F.col("ord") * 1_000_003)).withColumn("end_us", F.col("start_us") + F.col("ord") % 900 + 1)
+    files = timed(t.files.select("ord", "path", "object_name", "size", F.md5("path").alias("md5")))
+    batched = batching.assign_batches(t.files.select("ord", "object_name", "size"), 50_000, 12, 500)
+    names_ = F.transform(F.sort_array(F.collect_list(F.struct("ord", "object_name"))), lambda m: m["object_name"])
+    built = batched.groupBy("id").agg(F.min("ord").alias("ord"), F.sum("size").alias("size"), names_.alias("members"))
+    number = F.col("id").cast("string")
+    archives = timed(built.select("ord", F.concat(F.lit("/work/"), number, F.lit(".zip")).alias("path"), paths.archive_key(F.col("id"), DEST).alias("zip_key"), "size", F.md5(number).alias("md5"), "members"))
+    where = shared_dir(t.spark, "log")
+    tables.append_log(logs.file_rows(files, "one"), where)
+    tables.append_log(logs.archive_rows(archives, "many"), where)
+    return t.spark.read.parquet(where)
+
+
 @query("i09_text_log_lines", sql="SELECT file, count(*) AS n, count_if(contains(value,'MiB uploaded in'))::BIGINT AS n_transfers FROM run_lines WHERE contains(value,'uploaded in') GROUP BY file")
 def i09(t):
     where = shared_dir(t.spark, "runs")

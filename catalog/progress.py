@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from invspark.operators import stats
 from invspark.session import shared_dir
+from invspark.sources import text
 from invspark.streaming import progress
 
 from .base import query
@@ -19,6 +20,19 @@ def s01(t):
     return progress.progress(t.upload_log, TARGET)
 
 
+@query("s01_progress_of_run", ctes=("k AS (SELECT sum(greatest(coalesce(try_cast(FILES_PER_ZIP AS BIGINT),0),1))::BIGINT AS n, count(*) AS target FROM upload_log)",),
+       sql="SELECT n AS n_files, n/target::DOUBLE AS fraction FROM k")
+def s01_run(t):
+    """The target is read from the run's own log, written as text."""
+    where = shared_dir(t.spark, "run-log")
+    counts = t.upload_log.agg(F.countDistinct("LOCAL_FOLDER").alias("d"), F.count(F.lit(1)).alias("f"))
+    lines = counts.select(F.explode(F.array(F.lit("starting"), F.concat(F.lit("Folders: "), F.col("d"), F.lit(" Files: "), F.col("f")))).alias("value"))
+    lines.coalesce(1).write.text(where)
+    target = progress.target_files(text.read_lines(t.spark, where))
+    done = progress.progress(t.upload_log).withColumn("target", target.scalar())
+    return done.select("n_files", (F.col("n_files") / F.col("target").cast("double")).alias("fraction"))
+
+
 class Growing(Tables):
     """The same views over a stream of the given table's file."""
 

@@ -21,6 +21,13 @@ def progress(log: DataFrame, target_files: int | None = None) -> DataFrame:
     return out if target_files is None else out.withColumn("fraction", F.col("n_files") / F.lit(float(target_files)))
 
 
+def target_files(run_log: DataFrame, value: str = "value") -> DataFrame:
+    """(target): the number of files a run set out to send, from its log's line ``Folders: <n> Files: <n>``; the first such line counts."""
+    lines = run_log.filter(F.contains(value, F.lit("Folders: ")) & F.contains(value, F.lit(" Files: ")))
+    number = F.try_element_at(F.split(F.trim(value), r"\s+"), F.lit(4)).try_cast("long")
+    return lines.agg(F.min_by(number, "line_no").alias("target"))
+
+
 def start_progress(log_stream: DataFrame, out_path: str, checkpoint: str, target_files: int | None = None):
     """Keep the totals of a log stream (a single row) in the table at ``out_path``, rewritten by each batch."""
 
