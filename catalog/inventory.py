@@ -67,11 +67,11 @@ def i04(t):
     return tables.read_upload_log(t.spark, [where]).select("LOCAL_PATH", "FILE_SIZE", "FILES_PER_ZIP", "UPLOAD_TIME", "start_us", "end_us", "ZIP_CONTENTS")
 
 
-@query("i05_csv_append", sql="SELECT DESTINATION_KEY, CHECKSUM, CHECKSUM_MATCH, SIZE_MATCH FROM verification UNION ALL SELECT DESTINATION_KEY, CHECKSUM, CHECKSUM_MATCH, SIZE_MATCH FROM verification")
+@query("i05_csv_append", sql="SELECT DESTINATION_KEY, CHECKSUM, CHECKSUM_MATCH, SIZE_MATCH FROM checks UNION ALL SELECT DESTINATION_KEY, CHECKSUM, CHECKSUM_MATCH, SIZE_MATCH FROM checks")
 def i05(t):
     where = shared_dir(t.spark, "verification")
     for _ in range(2):
-        tables.write_csv(t.verification, where, append=True)
+        tables.write_csv(t.checks, where, append=True)
     return tables.read_csv(t.spark, where, "DESTINATION_KEY string, CHECKSUM string, CHECKSUM_MATCH boolean, SIZE_MATCH boolean")
 
 
@@ -155,9 +155,9 @@ def a02(t):
     return stats.totals(t.page_objects.withColumn("top", paths.first_component(F.col("key"))), ["top"])
 
 
-@query("a02_bucket_size", sql="SELECT count(*) AS n, sum(size)::BIGINT AS bytes, sum(size)/1048576.0::DOUBLE AS mib, sum(size)/1073741824.0::DOUBLE AS gib, sum(size)/1099511627776.0::DOUBLE AS tib FROM lake")
+@query("a02_bucket_size", sql="SELECT count(*) AS n, sum(size)::BIGINT AS bytes, sum(size)/1048576.0::DOUBLE AS mib, sum(size)/1073741824.0::DOUBLE AS gib, sum(size)/1099511627776.0::DOUBLE AS tib FROM whole_lake")
 def a02_all(t):
-    return stats.totals(t.lake)
+    return stats.totals(t.whole_lake)
 
 
 @query("a08_top_folders", sql="SELECT 'pages' AS bucket_name, split_part(key,'/',1) AS prefix, min(ord) AS first_ord FROM page_objects WHERE contains(key,'/') GROUP BY 2")
@@ -166,13 +166,13 @@ def a08(t):
 
 
 @query("a18_quota", sql="""SELECT bucket, count(*) AS n, sum(size)::BIGINT AS bytes, sum(size)/1073741824.0::DOUBLE AS gib, sum(size)::BIGINT*100.0::DOUBLE/1000000000 AS percent_of_quota FROM
-    (SELECT split_part(key,'/',1) AS bucket, size FROM page_objects UNION ALL SELECT 'lake', size FROM lake) GROUP BY bucket""")
+    (SELECT split_part(key,'/',1) AS bucket, size FROM page_objects UNION ALL SELECT 'lake', size FROM whole_lake) GROUP BY bucket""")
 def a18(t):
-    objects = t.page_objects.select(paths.first_component(F.col("key")).alias("bucket"), "size").unionByName(t.lake.select(F.lit("lake").alias("bucket"), "size"))
+    objects = t.page_objects.select(paths.first_component(F.col("key")).alias("bucket"), "size").unionByName(t.whole_lake.select(F.lit("lake").alias("bucket"), "size"))
     return stats.quota(objects, 1_000_000_000)
 
 
-@query("a22_download_session", sql="SELECT bool_and(size>0) AS all_ok, count(*) AS n, sum(size)::BIGINT AS bytes, round(avg(size),6) AS mean_bytes FROM lake")
+@query("a22_download_session", sql="SELECT bool_and(size>0) AS all_ok, count(*) AS n, sum(size)::BIGINT AS bytes, round(avg(size),6) AS mean_bytes FROM whole_lake")
 def a22(t):
-    done = t.lake.withColumn("ok", F.col("size") > 0)
+    done = t.whole_lake.withColumn("ok", F.col("size") > 0)
     return done.agg(stats.all_true(F.col("ok")).alias("all_ok"), F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes"), F.round(F.avg("size"), 6).alias("mean_bytes"))

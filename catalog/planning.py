@@ -236,9 +236,9 @@ def a25(t):
 
 
 @query("c04_segment_plan", sql="""SELECT key, n_segments, i+1 AS segment, i*50000 AS start, CASE WHEN n_segments=1 THEN size ELSE least((i+1)*50000,size) END AS "end" FROM
-    (SELECT key, size, n_segments, unnest(range(n_segments)) AS i FROM (SELECT key, size, CASE WHEN size>75000 THEN ceil(size/50000)::BIGINT ELSE 1 END AS n_segments FROM lake))""")
+    (SELECT key, size, n_segments, unnest(range(n_segments)) AS i FROM (SELECT key, size, CASE WHEN size>75000 THEN ceil(size/50000)::BIGINT ELSE 1 END AS n_segments FROM whole_lake))""")
 def c04(t):
-    return segments.segments(t.lake, 50_000, 75_000)
+    return segments.segments(t.whole_lake, 50_000, 75_000)
 
 
 @query("c10_jobs_per_subfolder", sql="""SELECT CASE WHEN contains(key,'/') THEN split_part(key,'/',1) ELSE '' END AS subfolder, count(*) AS n_files, sum(size)::BIGINT AS bytes,
@@ -261,11 +261,11 @@ def o01(t):
     return t.upload_log.select("ord", "start_us").orderBy("start_us", "ord")
 
 
-@query("o02_first_keys", sql="SELECT key, size FROM lake ORDER BY key LIMIT 1000")
+@query("o02_first_keys", sql="SELECT key, size FROM whole_lake ORDER BY key LIMIT 1000")
 def o02(t):
     from invspark.operators import selection
 
-    return selection.limited(t.lake.select("key", "size"), "key", 1000)
+    return selection.limited(t.whole_lake.select("key", "size"), "key", 1000)
 
 
 @query("o03_head_and_tail", sql="(SELECT ord, FILE_SIZE FROM upload_log ORDER BY ord LIMIT 5) UNION ALL (SELECT ord, FILE_SIZE FROM upload_log ORDER BY ord DESC LIMIT 5)")
@@ -276,10 +276,10 @@ def o03(t):
     return selection.head(log, "ord").unionByName(selection.tail(log, "ord"))
 
 
-@query("o04_concatenated_listings", sql="SELECT key, size FROM remote UNION ALL SELECT key, size FROM page_objects UNION ALL SELECT key, size FROM lake")
+@query("o04_concatenated_listings", sql="SELECT key, size FROM stored UNION ALL SELECT key, size FROM page_objects UNION ALL SELECT key, size FROM whole_lake")
 def o04(t):
     pick = ["key", "size"]
-    return t.remote.select(*pick).unionByName(t.page_objects.select(*pick)).unionByName(t.lake.select(*pick))
+    return t.stored.select(*pick).unionByName(t.page_objects.select(*pick)).unionByName(t.whole_lake.select(*pick))
 
 
 @query("o05_exploded_members", ctes="""n AS (SELECT zip_key, list_distinct(list_filter(CASE WHEN contains(text,'|') THEN string_split(text,'|') WHEN contains(text,';') THEN string_split(text,';') ELSE string_split(text,',') END, lambda x: x<>'')) AS l FROM manifest)""",

@@ -140,9 +140,9 @@ def f18(t):
     return t.contents.select("ord", values.md5_hex(F.col("content")).alias("md5"), F.octet_length("content").cast("long").alias("size"))
 
 
-@query("f19_segmented_etag", sql="SELECT key, contains(etag,'-') AS segmented FROM remote")
+@query("f19_segmented_etag", sql="SELECT key, contains(etag,'-') AS segmented FROM stored")
 def f19(t):
-    return t.remote.select("key", values.is_segmented(F.col("etag")).alias("segmented"))
+    return t.stored.select("key", values.is_segmented(F.col("etag")).alias("segmented"))
 
 
 @query("f20_literal_or_text", sql="SELECT ord, coalesce(try_cast(FILES_PER_ZIP AS BIGINT)::VARCHAR, FILES_PER_ZIP) AS value FROM upload_log")
@@ -166,19 +166,19 @@ def p01(t):
 
 
 @query("p02_key_class", sql="""SELECT key, CASE WHEN regexp_full_match(key,'.*collated_[0-9]+\\.zip') THEN 'zip' WHEN regexp_full_match(key,'.*collated_[0-9]+\\.zip\\.metadata') THEN 'manifest'
-    ELSE 'other' END AS class FROM lake""")
+    ELSE 'other' END AS class FROM whole_lake""")
 def p02(t):
-    return t.lake.select("key", names.key_class(F.col("key")).alias("class"))
+    return t.whole_lake.select("key", names.key_class(F.col("key")).alias("class"))
 
 
-@query("p03_loose_match", sql="SELECT key, regexp_matches(key,'collated_.*\\.zip$','i') AS expand FROM lake WHERE NOT regexp_matches(key,'collated_.*\\.zip\\.metadata','i')")
+@query("p03_loose_match", sql="SELECT key, regexp_matches(key,'collated_.*\\.zip$','i') AS expand FROM whole_lake WHERE NOT regexp_matches(key,'collated_.*\\.zip\\.metadata','i')")
 def p03(t):
-    return selection.downloadable(t.lake.select("key"))
+    return selection.downloadable(t.whole_lake.select("key"))
 
 
-@query("p04_remaining_objects", sql="SELECT key, size FROM lake WHERE NOT regexp_matches(key,'collated_[0-9]+\\.zip(\\.metadata)?$')")
+@query("p04_remaining_objects", sql="SELECT key, size FROM whole_lake WHERE NOT regexp_matches(key,'collated_[0-9]+\\.zip(\\.metadata)?$')")
 def p04(t):
-    return selection.remaining(t.lake)
+    return selection.remaining(t.whole_lake)
 
 
 @query("p05_route", sql="SELECT ord, size, CASE WHEN size<=2048/2 THEN 'zip' ELSE 'file' END AS type FROM files")
@@ -262,9 +262,9 @@ def p14(t):
     return t.upload_log.filter(~F.endswith("DESTINATION_KEY", F.lit(".symlink"))).select("ord", "DESTINATION_KEY")
 
 
-@query("p15_count_uncollated", sql="SELECT count(*) AS n FROM lake WHERE NOT contains(key,'collated_')")
+@query("p15_count_uncollated", sql="SELECT count(*) AS n FROM whole_lake WHERE NOT contains(key,'collated_')")
 def p15(t):
-    return t.lake.filter(~F.contains("key", F.lit("collated_"))).agg(F.count(F.lit(1)).alias("n"))
+    return t.whole_lake.filter(~F.contains("key", F.lit("collated_"))).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("p16_log_presence", sql="""SELECT c_name, coalesce(max(CASE WHEN key=c_name||'-backup.csv' THEN 2 WHEN key=c_name||'-files.csv' THEN 1 END),0) AS state

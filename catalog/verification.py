@@ -94,16 +94,16 @@ def j10(t):
     return lookups.sync_decision(members, t.remote).select("key", "decision")
 
 
-@query("a03_any_and_all", sql="""SELECT DESTINATION_KEY, bool_and(CHECKSUM_MATCH) AS all_match, bool_or(SIZE_MATCH) AS any_size FROM verification GROUP BY 1""")
+@query("a03_any_and_all", sql="""SELECT DESTINATION_KEY, bool_and(CHECKSUM_MATCH) AS all_match, bool_or(SIZE_MATCH) AS any_size FROM checks GROUP BY 1""")
 def a03(t):
-    return t.verification.groupBy("DESTINATION_KEY").agg(
+    return t.checks.groupBy("DESTINATION_KEY").agg(
         stats.all_true(F.col("CHECKSUM_MATCH")).alias("all_match"), stats.any_true(F.col("SIZE_MATCH")).alias("any_size")
     )
 
 
-@query("a03_empty_all", sql="SELECT count(*) AS n, coalesce(bool_and(CHECKSUM_MATCH),true) AS checksums_match, coalesce(bool_and(SIZE_MATCH),true) AS sizes_match FROM verification WHERE DESTINATION_KEY=''")
+@query("a03_empty_all", sql="SELECT count(*) AS n, coalesce(bool_and(CHECKSUM_MATCH),true) AS checksums_match, coalesce(bool_and(SIZE_MATCH),true) AS sizes_match FROM checks WHERE DESTINATION_KEY=''")
 def a03_empty(t):
-    return verify.audit_verdict(t.verification.filter("DESTINATION_KEY = ''"))
+    return verify.audit_verdict(t.checks.filter("DESTINATION_KEY = ''"))
 
 
 @query("a04_session_verdict", sql="""SELECT coalesce(bool_and(dur_us>0) FILTER (kind='zip'),true) AS zips_ok, coalesce(bool_and(dur_us>0) FILTER (kind='file'),true) AS files_ok,
@@ -113,18 +113,18 @@ def a04(t):
 
 
 @query("c03_content_audit", sql="""SELECT key AS DESTINATION_KEY, etag AS CHECKSUM, etag=md5(text) AS CHECKSUM_MATCH, md5(text) AS NEW_CHECKSUM, size AS FILE_SIZE,
-    octet_length(encode(text))::BIGINT AS SIZE_ON_S3, size=octet_length(encode(text)) AS SIZE_MATCH FROM remote JOIN documents ON key='backup/'||source||'/'||lang||'/'||doc_id||'.txt'""")
+    octet_length(encode(text))::BIGINT AS SIZE_ON_S3, size=octet_length(encode(text)) AS SIZE_MATCH FROM stored JOIN documents ON key='backup/'||source||'/'||lang||'/'||doc_id||'.txt'""")
 def c03(t):
-    log = t.remote.select(F.col("key").alias("DESTINATION_KEY"), F.col("etag").alias("CHECKSUM"), F.col("size").alias("FILE_SIZE"))
+    log = t.stored.select(F.col("key").alias("DESTINATION_KEY"), F.col("etag").alias("CHECKSUM"), F.col("size").alias("FILE_SIZE"))
     objects = t.contents.select(
         F.concat(F.lit(DEST + "/"), "member").alias("key"), F.md5("content").alias("md5"), F.octet_length("content").cast("long").alias("size")
     )
     return verify.audit(log, objects)
 
 
-@query("c03_audit_verdict", sql="SELECT count(*) AS n, bool_and(CHECKSUM_MATCH) AS checksums_match, bool_and(SIZE_MATCH) AS sizes_match FROM verification")
+@query("c03_audit_verdict", sql="SELECT count(*) AS n, bool_and(CHECKSUM_MATCH) AS checksums_match, bool_and(SIZE_MATCH) AS sizes_match FROM checks")
 def c03_verdict(t):
-    return verify.audit_verdict(t.verification)
+    return verify.audit_verdict(t.checks)
 
 
 @query("c05_delete_plan", ctes=VERDICTS, sql="""SELECT 'delete' AS action, zip_key AS key, zip_key||'.metadata' AS target, 'all members in store' AS reason FROM verdicts WHERE deletable
@@ -138,15 +138,15 @@ def c05_orphans(t):
     return actions.delete_orphans(t.lake)
 
 
-@query("c06_move_plan", sql="SELECT 'copy' AS action, key, 'archive/'||key AS target, 'move' AS reason FROM lake")
+@query("c06_move_plan", sql="SELECT 'copy' AS action, key, 'archive/'||key AS target, 'move' AS reason FROM whole_lake")
 def c06(t):
-    return actions.move(t.lake, "archive")
+    return actions.move(t.whole_lake, "archive")
 
 
-@query("c06_delete_copied", sql="SELECT 'delete' AS action, key, NULL::VARCHAR AS target, 'copied' AS reason FROM lake WHERE size>20000")
+@query("c06_delete_copied", sql="SELECT 'delete' AS action, key, NULL::VARCHAR AS target, 'copied' AS reason FROM whole_lake WHERE size>20000")
 def c06_second(t):
-    results = t.lake.select("key", F.when(F.col("size") > 20000, "done").otherwise("failed").alias("status"))
-    return actions.delete_copied(actions.move(t.lake, "archive"), results)
+    results = t.whole_lake.select("key", F.when(F.col("size") > 20000, "done").otherwise("failed").alias("status"))
+    return actions.delete_copied(actions.move(t.whole_lake, "archive"), results)
 
 
 @query("c07_download_plan", sql="""SELECT CASE WHEN regexp_matches(key,'collated_.*\\.zip$','i') THEN 'fetch and extract' ELSE 'fetch' END AS action, key, NULL::VARCHAR AS target, 'not present' AS reason

@@ -153,6 +153,42 @@ class Tables:
         )
         return members.unionByName(zips).unionByName(notes)
 
+    @cached_property
+    def whole_lake(self) -> DataFrame:
+        """The same store without gaps: every line, order and manifest."""
+        members = (
+            self.table("lineitem").groupBy("l_partkey", "l_linenumber", "l_suppkey")
+            .agg(F.max(F.floor("l_extendedprice").cast("long")).alias("size"))
+            .select(self._lake_member().alias("key"), "size")
+        )
+        archive = paths.archive_key(F.col("o_orderkey"), LAKE)
+        both = F.array(
+            F.struct(archive.alias("key"), F.floor("o_totalprice").cast("long").alias("size")),
+            F.struct(F.concat(archive, F.lit(".metadata")).alias("key"), F.lit(64).cast("long").alias("size")),
+        )
+        return members.unionByName(self.table("orders").select(F.inline(both)))
+
+    @cached_property
+    def stored(self) -> DataFrame:
+        """A store that holds every document, some altered or in segments."""
+        docs, md5 = self.table("documents"), F.md5(F.col("text").cast("binary"))
+        etag = (
+            F.when(F.col("doc_id") % 11 == 0, F.concat(md5, F.lit("-2")))
+            .when(F.col("doc_id") % 7 == 0, F.md5(F.concat("text", F.lit("?")).cast("binary")))
+            .otherwise(md5)
+        )
+        return docs.select(
+            F.concat(F.lit(DEST + "/"), "source", F.lit("/"), "lang", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("key"),
+            F.col("n_chars").alias("size"), etag.alias("etag"),
+        )
+
+    @cached_property
+    def checks(self) -> DataFrame:
+        """A check of every logged object."""
+        return self.upload_log.select(
+            "DESTINATION_KEY", "CHECKSUM", (F.col("ord") % 7 != 0).alias("CHECKSUM_MATCH"), (F.col("ord") % 11 != 0).alias("SIZE_MATCH")
+        )
+
     @cached_property
     def upload_log(self) -> DataFrame:
         e = self.table("events")
@@ -319,6 +355,12 @@ SQL: dict[str, str] = {
     "lake": f"""SELECT {_MEMBER} AS key, max(floor(l_extendedprice)::BIGINT) AS size FROM lineitem WHERE l_returnflag<>'R' GROUP BY 1
         UNION ALL SELECT 'lake/collated_'||o_orderkey||'.zip', floor(o_totalprice)::BIGINT FROM orders WHERE o_orderstatus<>'P'
         UNION ALL SELECT 'lake/collated_'||o_orderkey||'.zip.metadata', 64 FROM orders""",
+    "whole_lake": f"""SELECT {_MEMBER} AS key, max(floor(l_extendedprice)::BIGINT) AS size FROM lineitem GROUP BY 1
+        UNION ALL SELECT 'lake/collated_'||o_orderkey||'.zip', floor(o_totalprice)::BIGINT FROM orders
+        UNION ALL SELECT 'lake/collated_'||o_orderkey||'.zip.metadata', 64 FROM orders""",
+    "stored": f"""SELECT 'backup/'||{_PATH} AS key, n_chars AS size,
+        CASE WHEN doc_id%11=0 THEN md5(text)||'-2' WHEN doc_id%7=0 THEN md5(text||'?') ELSE md5(text) END AS etag FROM documents""",
+    "checks": "SELECT DESTINATION_KEY, CHECKSUM, ord%7<>0 AS CHECKSUM_MATCH, ord%11<>0 AS SIZE_MATCH FROM upload_log",
     "upload_log": """SELECT event_id AS ord, '/data/run'||(user_id%4)||'/u'||user_id AS LOCAL_FOLDER,
         '/data/run'||(user_id%4)||'/u'||user_id||'/'||event_id||ext AS LOCAL_PATH,
         (event_id*7919%1000+1)*1048576 AS FILE_SIZE,
