@@ -131,29 +131,37 @@ def rolling_rows(
     return out.select(*df.columns, name)
 
 
-def rolling_span(
-    df: DataFrame, keys: Sequence[str], order: str, value: Column, span: int, name: str = "rolling", shifts=MICROS,
-) -> DataFrame:
+def rolling_span(df: DataFrame, keys: Sequence[str], order: str, value: Column, span: int, name: str = "rolling") -> DataFrame:
     """Mean of ``value`` (a long) over ``(t - span, t]``; one row per ``keys`` and ``order``.
 
-    Each row adds its value at ``t`` and takes it back at ``t + span``, so the
-    window mean is a ratio of two running sums: linear work, no sliding frame.
+    Time is cut into buckets of one span. Whatever counts inside a bucket came
+    in that bucket or the one before: a value is added at ``t``, counts in full
+    at the start of the next bucket, and goes at ``t + span``. So sums run
+    within buckets only: one shuffle, nothing carried further, no sliding frame.
     """
-    held, one, none = value.cast("decimal(38,0)"), F.lit(1).cast("long"), F.lit(0).cast("long")
-    turns = F.array(
-        F.struct(F.col(order).alias(order), held.alias("_v"), one.alias("_in"), none.alias("_out")),
-        F.struct((F.col(order) + span).alias(order), (-held).alias("_v"), none.alias("_in"), one.alias("_out")),
+    bucket = F.floor(F.col(order) / span).cast("long")
+    zero = F.lit(0).cast("long")
+
+    def event(home: Column, t: Column, sign: int, own: bool) -> Column:
+        one = F.lit(sign).cast("long")
+        return F.struct(home.alias("_bucket"), t.alias(order), (F.col("_v") * sign).alias("_v"), F.when(F.col("_v").isNotNull(), one).otherwise(zero).alias("_n"), F.lit(own).alias("_own"))
+
+    events = F.array(
+        event(F.col("_b"), F.col(order), 1, True),
+        event(F.col("_b") + 1, (F.col("_b") + 1) * span, 1, False),
+        event(F.col("_b") + 1, F.col(order) + span, -1, False),
     )
     moves = (
-        df.select(*keys, F.inline(turns))
-        .groupBy(*keys, order)
-        .agg(F.sum("_v").cast("decimal(38,0)").alias("_v"), F.sum("_in").alias("_in"), F.sum("_out").alias("_out"))
+        df.select(*keys, order, value.cast("long").alias("_v"), bucket.alias("_b"))
+        .select(*keys, F.inline(events))
+        .groupBy(*keys, "_bucket", order)
+        .agg(F.coalesce(F.sum("_v"), zero).alias("_v"), F.sum("_n").alias("_n"), F.bool_or("_own").alias("_own"))
+    )
+    run = Window.partitionBy(*keys, "_bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    held, count = F.sum("_v").over(run), F.sum("_n").over(run)
+    return moves.select(*keys, order, "_own", held.alias("_held"), count.alias("_count")).filter("_own").select(
+        *keys, order, F.when(F.col("_count") > 0, F.col("_held").cast("double") / F.col("_count")).alias(name)
     )
-    sums = {"_sv": F.col("_v"), "_si": F.col("_in"), "_so": F.col("_out")}
-    run = scan(moves, keys, order, sums=sums, shifts=shifts, narrow=True)
-    held_now = F.col("_si") + F.col("_in") - F.col("_so") - F.col("_out")
-    mean = (F.col("_sv") + F.col("_v")).cast("double") / held_now.cast("double")
-    return run.filter(F.col("_in") > 0).select(*keys, order, mean.alias(name))
 
 
 def attach(df: DataFrame, groups: DataFrame, on: Sequence[str], spread: str, salts: int = 16) -> DataFrame:

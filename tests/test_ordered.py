@@ -62,7 +62,7 @@ def test_rolling_rows_with_null_values(spark):
 
 def test_rolling_span_counts_ties_and_open_start(spark):
     rows = spark.createDataFrame([(0, 10), (100, 20), (3600, 60), (3601, 4)], "ord long, v long")
-    out = {r["ord"]: r["rolling"] for r in ordered.rolling_span(rows, [], "ord", F.col("v"), 3600, shifts=(6,)).collect()}
+    out = {r["ord"]: r["rolling"] for r in ordered.rolling_span(rows, [], "ord", F.col("v"), 3600).collect()}
     assert out == {0: 10.0, 100: 15.0, 3600: 40.0, 3601: 28.0}
 
 
