@@ -65,6 +65,8 @@ ALLOWED = (
 #: c * log2(c), in whole millionths, so that sums do not drift while a window slides.
 SCALE = 1_000_000
 COSTS = [0, *(round(c * math.log2(c) * SCALE) for c in range(1, WINDOW + 1))]
+#: Names used on the way; columns that bear them, or those of the results, give way.
+INNER = ("_t", "_m", "_b", "_g", "_z", "_at")
 SPAN = "array<struct<start: bigint, place: int, end: bigint>>"
 
 
@@ -135,8 +137,9 @@ def scan(docs: DataFrame, text: str = "text", allowed: Sequence[str] = ALLOWED)
 
     ``base`` holds the known forms, ``spans`` those and the random strings; spans may overlap. Positions are code
     points from 0, ends exclusive. Null and empty texts have none. Rows are independent: nothing is shuffled.
+    Other columns stay, except those named like the results or ``INNER``.
     """
-    kept = outside(docs, ["base", "spans", "_t", *(f"_s{i}" for i in range(len(KINDS)))])
+    kept = outside(docs, ["base", "spans", *INNER, *(f"_s{i}" for i in range(len(KINDS)))])
     found = docs.select(*kept, F.coalesce(F.col(text), F.lit("")).alias("_t"))
     names: list[str] = []
 

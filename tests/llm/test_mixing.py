@@ -81,8 +81,8 @@ def test_query_margins_and_draw(spark):
     assert abs(drawn - expected) < 0.06
 
 
-ROWS = [(1, "one two", None, None, 5), (1, "one two", None, None, 5), (2, None, "src0", "en", 1), (None, "", "src1", "xx", 2), (None, "a 1", "src1", "de", 2)]
-SCHEMA = "doc_id long, text string, source string, lang string, Weight int"
+ROWS = [(*r, "x", None) for r in [(1, "one two", None, None, 5), (1, "one two", None, None, 5), (2, None, "src0", "en", 1), (None, "", "src1", "xx", 2), (None, "a 1", "src1", "de", 2)]]
+SCHEMA = "doc_id long, text string, source string, lang string, Weight int, _hash string, _probability string"
 
 
 def test_edges(spark):

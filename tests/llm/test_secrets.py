@@ -49,8 +49,8 @@ TEXTS = [
 
 
 def test_scan_equals_brute_force(spark):
-    rows = [(i, t, "clash", -1) for i, t in enumerate(TEXTS)] + [(4, TEXTS[4], "again", 0)]
-    found = secrets.scan(spark.createDataFrame(rows, "doc_id long, text string, Spans string, _t int")).collect()
+    rows = [(i, t, "clash", -1, None) for i, t in enumerate(TEXTS)] + [(4, TEXTS[4], "again", 0, 1)]
+    found = secrets.scan(spark.createDataFrame(rows, "doc_id long, text string, Spans string, _t int, _M int")).collect()
     assert len(found) == len(rows)
     for row in found:
         text = TEXTS[row.doc_id] or ""
