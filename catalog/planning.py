@@ -82,7 +82,7 @@ def w04(t):
 @query("w05_fixed_chunks", sql="SELECT user_id, event_id AS ord, (row_number() OVER (PARTITION BY user_id ORDER BY event_id)-1)//7 AS chunk FROM events")
 def w05(t):
     rows = t.table("events").select("user_id", F.col("event_id").alias("ord"))
-    return ordered.chunks(rows, ["user_id"], "ord", 7)
+    return ordered.chunks(rows, ["user_id"], "ord", 7, narrow=True)
 
 
 @query("w05_refilled_archives", ctes="m AS (SELECT zip_key, member, (row_number() OVER (ORDER BY ord)-1)//30 AS chunk FROM (SELECT zip_key, 'backup/'||name AS member, ord FROM manifest_names))",

@@ -110,7 +110,7 @@ def file_lists(df: DataFrame, folder: str = "folder", name: str = "name", order:
     list, so only a folder with more files becomes several rows.
     """
     listed = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(name).alias("n"))))
-    cut = ordered.chunks(df.select(folder, order, name), [folder], order, per_list, "list_no")
+    cut = ordered.chunks(df.select(folder, order, name), [folder], order, per_list, "list_no", narrow=True)
     return cut.groupBy(folder, "list_no").agg(
         F.array_join(F.transform(listed, lambda x: x["n"]), ",").alias("names"), F.count(F.lit(1)).alias("n")
     )

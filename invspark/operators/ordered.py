@@ -94,19 +94,19 @@ def _local(partition, order, kinds):
     )
 
 
-def numbered(df: DataFrame, keys: Sequence[str], order: str, name: str = "idx", shifts=ROWS) -> DataFrame:
+def numbered(df: DataFrame, keys: Sequence[str], order: str, name: str = "idx", shifts=ROWS, narrow: bool = False) -> DataFrame:
     """Row number from 0 within ``keys`` in ``order``."""
-    return scan(df, keys, order, sums={name: F.lit(1).cast("long")}, shifts=shifts)
+    return scan(df, keys, order, sums={name: F.lit(1).cast("long")}, shifts=shifts, narrow=narrow)
 
 
-def chunks(df: DataFrame, keys: Sequence[str], order: str, size: int, name: str = "chunk", shifts=ROWS) -> DataFrame:
+def chunks(df: DataFrame, keys: Sequence[str], order: str, size: int, name: str = "chunk", shifts=ROWS, narrow: bool = False) -> DataFrame:
     """Number of the fixed-size chunk each row falls into, in ``order``."""
-    return numbered(df, keys, order, "_idx", shifts).withColumn(name, F.floor(F.col("_idx") / size)).drop("_idx")
+    return numbered(df, keys, order, "_idx", shifts, narrow).withColumn(name, F.floor(F.col("_idx") / size)).drop("_idx")
 
 
 def rolling_rows(
     df: DataFrame, keys: Sequence[str], order: str, value: Column, n: int, name: str = "rolling",
-    full_only: bool = False, shifts=ROWS, block: int = 1 << 16,
+    full_only: bool = False, shifts=ROWS, block: int = 1 << 16, narrow: bool = False,
 ) -> DataFrame:
     """Mean over the last ``n`` rows, null until ``n`` values were seen and where one of them is null.
 
@@ -115,7 +115,7 @@ def rolling_rows(
     its block.
     """
     block = max(block, n)
-    rows = numbered(df, keys, order, "_idx", shifts).withColumn("_value", value)
+    rows = numbered(df, keys, order, "_idx", shifts, narrow).withColumn("_value", value)
     home = F.floor(F.col("_idx") / block)
     at_end = F.col("_idx") % block >= block - (n - 1)
     spread = rows.withColumn("_home", home).withColumn(

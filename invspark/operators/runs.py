@@ -103,4 +103,4 @@ def rate_lines(lines: DataFrame, n: int = 10) -> DataFrame:
     parsed = parse_lines(lines).filter(F.col("form").isin("transfer", "folder"))
     reading = F.when(F.col("form") == "transfer", F.col("mib_s") * 8).otherwise(F.col("s_per_file"))
     rows = parsed.select("file", "form", "line_no", reading.alias("reading"))
-    return ordered.rolling_rows(rows, ["file", "form"], "line_no", F.col("reading"), n, "smoothed", full_only=True)
+    return ordered.rolling_rows(rows, ["file", "form"], "line_no", F.col("reading"), n, "smoothed", full_only=True, narrow=True)

@@ -14,9 +14,9 @@ from ..functions import units
 from . import ordered
 
 
-def overlap(transfers: DataFrame, keys: Sequence[str], order: str = "ord", start: str = "start_us", end: str = "end_us") -> DataFrame:
-    """Flag rows that start before the previous row of their run ended; the first row is False."""
-    seen = ordered.scan(transfers, keys, order, previous={"_end": F.col(end)})
+def overlap(transfers: DataFrame, keys: Sequence[str], order: str = "ord", start: str = "start_us", end: str = "end_us", narrow: bool = False) -> DataFrame:
+    """Flag rows that start before the previous row of their run ended; the first row is False. ``narrow``: see ``ordered.scan``."""
+    seen = ordered.scan(transfers, keys, order, previous={"_end": F.col(end)}, narrow=narrow)
     return seen.withColumn("overlap", F.coalesce(F.col("_end") > F.col(start), F.lit(False))).drop("_end")
 
 
