@@ -272,7 +272,7 @@ def records(stream, keep_payload: bool = False) -> Iterator[dict]:
 
 
 def read(archives: DataFrame, keep_payload: bool = True) -> DataFrame:
-    """The records of the archives named in ``archives.path``, one task per few archives, each read once from its start.
+    """The records of the archives named in ``archives.path``, one task per archive, each read once from its start.
 
     Revisits carry the digest and length of the payload they stand for and the id of its response. An archive that
     cannot be opened, or a damaged record, gives a row with ``error`` set and the rest null.
@@ -294,4 +294,5 @@ def read(archives: DataFrame, keep_payload: bool = True) -> DataFrame:
         for some in batches(found, lambda row: 200 + len(row.get("payload") or b"")):
             yield pa.RecordBatch.from_arrays([pa.array([row.get(n) for row in some], kind) for n, kind in zip(names, kinds)], names=names)
 
-    return archives.select("path").repartition("path").mapInArrow(run, RECORDS)
+    # As many tasks as archives: names are few bytes, what they name is not.
+    return archives.select("path").repartition(max(1, archives.count())).mapInArrow(run, RECORDS)
