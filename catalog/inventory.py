@@ -47,9 +47,8 @@ def i02(t):
 def i03(t):
     where = shared_dir(t.spark, "buckets")
     entry = F.struct(F.lower("n_name").alias("name"), F.concat(F.lit("region "), F.col("n_regionkey").cast("string")).alias("description"))
-    # One array in one file: a configuration of as many entries as there are nations.
-    t.table("nation").agg(F.to_json(F.collect_list(entry)).alias("value")).coalesce(1).write.text(where)
-    return listing.buckets(t.spark, where)
+    t.table("nation").select(F.to_json(F.array(entry)).alias("value")).write.text(where)
+    return listing.buckets(t.spark, where, lines=True)
 
 
 def _raw_log(t):

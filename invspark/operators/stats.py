@@ -203,15 +203,6 @@ def describe(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     return basic.join(cuts, "_key").select(*_unbound(keys), "n", "mean", "std", "min", "max", "q25", "q50", "q75")
 
 
-def describe_approx(df: DataFrame, keys: Sequence[str], value: str, accuracy: int = 10_000) -> DataFrame:
-    """Like ``describe`` with sketched quartiles: one pass, error bounded by 1/accuracy of the rows."""
-    cuts = F.percentile_approx(value, list(QUARTILES), accuracy)
-    return df.filter(F.col(value).isNotNull()).groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"),
-        F.min(value).alias("min"), F.max(value).alias("max"), cuts.alias("quartiles"),
-    )
-
-
 def histogram(df: DataFrame, keys: Sequence[str], value: str, bins: int) -> DataFrame:
     """Equal-width bins between min and max per group, the last one closed; empty bins included.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators import batching, lookups
@@ -32,9 +33,14 @@ def still_to_send(plan: DataFrame, packed_members: DataFrame) -> DataFrame:
 
 
 def resume(archives_path: str, fresh, store: DataFrame) -> DataFrame:
-    """Remaining work of a plan: the saved table when there is one, else ``fresh()`` saved now."""
-    spark = store.sparkSession
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(archives_path + "/_SUCCESS")
-    saved = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
-    plan = spark.read.parquet(archives_path) if saved else materialise(fresh(), "plan", archives_path)
+    """Remaining work of a plan: the saved table when there is one, else ``fresh()`` saved now.
+
+    Part files appear when their job commits; a folder without any holds no plan.
+    """
+    try:
+        plan = store.sparkSession.read.parquet(archives_path)
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        plan = materialise(fresh(), "plan", archives_path)
     return still_to_build(plan, store)

@@ -90,9 +90,9 @@ def with_prefix(keys: DataFrame, prefix: str, key: str = "key") -> DataFrame:
     return keys.filter(F.startswith(F.col(key), F.lit(prefix)))
 
 
-def buckets(spark: SparkSession, path: str) -> DataFrame:
-    """Configured buckets from a JSON array of {name, description}."""
-    return spark.read.schema("name string, description string").json(path, multiLine=True)
+def buckets(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Configured buckets from JSON: files of one array of {name, description} each, or with ``lines`` one object or array per line."""
+    return spark.read.schema("name string, description string").json(path, multiLine=not lines)
 
 
 def synthetic_tree(folders: DataFrame, files_per_folder: int, size: int, folder: str = "folder") -> DataFrame:

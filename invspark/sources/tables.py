@@ -16,10 +16,9 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: str) -> Dat
     return spark.read.schema(schema).option("header", True).option("escape", '"').csv(where)
 
 
-def write_csv(df: DataFrame, path: str, append: bool = False, single: bool = False) -> None:
-    """Part files below ``path``; ``single`` is meant for small reports only."""
-    out = df.coalesce(1) if single else df
-    out.write.mode("append" if append else "overwrite").option("header", True).option("escape", '"').csv(path)
+def write_csv(df: DataFrame, path: str, append: bool = False) -> None:
+    """Part files below ``path``."""
+    df.write.mode("append" if append else "overwrite").option("header", True).option("escape", '"').csv(path)
 
 
 def read_upload_log(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:

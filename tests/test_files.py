@@ -202,3 +202,10 @@ def test_move_then_delete_copied(spark, tmp_path):
         [tuple(r) for r in archive.apply_actions(copies, str(root)).collect()], "action string, key string, target string, status string, error string")
     archive.apply_actions(actions.delete_copied(copies, results), str(root)).collect()
     assert (root / "other/k").read_text() == "v" and not (root / "k").exists()
+
+
+def test_bucket_configuration(spark, tmp_path):
+    from invspark.sources import listing
+
+    (tmp_path / "one.json").write_text('[\n {"name": "a", "description": "first"},\n {"name": "b"}\n]\n')
+    assert [tuple(r) for r in listing.buckets(spark, str(tmp_path / "one.json")).collect()] == [("a", "first"), ("b", None)]
