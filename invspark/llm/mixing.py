@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .common import outside, uniform
 
 OTHER = "(other)"
+#: Names used on the way; columns that bear them give way.
+INNER = ["_source", "_lang", "_topic", "_tokens", "_hash", "_weight", "_probability"]
 MARGINS = ("source", "lang", "topic")
 #: No cell weighs more, however far targets pull apart.
 LIMIT = 1e9
@@ -37,21 +39,20 @@ class Targets:
     topics: Sequence[tuple[str, str]]
 
 
-def topic_of(text: str, topics: Sequence[tuple[str, str]]) -> Column:
+def topic_of(text: str, topics: Sequence[tuple[str, str]], named: Mapping[str, float]) -> Column:
     found = F.lit(OTHER)
     for name, pattern in reversed(topics):
-        found = F.when(F.col(text).rlike(pattern), F.lit(name)).otherwise(found)
+        found = F.when(F.col(text).rlike(pattern), F.lit(name if name in named else OTHER)).otherwise(found)
     return found
 
 
 def labelled(docs: DataFrame, targets: Targets, text: str = "text", source: str = "source", lang: str = "lang") -> DataFrame:
     """Add ``_source``, ``_lang``, ``_topic`` (a named category or ``OTHER``) and ``_tokens`` (words of the text; null: 0)."""
     fold = lambda c, named: F.when(F.col(c).isin(list(named)), F.col(c)).otherwise(F.lit(OTHER))
-    topic = topic_of(text, targets.topics)
     return docs.select(
-        *outside(docs, ["_source", "_lang", "_topic", "_tokens"]),
+        *outside(docs, INNER),
         fold(source, targets.source).alias("_source"), fold(lang, targets.lang).alias("_lang"),
-        F.when(topic.isin(list(targets.topic)), topic).otherwise(F.lit(OTHER)).alias("_topic"),
+        topic_of(text, targets.topics, targets.topic).alias("_topic"),
         F.coalesce(F.regexp_count(F.col(text), F.lit(WORDS)), F.lit(0)).cast("long").alias("_tokens"),
     )
 
@@ -111,7 +112,7 @@ def mix(
 
     Whether a row is sampled depends on ``key``, its id and its text alone: repeated rows share their fate, runs repeat.
     Sampled rows weighted by ``sample_weight`` have the target shares in expectation. Null categories count as unnamed.
-    Own columns of those names give way. An empty table stays empty.
+    Own columns of those names, and of ``INNER``, give way. An empty table stays empty.
     """
     added = ["topic", "n_tokens", "weight", "probability", "sampled", "sample_weight"]
     marked = labelled(docs, targets, text, source, lang)
