@@ -35,8 +35,11 @@ from .common import batches, outside
 #: Bounds on what a worker remembers.
 MAX_STATES = 60_000
 MAX_PAIRS = 300_000
-MAX_PIECES = 200_000
+MAX_PIECES = 300_000
 MAX_PIECE_BYTES = 64
+#: How often an arc is done without before it is made, and after how many such pieces the states are made anew.
+WANTED = 2
+RESTART = 20_000_000
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
@@ -55,6 +58,10 @@ def merged(ranks: dict[bytes, int], piece: bytes) -> list[bytes]:
     return parts
 
 
+#: Stands for the token before the first.
+FIRST = (1 << 31) - 1
+
+
 class State(dict):
     """Arcs by byte: (next state, ids emitted). ``last``: the ids still owed if the piece ends here."""
 
@@ -66,6 +73,15 @@ class State(dict):
         self.last = next((owed for owed, _, node in hypotheses if node == 0), ())
 
 
+class Pieces(dict):
+    """Packed ids (four bytes each) by piece; a piece that is not there is encoded, and remembered if it is short."""
+
+    __slots__ = ("machine",)
+
+    def __missing__(self, piece: str) -> bytes:
+        return self.machine.remember(piece)
+
+
 class Transducer:
     """``encode(piece)`` gives the ids of one piece."""
 
@@ -87,16 +103,17 @@ class Transducer:
                     self.inner.append(False)
                 node = after
             self.token[node] = rank
-        self.pairs: dict[tuple[int | None, int], bool] = {}
+        # By before << 32 | token.
+        self.pairs: dict[int, bool] = {}
         self.made: dict[int, tuple[bytes, bytes] | None] = {}
-        self.pieces: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
+        self.pieces, self.older = Pieces(), dict[str, bytes]()
+        self.pieces.machine = self
         self._restart()
 
     def _restart(self) -> None:
         self.states: dict[tuple, State] = {}
         self.misses = 0
-        self.start = State((((), None, 0),))
+        self.start = State((((), FIRST, 0),))
 
     def _halves(self, token: int) -> tuple[bytes, bytes] | None:
         """The two parts whose merge made a token; None for a single byte."""
@@ -112,15 +129,15 @@ class Transducer:
                 if rank is not None:
                     yield whole[i:j], rank
 
-    def _follows(self, before: int | None, token: int) -> bool:
+    def _follows(self, before: int, token: int) -> bool:
         """Whether ``token`` may come after ``before`` (or first) in an encoding."""
         if len(self.pairs) >= MAX_PAIRS:
             self.pairs.clear()
-        if before is None:
+        if before == FIRST:
             known = self._halves(token) is None or len(self._halves(token)) == 2
         else:
             known = self._stay_apart(before, token)
-        self.pairs[before, token] = known
+        self.pairs[before << 32 | token] = known
         return known
 
     def _stay_apart(self, left: int, right: int) -> bool:
@@ -154,7 +171,7 @@ class Transducer:
                 after.append((owed, before, node))
             token = self.token[node]
             if token is not None:
-                follows = pairs.get((before, token))
+                follows = pairs.get(before << 32 | token)
                 if self._follows(before, token) if follows is None else follows:
                     after.append(((*owed, token), token, 0))
         emitted = after[0][0]
@@ -169,8 +186,7 @@ class Transducer:
         found = self.states.get(key)
         if found is None:
             found = State(key)
-            # Beyond the bound, further states live only as long as the piece; many of them mean other text: start anew.
-            self.misses += 1
+            # Beyond the bound, further states live only as long as the piece.
             if len(self.states) < MAX_STATES:
                 self.states[key] = found
         arc = (found, emitted)
@@ -181,7 +197,7 @@ class Transducer:
     def _finish(self, hypotheses: tuple, rest: bytes) -> list[int]:
         """Read the rest of a short piece without determinising: the hypotheses are moved as they are."""
         step, pairs, inner, token_of = self.step, self.pairs, self.inner, self.token
-        alive = [(owed, before, node) for owed, before, node in hypotheses]
+        alive = hypotheses
         for byte in rest:
             after = []
             for owed, before, node in alive:
@@ -192,48 +208,58 @@ class Transducer:
                     after.append((owed, before, node))
                 token = token_of[node]
                 if token is not None:
-                    follows = pairs.get((before, token))
+                    follows = pairs.get(before << 32 | token)
                     if self._follows(before, token) if follows is None else follows:
                         after.append(((*owed, token), token, 0))
             alive = after
         return next(owed for owed, _, node in alive if node == 0)
 
-    def read(self, piece: bytes) -> Iterator[int]:
-        """Ids of a piece, each as soon as its bytes leave no other choice.
-
-        An arc is determinised when it is wanted again; a short piece that meets a new one is finished without.
-        """
-        if self.misses > 8 * MAX_STATES:
-            self._restart()
+    def read(self, piece: Iterable[int]) -> Iterator[int]:
+        """Ids of a piece of any length, each as soon as its bytes leave no other choice."""
         state = self.start
+        for byte in piece:
+            arc = state.get(byte)
+            state, emitted = arc if type(arc) is tuple else self._arc(state, byte)
+            if emitted:
+                yield from emitted
+        yield from state.last
+
+    def _read_short(self, piece: bytes) -> tuple[int, ...]:
+        """The same for a short piece: an arc is determinised when it has been wanted often enough to pay, and while
+        there is room for its state; until then the piece is finished without."""
+        state, out = self.start, ()
         for place, byte in enumerate(piece):
-            arc = state.get(byte, False)
-            if not arc:
-                if arc is False and len(piece) - place <= MAX_PIECE_BYTES:
-                    state[byte] = None
-                    yield from self._finish(state.hypotheses, piece[place:])
-                    return
+            arc = state.get(byte, 0)
+            if type(arc) is int:
+                if arc < WANTED or len(self.states) >= MAX_STATES:
+                    state[byte] = arc + 1
+                    self.misses += 1
+                    return out + tuple(self._finish(state.hypotheses, piece[place:]))
                 arc = self._arc(state, byte)
             state, emitted = arc
             if emitted:
-                yield from emitted
-        yield from state.last
+                out += emitted
+        return out + state.last
+
+    def encode(self, piece: bytes) -> tuple[int, ...]:
+        """The ids of a piece. A piece that is a token as a whole is that token, even where merges do not lead to it."""
+        whole = self.ranks.get(piece)
+        if whole is not None:
+            return (whole,)
+        if self.misses > RESTART:  # other text than the states were made for: start anew
+            self._restart()
+        return self._read_short(piece) if len(piece) <= MAX_PIECE_BYTES else tuple(self.read(piece))
 
-    def encode(self, piece: str) -> tuple[int, ...]:
-        """The ids of a piece. Short pieces are remembered in two generations, each up to a bound."""
-        known = self.pieces.get(piece)
+    def remember(self, piece: str) -> bytes:
+        """The packed ids of a piece. Short pieces are remembered in two generations, each up to a bound."""
+        known = self.older.get(piece)
         if known is None:
-            known = self.older.get(piece)
-            if known is None:
-                data = piece.encode()
-                # A piece that is a token as a whole is that token, even where merges do not lead to it.
-                whole = self.ranks.get(data)
-                known = tuple(self.read(data)) if whole is None else (whole,)
-            if len(piece) <= MAX_PIECE_BYTES:
-                if len(self.pieces) >= MAX_PIECES:
-                    self.older = self.pieces.copy()
-                    self.pieces.clear()
-                self.pieces[piece] = known
+            known = array("i", self.encode(piece.encode())).tobytes()
+        if len(piece) <= MAX_PIECE_BYTES:
+            if len(self.pieces) >= MAX_PIECES:
+                self.older = dict(self.pieces)
+                self.pieces.clear()
+            self.pieces[piece] = known
         return known
 
 
@@ -246,6 +272,7 @@ class Decoder:
     def __init__(self, tokens: dict[int, bytes]):
         self.tokens = tokens
         self.states: dict[bytes, dict[int, tuple[str, dict]]] = {}
+        self.whole: dict[int, str] = {}
         self.restart()
 
     def _state(self, open_bytes: bytes) -> dict:
@@ -257,6 +284,8 @@ class Decoder:
     def _arc(self, state: dict, token: int) -> tuple[str, dict]:
         text, rest = complete(state[-1] + self.tokens[token])
         arc = state[token] = (text, self._state(rest))
+        if not state[-1] and not rest:
+            self.whole[token] = text
         return arc
 
     def restart(self) -> None:
@@ -271,8 +300,11 @@ class Decoder:
         self.restart()
         return rest.decode("utf-8", "replace")
 
-    def text(self, tokens: Iterable[int]) -> str:
-        """A whole sequence at once."""
+    def text(self, tokens: list[int]) -> str:
+        """A whole sequence at once; tokens of whole characters need no state."""
+        found = list(map(self.whole.get, tokens))
+        if None not in found:
+            return "".join(found)
         self.restart()
         spelled, state, arc_to = [], self.state, self._arc
         for token in tokens:
@@ -307,18 +339,14 @@ def machines(data: bytes) -> tuple[Transducer, Decoder]:
     return _MACHINES[name]
 
 
-def encode_text(machine: Transducer, split: regex.Pattern, text: str | None) -> array:
-    out = array("i")
-    encode, known, extend = machine.encode, machine.pieces, out.extend
-    for piece in split.findall(text or ""):
-        extend(known.get(piece) or encode(piece))
-    return out
+def encode_text(machine: Transducer, split: regex.Pattern, text: str | None) -> np.ndarray:
+    return np.frombuffer(b"".join(map(machine.pieces.__getitem__, split.findall(text or ""))), dtype=np.int32)
 
 
-def lists(rows: list[array]) -> pa.ListArray:
+def lists(rows: list[np.ndarray]) -> pa.ListArray:
     """Arrays of ids as one Arrow column."""
     ends = np.cumsum([0, *map(len, rows)], dtype=np.int32)
-    flat = np.frombuffer(b"".join(row.tobytes() for row in rows), dtype=np.int32)
+    flat = np.concatenate([np.zeros(0, np.int32), *rows])
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
 
 
