@@ -150,3 +150,51 @@ def test_hot_group_of_near_copies(spark):
     df = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(docs)], "doc_id long, text string").repartition(6)
     kept = sorted(r.doc_id for r in similar.keep_one(df).collect())
     assert kept[0] == 0 and kept[-300:] == list(range(1500, 1800)) and len(kept) <= 303
+
+
+def flipped(rng, fingerprint, bits):
+    out = fingerprint.copy()
+    for bit in rng.choice(similar.BITS, bits, replace=False).tolist():
+        out[bit // 64] ^= np.uint64(1 << bit % 64)
+    return out
+
+
+def linked(spark, prints):
+    """Classes of 256-bit fingerprints (node: their place) over ``similar.links``."""
+    rows = [(i, *(int(x) for x in p.view(np.int64))) for i, p in enumerate(prints)]
+    nodes = spark.createDataFrame(rows, "node long, " + ", ".join(f"{n} long" for n in similar.NAMES)).repartition(5)
+    edges = [(r.a, r.b) for r in similar.links(nodes).collect()]
+    return simhash.roots(len(prints), np.array([a for a, _ in edges], int), np.array([b for _, b in edges], int))
+
+
+def test_wide_links_of_hot_groups_equal_all_pairs(spark):
+    """Members that are near a chain of others, not one reference, are connected, whatever the size of the group."""
+    rng = np.random.default_rng(13)
+    centre = rng.integers(0, 1 << 64, similar.LANES, dtype=np.uint64)
+    spokes = [flipped(rng, centre, 40) for _ in range(60)]
+    prints = np.array(spokes + [flipped(rng, spokes[i % 60], 34) for i in range(600)] + [flipped(rng, centre, 3) for _ in range(3)])
+    first, second = np.nonzero(similar.distances(prints[:, None], prints[None]) <= 51)
+    assert linked(spark, prints) == simhash.roots(len(prints), first, second)
+
+
+def test_runs_of_any_size_connect_all_pairs():
+    rng = np.random.default_rng(14)
+    for size in (2, 16, 17, 150):
+        for far in (35, 45, 60):
+            centre = rng.integers(0, 1 << 64, similar.LANES, dtype=np.uint64)
+            prints = np.array([flipped(rng, centre, int(rng.integers(5, far))) for _ in range(size)])
+            # One run in every pair of bytes, so that all pairs count.
+            label = similar.sweep(prints, np.arange(size), 51)
+            first, second = np.nonzero(similar.distances(prints[:, None], prints[None]) <= 51)
+            want = simhash.roots(size, first, second)
+            assert len(set(zip(label.tolist(), want))) == len(set(want)) == len(set(label.tolist()))
+
+
+def test_pairs_at_the_radius_meet(spark):
+    """Pairs exactly 51 bits apart, and none of 52."""
+    rng = np.random.default_rng(15)
+    ones = rng.integers(0, 1 << 64, (1000, similar.LANES), dtype=np.uint64)
+    prints = np.concatenate([ones, [flipped(rng, p, 51 if i < 900 else 52) for i, p in enumerate(ones)]])
+    home = linked(spark, prints)
+    assert sum(home[1000 + i] == i for i in range(900)) >= 0.995 * 900
+    assert all(home[1000 + i] == 1000 + i for i in range(900, 1000))
