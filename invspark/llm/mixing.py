@@ -5,8 +5,10 @@ that targets name are told apart, so there are at most
 (sources + 1) x (languages + 1) x (topics + 1) cells, whatever the corpus; their
 token counts are the one thing that reaches the driver. There the cells are
 raked: scaled to each margin in turn until all margins hold. A document's
-chance is its cell's weight, scaled so that the expected sample has the wanted
-size; where that would exceed 1, the rest stays as the document's weight.
+chance is its cell's weight, scaled so that the documents drawn hold the wanted
+part of the corpus; where the scaled weight exceeds 1, the document is in the
+sample that many times (the fraction drawn), so the sample itself has the target
+shares. Repeats come on top of the wanted part.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from .common import outside, uniform
 
 OTHER = "(other)"
 #: Names used on the way; columns that bear them give way.
-INNER = ["_source", "_lang", "_topic", "_tokens", "_hash", "_weight", "_probability"]
+INNER = ["_source", "_lang", "_topic", "_tokens", "_hash", "_weight", "_probability", "_copies"]
 MARGINS = ("source", "lang", "topic")
 #: No cell weighs more, however far targets pull apart.
 LIMIT = 1e9
@@ -88,56 +90,69 @@ def rake(cells: Sequence[tuple], tokens: Sequence[int], shares: Sequence[Mapping
     return weights, float(error)
 
 
-def probabilities(weights: np.ndarray, tokens: Sequence[int], rate: float) -> np.ndarray:
-    """min(1, scale * weight), with the scale at which the expected sample holds ``rate`` of all tokens (or as near as it gets)."""
+def scale(weights: np.ndarray, tokens: Sequence[int], rate: float) -> float:
+    """The factor at which min(1, factor * weight) of the tokens are ``rate`` of all (or as near as it gets: all cells whole)."""
     tokens = np.asarray(tokens, dtype=float)
     wanted, order = rate * tokens.sum(), np.argsort(-weights, kind="stable")
     if wanted <= 0:
-        return np.zeros(len(weights)) if rate <= 0 else np.minimum(1.0, rate * weights)
+        return max(0.0, rate)
     full = np.concatenate([[0.0], np.cumsum(tokens[order])])
     open_ = np.concatenate([np.cumsum((weights * tokens)[order][::-1])[::-1], [0.0]])
     for k in range(len(order) + 1):  # the k heaviest cells are taken whole
         if k == len(order) or open_[k] <= 0:
             break
-        scale = (wanted - full[k]) / open_[k]
-        if scale * weights[order[k]] <= 1:
-            return np.minimum(1.0, max(0.0, scale) * weights)
-    return (weights > 0).astype(float)
+        factor = (wanted - full[k]) / open_[k]
+        if factor * weights[order[k]] <= 1:
+            return max(0.0, factor)
+    # Cells without tokens do not count.
+    least = weights[(weights > 0) & (tokens > 0)]
+    return float(1 / least.min()) if len(least) else 1.0
+
+
+def probabilities(weights: np.ndarray, tokens: Sequence[int], rate: float) -> np.ndarray:
+    """min(1, scale * weight), with the scale at which the expected sample holds ``rate`` of all tokens (or as near as it gets)."""
+    return np.minimum(1.0, scale(weights, tokens, rate) * weights)
 
 
 def mix(
     docs: DataFrame, targets: Targets, rate: float, key: str, id: str = "doc_id", text: str = "text", source: str = "source", lang: str = "lang",
 ) -> DataFrame:
-    """All rows of ``docs`` with ``topic``, ``n_tokens``, ``weight`` (raked), ``probability``, ``sampled`` and ``sample_weight``.
+    """All rows of ``docs`` with ``topic``, ``n_tokens``, ``weight`` (raked), ``probability``, ``sampled``, ``sample_weight`` and ``copies``.
 
-    Whether a row is sampled depends on ``key``, its id and its text alone: repeated rows share their fate, runs repeat.
-    Sampled rows weighted by ``sample_weight`` have the target shares in expectation. Null categories count as unnamed.
+    Whether and how often a row is sampled depends on ``key``, its id and its text alone: repeated rows share their fate,
+    runs repeat. ``rate`` is the part of all tokens that sampled rows hold, each counted once. Sampled rows weighted by
+    ``sample_weight``, or taken ``copies`` times (1 or more; 0 if not sampled), have the target shares in expectation. Null categories count as unnamed.
     Own columns of those names, and of ``INNER``, give way. An empty table stays empty.
     """
-    added = ["topic", "n_tokens", "weight", "probability", "sampled", "sample_weight"]
+    added = ["topic", "n_tokens", "weight", "probability", "sampled", "sample_weight", "copies"]
     marked = labelled(docs, targets, text, source, lang)
     keys = ["_source", "_lang", "_topic"]
     # Bounded by the number of named categories.
     cells = sorted(marked.groupBy(*keys).agg(F.sum("_tokens").alias("n")).collect())
     tokens = [cell["n"] for cell in cells]
     weights, _ = rake([tuple(cell)[:3] for cell in cells], tokens, [targets.source, targets.lang, targets.topic])
-    chances = probabilities(weights, tokens, rate)
-    rows = [(*tuple(cell)[:3], float(w), float(p)) for cell, w, p in zip(cells, weights, chances)]
-    table = docs.sparkSession.createDataFrame(rows, "_source string, _lang string, _topic string, _weight double, _probability double")
+    chances, factor = probabilities(weights, tokens, rate), scale(weights, tokens, rate)
+    # A sampled row of a cell taken whole is there more than once.
+    rows = [(*tuple(cell)[:3], float(w), float(p), max(1.0, float(factor * w)) if cell["n"] else 1.0) for cell, w, p in zip(cells, weights, chances)]
+    table = docs.sparkSession.createDataFrame(rows, "_source string, _lang string, _topic string, _weight double, _probability double, _copies double")
     drawn = marked.withColumn("_hash", F.xxhash64(text)).join(F.broadcast(table), keys)
     sampled = uniform(key, id, "_hash") < F.col("_probability")
+    more = uniform(f"{key}/copies", id, "_hash") < F.col("_copies") - F.floor("_copies")
+    copies = F.when(sampled, F.floor("_copies") + more.cast("long")).otherwise(F.lit(0).cast("long"))
     return drawn.select(
         *[F.col(f"`{c}`") for c in outside(docs, added)],
         F.col("_topic").alias("topic"), F.col("_tokens").alias("n_tokens"), F.col("_weight").alias("weight"), F.col("_probability").alias("probability"),
         sampled.alias("sampled"), F.when(sampled, F.col("_weight") / F.col("_probability")).alias("sample_weight"),
+        copies.alias("copies"),
     )
 
 
 def sample(docs: DataFrame, targets: Targets, rate: float, key: str, **columns: str) -> DataFrame:
-    """The sampled rows, with their own columns only (clashing names kept)."""
+    """The sampled rows, each as often as its ``copies`` say, with their own columns only (clashing names kept)."""
     names = {"id": "doc_id", "text": "text", "source": "source", "lang": "lang"} | columns
     whole = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), *[F.col(column).alias(f"_in_{name}") for name, column in names.items()]
     )
     drawn = mix(whole, targets, rate, key, **{name: f"_in_{name}" for name in names})
-    return drawn.filter("sampled").select("_row.*")
+    repeated = drawn.filter("sampled").select("_row", F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("_copy"))
+    return repeated.select("_row.*")

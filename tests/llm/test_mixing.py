@@ -94,3 +94,32 @@ def test_edges(spark):
     assert kept.columns == docs.columns
     empty = spark.createDataFrame([], SCHEMA)
     assert mixing.mix(empty, queries.MIX, 0.5, "k").count() == 0 == mixing.sample(empty, queries.MIX, 0.5, "k").count()
+
+
+def shares(rows, of, size):
+    total = sum(size(r) for r in rows)
+    out = {}
+    for r in rows:
+        out[of(r)] = out.get(of(r), 0) + size(r) / total
+    return out
+
+
+def test_sample_holds_the_margins(spark):
+    """The sample itself has the target shares: expected copies exactly, the rows of the stage nearly."""
+    sf = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    rows = queries.QUERIES["op4_mixing"](spark, sf).collect()
+    tokens = {r.doc_id: r for r in rows}
+    assert max(r.probability for r in rows) == 1 and max(r.copies for r in rows) > 1
+    stage = [tokens[r.doc_id] for r in mixing.sample(docs, queries.MIX, queries.MIX_RATE, queries.MIX_KEY).select("doc_id").collect()]
+    assert len(stage) == sum(r.copies for r in rows) and all((r.copies >= 1) == r.sampled for r in rows)
+    cells = sorted({(r.source, r.lang, r.topic, r.weight, r.probability) for r in rows})
+    held = [sum(r.n_tokens for r in rows if (r.source, r.lang, r.topic) == c[:3]) for c in cells]
+    factor = mixing.scale(np.array([c[3] for c in cells]), held, queries.MIX_RATE)
+    for margin, of in (("source", lambda r: r.source), ("lang", lambda r: r.lang), ("topic", lambda r: r.topic)):
+        wanted, reached = getattr(queries.MIX, margin), shares(stage, of, lambda r: r.n_tokens)
+        expected = shares([r for r in rows if r.weight > 0], of, lambda r: r.n_tokens * r.probability * max(1, factor * r.weight))
+        scale = sum(v for k, v in wanted.items() if k in expected)
+        for name in set(expected) & set(wanted):
+            assert expected[name] == pytest.approx(wanted[name] / scale, abs=1e-6)
+            assert reached.get(name, 0) == pytest.approx(wanted[name] / scale, abs=0.015)
