@@ -48,9 +48,13 @@ ADDRESS = {
     "Mr": "m", "Mister": "m", "Herr": "m", "Monsieur": "m", "Señor": "m", "Sr": "m", "господин": "m", "Господин": "m",
     "Mrs": "f", "Ms": "f", "Miss": "f", "Frau": "f", "Madame": "f", "Mme": "f", "Señora": "f", "Sra": "f", "госпожа": "f", "Госпожа": "f",
 }
-NAME = re.compile(
-    rf"\b({'|'.join(sorted(ADDRESS, key=len, reverse=True))})\b\.?[  ]+([^\W\d_][^\W\d_'’-]*)(?:[  ]([^\W\d_][^\W\d_'’-]*))?"
-)
+#: A form of address and titles behind it; a name begins there.
+NAME = re.compile(rf"\b({'|'.join(sorted(ADDRESS, key=len, reverse=True))})\b\.?[  ]+(?:(?:Dr|Prof|Professor|Doctor|Doktor)\b\.?[  ]+)*")
+#: Initials with their stops, or a word with inner apostrophes and hyphens (a possessive or contracted ending is none).
+WORD = re.compile(r"(?:[^\W\d_]\.-?)+(?<!-)(?!\w)|[^\W\d_]+(?:['’-](?!(?i:s|ll|d|ve|re|m|t)\b)[^\W\d_]+)*")
+GAP = re.compile("[  ]+")
+#: Stand between the words of a name and stay.
+PARTICLES = frozenset("af al av bin da das de del della den der di do dos du e el ibn la las le los ten ter van vom von y zu zum zur".split())
 #: Character classes: a character is replaced by one of its own class.
 RANGES = (
     ("0", "9"), ("a", "z"), ("A", "Z"), ("ß", "ö"), ("ø", "ÿ"), ("À", "Ö"), ("Ø", "Þ"), ("Ā", "ſ"),
@@ -74,7 +78,26 @@ class Entity(NamedTuple):
 
 
 def _given(word: str) -> bool:
-    return word[:1].isupper() or unicodedata.category(word[0]) == "Lo"
+    return unicodedata.category(word[0]) == "Lo" or any(part[:1].isupper() for part in re.split("['’-]", word))
+
+
+def _name_words(text: str, at: int) -> list[tuple[int, str]]:
+    """The words of a name that begins at ``at``: all that are capitalised, and initials; of a script without case, two."""
+    words: list[tuple[int, str]] = []
+    while m := WORD.match(text, at):
+        word = m[0]
+        if word not in PARTICLES:
+            if word in ADDRESS or not _given(word) or len(words) == 2 and unicodedata.category(word[0]) == "Lo":
+                break
+            words.append((m.start(), word))
+        gap = GAP.match(text, m.end())
+        if not gap:
+            break
+        at = gap.end()
+    # "Mr Smith I": a bare letter ends no name.
+    while len(words) > 1 and len(words[-1][1]) == 1 and unicodedata.category(words[-1][1]) != "Lo":
+        words.pop()
+    return words
 
 
 def detect(text: str | None) -> list[Entity]:
@@ -90,25 +113,29 @@ def detect(text: str | None) -> list[Entity]:
         found.append(Entity(m.start(), m.end(), kind, m[0]))
     names: dict[str, str] = {}
     for m in NAME.finditer(text) if any(word in text for word in ADDRESS) else ():
-        gender, words = ADDRESS[m[1]], [(m.start(g), m[g]) for g in (2, 3) if m[g] and _given(m[g])]
-        if not words or words[0][0] != m.start(2):
-            continue
+        gender, words = ADDRESS[m[1]], _name_words(text, m.end())
+        # The surname is the last word that is no initial.
+        last = max((place for place, (_, word) in enumerate(words) if not word.endswith(".")), default=len(words) - 1)
         for place, (start, word) in enumerate(words):
-            kind = "surname" if place == len(words) - 1 else f"given_{gender}"
+            kind = "surname" if place == last else f"given_{gender}"
             names.setdefault(word, kind)
             found.append(Entity(start, start + len(word), names[word], word))
-    if names:
-        # Later mentions of a surname, or of given name and surname, are the same person.
+    # Single letters and initials stand for too much else.
+    telling = {w: k for w, k in names.items() if len(w) > 1 and not w.endswith(".")}
+    surnames = [w for w, k in telling.items() if k == "surname"]
+    if surnames:
+        # Later mentions of a surname, or of given names and surname, are the same person.
         known = {(e.start, e.end) for e in found}
-        surnames = [w for w, k in names.items() if k == "surname"]
-        given = [w for w, k in names.items() if k != "surname"]
+        given = [w for w, k in telling.items() if k != "surname"]
         last = "|".join(map(re.escape, sorted(surnames, key=len, reverse=True)))
         first = "|".join(map(re.escape, sorted(given, key=len, reverse=True)))
-        mention = re.compile(rf"\b(?:({first})[  ])?({last})\b" if first else rf"\b()({last})\b")
-        for m in mention.finditer(text):
-            for g in (1, 2):
-                if m[g] and m.span(g) not in known:
-                    found.append(Entity(m.start(g), m.end(g), names[m[g]], m[g]))
+        mentions = [rf"\b(?:{last})\b"]
+        if first:
+            mentions.append(rf"\b(?:{first})\b(?=[  ]+(?:(?:{first}|{'|'.join(sorted(PARTICLES))}|[^\W\d_]\.?)[  ]+)*(?:{last})\b)")
+        for mention in mentions:
+            for m in re.finditer(mention, text):
+                if m.span() not in known:
+                    found.append(Entity(m.start(), m.end(), names[m[0]], m[0]))
     order = {"email": 0, "ip": 1, "phone": 1, "ssn": 1, "card": 1}
     found.sort(key=lambda e: (e.start, order.get(e.kind, 2), -e.end))
     out, end = [], 0
@@ -193,6 +220,9 @@ class Surrogates:
         script = next((s for s in SYLLABLES if s in unicodedata.name(value[0], "")), None)
         if script is None:
             return self._spread(value, tweak)
+        if "-" in value.strip("-"):
+            # Each part of a double name is one.
+            return "-".join(self._name(part, f"{value}/{place}/{tweak}", gender) if part else "" for place, part in enumerate(value.split("-")))
         onsets, vowels, endings = SYLLABLES[script]
         drawn = int.from_bytes(hashlib.blake2b(f"{tweak}/{value}".encode(), key=hashlib.sha256(self.key).digest()).digest(), "big")
 
@@ -205,7 +235,7 @@ class Surrogates:
         length = 2 + drawn % 2 + int(tweak.rpartition("/")[2]) // 2
         drawn >>= 1
         word = "".join(draw(onsets) + draw(vowels) for _ in range(length)) + draw(endings[gender])
-        return word.upper() if len(value) > 1 and value.isupper() else word.capitalize()
+        return word.upper() if len(value) > 1 and value.isupper() and not value.endswith(".") else word.capitalize()
 
     def _surname(self, value: str, tweak: str, _: str) -> str:
         return self._name(value, tweak, "")

@@ -124,3 +124,37 @@ def test_query_equals_detection(spark):
         if not entities:
             assert row.text == rest
     assert len(set(mapping.values())) == len(mapping) == len(real)
+
+
+def names_of(text):
+    return [(e.kind, e.value) for e in pii.detect(text)]
+
+
+def test_whole_names():
+    for text, want in (
+        ("Mr O'Brien came.", [("surname", "O'Brien")]),
+        ("Mrs Anne-Marie Lopez", [("given_f", "Anne-Marie"), ("surname", "Lopez")]),
+        ("Mrs Smith-Jones's car", [("surname", "Smith-Jones")]),
+        ("Frau Anna Maria Lopez", [("given_f", "Anna"), ("given_f", "Maria"), ("surname", "Lopez")]),
+        ("Mr A. Smith has a plan A", [("given_m", "A."), ("surname", "Smith")]),
+        ("Mr A Smith has a plan A", [("given_m", "A"), ("surname", "Smith")]),
+        ("Mr J.R.R. Tolkien wrote", [("given_m", "J.R.R."), ("surname", "Tolkien")]),
+        ("Herr Ludwig van der Berg ging", [("given_m", "Ludwig"), ("surname", "Berg")]),
+        ("Mr van Dyke’s hat", [("surname", "Dyke")]),
+        ("Mr\u00a0Paul\u00a0Smith", [("given_m", "Paul"), ("surname", "Smith")]),
+        ("Herr Dr. Müller kam", [("surname", "Müller")]),
+        ("Mr B and plan B", [("surname", "B")]),
+        ("Mr Smith I know", [("surname", "Smith")]),
+        ("Mr Smith Mrs Jones", [("surname", "Smith"), ("surname", "Jones")]),
+        ("Mr Smith's dog, Smith's cat", [("surname", "Smith"), ("surname", "Smith")]),
+    ):
+        assert names_of(text) == want, text
+
+
+def test_later_mentions_of_whole_names():
+    text = "Frau Anna Maria de Lopez rief an. Anna Maria de Lopez und Maria Lopez, Lopez. Anna. Mr Lee O'Neil-Fox; O'Neil-Fox."
+    surrogates = pii.Surrogates(b"k")
+    made, places = pii.replace(text, surrogates, {})
+    assert [made[a:b] for a, b, k in places] == [surrogates.of(k, v) for k, v in names_of(text)]
+    assert not any(w in made for w in ("Maria", "Lopez", "O'Neil", "Fox", "Lee")) and made.count("Anna") == 1 and made.count(" de ") == 2
+    assert surrogates.of("surname", "Smith-Jones").count("-") == 1 and surrogates.of("given_m", "A.").istitle()
