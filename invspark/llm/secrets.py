@@ -51,15 +51,17 @@ FORMS = (
 WINDOW = 20
 DIGITS, LOWER = "0123456789", "abcdefghijklmnopqrstuvwxyz"
 ALPHABETS = (
-    Alphabet("entropy_hex", r"(?<![A-Za-z0-9+/_=-])[0-9A-Fa-f]{20,}(?![A-Za-z0-9+/_=-])", DIGITS + LOWER[:6] + LOWER[:6].upper(), 3.0, r"[0-9]"),
+    Alphabet("entropy_hex", r"(?<![A-Za-z0-9])[0-9A-Fa-f]{20,}(?![A-Za-z0-9])", DIGITS + LOWER[:6] + LOWER[:6].upper(), 3.0, r"[0-9]"),
     Alphabet("entropy_base64", r"[A-Za-z0-9+/_=-]{20,}", DIGITS + LOWER + LOWER.upper() + "+/_=-", 3.75, r"(?=.*[0-9])(?=.*[A-Za-z])(?=.*[^0-9A-Fa-f])"),
 )
 KINDS = tuple(f.kind for f in FORMS) + tuple(a.kind for a in ALPHABETS)
-#: Strings that look random and are not secret: UUIDs, samples, alphabets, words joined by hyphens.
+#: Strings that look random and are not secret: UUIDs, samples, alphabets, words joined by hyphens. A candidate may
+#: hold a name and its value: samples are told by what stands behind its last separator, alphabets by what stands
+#: behind its last equals sign (they hold the other separators); equals signs at the end are padding.
 ALLOWED = (
     r"^[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$",
-    r"(?i)example|sample|dummy|placeholder",
-    r"(?i)0123456789|abcdefghijklm|nopqrstuvwxyz",
+    r"(?i)(?:example|sample|dummy|placeholder)[^=/_+-]*=*$",
+    r"(?i)(?:0123456789|abcdefghijklm|nopqrstuvwxyz)[^=]*=*$",
     r"^[A-Za-z]+([-_/=+][A-Za-z]+)+$",
 )
 #: c * log2(c), in whole millionths, so that sums do not drift while a window slides.

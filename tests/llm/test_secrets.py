@@ -84,3 +84,19 @@ def test_query(spark):
 def test_empty_table(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert secrets.scan(empty).columns == ["doc_id", "text", "base", "spans"] and secrets.scan(empty).count() == 0
+
+
+def test_hex_behind_separators_and_samples_by_value(spark):
+    import random as r
+
+    r.seed(6)
+    heads = ["k=", "sig=", "a/", "x-", "y_", "z+", " "]
+    texts = [f"{heads[i % 7]}{''.join(r.choice('0123456789ABCDEF' if i % 2 else '0123456789abcdefABCDEF') for _ in range(32))} end" for i in range(210)]
+    value = "kJ8sN2vQ7xL4zR9tB6wE"
+    joined_ = [f"sample_key={value}", f"example/{value}==", f"dummy-{value}"]
+    allowed = [f"key={value}EXAMPLE", f"a/{value}sample==", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"]
+    found = secrets.scan(spark.createDataFrame(list(enumerate(texts + joined_ + allowed)), "doc_id long, text string")).collect()
+    spans = {row.doc_id: [s for s in row.spans if s.kind.startswith("entropy")] for row in found}
+    caught = [i for i in range(210) if any(s.kind == "entropy_hex" and (s.start, s.end) == (len(heads[i % 7]), len(heads[i % 7]) + 32) for s in spans[i])]
+    assert len(caught) >= 0.98 * 210
+    assert all(spans[i] for i in range(210, 213)) and not any(spans[i] for i in range(213, 216))
