@@ -10,7 +10,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, chat, mixing, pii, quality, secrets, shards, simhash, vafile, warc
+from . import bpe, chat, lines, mixing, pii, quality, secrets, shards, simhash, vafile, warc
 from .common import folder_uri, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -206,3 +206,20 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select(F.col("text").cast("binary").alias("ids"))
     written = shards.write(docs, folder_uri(spark, "shards"), SHARD_KEY, SHARD)
     return shards.read(written).select("slot", "index", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"))
+
+
+@query("op12_line_dedup", """
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+u AS (SELECT rid, doc_id, unnest(l) AS line, unnest(range(1, len(l) + 1)) AS place FROM d),
+k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM u),
+g AS (SELECT key, max(doc_id) AS top FROM k WHERE length(key) >= 20 GROUP BY key
+    HAVING count(DISTINCT doc_id) + (count(*) > count(doc_id))::BIGINT >= 3),
+m AS (SELECT k.*, g.key IS NOT NULL AND doc_id IS DISTINCT FROM top AS gone FROM k LEFT JOIN g USING (key))
+SELECT doc_id, count(*)::BIGINT AS n_lines, (count(*) FILTER (gone))::BIGINT AS n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY rid, doc_id""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that others repeat."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.dedup(docs).select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
