@@ -10,7 +10,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, chat, lines, mixing, pii, quality, secrets, shards, simhash, vafile, warc
+from . import bpe, chat, lines, mixing, negatives, pii, quality, secrets, shards, simhash, vafile, warc
 from .common import folder_uri, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -223,3 +223,20 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines that others repeat."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return lines.dedup(docs).select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query("op13_hard_negatives", """
+WITH v AS (SELECT row_number() OVER () AS rid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+    FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.rid, a.vec_id AS anchor_id, c.vec_id, c.label = a.label AS same, list_dot_product(a.e, c.e)::BIGINT AS score
+    FROM v a JOIN v c ON c.vec_id <> a.vec_id AND len(c.e) = len(a.e) WHERE a.vec_id % 50 = 0),
+p AS (SELECT rid, anchor_id, vec_id AS positive_id, score AS positive_score, row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id) AS place FROM s WHERE same),
+r AS (SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score, row_number() OVER (PARTITION BY p.rid, p.place ORDER BY s.score DESC, s.vec_id)::INTEGER AS rank
+    FROM p JOIN s ON s.rid = p.rid AND NOT s.same AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score WHERE p.place <= 5)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM r WHERE rank <= 3""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three hard negatives for each of the five positives of every row whose id is divisible by 50; labels are first moved for every seventh id."""
+    moved = F.expr("CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END").alias("label")
+    vectors = read(spark, sf_dir, "embeddings").select("vec_id", "embedding", moved)
+    return negatives.mine(vectors, "vec_id % 50 = 0")
