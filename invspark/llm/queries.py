@@ -10,7 +10,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, chat, lines, mixing, negatives, pii, quality, secrets, shards, simhash, vafile, warc
+from . import bpe, chat, lines, mixing, negatives, pii, quality, secrets, shards, simhash, turns, vafile, warc
 from .common import folder_uri, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -240,3 +240,72 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     moved = F.expr("CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END").alias("label")
     vectors = read(spark, sf_dir, "embeddings").select("vec_id", "embedding", moved)
     return negatives.mine(vectors, "vec_id % 50 = 0")
+
+
+def _way(edit: str, cost: str, way: str, line: str | None = None) -> str:
+    """SQL of one edit before a way of finishing.
+
+    A way is text: a cost of 12 digits, an audit, chr(1), the repaired rows. So the least text is the least cost, then the least audit.
+    """
+    rest = f"substr({way}, 13)"
+    body = f"substr({rest}, instr({rest}, chr(1)) + 1)"
+    joined = f"{line} || CASE WHEN {body} = '' THEN '' ELSE chr(10) || {body} END" if line else body
+    return f"(printf('%012d', substr({way}, 1, 12)::BIGINT + {cost}) || '{edit}' || substr({rest}, 1, instr({rest}, chr(1)) - 1) || chr(1) || {joined})"
+
+
+def _ways() -> str:
+    """The least way from each place in the pattern whose next edit reads a row, given those behind the row."""
+    fit, more, out = "fault NOT IN ('blank', 'duplicate')", "(CASE fault WHEN 'truncated' THEN 5 ELSE 0 END)", []
+    for place, (to, role, keeps) in enumerate([(2, "user", {"s": 1, "u": 2}), (2, "user", {"u": 2}), (3, "assistant", {"a": 3}), (2, "user", {"u": 2})]):
+        ways = [f"CASE WHEN {fit} AND substr(role, 1, 1) = '{c}' THEN {_way('K', more, f'w{q}', 'line')} END" for c, q in keeps.items()]
+        changed = f"('{role}:' || text)"
+        ways.append(f"CASE WHEN {fit} THEN {_way('R', '1 + ' + more, f'w{to}', changed)} END")
+        ways.append(_way("D", "2", f"w{place}"))
+        out.append(f"least({', '.join(ways)}) AS x{place}")
+    return ", ".join(out)
+
+
+def _inserted() -> str:
+    """The least way from each place, inserts first; ``x`` are those whose next edit reads a row."""
+    to_a, to_u = _way("I", "5", "x3", "'assistant:'"), _way("I", "5", "x2", "'user:'")
+    from_start = _way("I", "5", f"least(x2, {to_a})", "'user:'")
+    return f"least(x0, {from_start}) AS w0, least(x1, {from_start}) AS w1, least(x2, {to_a}) AS w2, least(x3, {to_u}) AS w3"
+
+
+ENDED = "printf('%012d', 0) || chr(1)"
+
+
+@query("op11_conversation_repair", rf"""
+WITH RECURSIVE r AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        xor(list_reduce([4294967295::BIGINT] || list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda c: ascii(c)::BIGINT),
+            lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, i: xor(x >> 1, (x & 1) * 3988292384))), 4294967295::BIGINT) % 20 AS what
+    FROM conversations),
+d AS (
+    SELECT conv_id, turn, CASE what WHEN 4 THEN 'user' ELSE role END AS role,
+        CASE what WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+    FROM r, range(2) t(copy) WHERE what <> 0 AND (copy = 0 OR what = 3)),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS n FROM d),
+f AS (
+    SELECT *, role || ':' || text AS line, CASE
+        WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+        WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 THEN 'duplicate'
+        WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 'truncated' ELSE '' END AS fault,
+        coalesce(lag(substr(role, 1, 1)) OVER w || substr(role, 1, 1) NOT IN ('su', 'ua', 'au'), false) AS illegal
+    FROM o WINDOW w AS (PARTITION BY conv_id ORDER BY n)),
+c AS (SELECT DISTINCT conv_id FROM conversations),
+g AS (
+    SELECT conv_id, max(n) AS n_rows, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, (count(*) FILTER (fault = 'blank'))::BIGINT AS blank,
+        (count(*) FILTER (fault = 'duplicate'))::BIGINT AS duplicate, (count(*) FILTER (fault = 'truncated'))::BIGINT AS truncated, (count(*) FILTER (illegal))::BIGINT AS illegal
+    FROM f GROUP BY conv_id),
+w AS (
+    SELECT conv_id, n, {_inserted()} FROM (SELECT conv_id, n_rows + 1 AS n, {ENDED} AS x0, NULL::VARCHAR AS x1, NULL::VARCHAR AS x2, {ENDED} AS x3 FROM g)
+    UNION ALL
+    SELECT conv_id, n, {_inserted()} FROM (SELECT w.conv_id, f.n, {_ways()} FROM w JOIN f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.n = w.n - 1))
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+    coalesce(illegal, 0) AS illegal, coalesce(substr(w0, 1, 12)::BIGINT, 0) AS cost, coalesce(substr(w0, 13, instr(w0, chr(1)) - 13), '') AS audit,
+    sha256(coalesce(substr(w0, instr(w0, chr(1)) + 1), '')) AS repaired_sha256
+FROM c LEFT JOIN g ON g.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN w ON w.conv_id IS NOT DISTINCT FROM c.conv_id AND w.n = 1""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, damaged and repaired at least cost."""
+    return turns.digests(turns.repair(turns.damage(read(spark, sf_dir, "conversations"))))
