@@ -9,6 +9,9 @@ from __future__ import annotations
 
 import hashlib
 import io
+import posixpath
+import re
+import time
 import zipfile
 import zlib
 from collections.abc import Iterator
@@ -22,15 +25,66 @@ MEMBER_DATE = (1980, 1, 1, 0, 0, 0)
 BLOCK = 8 * 1024**2
 FLUSH = 64 * 1024**2
 
-PACKED = "zip_key string, n_members long, n_skipped long, size long, md5 string, members string, skipped string"
+PACKED = "zip_key string, n_members long, n_skipped long, size long, md5 string, members string, skipped string, start_us long, end_us long"
 UNPACKED = "zip_key string, member string, size long, md5 string, content binary, error string"
 EXTRACTED = "zip_key string, member string, size long, md5 string, status string, error string"
 
 
-def _open(path: str):
+def open_path(path: str):
     return pafs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:/") else (pafs.LocalFileSystem(), path)
 
 
+class UnsafeName(ValueError):
+    """A member name that does not stay below the folder it is extracted to."""
+
+
+def target_of(out_root: str, zip_key: str, member: str) -> str:
+    """Where a member goes: below ``out_root``, under its archive's folder. Names that would leave that folder are refused."""
+    folder = zip_key.rpartition("/")[0]
+    for name in (folder, member) if folder else (member,):
+        if not name or name.startswith("/") or "\\" in name or "\0" in name or re.match("[A-Za-z]:", name) or ".." in name.split("/"):
+            raise UnsafeName(name)
+    inside = posixpath.normpath(member)
+    if inside == "." or member.endswith("/"):
+        raise UnsafeName(member)
+    return "/".join(part for part in (out_root, folder, inside) if part)
+
+
+class Written:
+    """A file written under a temporary name and renamed when all went well, else removed."""
+
+    def __init__(self, target: str, attempt: str):
+        self.system, self.target = open_path(target)
+        self.partial = f"{self.target}.{attempt}.partial"
+
+    def __enter__(self):
+        self.system.create_dir(self.target.rsplit("/", 1)[0], recursive=True)
+        self.sink = self.system.open_output_stream(self.partial, compression=None)
+        return self.sink
+
+    def __exit__(self, kind, *error) -> None:
+        self.sink.close()
+        if kind is None:
+            self.system.move(self.partial, self.target)
+        else:
+            self.system.delete_file(self.partial)
+
+
+class _Unreadable(Exception):
+    """A source that fails while it is read."""
+
+
+def _blocks(stream) -> Iterator[bytes]:
+    while True:
+        try:
+            block = stream.read(BLOCK)
+        except OSError as error:
+            raise _Unreadable from error
+        if not block:
+            return
+        yield block
+
+
 def _info(name: str, compress: bool) -> zipfile.ZipInfo:
     info = zipfile.ZipInfo(name, MEMBER_DATE)
     info.compress_type = zipfile.ZIP_DEFLATED if compress else zipfile.ZIP_STORED
@@ -62,39 +116,49 @@ def pack_contents(members: DataFrame, compress: bool = False) -> DataFrame:
 def pack_files(plan: DataFrame, out_root: str, dest: str, compress: bool = False, tasks: int | None = None) -> DataFrame:
     """Write the archives of a batch plan below ``out_root`` with their manifests, streaming member files; one result row each.
 
-    Unreadable members are skipped, left out of the archive's member list and
-    named in ``skipped``. Member names are relative to the archive's folder
-    ``dest``. The manifest (``.metadata``, names joined by ``|``) is written
-    once the archive is in place.
+    Members that cannot be opened, or fail while they are read, are skipped, left
+    out of the archive's member list and named in ``skipped``; what was read of
+    them stays behind as unlisted bytes. Member names are relative to the
+    archive's folder ``dest``. The manifest (``.metadata``, names joined by
+    ``|``) is written once the archive is in place. ``start_us`` and ``end_us``
+    are taken before the first member and after the manifest, for the log.
     """
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.itertuples(index=False):
-                system, target = _open(f"{out_root}/{row.zip_key}")
+                system, target = open_path(f"{out_root}/{row.zip_key}")
                 system.create_dir(target.rsplit("/", 1)[0], recursive=True)
                 partial = f"{target}.{row.attempt}.partial"
-                names, skipped = [], []
+                names, skipped, start = [], [], time.time_ns() // 1000
                 with system.open_output_stream(partial) as sink, zipfile.ZipFile(sink, "w") as archive:
                     for member in row.members:
                         name = member["object_name"]
                         name = name[len(dest) + 1:] if dest and name.startswith(dest + "/") else name
                         try:
-                            source_fs, source = _open(member["path"])
+                            source_fs, source = open_path(member["path"])
                             stream = source_fs.open_input_stream(source)
                         except OSError:
                             skipped.append(name)
                             continue
-                        with stream, archive.open(_info(name, compress), "w", force_zip64=True) as slot:
-                            while block := stream.read(BLOCK):
-                                slot.write(block)
-                        names.append(name)
+                        info = _info(name, compress)
+                        try:
+                            with stream, archive.open(info, "w", force_zip64=True) as slot:
+                                for block in _blocks(stream):
+                                    slot.write(block)
+                            names.append(name)
+                        except _Unreadable:
+                            # The directory is written last; what it does not list is no member.
+                            archive.filelist.remove(info)
+                            archive.NameToInfo.pop(name)
+                            skipped.append(name)
                 size, md5 = _digest(system, partial)
                 system.move(partial, target)
                 _put(system, f"{target}.metadata", "|".join(names).encode(), row.attempt)
                 yield pd.DataFrame({
                     "zip_key": [row.zip_key], "n_members": [len(names)], "n_skipped": [len(skipped)],
                     "size": [size], "md5": [md5], "members": ["|".join(names)], "skipped": ["|".join(skipped)],
+                    "start_us": [start], "end_us": [time.time_ns() // 1000],
                 })
 
     rows = plan.select("zip_key", "members", F.expr("uuid()").alias("attempt"))
@@ -114,7 +178,7 @@ def write_contents(archives: DataFrame, root: str) -> DataFrame:
     def write(batches):
         for batch in batches:
             for key, content, attempt in zip(batch["zip_key"], batch["content"], batch["attempt"]):
-                system, path = _open(f"{root}/{key}")
+                system, path = open_path(f"{root}/{key}")
                 system.create_dir(path.rsplit("/", 1)[0], recursive=True)
                 _put(system, path, content, attempt)
             yield batch[["zip_key"]].assign(size=batch["content"].str.len())
@@ -130,7 +194,7 @@ def write_manifests(manifest: DataFrame, root: str) -> DataFrame:
         for batch in batches:
             sizes = []
             for key, text, attempt in zip(batch["zip_key"], batch["text"], batch["attempt"]):
-                system, path = _open(f"{root}/{key}.metadata")
+                system, path = open_path(f"{root}/{key}.metadata")
                 system.create_dir(path.rsplit("/", 1)[0], recursive=True)
                 _put(system, path, text.encode(), attempt)
                 sizes.append(len(text.encode()))
@@ -157,7 +221,7 @@ def digest_files(paths: DataFrame, path: str = "path") -> DataFrame:
             found = []
             for name in batch[path]:
                 try:
-                    found.append((name, *_digest(*_open(name)), None))
+                    found.append((name, *_digest(*open_path(name)), None))
                 except OSError as error:
                     found.append((name, None, None, type(error).__name__))
             yield pd.DataFrame(found, columns=[path, "size", "md5", "error"]).astype({"size": "Int64"})
@@ -220,7 +284,7 @@ def unpack_files(archives: DataFrame, root: str, keep_content: bool = False) ->
         for batch in batches:
             for key in batch["zip_key"]:
                 try:
-                    system, path = _open(f"{root}/{key}")
+                    system, path = open_path(f"{root}/{key}")
                     with system.open_input_file(path) as source, zipfile.ZipFile(source) as archive:
                         yield from _members(key, archive, keep_content)
                 except UNREADABLE as error:
@@ -234,30 +298,28 @@ def extract_files(wanted: DataFrame, root: str, out_root: str) -> DataFrame:
 
     One row per member with its size and md5. A missing archive counts as done
     (its members went with it): one row with status ``missing``. An unreadable
-    archive or an absent member gives ``failed`` with the error. Members are
-    streamed to a temporary name and renamed, so a task may run again. The list
-    of one archive is bounded by its member count.
+    archive, an absent member or a name that would leave the folder gives
+    ``failed`` with the error. Members are streamed to a temporary name and
+    renamed, so a task may run again. The list of one archive is bounded by its
+    member count; one task reads it (see ``plans.ranges`` for larger ones).
     """
 
     def extract(batches):
         columns = ["zip_key", "member", "size", "md5", "status", "error"]
         for batch in batches:
             for key, members, attempt in zip(batch["zip_key"], batch["members"], batch["attempt"]):
-                rows, folder = [], key.rsplit("/", 1)[0] + "/" if "/" in key else ""
+                rows = []
                 try:
-                    system, path = _open(f"{root}/{key}")
+                    system, path = open_path(f"{root}/{key}")
                     with system.open_input_file(path) as source, zipfile.ZipFile(source) as archive:
                         for member in members:
                             try:
-                                out, target = _open(f"{out_root}/{folder}{member}")
-                                out.create_dir(target.rsplit("/", 1)[0], recursive=True)
                                 digest, size = hashlib.md5(), 0
-                                with archive.open(member) as stream, out.open_output_stream(f"{target}.{attempt}.partial", compression=None) as sink:
+                                with Written(target_of(out_root, key, member), attempt) as sink, archive.open(member) as stream:
                                     while block := stream.read(BLOCK):
                                         digest.update(block)
                                         size += len(block)
                                         sink.write(block)
-                                out.move(f"{target}.{attempt}.partial", target)
                                 rows.append((key, member, size, digest.hexdigest(), "done", None))
                             except (*UNREADABLE, KeyError) as error:
                                 rows.append((key, member, None, None, "failed", type(error).__name__))
@@ -285,7 +347,7 @@ def apply_actions(actions: DataFrame, root: str) -> DataFrame:
             status, errors = [], []
             for action, key, target, attempt in zip(batch["action"], batch["key"], batch["target"], batch["attempt"]):
                 try:
-                    system, path = _open(f"{root}/{key}")
+                    system, path = open_path(f"{root}/{key}")
                     if action == "delete":
                         # What hangs on the object goes after it, and stays if the object could not go.
                         for gone in (path, f"{path[: -len(key)]}{target}") if target else (path,):

@@ -38,3 +38,9 @@ def file_rows(sent: DataFrame, bucket: str) -> DataFrame:
 def archive_rows(sent: DataFrame, bucket: str) -> DataFrame:
     """One row per archive (path, zip_key, size, md5, members, start_us, end_us): up to five member names, and their number."""
     return _rows(sent, bucket, "zip_key", manifests.abbreviate(F.col("members")), F.size("members").cast("string"), "")
+
+
+def packed_rows(packed: DataFrame, root: str, bucket: str) -> DataFrame:
+    """Log rows of what ``archive.pack_files`` returned for archives below ``root``, with its own start and end times."""
+    names = F.filter(F.split("members", "[|]"), lambda name: name != "")
+    return archive_rows(packed.select(F.concat(F.lit(root + "/"), "zip_key").alias("path"), "zip_key", "size", "md5", names.alias("members"), "start_us", "end_us"), bucket)

@@ -38,12 +38,28 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, name: str =
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below the one the cluster names in ``spark.checkpoint.dir``.
 
-    Without that setting, a session uses its warehouse, which is shared as well.
+    Without that setting a session uses its warehouse, if that is set or all runs on one machine; else there is no folder
+    that all executors reach.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_work")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        context = spark.sparkContext
+        if not context.master.startswith("local") and not context.getConf().contains("spark.sql.warehouse.dir"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        base = os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_work")
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
 
 
+def mounted_dir(spark: SparkSession, name: str) -> str:
+    """The same as a path of a mounted folder, for jobs that walk a tree or write in place."""
+    place = shared_dir(spark, name)
+    if place.startswith("file:"):
+        return "/" + place.removeprefix("file:").lstrip("/")
+    if "://" in place:
+        raise RuntimeError(f"{place} is not a mounted folder")
+    return place
+
+
 def materialise(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Write ``df`` once as parquet and read it back: a stable cut in the lineage."""
     target = path or shared_dir(df.sparkSession, name)
