@@ -4,8 +4,9 @@ from pyspark.sql import functions as F
 
 from invspark.functions import paths
 from invspark.operators import batching, lookups
-from invspark.plans import archive
-from invspark.session import materialise, shared_dir
+from invspark.plans import actions, archive, logs, ranges
+from invspark.session import materialise, mounted_dir
+from invspark.sources import listing, tables
 
 from .base import query
 from .planning import fold
@@ -51,7 +52,7 @@ def c02_sync(t):
     WHERE etag IS NULL OR (etag<>md5(text) AND NOT contains(etag,'-'))""")
 def c02_extracted(t):
     """Archives written as files; members that the store lacks or holds otherwise are written out and read again."""
-    out, target = (shared_dir(t.spark, name).removeprefix("file:") for name in ("archives", "members"))
+    out, target = (mounted_dir(t.spark, name) for name in ("archives", "members"))
     contents = archive.pack_contents(to_pack(t), compress=True)
     stored = materialise(archive.write_contents(contents, out), "stored")
     members = materialise(archive.unpack_files(stored, out), "members")
@@ -63,48 +64,110 @@ def c02_extracted(t):
     return written.join(digests.select(F.substring("path", F.lit(len(target) + 2), F.length("path")).alias("key"), "size", "md5"), "key")
 
 
-def _tree(t):
-    """One file per source and language, listed and frozen."""
-    from invspark.sources import listing
+def document_files(t):
+    """Every document as a file below a shared folder, by several tasks; the folder."""
+    where = mounted_dir(t.spark, "documents")
+    files = t.contents.select(F.col("member").alias("zip_key"), "content").repartition("zip_key")
+    materialise(archive.write_contents(files, where), "written")
+    return where
 
-    where = shared_dir(t.spark, "tree").removeprefix("file:")
-    t.table("documents").repartition("source", "lang").write.partitionBy("source", "lang").parquet(where)
-    found = listing.walk_tree(t.spark, where).filter("is_dir or path like '%.parquet' and path not like '%/.%'")
-    return where, listing.freeze(found, where, DEST)
 
+def frozen_files(t):
+    """These files, walked and numbered in path order."""
+    where = document_files(t)
+    return listing.freeze(listing.walk_tree(t.spark, where), where, DEST)
 
-def _folder():
-    return F.concat(F.regexp_extract("key", "source=([^/]+)", 1), F.lit("/"), F.regexp_extract("key", "lang=([^/]+)", 1)).alias("folder")
 
+# What the SQL knows of the same files: ``ord`` is their place in path order.
+TREE = "tree AS (SELECT row_number() OVER (ORDER BY member)-1 AS ord, member, bytes AS size, md5 FROM (SELECT source||'/'||lang||'/'||doc_id||'.txt' AS member, octet_length(encode(text))::BIGINT AS bytes, md5(text) AS md5 FROM documents))"
+TREE_BATCHES = (TREE, fold("tree", 200_000, 20, batching.ROWS_PER_PART, "ord, size"))
 
-@query("c01_packed_files", sql="SELECT DISTINCT source||'/'||lang AS folder, true AS same_bytes FROM documents")
+
+def below(path, folder: str):
+    """The path relative to ``folder``."""
+    return F.substring(path, F.lit(len(folder) + 2), F.length(path))
+
+
+@query("c01_packed_files", ctes=TREE_BATCHES, sql="""SELECT 'backup/collated_'||(part*1000000+batch)||'.zip' AS zip_key, member, size, md5 FROM fold JOIN (SELECT ord, member, md5 FROM tree) USING (ord)""")
 def c01_files(t):
-    """Files packed into archives on disk, unpacked again, and compared with the originals by checksum."""
-    _, files = _tree(t)
-    plan = batching.roll_up(batching.assign_batches(files, 200_000, 20), DEST)
-    out = shared_dir(t.spark, "archives").removeprefix("file:")
+    """Files packed into archives on disk by one task each, and read back."""
+    out = mounted_dir(t.spark, "archives")
+    plan = batching.roll_up(batching.assign_batches(frozen_files(t), 200_000, 20), DEST)
     packed = materialise(archive.pack_files(plan, out, DEST, compress=True), "packed")
-    members = archive.unpack_files(packed, out).select(F.concat(F.lit(DEST + "/"), "member").alias("object_name"), F.col("md5").alias("unpacked"))
-    digests = archive.digest_files(files).select("path", "md5")
-    both = files.join(digests, "path").join(members, "object_name", "left")
-    return both.select(F.col("path").alias("key"), F.coalesce(F.col("md5") == F.col("unpacked"), F.lit(False)).alias("same_bytes")).select(_folder(), "same_bytes")
+    return archive.unpack_files(packed, out).select("zip_key", "member", "size", "md5")
+
+
+@query("i07_log_of_packed_files", ctes=TREE_BATCHES, sql="""SELECT 'backup/collated_'||(part*1000000+batch)||'.zip' AS "DESTINATION_KEY", count(*)::VARCHAR AS "FILES_PER_ZIP", true AS same_size, true AS same_checksum, true AS in_order,
+    CASE WHEN count(*)>5 THEN list_aggregate(list(member ORDER BY ord)[1:5],'string_agg','|')||' abbreviated' ELSE string_agg(member,'|' ORDER BY ord) END AS "ZIP_CONTENTS" FROM fold JOIN (SELECT ord, member FROM tree) USING (ord) GROUP BY part, batch""")
+def i07_packed(t):
+    """A packing job's own rows and times, appended to the log, read back and held against the archives as they lie there."""
+    out, log = mounted_dir(t.spark, "archives"), mounted_dir(t.spark, "log")
+    plan = batching.roll_up(batching.assign_batches(frozen_files(t), 200_000, 20), DEST)
+    packed = materialise(archive.pack_files(plan, out, DEST), "packed")
+    tables.append_log(logs.packed_rows(packed, out, "store"), log)
+    back = tables.typed_log(t.spark.read.parquet(log).withColumn("members", F.col("FILES_PER_ZIP")))
+    digests = archive.digest_files(back.select(F.col("LOCAL_PATH").alias("path"))).withColumnRenamed("path", "LOCAL_PATH")
+    return back.join(digests, "LOCAL_PATH").select(
+        "DESTINATION_KEY", F.col("members").alias("FILES_PER_ZIP"), "ZIP_CONTENTS", (F.col("FILE_SIZE") == F.col("size")).alias("same_size"), (F.col("CHECKSUM") == F.col("md5")).alias("same_checksum"),
+        ((F.col("start_us") <= F.col("end_us")) & (F.abs(F.col("UPLOAD_TIME") * 1e6 - (F.col("end_us") - F.col("start_us"))) < 1)).alias("in_order"),
+    )
 
 
-@query("u05_applied_actions", sql="SELECT DISTINCT source||'/'||lang AS folder, 'done' AS copied, 'done' AS deleted, true AS moved FROM documents")
-def u05(t):
-    """A move carried out on files by tasks with side effects: copy, then delete what was copied."""
-    from invspark.plans import actions
-    from invspark.sources import listing
+def large_archives(t):
+    """One archive per source, its members cut into pieces of 4 KiB and deflated by all tasks."""
+    out, work = mounted_dir(t.spark, "archives"), mounted_dir(t.spark, "pieces")
+    source = F.element_at(F.split("object_name", "/"), 2)
+    members = frozen_files(t).select(
+        F.concat(F.lit(DEST + "/"), source, F.lit(".zip")).alias("zip_key"), "ord", F.concat_ws("/", F.slice(F.split("object_name", "/"), 3, 9)).alias("member"), "path", "size"
+    )
+    return out, ranges.build_archives(ranges.deflate_pieces(members, work, piece=4096), out, range_bytes=1 << 16)
+
+
+LARGE = "SELECT 'backup/'||source||'.zip' AS zip_key, lang||'/'||doc_id||'.txt' AS member, octet_length(encode(text))::BIGINT AS size, md5(text) AS md5 FROM documents"
+
+
+@query("c01_archives_of_many_tasks", sql=LARGE)
+def c01_many(t):
+    """Archives each built by many tasks, read back by a sequential reader."""
+    out, built = large_archives(t)
+    return archive.unpack_files(built.filter("status = 'done'"), out).select("zip_key", "member", "size", "md5")
 
-    where, files = _tree(t)
-    keys = files.select(F.substring("path", F.lit(len(where) + 2), F.length("path")).alias("key"))
+
+@query("c02_members_by_range", sql=f"SELECT *, 'done' AS status FROM ({LARGE})")
+def c02_ranges(t):
+    """Archives indexed, and their members inflated from byte ranges by many tasks per archive."""
+    out, built = large_archives(t)
+    index = materialise(ranges.index_archives(built, out), "index")
+    return ranges.unpack_ranges(index, out, 1 << 16).select("zip_key", "member", "size", "md5", "status")
+
+
+@query("c02_extracted_by_range", sql="""SELECT 'done' AS status, 'backup/'||lang||'/'||doc_id||'.txt' AS key, octet_length(encode(text))::BIGINT AS size, md5(text) AS md5
+    FROM documents LEFT JOIN remote r ON r.key='backup/'||source||'/'||lang||'/'||doc_id||'.txt' WHERE etag IS NULL OR (etag<>md5(text) AND NOT contains(etag,'-'))""")
+def c02_extracted_ranges(t):
+    """Members that the store lacks or holds otherwise are extracted by many tasks per archive, and the files read again."""
+    (out, built), target = large_archives(t), mounted_dir(t.spark, "members")
+    index = materialise(ranges.index_archives(built, out), "index")
+    found = ranges.unpack_ranges(index, out, 1 << 16)
+    keyed = found.select("zip_key", "member", F.concat(F.regexp_replace("zip_key", "[.]zip$", "/"), "member").alias("key"), "md5")
+    wanted = lookups.sync_decision(keyed, t.remote).filter(F.col("decision").isin("upload", "replace")).select("zip_key", "member")
+    done = materialise(ranges.extract_ranges(index.join(wanted, ["zip_key", "member"]), out, target, 1 << 16), "extracted")
+    written = done.select("status", paths.join_key(paths.parent_dir(F.col("zip_key")), F.col("member")).alias("key"))
+    digests = archive.digest_files(written.select(F.concat(F.lit(target + "/"), "key").alias("path")))
+    return written.join(digests.select(below("path", target).alias("key"), "size", "md5"), "key")
+
+
+@query("u05_applied_actions", sql="SELECT source||'/'||lang||'/'||doc_id||'.txt' AS key, 'done' AS copied, 'done' AS deleted, octet_length(encode(text))::BIGINT AS size, md5(text) AS md5 FROM documents")
+def u05(t):
+    """A move carried out on files by tasks with side effects: copy, then delete what was copied; the moved files are read again."""
+    where = document_files(t)
+    keys = listing.walk_tree(t.spark, where).filter("not is_dir").select(below("path", where).alias("key"))
     copies = actions.move(keys, "moved")
     first = materialise(archive.apply_actions(copies, where), "copied")
     second = materialise(archive.apply_actions(actions.delete_copied(copies, first), where), "deleted")
-    now = listing.walk_tree(t.spark, where).filter("not is_dir").select(F.substring("path", F.lit(len(where) + 2), F.length("path")).alias("target"))
+    now = materialise(listing.walk_tree(t.spark, where).filter("not is_dir").select("path", below("path", where).alias("target")), "now")
     old_gone = lookups.missing(second, now, "key", "target").select("key", F.col("status").alias("deleted"))
-    arrived = lookups.membership(first.select("key", "target", F.col("status").alias("copied")), now, "target", "target", "moved")
-    return arrived.join(old_gone, "key").select(_folder(), "copied", "deleted", "moved")
+    moved = archive.digest_files(now).select(below("path", where).alias("target"), "size", "md5")
+    return first.select("key", "target", F.col("status").alias("copied")).join(moved, "target").join(old_gone, "key").drop("target")
 
 
 @query("u01_partition_function", sql="SELECT p_partkey, jaccard(p_name,p_type) AS alike FROM part")
@@ -175,15 +238,9 @@ def u04(t):
     return parts.groupBy("part").agg(archives("ord", "size").alias("n_archives"))
 
 
-@query("c03_digest_of_files", sql="SELECT source, bool_and(true) AS same_size, true AS all_read FROM documents GROUP BY source")
+@query("c03_digest_of_files", sql="SELECT source||'/'||lang||'/'||doc_id||'.txt' AS path, octet_length(encode(text))::BIGINT AS listed, octet_length(encode(text))::BIGINT AS size, md5(text) AS md5 FROM documents")
 def c03_files(t):
-    """Files written from the documents, checked block by block against the listed sizes."""
-    from invspark.sources import listing
-
-    where = shared_dir(t.spark, "bytes")
-    t.table("documents").select("source", "text").write.partitionBy("source").parquet(where)
-    found = listing.list_files(t.spark, where).filter(F.endswith("path", F.lit(".parquet")))
-    digests = archive.digest_files(found).withColumnRenamed("size", "read")
-    return found.join(digests, "path").groupBy(F.regexp_extract("path", "source=([^/]+)/", 1).alias("source")).agg(
-        F.bool_and(F.col("size") == F.col("read")).alias("same_size"), F.bool_and(F.col("error").isNull()).alias("all_read")
-    )
+    """Files written from the documents, listed, and read again block by block."""
+    where = document_files(t)
+    found = listing.walk_tree(t.spark, where).filter("not is_dir").select("path", F.col("size").alias("listed"))
+    return archive.digest_files(found).join(found, "path").select(below("path", where).alias("path"), "listed", "size", "md5")

@@ -9,33 +9,33 @@ from invspark.plans import actions, logs
 from invspark.session import shared_dir
 from invspark.sources import listing, tables, text
 
+from .archives import TREE, below, document_files, frozen_files
 from .base import query
 from .planning import fold
 from .views import DEST, LAKE
 
 
-@query("i01_tree_listing", sql="SELECT DISTINCT source||'/'||lang AS folder, true AS has_files FROM documents")
+@query("i01_tree_listing", sql="""SELECT source||'/'||lang||'/'||doc_id||'.txt' AS path, false AS is_dir, octet_length(encode(text))::BIGINT AS size FROM documents
+    UNION ALL SELECT DISTINCT source||'/'||lang, true, 0 FROM documents UNION ALL SELECT DISTINCT source, true, 0 FROM documents""")
 def i01(t):
-    where = shared_dir(t.spark, "tree")
-    t.table("documents").select("source", "lang", "text").write.partitionBy("source", "lang").parquet(where)
-    folder = F.regexp_extract("path", "source=([^/]+)/lang=([^/]+)/", 1), F.regexp_extract("path", "source=([^/]+)/lang=([^/]+)/", 2)
-    found = listing.list_files(t.spark, where).filter(F.endswith("path", F.lit(".parquet")))
-    return found.groupBy(F.concat_ws("/", *folder).alias("folder")).agg((F.sum("size") > 0).alias("has_files"))
+    """Every document written as a file, and the tree walked level by level: folders, names and sizes."""
+    where = document_files(t)
+    return listing.walk_tree(t.spark, where).select(below("path", where).alias("path"), "is_dir", "size")
 
 
-@query("i01_frozen_listing", sql="SELECT count(DISTINCT source||lang) AS n_folders, true AS dense, true AS in_path_order FROM documents")
+@query("i01_listed_files", sql="SELECT source||'/'||lang||'/'||doc_id||'.txt' AS path, octet_length(encode(text))::BIGINT AS size FROM documents")
+def i01_files(t):
+    """The same files by Spark's own listing."""
+    where = document_files(t)
+    path = F.regexp_extract("path", "([^/]+/[^/]+/[^/]+)$", 1)
+    return listing.list_files(t.spark, where).select(path.alias("path"), "size")
+
+
+@query("i01_frozen_listing", ctes=TREE, sql="SELECT ord, member AS path, 'backup/'||member AS object_name, size FROM tree")
 def i01_frozen(t):
-    """Walk a written tree level by level and number its files in path order."""
-    where = shared_dir(t.spark, "tree")
-    t.table("documents").select("source", "lang", "doc_id").write.partitionBy("source", "lang").parquet(where)
-    local = where.removeprefix("file:")
-    frozen = listing.freeze(listing.walk_tree(t.spark, local).filter("is_dir or path like '%.parquet' and path not like '%/.%'"), local, DEST)
-    pairs = frozen.select((F.col("ord") + 1).alias("ord"), F.col("path").alias("before"))
-    ordered_ok = frozen.join(pairs, "ord").agg(F.coalesce(F.bool_and(F.col("before") < F.col("path")), F.lit(True))).scalar()
-    return frozen.agg(
-        F.countDistinct(paths.parent_dir(F.col("path"))).alias("n_folders"),
-        ((F.min("ord") == 0) & (F.max("ord") == F.count(F.lit(1)) - 1)).alias("dense"),
-    ).withColumn("in_path_order", ordered_ok)
+    """Walk a written tree and number its files in path order."""
+    relative = F.regexp_extract("path", "([^/]+/[^/]+/[^/]+)$", 1)
+    return frozen_files(t).select("ord", relative.alias("path"), "object_name", "size")
 
 
 @query("i02_prefix_listing", sql="SELECT key, size FROM lake WHERE starts_with(key,'lake/collated_')")
