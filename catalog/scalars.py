@@ -6,7 +6,7 @@ from invspark.functions import manifests, names, paths, times, units, values
 from invspark.operators import batching, links, selection, lookups
 
 from .base import query
-from .views import DEST, ROOT, SITE_LABELS
+from .views import DEST, ROOT, SEGMENT, SITE_LABELS
 
 PARENT = "regexp_replace({0},'/?[^/]*$','')"
 
@@ -140,6 +140,14 @@ def f18(t):
     return t.contents.select("ord", values.md5_hex(F.col("content")).alias("md5"), F.octet_length("content").cast("long").alias("size"))
 
 
+@query("f19_two_level_etag", sql="SELECT key, n AS n_segments, etag FROM sent_etags JOIN sent_hex USING (doc_id)")
+def f19_two_level(t):
+    """The checksum that a store gives an object sent in segments."""
+    etag = values.segmented_etag(F.col("content"), SEGMENT)
+    rows = t.contents.select(F.concat(F.lit(DEST + "/"), "member").alias("key"), etag.alias("etag"))
+    return rows.select("key", values.segment_count(F.col("etag")).alias("n_segments"), "etag")
+
+
 @query("f19_segmented_etag", sql="SELECT key, contains(etag,'-') AS segmented FROM stored")
 def f19(t):
     return t.stored.select("key", values.is_segmented(F.col("etag")).alias("segmented"))

@@ -2,12 +2,13 @@
 
 from pyspark.sql import functions as F
 
-from invspark.functions import names
+from invspark.functions import names, values
 from invspark.operators import lookups, stats
-from invspark.plans import actions, verify
+from invspark.plans import actions, archive, segments, verify
+from invspark.session import materialise, mounted_dir
 
 from .base import query
-from .views import DEST, LAKE
+from .views import DEST, LAKE, SEGMENT
 
 VERDICTS = """zips AS (SELECT key AS zip_key FROM lake WHERE key LIKE '%.zip'),
     c AS MATERIALIZED (SELECT zip_key, count(*) AS total, count(key) AS found FROM packed LEFT JOIN (SELECT key FROM lake WHERE key NOT LIKE '%.zip' AND key NOT LIKE '%.metadata') ON key=member GROUP BY zip_key),
@@ -122,6 +123,48 @@ def c03(t):
     return verify.audit(log, objects)
 
 
+def sent_and_stored(t):
+    """The log of sent segments, and the store's objects written as files."""
+    sized = t.contents.select(F.concat(F.lit(DEST + "/"), "member").alias("key"), "content", F.octet_length("content").cast("long").alias("size"))
+    cut = segments.segments(sized.select(F.struct("key", "content").alias("object"), "size"), SEGMENT, key="object")
+    start, length = F.col("start"), F.col("end") - F.col("start")
+    logged = cut.select("object.key", "segment", "start", "end", F.md5(F.substring("object.content", (start + 1).cast("int"), length.cast("int"))).alias("md5"))
+    where = mounted_dir(t.spark, "segmented")
+    files = t.segmented.select(F.col("key").alias("zip_key"), F.col("stored").alias("content")).repartition("zip_key")
+    materialise(archive.write_contents(files, where), "written")
+    return logged, t.segmented.select("key", "size", "etag", F.concat(F.lit(where + "/"), "key").alias("path"))
+
+
+PIECES = """pieces AS (SELECT s.key, i+1 AS segment, i*1000 AS start, least((i+1)*1000,length(s.h)//2) AS "end", r.key IS NULL AS gone, md5(unhex(substr(s.h,2000*i+1,2000))) AS logged_md5,
+      CASE WHEN length(r.h)//2>=least((i+1)*1000,length(s.h)//2) THEN md5(unhex(substr(r.h,2000*i+1,2*(least((i+1)*1000,length(s.h)//2)-i*1000)))) END AS md5
+    FROM (SELECT *, unnest(range(greatest(1,ceil(length(h)/2000)::BIGINT))) AS i FROM sent_hex) s LEFT JOIN segmented r ON r.key=s.key)"""
+
+
+@query("c03_segmented_audit", ctes=PIECES, sql="""SELECT p.key, count(*) AS n_segments, count_if(md5 IS DISTINCT FROM logged_md5)::BIGINT AS n_differing, any_value(e.etag) AS logged_etag, any_value(r.etag) AS etag,
+    CASE WHEN any_value(r.key) IS NULL THEN 'missing' WHEN bool_or(md5 IS DISTINCT FROM logged_md5) OR any_value(r.size)<>max("end") THEN 'altered'
+      WHEN any_value(r.etag)=any_value(e.etag) THEN 'same' WHEN any_value(r.n)<>count(*) THEN 're-cut' ELSE 'etag differs' END AS verdict
+    FROM pieces p JOIN sent_hex USING (key) JOIN sent_etags e USING (doc_id) LEFT JOIN segmented r ON r.key=p.key GROUP BY p.key""")
+def c03_segmented(t):
+    """Every object sent in segments: its stored bytes read by range, and both levels of its checksum compared."""
+    logged, stored = sent_and_stored(t)
+    compared = materialise(segments.compare(logged, stored), "compared")
+    return segments.audit(compared, stored)
+
+
+@query("c03_differing_segments", ctes=PIECES, sql="""SELECT key, segment, start, "end", logged_md5, md5, CASE WHEN gone THEN 'missing' WHEN md5 IS NULL THEN 'EndsEarly' END AS error FROM pieces WHERE md5 IS DISTINCT FROM logged_md5""")
+def c03_differing(t):
+    """Only what must be sent again, by segment."""
+    return segments.differing(segments.compare(*sent_and_stored(t)))
+
+
+@query("j10_segmented_decision", sql="""SELECT s.key, CASE WHEN r.etag IS NULL THEN 'upload' WHEN r.etag=e.etag OR r.etag=md5(unhex(s.h)) THEN 'skip' WHEN contains(r.etag,'-') AND (NOT contains(e.etag,'-') AND split_part(r.etag,'-',2)<>'1' OR contains(e.etag,'-') AND split_part(r.etag,'-',2)<>split_part(e.etag,'-',2)) THEN 'skip segmented' ELSE 'replace' END AS decision
+    FROM sent_hex s JOIN sent_etags e USING (doc_id) LEFT JOIN segmented r ON r.key=s.key""")
+def j10_segmented(t):
+    """Members compared with objects in segments, where both are cut alike."""
+    members = t.contents.select(F.concat(F.lit(DEST + "/"), "member").alias("key"), F.md5("content").alias("md5"), values.segmented_etag(F.col("content"), SEGMENT).alias("segmented_etag"))
+    return lookups.sync_decision(members, t.segmented).select("key", "decision")
+
+
 @query("c03_audit_verdict", sql="SELECT count(*) AS n, bool_and(CHECKSUM_MATCH) AS checksums_match, bool_and(SIZE_MATCH) AS sizes_match FROM checks")
 def c03_verdict(t):
     return verify.audit_verdict(t.checks)

@@ -10,7 +10,7 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from invspark.functions import manifests, names, paths, times, units
+from invspark.functions import manifests, names, paths, times, units, values
 from invspark.operators import ordered
 
 ROOT = "/data"
@@ -19,6 +19,8 @@ LAKE = "lake"
 SITES = ["north", "south", "east", "west"]
 SITE_LABELS = {"north": "North Hall", "south": "South Hall", "east": "East Hall", "west": "West Hall"}
 MEMBERS_PER_ZIP = 25
+# Bytes of a segment: as sent, and as the store cut some objects anew.
+SEGMENT, RECUT = 1000, 700
 
 
 def div(column, n: int) -> Column:
@@ -182,6 +184,21 @@ class Tables:
             F.col("n_chars").alias("size"), etag.alias("etag"),
         )
 
+    @cached_property
+    def segmented(self) -> DataFrame:
+        """Objects sent in segments, as they lie in the store: some altered, some cut anew, some with a wrong etag, some gone."""
+        id, content = F.col("ord"), F.col("content")
+        size = F.octet_length(content)
+        altered = (
+            F.when(id % 7 == 0, F.concat(content, F.lit(b"?")))
+            .when((id % 13 == 0) & (size > 0), F.concat(F.substring(content, F.lit(1), size - 1), F.lit(b"#")))
+            .otherwise(content)
+        )
+        etag = F.when(id % 11 == 0, values.segmented_etag(F.col("stored"), RECUT)).otherwise(values.segmented_etag(F.col("stored"), SEGMENT))
+        wrong = F.concat(F.md5("stored"), F.lit("-"), values.segment_count(F.col("etag")).cast("string"))
+        rows = self.contents.filter(id % 19 != 0).select("ord", "member", altered.alias("stored")).withColumn("etag", etag)
+        return rows.select(F.concat(F.lit(DEST + "/"), "member").alias("key"), "stored", F.octet_length("stored").cast("long").alias("size"), F.when(id % 17 == 0, wrong).otherwise(F.col("etag")).alias("etag"))
+
     @cached_property
     def checks(self) -> DataFrame:
         """A check of every logged object."""
@@ -332,6 +349,12 @@ _PATH = "source||'/'||lang||'/'||doc_id||'.txt'"
 _MEMBER = "'lake/'||l_partkey||'-'||l_linenumber||'-'||l_suppkey"
 
 
+def _two_level(source: str, cut: str) -> str:
+    """(doc_id, n, etag) of hex contents ``h`` cut every ``cut`` bytes."""
+    return f"""SELECT doc_id, count(*) AS n, CASE WHEN count(*)=1 THEN min(d) ELSE md5(unhex(string_agg(d,'' ORDER BY i)))||'-'||count(*) END AS etag
+        FROM (SELECT doc_id, i, md5(unhex(substr(h,2*i*{cut}+1,2*{cut}))) AS d FROM (SELECT *, unnest(range(greatest(1,ceil(length(h)/2/{cut})::BIGINT))) AS i FROM {source})) GROUP BY doc_id"""
+
+
 def _c(x):
     return f"(({x})//100)||'.'||lpad((({x})%100)::VARCHAR,2,'0')"
 
@@ -360,6 +383,12 @@ SQL: dict[str, str] = {
         UNION ALL SELECT 'lake/collated_'||o_orderkey||'.zip.metadata', 64 FROM orders""",
     "stored": f"""SELECT 'backup/'||{_PATH} AS key, n_chars AS size,
         CASE WHEN doc_id%11=0 THEN md5(text)||'-2' WHEN doc_id%7=0 THEN md5(text||'?') ELSE md5(text) END AS etag FROM documents""",
+    "sent_hex": f"SELECT doc_id, 'backup/'||{_PATH} AS key, hex(encode(text)) AS h FROM documents",
+    "stored_hex": """SELECT doc_id, key, CASE WHEN doc_id%7=0 THEN h||'3F' WHEN doc_id%13=0 AND h<>'' THEN substr(h,1,length(h)-2)||'23' ELSE h END AS h,
+        CASE WHEN doc_id%11=0 THEN 700 ELSE 1000 END AS cut FROM sent_hex WHERE doc_id%19<>0""",
+    "sent_etags": _two_level("sent_hex", "1000"),
+    "segmented": f"""SELECT s.*, length(h)//2 AS size, n, CASE WHEN doc_id%17=0 THEN md5(unhex(h))||'-'||n ELSE etag END AS etag
+        FROM stored_hex s JOIN ({_two_level("stored_hex", "cut").replace("GROUP BY doc_id", "GROUP BY doc_id, cut")}) USING (doc_id)""",
     "checks": "SELECT DESTINATION_KEY, CHECKSUM, ord%7<>0 AS CHECKSUM_MATCH, ord%11<>0 AS SIZE_MATCH FROM upload_log",
     "upload_log": """SELECT event_id AS ord, '/data/run'||(user_id%4)||'/u'||user_id AS LOCAL_FOLDER,
         '/data/run'||(user_id%4)||'/u'||user_id||'/'||event_id||ext AS LOCAL_PATH,

@@ -61,14 +61,17 @@ def orphan_manifests(keys: DataFrame, key: str = "key") -> DataFrame:
 
 
 def sync_decision(members: DataFrame, remote: DataFrame) -> DataFrame:
-    """What to do with each unpacked member (key, md5) given the store (key, etag)."""
+    """What to do with each unpacked member (key, md5) given the store (key, etag).
+
+    Members may bring ``segmented_etag``, their two-level checksum in the cut the sender uses: an object stored in as many segments is
+    then compared like any other, and one in another number of segments stays ``skip segmented``.
+    """
     there = remote.select("key", "etag")
-    decision = (
-        F.when(F.col("etag").isNull(), "upload")
-        .when(F.col("etag") == F.col("md5"), "skip")
-        .when(values.is_segmented(F.col("etag")), "skip segmented")
-        .otherwise("replace")
-    )
+    decision = F.when(F.col("etag").isNull(), "upload").when(F.col("etag") == F.col("md5"), "skip")
+    if "segmented_etag" in members.columns:
+        own = F.col("segmented_etag")
+        decision = decision.when(F.col("etag") == own, "skip").when(values.is_segmented(F.col("etag")) & (values.segment_count(F.col("etag")) == values.segment_count(own)), "replace")
+    decision = decision.when(values.is_segmented(F.col("etag")), "skip segmented").otherwise("replace")
     return members.join(there, "key", "left").withColumn("decision", decision)
 
 
