@@ -13,8 +13,9 @@ still win, so such boxes are read.
 There are two passes over the trees: those of an anchor's own label give its
 positives, these set the windows, and the trees of other labels give the
 negatives of all windows of an anchor in one search. Trees are dealt over
-buckets whose number follows the cluster, and each block of anchors is sent to
-each bucket once, so what is shuffled grows as the anchors do.
+buckets, and each block of anchors is sent to each bucket once and searches its
+trees one after the other. There are as many buckets as keep the cluster busy;
+a bucket holds a bounded number of trees, so that beyond it their number grows.
 """
 
 from __future__ import annotations
@@ -31,13 +32,14 @@ from .vafile import scores, whole
 
 LEAF = 64
 FANOUT = 16
-#: Vectors of one tree, and anchors of one block.
+#: Vectors of one tree, anchors of one block, and most trees of a bucket.
 TREE = 1 << 14
 BLOCK = 1 << 10
+TREES = 32
 EXACT = float(1 << 53)
 
 ROWS = "id long, label long, dim int, first double, kind string, exact binary"
-TREES = "tree long, label long, dim int, kind string, ids binary, exact binary, starts binary, low binary, high binary"
+PACKED = "tree long, label long, dim int, kind string, ids binary, exact binary, starts binary, low binary, high binary"
 FOUND = "a long, w int, id long, score long"
 
 
@@ -181,24 +183,34 @@ def search(tree: Tree, query: np.ndarray, own: int, windows: list[Asked], least:
     return read
 
 
-def _search(parts: Iterable[pa.RecordBatch], k: int, share: tuple[tuple[int, int], tuple[int, int]] | None) -> Iterator[pa.RecordBatch]:
-    """Units of one tree and one block of anchors: positives, or, with the ``share`` of a positive score that a negative may have, negatives."""
+def _search(parts: Iterable[pa.RecordBatch], k: int, share: tuple[int, int] | None) -> Iterator[pa.RecordBatch]:
+    """Units of one tree and one block of anchors: positives, or, with the ``share`` of a positive score that a negative may have, negatives.
+
+    Units of a block that come one after the other share its windows: what one tree gave lets the next be read less.
+    """
+    now, asked, queries, windows = None, [], None, []
+
+    def found() -> Iterator[pa.RecordBatch]:
+        out = [(anchor["a"], w, id, -score) for anchor, mine in zip(asked, windows) for w, window in enumerate(mine) for score, id in window.best]
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int32(), pa.int64(), pa.int64()))], names=["a", "w", "id", "score"])
+
     for part in parts:
-        for unit in part.to_pylist():
-            tree, asked = Tree(unit), unit["anchors"]
-            queries = np.array([np.frombuffer(x["exact"], x["kind"]) for x in asked], np.float64).reshape(len(asked), unit["dim"])
-            least, most = tree.bounds(queries)
-            out: list[tuple] = []
-            for place, anchor in enumerate(asked):
+        for row in range(len(part)):
+            unit = {name: part.column(name)[row].as_py() for name in ("own", "block", "bucket", "dim", "kind", "ids", "exact", "starts", "low", "high")}
+            if now != (now := (unit["own"], unit["dim"], unit["block"], unit["bucket"])):
+                yield from found()
+                asked = part.column("anchors")[row].as_py()
+                queries = np.array([np.frombuffer(x["exact"], x["kind"]) for x in asked], np.float64).reshape(len(asked), unit["dim"])
                 if share is None:
-                    windows = [Asked(-np.inf, np.inf, k)]
+                    windows = [[Asked(-np.inf, np.inf, k)] for _ in asked]
                 else:
-                    (low, high), scale = share, 100
-                    windows = [Asked(-((-low * s) // scale), high * s // scale, k) for s in anchor["scores"]]
-                search(tree, queries[place], anchor["id"], [w for w in windows if w.least <= w.most], least[place], most[place])
-                out += [(anchor["a"], w, id, -score) for w, window in enumerate(windows) for score, id in window.best]
-            columns = list(zip(*out)) or [[]] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int64(), pa.int64()))], names=["a", "w", "id", "score"])
+                    windows = [[Asked(-(-share[0] * s // 100), share[1] * s // 100, k) for s in anchor["scores"]] for anchor in asked]
+            tree = Tree(unit)
+            least, most = tree.bounds(queries)
+            for place, (anchor, mine) in enumerate(zip(asked, windows)):
+                search(tree, queries[place], anchor["id"], [w for w in mine if w.least <= w.most], least[place], most[place])
+    yield from found()
 
 
 def forest(rows: DataFrame, size: int) -> DataFrame:
@@ -206,7 +218,7 @@ def forest(rows: DataFrame, size: int) -> DataFrame:
     order = [F.asc("label"), F.asc("dim"), F.asc("first"), F.asc("id"), F.asc("row")]
     ranged = rows.withColumn("row", F.monotonically_increasing_id()).repartitionByRange(max(1, -(-rows.count() // size)), *order)
     packed = ranged.sortWithinPartitions(*order).withColumn("home", F.spark_partition_id().cast("long"))
-    return materialise(packed.mapInArrow(lambda parts: _trees(parts, size), TREES), "trees")
+    return materialise(packed.mapInArrow(lambda parts: _trees(parts, size), PACKED), "trees")
 
 
 def mine(
@@ -231,16 +243,18 @@ def mine(
     trees = forest(materialise(convert(known), "vectors"), TREE)
     asked = materialise(convert(known.filter("asked")).drop("first").withColumn("a", F.monotonically_increasing_id()), "anchors")
     n_blocks = max(1, -(-asked.count() // BLOCK))
-    buckets = max(1, min(trees.count(), 4 * spark.sparkContext.defaultParallelism))
+    n_trees = trees.count()
+    buckets = max(1, min(n_trees, max(4 * spark.sparkContext.defaultParallelism, -(-n_trees // TREES))))
     dealt = trees.withColumn("bucket", F.pmod(F.xxhash64("tree"), F.lit(buckets)))
 
     def found(anchors: DataFrame, same_label: bool, k: int, share=None) -> DataFrame:
         carried = [c for c in anchors.columns if c not in ("label", "dim")]
         blocks = anchors.groupBy(F.col("label").alias("own"), "dim", F.pmod("a", F.lit(n_blocks)).alias("block")).agg(F.collect_list(F.struct(*carried)).alias("anchors"))
         sent = blocks.withColumn("bucket", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(buckets - 1).cast("long"))))
-        units = dealt.join(sent, ["bucket", "dim"]).filter(F.col("label") == F.col("own") if same_label else F.col("label") != F.col("own"))
+        # A merge join streams its left side: all trees of a bucket follow for one block, then those for the next.
+        units = sent.hint("merge").join(dealt, ["bucket", "dim"]).filter(F.col("label") == F.col("own") if same_label else F.col("label") != F.col("own"))
         rank = F.row_number().over(Window.partitionBy("a", "w").orderBy(F.desc("score"), "id"))
-        best = units.drop("block", "own", "bucket", "tree").mapInArrow(lambda parts: _search(parts, k, share), FOUND)
+        best = units.drop("tree", "label").mapInArrow(lambda parts: _search(parts, k, share), FOUND)
         return best.withColumn("rank", rank).filter(F.col("rank") <= k)
 
     paired = materialise(found(asked, True, positives).drop("w"), "positives")
