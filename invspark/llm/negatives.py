@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from .common import materialise
 from .vafile import scores, whole
 
-LEAF = 64
+LEAF = 256
 FANOUT = 16
 #: Vectors of one tree, anchors of one block, and most trees of a bucket.
 TREE = 1 << 14
@@ -130,11 +130,17 @@ class Tree:
         self.root = begin
         self.low, self.high = (np.frombuffer(row[name], kind).astype(np.float64).reshape(begin + 1, dim) for name in ("low", "high"))
 
+    def scores(self, node: int, query: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and exact scores of a leaf."""
+        rows = slice(self.ends[node], self.ends[node + 1])
+        return self.ids[rows], (self.exact[rows] @ query).astype(np.int64) if self.safe else scores(query[None, :], self.exact[rows])[0]
+
     def bounds(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """For each query and node, what a score below the node can be: at least, and at most."""
+        """For each query and node, what a score below the node can be: at least, and at most. Also notes whether doubles hold all scores exactly."""
         over, under = np.maximum(queries, 0), np.minimum(queries, 0)
         least, most = over @ self.low.T + under @ self.high.T, over @ self.high.T + under @ self.low.T
         terms = np.abs(queries) @ np.maximum(np.abs(self.low), np.abs(self.high)).T
+        self.safe = terms.max(initial=0) < EXACT
         # Sums below 2**53 are exact; beyond, rounding is made up for.
         slack = np.where(terms < EXACT, 0.0, terms * (queries.shape[1] + 1) * 2.0**-52)
         return least - slack, most + slack
@@ -169,8 +175,7 @@ def search(tree: Tree, query: np.ndarray, own: int, windows: list[Asked], least:
         floor = min(w.need for w in open_)
         if node < tree.n_leaves:
             read += 1
-            rows = slice(tree.ends[node], tree.ends[node + 1])
-            got, ids = scores(query[None, :], tree.exact[rows])[0], tree.ids[rows]
+            ids, got = tree.scores(node, query)
             good = np.nonzero((got >= floor) & (ids != own))[0]
             if len(good):
                 found = list(zip(got[good].tolist(), ids[good].tolist()))

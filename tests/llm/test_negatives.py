@@ -67,8 +67,9 @@ def test_tiles_are_full_and_hold_every_row():
 
 
 @pytest.mark.parametrize("scale", [100, 1 << 40])
-def test_bounds_hold_and_prune(scale):
-    """Every score lies within the bounds of all boxes above it; clustered vectors are mostly not read."""
+def test_bounds_hold_and_prune(scale, monkeypatch):
+    """Every score lies within the bounds of all boxes above it; clustered vectors are mostly not read with leaves of a cluster's size."""
+    monkeypatch.setattr(negatives, "LEAF", 64)
     rng = np.random.default_rng(2)
     values = np.floor((rng.normal(size=(40, 1, 8)) * 4 + rng.normal(size=(40, 50, 8)) * 0.2).reshape(-1, 8) * scale)
     built = negatives.build(np.arange(len(values)), values)
