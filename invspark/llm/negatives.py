@@ -12,10 +12,9 @@ still win, so such boxes are read.
 
 There are two passes over the trees: those of an anchor's own label give its
 positives, these set the windows, and the trees of other labels give the
-negatives of all windows of an anchor in one search. Trees are dealt over
-buckets, and each block of anchors is sent to each bucket once and searches its
-trees one after the other. There are as many buckets as keep the cluster busy;
-a bucket holds a bounded number of trees, so that beyond it their number grows.
+negatives of all windows of an anchor in one search. Work is a grid: trees are
+dealt over buckets and blocks of anchors over groups, each bucket meets each
+group once, and there a block searches the trees one after the other.
 """
 
 from __future__ import annotations
@@ -25,7 +24,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import materialise
 from .vafile import scores, whole
@@ -36,6 +35,8 @@ FANOUT = 16
 TREE = 1 << 14
 BLOCK = 1 << 10
 TREES = 32
+#: Scores that are worth a task.
+UNIT = 1 << 24
 EXACT = float(1 << 53)
 
 ROWS = "id long, label long, dim int, first double, kind string, exact binary"
@@ -226,6 +227,21 @@ def forest(rows: DataFrame, size: int) -> DataFrame:
     return materialise(packed.mapInArrow(lambda parts: _trees(parts, size), PACKED), "trees")
 
 
+def grid(n_trees: int, vectors: int, anchors: int, tasks: int) -> tuple[int, int]:
+    """How many buckets of trees and groups of anchors make the units of work: each bucket meets each group in one place.
+
+    Anchors are sent once per bucket and trees once per group, so buckets outnumber groups as vectors do anchors. There are as many
+    units as the scores are worth, at most ``tasks``, and more only to keep the trees of a bucket few.
+    """
+    units = max(1, min(tasks, -(-vectors * anchors // UNIT)))
+    buckets = max(1, min(n_trees, max(-(-n_trees // TREES), round((units * vectors / max(1, anchors)) ** 0.5))))
+    return buckets, -(-units // buckets)
+
+
+def _each(name: str, n: int) -> Column:
+    return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))).alias(name)
+
+
 def mine(
     vectors: DataFrame, anchors: str, positives: int = 5, negatives: int = 3, low: int = 50, high: int = 95,
     id: str = "vec_id", vector: str = "embedding", label: str = "label", scale: int = 256,
@@ -247,19 +263,19 @@ def mine(
     convert = lambda df: df.select("id", "label", "v").mapInArrow(lambda parts: _rows(parts, scale), ROWS)
     trees = forest(materialise(convert(known), "vectors"), TREE)
     asked = materialise(convert(known.filter("asked")).drop("first").withColumn("a", F.monotonically_increasing_id()), "anchors")
-    n_blocks = max(1, -(-asked.count() // BLOCK))
-    n_trees = trees.count()
-    buckets = max(1, min(n_trees, max(4 * spark.sparkContext.defaultParallelism, -(-n_trees // TREES))))
-    dealt = trees.withColumn("bucket", F.pmod(F.xxhash64("tree"), F.lit(buckets)))
+    sizes = trees.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("ids") / 8), F.lit(0.0))).first()
+    buckets, groups = grid(int(sizes[0]), int(sizes[1]), asked.count(), 2 * spark.sparkContext.defaultParallelism)
+    n_blocks = groups * max(1, -(-asked.count() // (groups * BLOCK)))
+    dealt = trees.select("*", F.pmod(F.xxhash64("tree"), F.lit(buckets)).alias("bucket"), _each("group", groups))
 
     def found(anchors: DataFrame, same_label: bool, k: int, share=None) -> DataFrame:
         carried = [c for c in anchors.columns if c not in ("label", "dim")]
         blocks = anchors.groupBy(F.col("label").alias("own"), "dim", F.pmod("a", F.lit(n_blocks)).alias("block")).agg(F.collect_list(F.struct(*carried)).alias("anchors"))
-        sent = blocks.withColumn("bucket", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(buckets - 1).cast("long"))))
+        sent = blocks.select("*", F.pmod("block", F.lit(groups)).alias("group"), _each("bucket", buckets))
         # A merge join streams its left side: all trees of a bucket follow for one block, then those for the next.
-        units = sent.hint("merge").join(dealt, ["bucket", "dim"]).filter(F.col("label") == F.col("own") if same_label else F.col("label") != F.col("own"))
+        units = sent.hint("merge").join(dealt, ["bucket", "group", "dim"]).filter(F.col("label") == F.col("own") if same_label else F.col("label") != F.col("own"))
         rank = F.row_number().over(Window.partitionBy("a", "w").orderBy(F.desc("score"), "id"))
-        best = units.drop("tree", "label").mapInArrow(lambda parts: _search(parts, k, share), FOUND)
+        best = units.drop("tree", "label", "group").mapInArrow(lambda parts: _search(parts, k, share), FOUND)
         return best.withColumn("rank", rank).filter(F.col("rank") <= k)
 
     paired = materialise(found(asked, True, positives).drop("w"), "positives")

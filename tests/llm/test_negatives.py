@@ -38,10 +38,10 @@ def sample():
     return rows
 
 
-@pytest.mark.parametrize("tree, leaf", [(1 << 14, 64), (50, 4)])
-def test_equals_brute_force(spark, monkeypatch, tree, leaf):
-    monkeypatch.setattr(negatives, "TREE", tree)
-    monkeypatch.setattr(negatives, "LEAF", leaf)
+@pytest.mark.parametrize("tree, leaf, unit", [(1 << 14, 64, 1 << 24), (50, 4, 500), (50, 4, 1 << 24)])
+def test_equals_brute_force(spark, monkeypatch, tree, leaf, unit):
+    for name, value in (("TREE", tree), ("LEAF", leaf), ("UNIT", unit), ("BLOCK", 7 if leaf == 4 else 1024)):
+        monkeypatch.setattr(negatives, name, value)
     rows = sample()
     df = spark.createDataFrame([(*r, "x") for r in rows], "vec_id long, label int, embedding array<double>, Rank string").repartition(3)
     found = sorted(tuple(r) for r in negatives.mine(df, "vec_id % 50 = 0").collect())
@@ -59,6 +59,15 @@ def test_empty_and_few(spark):
     assert [tuple(r) for r in negatives.mine(pair, "vec_id = 0", high=100).collect()] == [(0, 2, 1, 1, 65536, 65536)]
 
 
+def test_grid():
+    """More buckets than groups, both bounded by the work there is."""
+    assert negatives.grid(1, 100, 2, 16) == (1, 1) == negatives.grid(0, 0, 0, 16)
+    assert negatives.grid(220, 10_000, 200, 400) == (7, 1)
+    buckets, groups = negatives.grid(700, 10_000_000, 200_000, 8000)
+    assert buckets * groups >= 8000 and 30 < buckets / groups < 70
+    assert negatives.grid(10_000, 160_000_000, 100, 10)[0] >= 10_000 / 32
+
+
 def test_tiles_are_full_and_hold_every_row():
     values = np.random.default_rng(0).normal(size=(1000, 5))
     leaves = list(negatives.tiles(values, np.arange(1000), np.arange(5), 16))
