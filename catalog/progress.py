@@ -63,35 +63,69 @@ def s02(t):
     return rounded(stats.growth(t.snapshots))
 
 
-@query("s02_growth_stream", sql=GROWTH)
-def s02_stream(t):
-    """Snapshots arriving in four batches and out of order; late ones correct what was reported."""
-    source, state, out, log = (shared_dir(t.spark, name) for name in ("snapshots", "state", "growth", "growth-log"))
+def growth_stream(t):
+    """Snapshots arriving in four triggers and out of order; the folder of the changes."""
+    source, out, log = (shared_dir(t.spark, name) for name in ("snapshots", "growth", "growth-log"))
     snapshots = t.snapshots.withColumn("part", F.pmod(F.xxhash64("taken_us"), F.lit(4)))
     for part in range(4):
         snapshots.filter(F.col("part") == part).drop("part").write.mode("append").parquet(source)
         stream = t.spark.readStream.schema("taken_us long, files long, bytes long").parquet(source)
-        (stream.writeStream.foreachBatch(progress.growth_writer(state, out))
-         .option("checkpointLocation", log).trigger(availableNow=True).start().awaitTermination())
-    return rounded(progress.read_growth(t.spark, out))
+        progress.start_growth(stream, out, log).awaitTermination()
+    return out
+
+
+@query("s02_growth_stream", sql=GROWTH)
+def s02_stream(t):
+    """Late snapshots correct what was reported, from what lies next to them in the state store."""
+    return rounded(progress.read_growth(t.spark, growth_stream(t)))
 
 
 NEW_LOGS = """SELECT key FROM log_keys WHERE (key LIKE '%backup.csv' OR key LIKE '%files.csv')
     AND regexp_replace(key,'-(files|backup)[.]csv$','-backup-verification.csv') NOT IN (SELECT key FROM log_keys WHERE key LIKE '%backup-verification.csv')"""
 
 
-@query("s03_new_logs_stream", sql=NEW_LOGS)
-def s03(t):
-    """The listing arrives twice; the second time nothing new is reported."""
+HOUR = 3_600_000_000
+
+
+def new_logs(t, listings):
+    """Take listings (key, listed_us) one per trigger, and what they report."""
     source, out, log = (shared_dir(t.spark, name) for name in ("listings", "new-logs", "new-logs-log"))
-    for _ in range(2):
-        t.log_keys.select("key").write.mode("append").parquet(source)
-        stream = t.spark.readStream.schema("key string").parquet(source)
-        progress.start_new_logs(stream, out, log).awaitTermination()
+    for listing in listings:
+        listing.write.mode("append").parquet(source)
+        stream = t.spark.readStream.schema("key string, listed_us long").parquet(source)
+        progress.start_new_logs(stream, out, log, wait_us=24 * HOUR).awaitTermination()
     return t.spark.read.schema("key string").option("recursiveFileLookup", True).parquet(out)
 
 
-@query("s04_quota_watch", sql="""SELECT taken_us, bytes, round(bytes*100.0::DOUBLE/1e13::DOUBLE,6) AS percent_used, bytes-lag(bytes) OVER w AS bytes_added,
-    round((bytes-lag(bytes) OVER w)/1048576.0::DOUBLE/((taken_us-lag(taken_us) OVER w)/1e6::DOUBLE),6) AS mib_s FROM snapshots WINDOW w AS (ORDER BY taken_us)""")
+def at(hour):
+    """A listing's time, in hours since some day."""
+    return F.lit((400_000 + hour) * HOUR).alias("listed_us")
+
+
+@query("s03_new_logs_stream", sql=NEW_LOGS)
+def s03(t):
+    """The whole listing arrives twice, days apart; the second time nothing new is reported."""
+    later = t.spark.range(1).select(F.lit(None).cast("string").alias("key"), at(200))
+    return new_logs(t, [t.log_keys.select("key", at(0)), t.log_keys.select("key", at(100)), later])
+
+
+@query("s03_logs_in_any_order", sql=NEW_LOGS)
+def s03_any_order(t):
+    """Logs and verifications in three listings of one day, many of them apart; who comes first is left to a hash."""
+    part = F.pmod(F.xxhash64("key"), F.lit(3))
+    later = t.spark.range(1).select(F.lit(None).cast("string").alias("key"), at(100))
+    return new_logs(t, [*[t.log_keys.filter(part == n).select("key", at(6 * n)) for n in range(3)], later])
+
+
+QUOTA = """SELECT taken_us, bytes, round(bytes*100.0::DOUBLE/1e13::DOUBLE,6) AS percent_used, bytes-lag(bytes) OVER w AS bytes_added,
+    round((bytes-lag(bytes) OVER w)/1048576.0::DOUBLE/((taken_us-lag(taken_us) OVER w)/1e6::DOUBLE),6) AS mib_s FROM snapshots WINDOW w AS (ORDER BY taken_us)"""
+
+
+@query("s04_quota_watch", sql=QUOTA)
 def s04(t):
     return rounded(progress.quota_watch(t.snapshots, 10_000_000_000_000))
+
+
+@query("s04_quota_stream", sql=QUOTA)
+def s04_stream(t):
+    return rounded(progress.read_quota(t.spark, growth_stream(t), 10_000_000_000_000))

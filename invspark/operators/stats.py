@@ -230,7 +230,13 @@ def growth(snapshots: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     pairs = ordered.scan(
         snapshots, keys, "taken_us",
         previous={"_t": F.col("taken_us"), "_f": F.col("files"), "_b": F.col("bytes")}, shifts=(36,),
-    ).filter(F.col("_t").isNotNull())
+    )
+    return growth_of(pairs, keys)
+
+
+def growth_of(pairs: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """The same from snapshots that bring the one before them (_t, _f, _b); the first one has none, and no row."""
+    pairs = pairs.filter(F.col("_t").isNotNull())
     seconds = (F.col("taken_us") - F.col("_t")) / 1e6
     added, grown = F.col("files") - F.col("_f"), F.col("bytes") - F.col("_b")
     speed = units.ratio(units.mib(grown), seconds)

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import pandas as pd
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+from pyspark.sql.streaming import StatefulProcessor
 
-from ..functions import values
-from ..operators import lookups, ordered, stats
+from ..functions import names, values
+from ..operators import stats
 
 
 def progress(log: DataFrame, target_files: int | None = None) -> DataFrame:
@@ -41,58 +44,180 @@ def start_progress(log_stream: DataFrame, out_path: str, checkpoint: str, target
     )
 
 
-def growth_writer(state_path: str, out_path: str) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function: rates between snapshots, which may arrive in any order.
+#: A snapshot, the one before it, and the number of the change that made the row: of several rows of a snapshot the last counts.
+PAIRED = "series string, taken_us long, files long, bytes long, _t long, _f long, _b long, change long"
 
-    Each batch writes its snapshots, the rows they change (their own and those
-    of their successors) and its number below its own folder, so a repeated
-    batch overwrites itself instead of adding up. ``read_growth`` takes the
-    newest row of each snapshot.
+
+class Neighbours(StatefulProcessor):
+    """Keeps the snapshots of a series in order, and gives each with the one before it whenever either changes.
+
+    Times are the leaves of a tree with 256 children a node, eight levels deep: one entry of the state store per node, with a bit for each
+    child that holds something. A snapshot is set, and its neighbours are found, by at most some thirty entries on its way up
+    and down, however many snapshots there are.
+    """
+
+    LEVELS, OFFSET = 8, 1 << 63
+
+    def init(self, handle) -> None:
+        self.nodes = handle.getMapState("nodes", "level int, prefix string", "bits string")
+        self.snapshots = handle.getMapState("snapshots", "taken_us long", "files long, bytes long")
+        self.changes = handle.getValueState("changes", "n long")
+
+    def _bits(self, level: int, prefix: int) -> int:
+        held = self.nodes.getValue((level, f"{prefix:x}"))
+        return int(held[0], 16) if held else 0
+
+    def _set(self, time: int) -> None:
+        for level in range(self.LEVELS):
+            prefix, child = time >> 8 * (level + 1), time >> 8 * level & 255
+            bits = self._bits(level, prefix)
+            self.nodes.updateValue((level, f"{prefix:x}"), (f"{bits | 1 << child:x}",))
+            if bits:
+                return  # the nodes above know of this one
+
+    def _next(self, time: int, later: bool) -> int | None:
+        """The nearest time after, or before, ``time``."""
+        for level in range(self.LEVELS):
+            prefix, child = time >> 8 * (level + 1), time >> 8 * level & 255
+            bits = self._bits(level, prefix)
+            bits = bits >> child + 1 << child + 1 if later else bits & (1 << child) - 1
+            if bits:
+                break
+        else:
+            return None
+        pick = (lambda b: (b & -b).bit_length() - 1) if later else (lambda b: b.bit_length() - 1)
+        found = prefix << 8 | pick(bits)
+        for below in range(level - 1, -1, -1):
+            found = found << 8 | pick(self._bits(below, found))
+        return found
+
+    def handleInputRows(self, key, rows, timerValues):
+        touched = set()
+        for row in rows:
+            if row.taken_us is None:
+                continue
+            # Of several snapshots of one time the one that comes last counts.
+            time, new = row.taken_us + self.OFFSET, not self.snapshots.containsKey((row.taken_us,))
+            self.snapshots.updateValue((row.taken_us,), (row.files, row.bytes))
+            if new:
+                self._set(time)
+            touched.add(time)
+        change = self.changes.get()[0] if self.changes.exists() else 0
+        after = {self._next(time, True) for time in touched} - {None}
+        for time in sorted(touched | after):
+            before, change = self._next(time, False), change + 1
+            mine = self.snapshots.getValue((time - self.OFFSET,))
+            other = (None, None, None) if before is None else (before - self.OFFSET, *self.snapshots.getValue((before - self.OFFSET,)))
+            yield Row(series=key[0], taken_us=time - self.OFFSET, files=mine[0], bytes=mine[1], _t=other[0], _f=other[1], _b=other[2], change=change)
+        self.changes.update((change,))
+
+    def close(self) -> None:
+        pass
+
+
+@contextmanager
+def _ordered_store(spark: SparkSession):
+    """State with several entries per key needs the RocksDB store; a query keeps the store it was started with."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before) if before else spark.conf.unset(name)
+
+
+def start_growth(snapshots: DataFrame, out_path: str, checkpoint: str, series: str | None = None):
+    """Keep each snapshot (taken_us, files, bytes) of a stream beside the one before it, whatever order they come in.
+
+    Snapshots are kept in the stream's state store, per ``series`` (a column) if there are several; a trigger reads there what lies next to its
+    own snapshots, nothing else, and no earlier input or result. What it writes are changes: the rows of its snapshots, and of those that
+    follow them. ``read_growth`` and ``read_totals`` take the last change of each.
     """
+    rows = snapshots.select((F.col(series).cast("string") if series else F.lit("")).alias("series"), "taken_us", "files", "bytes")
+    paired = rows.groupBy("series").transformWithState(Neighbours(), PAIRED, "Append", "None")
 
     def write(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        rows = batch.select("taken_us", "files", "bytes", F.lit(True).alias("new"))
-        if number > 0:
-            earlier = spark.read.schema("taken_us long, files long, bytes long, batch long").parquet(state_path)
-            rows = earlier.filter(F.col("batch") < number).select("taken_us", "files", "bytes", F.lit(False).alias("new")).unionByName(rows)
-        # A row changes if its snapshot or the one before it is new.
-        marked = ordered.scan(rows, [], "taken_us", previous={"_new": F.col("new")}, shifts=(36,))
-        changed = marked.filter(F.col("new") | F.coalesce("_new", F.lit(False))).select("taken_us")
-        grown = stats.growth(rows.select("taken_us", "files", "bytes"))
-        grown.join(changed, "taken_us", "left_semi").write.mode("overwrite").parquet(f"{out_path}/batch={number}")
-        batch.select("taken_us", "files", "bytes").write.mode("overwrite").parquet(f"{state_path}/batch={number}")
+        batch.write.mode("overwrite").parquet(f"{out_path}/batch={number}")
+
+    with _ordered_store(snapshots.sparkSession):
+        return paired.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def read_totals(spark: SparkSession, out_path: str) -> DataFrame:
+    """``PAIRED`` rows that ``start_growth`` has written so far, one per snapshot, as of its last change."""
+    rows = spark.read.schema(PAIRED).option("recursiveFileLookup", True).parquet(out_path)
+    newest = rows.groupBy("series", "taken_us").agg(F.max("change").alias("change"))
+    return rows.join(newest, ["series", "taken_us", "change"]).select(*rows.columns)
 
-    return write
 
+def read_growth(spark: SparkSession, out_path: str, keys: Sequence[str] = ()) -> DataFrame:
+    """Rates between the snapshots so far, as ``stats.growth`` gives them for a table; ``keys`` may name ``series``."""
+    return stats.growth_of(read_totals(spark, out_path), keys)
 
-def read_growth(spark: SparkSession, out_path: str) -> DataFrame:
-    """What ``growth_writer`` has written so far, each snapshot as of its last change."""
-    rows = spark.read.parquet(out_path)
-    return stats.last_per_key(rows.withColumn("batch", F.col("batch").cast("long")), "taken_us", "batch").drop("batch")
 
+def start_new_logs(listings: DataFrame, out_path: str, checkpoint: str, wait_us: int, late_us: int | None = None, **suffixes):
+    """Report logs that no verification table followed, once each, over repeated listings (key, listed_us).
 
-def start_new_logs(listings: DataFrame, out_path: str, checkpoint: str, **suffixes):
-    """Report unverified logs once, over repeated listings (key); each trigger takes the listings there are.
+    State is kept per verification name: whether it has been seen, which logs wait for it and until when, and which were reported. A
+    log and its verification may come in any order, in one listing or many triggers apart. A log is reported when the newest
+    listing was taken more than ``wait_us`` after the one that first held it; a verification that comes earlier settles it, one that
+    comes later does not take the report back. Time moves with every listing; an empty one may move it by a row without a key.
+    Listings may come up to ``late_us`` (if not given: ``wait_us``) later than others taken after them; rows that are later still, and
+    those of listings at or before 1970, are not looked at.
 
-    Keys seen before are kept in the stream's state store, partitioned by key;
-    neither earlier listings nor earlier results are read again. A log and its
-    verification must arrive in one trigger, as they do in one listing.
+    Each trigger takes the listings there are and writes (key) to its own folder; neither earlier listings nor results are read again.
     """
+    late_us = wait_us if late_us is None else late_us
+    kind, key = names.log_class(F.col("key"), **suffixes), F.col("key")
+    twin = F.when(kind == "verification", key).otherwise(names.verification_twin(key, **suffixes))
+    rows = listings.select("key", twin.alias("twin"), kind.alias("kind"), "listed_us", F.timestamp_micros("listed_us").alias("listed")).withWatermark("listed", f"{late_us} microseconds")
+
+    def watch(name, batches, state):
+        verified, waiting, until, reported = state.get if state.exists else (False, [], [], [])
+        held = dict(zip(waiting, until))
+        out = []
+        if not state.hasTimedOut:
+            for batch in batches:
+                if name[0] is None:
+                    continue
+                verified = verified or bool((batch["kind"] == "verification").any())
+                logs = batch[batch["kind"].isin(["log", "previous log"])].groupby("key")["listed_us"].min()
+                for log, listed in logs.items():
+                    if log not in reported:
+                        held[log] = min(held.get(log, listed + wait_us), listed + wait_us)
+        if name[0] is not None:
+            # The watermark is in milliseconds, and lies behind the newest listing by what may come late.
+            now = state.getCurrentWatermarkMs()
+            due = {log: (end - late_us) // 1000 + 1 for log, end in held.items()} if not verified else {}
+            out = sorted(log for log, time in due.items() if time <= now)
+            held = {log: held[log] for log, time in due.items() if time > now}
+            state.update((verified, list(held), list(held.values()), [*reported, *out]))
+            if held:
+                state.setTimeoutTimestamp(min(due[log] for log in held))
+        yield pd.DataFrame({"key": out}, dtype=object)
+
+    found = rows.groupBy("twin").applyInPandasWithState(watch, "key string", "verified boolean, waiting array<string>, until array<bigint>, reported array<string>", "append", "EventTimeTimeout")
 
     def write(batch: DataFrame, number: int) -> None:
-        lookups.unverified_logs(batch, **suffixes).select("key").write.mode("overwrite").parquet(f"{out_path}/batch={number}")
+        batch.write.mode("overwrite").parquet(f"{out_path}/batch={number}")
 
-    return (
-        listings.select("key").dropDuplicates(["key"])
-        .writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    )
+    return found.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def quota_watch(totals: DataFrame, quota_bytes: int) -> DataFrame:
     """Share of the quota used at each snapshot and the growth since the one before."""
-    grown = stats.growth(totals).select("taken_us", "bytes_added", "mib_s")
+    return _quota(totals, stats.growth(totals), quota_bytes)
+
+
+def read_quota(spark: SparkSession, out_path: str, quota_bytes: int) -> DataFrame:
+    """The same of the snapshots that ``start_growth`` has taken so far."""
+    totals = read_totals(spark, out_path)
+    return _quota(totals, stats.growth_of(totals), quota_bytes)
+
+
+def _quota(totals: DataFrame, growth: DataFrame, quota_bytes: int) -> DataFrame:
+    grown = growth.select("taken_us", "bytes_added", "mib_s")
     return totals.join(grown, "taken_us", "left").select(
         "taken_us", "bytes", (F.col("bytes") * 100.0 / quota_bytes).alias("percent_used"), "bytes_added", "mib_s"
     )

@@ -151,11 +151,11 @@ def test_stream_adds_up_over_batches(spark, tmp_path):
 
 
 def test_late_snapshots_correct_earlier_rows(spark, tmp_path):
-    state, out, source, log = (str(tmp_path / n) for n in ("state", "out", "in", "cp"))
+    out, source, log = (str(tmp_path / n) for n in ("out", "in", "cp"))
     for batch in ([(0, 0), (10, 10)], [(5, 2), (12, 15)], [(20, 16)], [(11, 11)]):
         spark.createDataFrame([(t * 1_000_000, f, f) for t, f in batch], "taken_us long, files long, bytes long").write.mode("append").parquet(source)
         stream = spark.readStream.schema("taken_us long, files long, bytes long").parquet(source)
-        stream.writeStream.foreachBatch(progress.growth_writer(state, out)).option("checkpointLocation", log).trigger(availableNow=True).start().awaitTermination()
+        progress.start_growth(stream, out, log).awaitTermination()
     found = {r["taken_us"] // 1_000_000: r["files_added"] for r in progress.read_growth(spark, out).collect()}
     assert found == {5: 2, 10: 8, 11: 1, 12: 4, 20: 1}
 
