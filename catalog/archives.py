@@ -1,5 +1,7 @@
 """Packing and unpacking archives."""
 
+import zlib
+
 from pyspark.sql import functions as F
 
 from invspark.functions import paths
@@ -170,16 +172,16 @@ def u05(t):
     return first.select("key", "target", F.col("status").alias("copied")).join(moved, "target").join(old_gone, "key").drop("target")
 
 
-@query("u01_partition_function", sql="SELECT p_partkey, jaccard(p_name,p_type) AS alike FROM part")
+@query("u01_partition_function", sql="""SELECT p_partkey, ((len(b)+list_sum(list_transform(b, lambda x, i: (len(b)-i+1)*x)))%65521*65536+(1+list_sum(b))%65521)::BIGINT AS checksum
+    FROM (SELECT p_partkey, list_transform(string_split(p_name,''), lambda c: ascii(c)::BIGINT) AS b FROM part)""")
 def u01(t):
-    """A frame-to-frame function over batches of a partition, for work that has no built-in: overlap of character sets."""
+    """A frame-to-frame function over batches of a partition, for work that has no built-in: the rolling checksum (Adler-32) that syncing tools compare blocks by."""
 
-    def alike(batches):
+    def adler(batches):
         for batch in batches:
-            sets = [(set(a), set(b)) for a, b in zip(batch["p_name"], batch["p_type"])]
-            yield batch[["p_partkey"]].assign(alike=[len(a & b) / len(a | b) for a, b in sets])
+            yield batch[["p_partkey"]].assign(checksum=[zlib.adler32(name.encode()) for name in batch["p_name"]])
 
-    return t.table("part").select("p_partkey", "p_name", "p_type").mapInPandas(alike, "p_partkey long, alike double")
+    return t.table("part").select("p_partkey", "p_name").mapInPandas(adler, "p_partkey long, checksum long")
 
 
 @query("u02_row_function", sql="SELECT p_partkey, damerau_levenshtein(lower(p_name),lower(p_type)) AS edits FROM part")

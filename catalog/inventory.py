@@ -38,9 +38,9 @@ def i01_frozen(t):
     return frozen_files(t).select("ord", relative.alias("path"), "object_name", "size")
 
 
-@query("i02_prefix_listing", sql="SELECT key, size FROM lake WHERE starts_with(key,'lake/collated_')")
+@query("i02_prefix_listing", sql="SELECT key, size FROM whole_lake WHERE starts_with(key,'lake/collated_')")
 def i02(t):
-    return listing.with_prefix(t.lake, LAKE + "/collated_")
+    return listing.with_prefix(t.whole_lake, LAKE + "/collated_")
 
 
 @query("i03_bucket_config", sql="SELECT lower(n_name) AS name, 'region '||n_regionkey AS description FROM nation")
@@ -142,10 +142,10 @@ def i11(t):
 
 
 @query("i12_contents_report", sql="""SELECT s.key, round(s.size/1048576.0::DOUBLE,2) AS mib, s.modified_us, coalesce(m.text,'n/a') AS contents FROM
-    (SELECT key, size, modified_us FROM remote UNION ALL SELECT zip_key, length(zip_key)*70000, 0 FROM manifest) s LEFT JOIN manifest m ON m.zip_key=s.key""")
+    (SELECT key, size, modified_us FROM stored UNION ALL SELECT zip_key, length(zip_key)*70000, 0 FROM manifest) s LEFT JOIN manifest m ON m.zip_key=s.key""")
 def i12(t):
     zips = t.manifest.select(F.col("zip_key").alias("key"), (F.length("zip_key") * 70000).cast("long").alias("size"), F.lit(0).cast("long").alias("modified_us"))
-    return actions.report(t.remote.select("key", "size", "modified_us").unionByName(zips), t.manifest)
+    return actions.report(t.stored.select("key", "size", "modified_us").unionByName(zips), t.manifest)
 
 
 @query("a02_totals", sql="""SELECT split_part(key,'/',1) AS top, count(*) AS n, sum(size)::BIGINT AS bytes, sum(size)/1048576.0::DOUBLE AS mib, sum(size)/1073741824.0::DOUBLE AS gib,

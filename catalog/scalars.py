@@ -236,7 +236,15 @@ def p08(t):
     return links.follow(t.listing).select("ord", "path", "object_name", "size")
 
 
-@query("p09_differing_paths", ctes=CHAIN, sql="SELECT count(*) AS n, count_if(is_link)::BIGINT AS n_differing FROM listing")
+PAIRS = (CHAIN, "pairs AS (SELECT path AS given, path AS resolved FROM listing WHERE NOT is_link UNION ALL SELECT l.path, r.target FROM listing l LEFT JOIN resolved r ON r.path=l.path WHERE l.is_link)")
+
+
+@query("p09_path_pairs", ctes=PAIRS, sql="SELECT given, resolved FROM pairs")
+def p09_pairs(t):
+    return links.path_pairs(t.listing)
+
+
+@query("p09_differing_paths", ctes=PAIRS, sql="SELECT count(*) AS n, count_if(given IS DISTINCT FROM resolved)::BIGINT AS n_differing FROM pairs")
 def p09(t):
     return links.moved(links.path_pairs(t.listing))
 

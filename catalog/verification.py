@@ -17,8 +17,8 @@ VERDICTS = """zips AS (SELECT key AS zip_key FROM lake WHERE key LIKE '%.zip'),
 
 
 def verdicts(t):
-    zips = t.lake.filter(names.is_zip(F.col("key"))).select(F.col("key").alias("zip_key"))
-    return verify.completeness(zips, t.packed, t.lake, unique=True)
+    zips = t.lake.filter(F.col("kind") == "zip").select(F.col("key").alias("zip_key"))
+    return verify.completeness(zips, t.packed, t.lake, unique=True, kind="kind")
 
 
 @query("j04_existing_members", sql="SELECT zip_key, member FROM packed WHERE member IN (SELECT key FROM lake)")
@@ -56,7 +56,8 @@ def a05_loose(t):
     return verify.completeness(zips, t.packed, t.lake, unique=True, strict=False)
 
 
-@query("i08_manifest_members", ctes="n AS (SELECT zip_key, unnest(string_split_regex(text,'[|;,]')) AS name FROM manifest)", sql="SELECT zip_key, count(*) AS n, min('backup/'||name) AS first_key FROM n GROUP BY zip_key")
+@query("i08_manifest_members", ctes="""n AS (SELECT zip_key, unnest(list_distinct(list_filter(CASE WHEN contains(text,'|') THEN string_split(text,'|') WHEN contains(text,';') THEN string_split(text,';')
+    ELSE string_split(text,',') END, lambda x: x<>''))) AS name FROM manifest)""", sql="SELECT zip_key, 'backup/'||name AS member FROM n")
 def i08(t):
     """Manifests written as text objects, read back and parsed."""
     from invspark.plans import archive
@@ -65,7 +66,7 @@ def i08(t):
 
     where = shared_dir(t.spark, "manifests")
     materialise(archive.write_manifests(t.manifest.filter("text is not null"), where), "written")
-    return verify.explode_members(text.read_manifests(t.spark, where)).groupBy("zip_key").agg(F.count(F.lit(1)).alias("n"), F.min("member").alias("first_key"))
+    return verify.explode_members(text.read_manifests(t.spark, where)).select("zip_key", "member")
 
 
 @query("j07_not_yet_verified", sql="""SELECT ord, DESTINATION_KEY FROM upload_log WHERE NOT ends_with(DESTINATION_KEY,'.symlink')
@@ -193,15 +194,15 @@ def c06_second(t):
 
 
 @query("c07_download_plan", sql="""SELECT CASE WHEN regexp_matches(key,'collated_.*\\.zip$','i') THEN 'fetch and extract' ELSE 'fetch' END AS action, key, NULL::VARCHAR AS target, 'not present' AS reason
-    FROM lake WHERE NOT regexp_matches(key,'collated_.*\\.zip\\.metadata','i') AND key NOT IN (SELECT member FROM packed JOIN lineitem ON member='lake/'||l_partkey||'-'||l_linenumber||'-'||l_suppkey WHERE l_linestatus='O')""")
+    FROM whole_lake WHERE NOT regexp_matches(key,'collated_.*\\.zip\\.metadata','i') AND key NOT IN (SELECT member FROM packed JOIN lineitem ON member='lake/'||l_partkey||'-'||l_linenumber||'-'||l_suppkey WHERE l_linestatus='O')""")
 def c07(t):
     here = t.table("lineitem").filter("l_linestatus = 'O'").select(t._lake_member().alias("path"))
-    return actions.download(t.lake, here)
+    return actions.download(t.whole_lake, here)
 
 
-@query("c08_bulk_delete_plan", sql="SELECT 'delete' AS action, key, NULL::VARCHAR AS target, 'listed' AS reason, NULL::VARCHAR AS status, NULL::VARCHAR AS error FROM lake WHERE starts_with(key,'lake/collated_1')")
+@query("c08_bulk_delete_plan", sql="SELECT 'delete' AS action, key, NULL::VARCHAR AS target, 'listed' AS reason, NULL::VARCHAR AS status, NULL::VARCHAR AS error FROM whole_lake WHERE starts_with(key,'lake/collated_1')")
 def c08(t):
-    return actions.delete_listed(t.lake, LAKE + "/collated_1")
+    return actions.delete_listed(t.whole_lake, LAKE + "/collated_1")
 
 
 @query("c09_log_retention", ctes="""aged AS (SELECT folder, name, ((SELECT max(modified_us) FROM old_logs)-modified_us)//86400000000>=400 AS old FROM old_logs),

@@ -138,20 +138,20 @@ class Tables:
 
     @cached_property
     def lake(self) -> DataFrame:
-        """Store listing at size: members, archives and manifests."""
+        """Store listing at size: members, archives and manifests, each key with its class."""
         lines, orders = self.table("lineitem"), self.table("orders")
         members = (
             lines.filter(F.col("l_returnflag") != "R")
             .groupBy("l_partkey", "l_linenumber", "l_suppkey")
             .agg(F.max(F.floor("l_extendedprice").cast("long")).alias("size"))
-            .select(self._lake_member().alias("key"), "size")
+            .select(self._lake_member().alias("key"), "size", F.lit("other").alias("kind"))
         )
         zips = orders.filter(F.col("o_orderstatus") != "P").select(
-            paths.archive_key(F.col("o_orderkey"), LAKE).alias("key"), F.floor("o_totalprice").cast("long").alias("size")
+            paths.archive_key(F.col("o_orderkey"), LAKE).alias("key"), F.floor("o_totalprice").cast("long").alias("size"), F.lit("zip").alias("kind")
         )
         notes = orders.select(
             F.concat(paths.archive_key(F.col("o_orderkey"), LAKE), F.lit(".metadata")).alias("key"),
-            F.lit(64).cast("long").alias("size"),
+            F.lit(64).cast("long").alias("size"), F.lit("manifest").alias("kind"),
         )
         return members.unionByName(zips).unionByName(notes)
 
@@ -181,7 +181,7 @@ class Tables:
         )
         return docs.select(
             F.concat(F.lit(DEST + "/"), "source", F.lit("/"), "lang", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("key"),
-            F.col("n_chars").alias("size"), etag.alias("etag"),
+            F.col("n_chars").alias("size"), etag.alias("etag"), (F.col("doc_id") * 3_600_000_000).alias("modified_us"),
         )
 
     @cached_property
@@ -382,7 +382,7 @@ SQL: dict[str, str] = {
         UNION ALL SELECT 'lake/collated_'||o_orderkey||'.zip', floor(o_totalprice)::BIGINT FROM orders
         UNION ALL SELECT 'lake/collated_'||o_orderkey||'.zip.metadata', 64 FROM orders""",
     "stored": f"""SELECT 'backup/'||{_PATH} AS key, n_chars AS size,
-        CASE WHEN doc_id%11=0 THEN md5(text)||'-2' WHEN doc_id%7=0 THEN md5(text||'?') ELSE md5(text) END AS etag FROM documents""",
+        CASE WHEN doc_id%11=0 THEN md5(text)||'-2' WHEN doc_id%7=0 THEN md5(text||'?') ELSE md5(text) END AS etag, doc_id*3600000000 AS modified_us FROM documents""",
     "sent_hex": f"SELECT doc_id, 'backup/'||{_PATH} AS key, hex(encode(text)) AS h FROM documents",
     "stored_hex": """SELECT doc_id, key, CASE WHEN doc_id%7=0 THEN h||'3F' WHEN doc_id%13=0 AND h<>'' THEN substr(h,1,length(h)-2)||'23' ELSE h END AS h,
         CASE WHEN doc_id%11=0 THEN 700 ELSE 1000 END AS cut FROM sent_hex WHERE doc_id%19<>0""",

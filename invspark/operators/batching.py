@@ -58,18 +58,15 @@ def assign_batches(
     # A size that could not be read counts as 0.
     sized = df.withColumn(size_col, F.coalesce(F.col(size_col), F.lit(0).cast(df.schema[size_col].dataType)))
     ready = sized.withColumn("part", F.floor(F.col(ord_col) / rows_per_part).cast("long"))
-    # Only part, order and size go through the fold; long paths and names stay in the JVM.
-    slim = ready.select("part", ord_col, size_col)
-    schema = T.StructType([*slim.schema.fields, T.StructField("batch", T.LongType(), False)])
+    # Whole rows go through the fold, as Arrow columns: they are shuffled once, and nothing is computed twice or joined back.
+    schema = T.StructType([*ready.schema.fields, T.StructField("batch", T.LongType(), False)])
 
     def fold(table: pa.Table) -> pa.Table:
         table = table.sort_by(ord_col)
         ids = _next_fit(table[size_col].to_numpy(), max_size, max_count)
         return table.append_column(pa.field("batch", pa.int64(), nullable=False), pa.array(ids))
 
-    out = slim.groupBy("part").applyInArrow(fold, schema)
-    if set(ready.columns) != set(slim.columns):
-        out = ready.join(out.drop(size_col), ["part", ord_col])
+    out = ready.groupBy("part").applyInArrow(fold, schema)
     return out.select(*ready.columns, "batch").withColumn("id", F.col("part") * IDS_PER_PART + F.col("batch"))
 
 

@@ -76,29 +76,23 @@ def sync_decision(members: DataFrame, remote: DataFrame) -> DataFrame:
 
 
 def fingerprint(member: Column) -> list[Column]:
-    """Aggregates that agree for equal sets of distinct names, in any order."""
-    wide = lambda seed: F.sum(F.xxhash64(F.lit(seed), member).cast("decimal(38,0)"))
-    return [F.count(F.lit(1)).alias("n"), wide(1).alias("h1"), wide(2).alias("h2")]
+    """Aggregates that agree for equal sets of distinct names, in any order: their number, and 256 bits of hashes combined by XOR."""
+    wide = lambda seed: F.bit_xor(F.xxhash64(F.lit(seed), member))
+    return [F.count(F.lit(1)).alias("n"), *[wide(seed).alias(f"h{seed}") for seed in (1, 2, 3, 4)]]
 
 
 def matching_manifests(folders: DataFrame, manifests: DataFrame) -> DataFrame:
     """Folders (folder, member) whose file set equals that of some archive (zip_key, member).
 
-    Sets are compared through order-free fingerprints, one archive standing
-    for all with the same fingerprint; every match is then confirmed member by
-    member. No list is collected and no pairs within a group are formed.
-    Both inputs hold distinct rows. Returns (folder, zip_key), the smallest key.
+    Sets are compared through order-free fingerprints, summed up map-side, so
+    members are neither collected nor joined; two different sets agree by a
+    chance of 2**-256. Both inputs hold distinct rows and are read once.
+    Returns (folder, zip_key), the smallest key.
     """
-    mark = ["n", "h1", "h2"]
+    mark = ["n", "h1", "h2", "h3", "h4"]
     sets = folders.groupBy("folder").agg(*fingerprint(F.col("member")))
     archives = manifests.groupBy("zip_key").agg(*fingerprint(F.col("member"))).groupBy(*mark).agg(F.min("zip_key").alias("zip_key"))
-    candidates = sets.join(archives, mark).select("folder", "zip_key", "n")
-    # Confirm: each candidate folder's members, counted against its archive's members.
-    mine = ordered.attach(folders, candidates, ["folder"], "member").filter(F.col("zip_key").isNotNull())
-    agreed = mine.join(manifests, ["zip_key", "member"], "left_semi").groupBy("folder", "zip_key").agg(
-        F.count(F.lit(1)).alias("hits"), F.first("n").alias("n")
-    )
-    return agreed.filter("hits = n").select("folder", "zip_key")
+    return sets.join(archives, mark).select("folder", "zip_key")
 
 
 def verified_folders(logged: DataFrame, local: DataFrame) -> DataFrame:

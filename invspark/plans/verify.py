@@ -25,17 +25,19 @@ def existing_members(members: DataFrame, store: DataFrame, key: str = "key", uni
 
 
 def completeness(
-    zips: DataFrame, members: DataFrame, store: DataFrame, key: str = "key", unique: bool = False, strict: bool = True,
+    zips: DataFrame, members: DataFrame, store: DataFrame, key: str = "key", unique: bool = False, strict: bool = True, kind: str | None = None,
 ) -> DataFrame:
     """Per archive: members listed, members found in the store, and two verdicts.
 
     ``members`` holds distinct (zip_key, member). One left join and one
     aggregation; no manifest means ``extract`` and not ``deletable``. Archives
     and manifests in the store do not count as members found, as they may go
-    themselves; ``strict=False`` lets them count.
+    themselves; ``strict=False`` lets them count. ``kind`` names a column of
+    the store with the class of each key (``names.key_class``), if the listing
+    keeps one; else keys are classified here.
     """
     if strict:
-        store = selection.remaining(store, key)
+        store = store.filter(F.col(kind) == "other") if kind else selection.remaining(store, key)
     counted = (
         lookups.membership(members, store, "member", key, unique=unique)
         .groupBy("zip_key")

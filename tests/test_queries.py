@@ -10,6 +10,8 @@ from tests.compare import differences, oracle
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 QUERIES, SQL = catalog.queries(), catalog.oracle_sql()
+#: Queries that rightly find nothing in the smallest tables.
+EMPTY: set[str] = set()
 
 
 @pytest.fixture(scope="module")
@@ -24,7 +26,7 @@ def test_every_query_has_sql():
 
 @pytest.mark.parametrize("name", QUERIES)
 def test_query(name, spark, con):
-    problems = [p for p in differences(QUERIES[name](spark, SF), con, SQL[name]) if p != "no rows expected"]
+    problems = [p for p in differences(QUERIES[name](spark, SF), con, SQL[name]) if name not in EMPTY or p != "no rows expected"]
     assert not problems, "\n".join(problems)
 
 
