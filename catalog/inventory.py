@@ -148,6 +148,29 @@ def i12(t):
     return actions.report(t.stored.select("key", "size", "modified_us").unionByName(zips), t.manifest)
 
 
+CHANGED = """newer AS (SELECT key, size, CASE WHEN starts_with(key,'backup/src2/') AND size%2=0 THEN etag||'x' ELSE etag END AS etag FROM stored WHERE NOT (starts_with(key,'backup/src1/') AND size%3=0)
+    UNION ALL SELECT replace(key,'backup/src2/','backup/src2b/'), size, NULL FROM stored WHERE starts_with(key,'backup/src2/'))"""
+
+
+@query("j01_changes_between_listings", ctes=CHANGED, sql="""SELECT coalesce(o.key,n.key) AS key, CASE WHEN o.key IS NULL THEN 'added' WHEN n.key IS NULL THEN 'removed' ELSE 'changed' END AS change,
+    o.size AS old_size, n.size AS new_size, o.etag AS old_etag, n.etag AS new_etag FROM stored o FULL JOIN newer n ON o.key=n.key
+    WHERE o.key IS NULL OR n.key IS NULL OR o.size IS DISTINCT FROM n.size OR o.etag IS DISTINCT FROM n.etag""")
+def j01_changes(t):
+    """Two full listings as snapshots with digests; only ranges that differ are read."""
+    from invspark.sources import snapshots
+
+    old = t.stored.select("key", "size", "etag")
+    other = F.startswith("key", F.lit("backup/src2/"))
+    kept = old.filter(~(F.startswith("key", F.lit("backup/src1/")) & (F.col("size") % 3 == 0)))
+    newer = kept.withColumn("etag", F.when(other & (F.col("size") % 2 == 0), F.concat("etag", F.lit("x"))).otherwise(F.col("etag")))
+    added = old.filter(other).select(F.regexp_replace("key", "^backup/src2/", "backup/src2b/").alias("key"), "size", F.lit(None).cast("string").alias("etag"))
+    first, second = shared_dir(t.spark, "snapshot"), shared_dir(t.spark, "snapshot")
+    snapshots.save(old, first, ranges=16)
+    snapshots.save(newer.unionByName(added), second, like=first, ranges=16)
+    found = snapshots.changes(t.spark, first, second, old)
+    return found.select("key", "change", *[F.col(f"{side}.{name}").alias(f"{side}_{name}") for name in ("size", "etag") for side in ("old", "new")])
+
+
 @query("a02_totals", sql="""SELECT split_part(key,'/',1) AS top, count(*) AS n, sum(size)::BIGINT AS bytes, sum(size)/1048576.0::DOUBLE AS mib, sum(size)/1073741824.0::DOUBLE AS gib,
     sum(size)/1099511627776.0::DOUBLE AS tib FROM page_objects GROUP BY 1""")
 def a02(t):

@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 from invspark.functions import names, paths, units
 from invspark.operators import batching, folders, lookups, ordered, stats
 from invspark.plans import segments, upload, verify
-from invspark.session import shared_dir
+from invspark.session import materialise, shared_dir
+from invspark.sources import listing
 
 from .base import query
 from .views import DEST, LAKE, ROOT
@@ -206,6 +207,15 @@ def a15(t):
     return folders.sizes_to_depth(_folder_files(t), 2)
 
 
+@query("a15_sizes_at_every_depth", ctes="""p AS (SELECT size, string_split(regexp_replace(key,'/?[^/]*$',''),'/') AS parts FROM page_objects WHERE contains(key,'/')),
+    e AS (SELECT array_to_string(parts[1:depth],'/') AS folder, depth, size FROM (SELECT *, unnest(range(1,len(parts)+1)) AS depth FROM p))""",
+    sql="SELECT folder, depth, count(*) AS n_files, sum(size)::BIGINT AS bytes FROM e GROUP BY folder, depth")
+def a15_all(t):
+    """Every folder at any depth, from its interval in the frozen listing."""
+    frozen = materialise(listing.in_path_order(t.page_objects.select(F.col("key").alias("path"), "size")), "frozen")
+    return folders.intervals(frozen).select("folder", "depth", "n_files", "bytes")
+
+
 @query("a16_folder_routing", ctes=FOLDERS, sql="""SELECT folder, regexp_replace(folder,'/[^/]*$','') AS parent, n AS n_files, b AS bytes, folder LIKE '%/c%' AS is_leaf,
     CASE WHEN n=0 THEN 'empty' WHEN b/n>134217728 THEN 'individual' WHEN folder LIKE '%/c%' AND n<4 AND b<96*1048576 THEN 'as is' ELSE 'collate' END AS route FROM per""")
 def a16(t):

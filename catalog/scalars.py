@@ -3,7 +3,9 @@
 from pyspark.sql import functions as F
 
 from invspark.functions import manifests, names, paths, times, units, values
-from invspark.operators import batching, links, selection, lookups
+from invspark.operators import batching, folders, links, selection, lookups
+from invspark.session import materialise
+from invspark.sources import listing
 
 from .base import query
 from .views import DEST, ROOT, SEGMENT, SITE_LABELS
@@ -219,6 +221,16 @@ def p06_subtree(t):
     return selection.exclude_folders(_folders(t), top, subtree=True).select("ord", "path")
 
 
+@query("p06_excluded_intervals", ctes="""e AS (SELECT DISTINCT '/data/'||source AS folder FROM documents JOIN labels USING (doc_id) WHERE toxic=1 AND quality=0)""",
+    sql="SELECT path, size FROM files WHERE NOT EXISTS (SELECT 1 FROM e WHERE starts_with(path, folder||'/'))")
+def p06_intervals(t):
+    """The same by intervals of the frozen listing: no folder is spread over those above it."""
+    docs = t.table("documents").join(t.table("labels").filter("toxic = 1 and quality = 0"), "doc_id")
+    top = docs.select(F.concat(F.lit(ROOT + "/"), "source").alias("folder")).distinct()
+    frozen = materialise(listing.in_path_order(t.files.select("path", "size")), "frozen")
+    return folders.outside(frozen, folders.intervals(frozen).join(top, "folder", "left_semi")).select("path", "size")
+
+
 @query("p07_links_and_files", sql="SELECT is_link, count(*) AS n, sum(size)::BIGINT AS bytes FROM listing GROUP BY is_link")
 def p07(t):
     found, files = selection.split_links(t.listing)

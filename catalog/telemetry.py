@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from invspark.functions import names, units, values
 from invspark.operators import ordered, runs, stats, timeline
+from invspark.session import shared_dir
 from invspark.sources import tables
 
 from .base import query
@@ -95,6 +96,23 @@ def a12_lines(t):
     return rounded(stats.describe(lines, ["l_returnflag"], "cents"), 3)
 
 
+@query("a12_sizes_of_all_runs", sql="""SELECT kind, count(*) AS n, min(size) AS low, max(size) AS high, true AS ranks_hold FROM transfers GROUP BY kind""")
+def a12_runs(t):
+    """Sketches stored per run, merged over all runs without their rows; the ranks of what they give are counted in the transfers themselves."""
+    where = shared_dir(t.spark, "sketches")
+    stats.sketches(t.transfers, ["run", "kind"], "size").write.parquet(where)
+    stored = t.spark.read.parquet(where)
+    marks = [n / 20 for n in range(21)]
+    near = stats.sketched_quantiles(stats.merged_sketches(stored, ["kind"]), ["kind"], marks, [f"q{n}" for n in range(21)])
+    points = near.select("kind", "n", F.col("q0").alias("low"), F.col("q20").alias("high"), F.posexplode(F.array(*[F.col(f"q{n}") for n in range(21)])).alias("place", "value"))
+    # A value that rows share has all their ranks; the wanted one must lie among them, within a hundredth of the rows.
+    ranks = t.transfers.join(points, "kind").groupBy("kind", "n", "low", "high", "place").agg(
+        F.count_if(F.col("size") < F.col("value")).alias("under"), F.count_if(F.col("size") <= F.col("value")).alias("upto")
+    )
+    slack, want = F.col("n") * 0.01 + 1, F.col("n") * F.col("place") / 20
+    return ranks.groupBy("kind", "n", "low", "high").agg(F.bool_and((F.col("under") <= want + slack) & (F.col("upto") >= want - slack)).alias("ranks_hold"))
+
+
 def bins_sql(value, source, bins, keys="kind, compressed"):
     return (f"""e AS (SELECT {keys}, CASE WHEN min({value})=max({value}) THEN min({value})-0.5::DOUBLE ELSE min({value})::DOUBLE END AS lo,
         CASE WHEN min({value})=max({value}) THEN max({value})+0.5::DOUBLE ELSE max({value})::DOUBLE END AS hi FROM {source} WHERE {value} IS NOT NULL GROUP BY {keys})""",

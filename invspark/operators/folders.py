@@ -69,6 +69,49 @@ def sizes_to_depth(files: DataFrame, max_depth: int, folder: str = "folder") ->
     ).withColumn("gib", units.gib(F.col("bytes")))
 
 
+def intervals(listing: DataFrame, path: str = "path", size: str = "size") -> DataFrame:
+    """(folder, depth, first, last, n_files, bytes) of every folder with a file somewhere below it, at any depth.
+
+    ``listing`` bears ``ord`` in path order (``listing.in_path_order``), so the files below a folder are the interval ``first`` to
+    ``last``, and their bytes the difference of two running sums. A folder opens at the file whose predecessor does not lie below it and
+    closes at the one whose successor does not: each folder gives two rows, however many files and levels are below it.
+    """
+    rows = listing.select("ord", paths.parent_dir(F.col(path)).alias("folder"), F.coalesce(size, F.lit(0).cast("long")).alias("size"))
+    folder = F.col("folder")
+    run = ordered.scan(rows, [], "ord", sums={"before": F.col("size")}, previous={"left": folder}, following={"right": folder}, shifts=(20, 23))
+
+    def beyond(neighbour: str) -> Column:
+        """The folders above a file, its own included, that the neighbouring file is not below."""
+        mine, other = F.split("folder", "/"), F.split(F.col(neighbour), "/")
+        both = F.least(F.size(mine), F.size(other))
+        differs = F.array_position(F.zip_with(F.slice(mine, F.lit(1), both), F.slice(other, F.lit(1), both), lambda a, b: a == b), False).cast("int")
+        shared = F.when(F.col(neighbour).isNull(), 0).when(differs > 0, differs - 1).otherwise(both)
+        # A leading slash makes an empty first component, which is no folder.
+        lead = F.when(F.startswith(folder, F.lit("/")), 1).otherwise(0)
+        start = F.greatest(shared, lead) + 1
+        return F.when((folder != "") & (start <= F.size(mine)), F.transform(F.sequence(start, F.size(mine)), lambda k: F.struct(F.array_join(F.slice(mine, F.lit(1), k), "/").alias("folder"), (k - lead).cast("long").alias("depth"))))
+
+    none = F.lit(None).cast("long")
+    opened = run.select(F.inline(beyond("left")), F.col("ord").alias("first"), none.alias("last"), F.col("before").alias("from"), none.alias("to"))
+    closed = run.select(F.inline(beyond("right")), none.alias("first"), F.col("ord").alias("last"), none.alias("from"), (F.col("before") + F.col("size")).alias("to"))
+    held = opened.unionByName(closed).groupBy("folder", "depth").agg(*[F.max(name).alias(name) for name in ("first", "last", "from", "to")])
+    return held.select("folder", "depth", "first", "last", (F.col("last") - F.col("first") + 1).alias("n_files"), (F.col("to") - F.col("from")).alias("bytes"))
+
+
+def outside(listing: DataFrame, subtrees: DataFrame) -> DataFrame:
+    """The files of ``listing`` (with ``ord``) that lie in none of the intervals (first, last) of ``subtrees``, which may nest.
+
+    Ends of intervals and files are put in one order; a running count tells how many intervals are open at a file.
+    """
+    one = F.lit(1).cast("long")
+    ends = subtrees.select(F.inline(F.array(F.struct(F.col("first").alias("ord"), one.alias("_by")), F.struct((F.col("last") + 1).alias("ord"), (-one).alias("_by")))))
+    # Ends at a place come before its file.
+    marks = ends.groupBy("ord").agg(F.sum("_by").alias("_by")).withColumns({"_at": F.col("ord") * 2, "_file": F.lit(False)})
+    files = listing.withColumns({"_by": F.lit(0).cast("long"), "_at": F.col("ord") * 2 + 1, "_file": F.lit(True)})
+    run = ordered.scan(files.unionByName(marks, allowMissingColumns=True), [], "_at", sums={"_open": F.col("_by")}, shifts=(21, 23))
+    return run.filter("_file and _open = 0").select(*listing.columns)
+
+
 def routing(files: DataFrame, mean_limit: int = 128 * units.MIB, few: int = 4, tiny: int = 96 * units.MIB, folder: str = "folder") -> DataFrame:
     """Per folder: upload files one by one, collate under the parent, or leave a tiny leaf as it is."""
     stats = per_folder(files, folder=folder)

@@ -203,6 +203,37 @@ def describe(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     return basic.join(cuts, "_key").select(*_unbound(keys), "n", "mean", "std", "min", "max", "q25", "q50", "q75")
 
 
+#: Size of a sketch: ranks are off by less than 0.7 per cent of the rows in 99 of 100 cases, in some kilobytes whatever the rows.
+SKETCH = 400
+
+
+def sketches(df: DataFrame, keys: Sequence[str], value: str, k: int = SKETCH) -> DataFrame:
+    """(keys, n, low, high, sketch) of a number, one row per group, to be stored: a mergeable KLL quantile sketch with the exact ends.
+
+    Longs keep their type, other numbers are doubles. Null keys are a group, null and NaN values are left out.
+    """
+    rows = _present(df, keys, value)
+    agg, kind = (F.kll_sketch_agg_double, "double") if isinstance(df.schema[value].dataType, T.FractionalType) else (F.kll_sketch_agg_bigint, "bigint")
+    number = F.col(value).cast(kind)
+    made = rows.groupBy("_key").agg(F.count(F.lit(1)).alias("n"), F.min(number).alias("low"), F.max(number).alias("high"), agg(number, k).alias("sketch"))
+    return made.select(*_unbound(keys), "n", "low", "high", "sketch")
+
+
+def merged_sketches(held: DataFrame, keys: Sequence[str], k: int = SKETCH) -> DataFrame:
+    """The sketches of groups of stored sketches, such as those of all runs, without their rows."""
+    merge = F.kll_merge_agg_double if isinstance(held.schema["low"].dataType, T.DoubleType) else F.kll_merge_agg_bigint
+    rows = held.select(F.struct(F.lit(0).alias("_all"), *keys).alias("_key"), "n", "low", "high", "sketch")
+    made = rows.groupBy("_key").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"), merge("sketch", k).alias("sketch"))
+    return made.select(*_unbound(keys), "n", "low", "high", "sketch")
+
+
+def sketched_quantiles(held: DataFrame, keys: Sequence[str], probabilities: Sequence[float], names: Sequence[str]) -> DataFrame:
+    """(keys, n, names): values near the given ranks; the exact minimum and maximum at 0 and 1."""
+    get = F.kll_sketch_get_quantile_double if isinstance(held.schema["low"].dataType, T.DoubleType) else F.kll_sketch_get_quantile_bigint
+    near = [F.col("low") if p == 0 else F.col("high") if p == 1 else get("sketch", F.lit(float(p))) for p in probabilities]
+    return held.select(*keys, "n", *[value.alias(name) for value, name in zip(near, names)])
+
+
 def histogram(df: DataFrame, keys: Sequence[str], value: str, bins: int) -> DataFrame:
     """Equal-width bins between min and max per group, the last one closed; empty bins included.
 

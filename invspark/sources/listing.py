@@ -77,14 +77,18 @@ def freeze(entries: DataFrame, root: str, dest: str) -> DataFrame:
     position they were written at: file order, then row order in the file.
     """
     files = entries.filter("not is_dir").drop("is_dir", "error")
-    placed = files.orderBy("path").withColumn("_row", F.monotonically_increasing_id())
-    numbered = ordered.numbered(materialise(placed, "listing"), [], "_row", "ord", shifts=(20, 23))
-    return numbered.select(
+    return in_path_order(files).select(
         "ord", "path", "is_link", "link_target",
         paths.object_name(F.col("path"), root, dest).alias("object_name"), "size",
     )
 
 
+def in_path_order(files: DataFrame, path: str = "path") -> DataFrame:
+    """Add ``ord``: 0, 1, ... in the order of paths. Whatever lies below a folder is then one interval of ``ord``."""
+    placed = files.orderBy(path).withColumn("_row", F.monotonically_increasing_id())
+    return ordered.numbered(materialise(placed, "listing"), [], "_row", "ord", shifts=(20, 23)).drop("_row")
+
+
 def with_prefix(keys: DataFrame, prefix: str, key: str = "key") -> DataFrame:
     """Objects below a prefix; pushed down to a parquet listing."""
     return keys.filter(F.startswith(F.col(key), F.lit(prefix)))
