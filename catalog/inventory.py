@@ -7,7 +7,7 @@ from invspark.functions import paths, units
 from invspark.operators import batching, runs, stats
 from invspark.plans import actions, logs
 from invspark.session import shared_dir
-from invspark.sources import listing, tables, text
+from invspark.sources import listing, tables, text, tree
 
 from .archives import TREE, below, document_files, frozen_files
 from .base import query
@@ -31,6 +31,29 @@ def i01_files(t):
     return listing.list_files(t.spark, where).select(path.alias("path"), "size")
 
 
+TREE_ROWS = """SELECT source||'/'||lang||'/'||doc_id||'.txt' AS path, false AS is_dir, octet_length(encode(text))::BIGINT AS size FROM documents
+    UNION ALL SELECT DISTINCT source||'/'||lang, true, 0 FROM documents UNION ALL SELECT DISTINCT source, true, 0 FROM documents"""
+
+
+@query("i01_tree_source", sql=f"SELECT * FROM ({TREE_ROWS}) WHERE starts_with(path,'src1') AND size>=100")
+def i01_source(t):
+    """The tree as a data source: what the path begins with and the size are decided while it is read."""
+    where = document_files(t)
+    tree.register(t.spark)
+    found = t.spark.read.format("tree").load(where).filter(F.startswith("path", F.lit(where + "/src1")) & (F.col("size") >= 100))
+    return found.select(below("path", where).alias("path"), "is_dir", "size")
+
+
+@query("i01_tree_stream", sql=TREE_ROWS)
+def i01_stream(t):
+    """The tree as a stream, by the time entries changed."""
+    where, out, log = document_files(t), shared_dir(t.spark, "entries"), shared_dir(t.spark, "entries-log")
+    tree.register(t.spark)
+    entries = t.spark.readStream.format("tree").option("lag_us", 0).load(where)
+    entries.writeStream.format("parquet").option("checkpointLocation", log).trigger(availableNow=True).start(out).awaitTermination()
+    return t.spark.read.schema(tree.ENTRIES).parquet(out).select(below("path", where).alias("path"), "is_dir", "size")
+
+
 @query("i01_frozen_listing", ctes=TREE, sql="SELECT ord, member AS path, 'backup/'||member AS object_name, size FROM tree")
 def i01_frozen(t):
     """Walk a written tree and number its files in path order."""

@@ -6,6 +6,7 @@ from invspark.functions import names, values
 from invspark.operators import lookups, stats
 from invspark.plans import actions, archive, segments, verify
 from invspark.session import materialise, mounted_dir
+from invspark.sources import tree
 
 from .base import query
 from .views import DEST, LAKE, SEGMENT
@@ -69,6 +70,15 @@ def i08(t):
     return verify.explode_members(text.read_manifests(t.spark, where)).select("zip_key", "member")
 
 
+@query("i08_manifest_source", sql="SELECT zip_key, text FROM manifest WHERE text IS NOT NULL")
+def i08_source(t):
+    """The same manifests by the data source of their name."""
+    where = mounted_dir(t.spark, "manifests")
+    materialise(archive.write_manifests(t.manifest.filter("text is not null"), where), "written")
+    tree.register(t.spark)
+    return t.spark.read.format("manifests").load(where)
+
+
 @query("j07_not_yet_verified", sql="""SELECT ord, DESTINATION_KEY FROM upload_log WHERE NOT ends_with(DESTINATION_KEY,'.symlink')
     AND DESTINATION_KEY NOT IN (SELECT DESTINATION_KEY FROM verification)""")
 def j07(t):

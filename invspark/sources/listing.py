@@ -37,7 +37,7 @@ def _scan_folders(batches):
                     link, is_dir = entry.is_symlink(), entry.is_dir(follow_symlinks=False)
                     try:
                         stat = entry.stat(follow_symlinks=False)
-                        size, modified = stat.st_size, int(stat.st_mtime * 1e6)
+                        size, modified = stat.st_size, stat.st_mtime_ns // 1000
                     except OSError:
                         size, modified = 0, None
                     target = os.path.join(folder, os.readlink(entry.path)) if link else None
