@@ -146,12 +146,12 @@ def rolled_sql(keys, n, value=RATE):
 
 @query("w07_rolling_mean_of_rows", sql=f"SELECT run, ord, {rolled_sql('run', 10)} AS rolling FROM transfers")
 def w07(t):
-    return rounded(ordered.rolling_rows(t.transfers.select("run", "ord", gibit().alias("g")), ["run"], "ord", F.col("g"), 10, narrow=True).select("run", "ord", "rolling"))
+    return rounded(ordered.rolling_rows(t.transfers.select("run", "ord", gibit().alias("g")), ["run"], "ord", F.col("g"), 10).select("run", "ord", "rolling"))
 
 
 @query("w07_rolling_mean_over_index", sql=f"SELECT ord, {rolled_sql('1', 100)} AS rolling FROM transfers")
 def w07_all(t):
-    return rounded(ordered.rolling_rows(t.transfers.select("ord", gibit().alias("g")), [], "ord", F.col("g"), 100, narrow=True).select("ord", "rolling"))
+    return rounded(ordered.rolling_rows(t.transfers.select("ord", gibit().alias("g")), [], "ord", F.col("g"), 100).select("ord", "rolling"))
 
 
 @query("w08_rolling_mean_of_an_hour", ctes=curve_sql(), sql="""SELECT compressed, t, round(avg(rate) OVER (PARTITION BY compressed ORDER BY t RANGE BETWEEN 3599999999 PRECEDING AND CURRENT ROW)/1048576000.0::DOUBLE,6) AS mib_s FROM curve""")
@@ -236,7 +236,7 @@ PANEL = ["site", "compressed", "workers", "threads"]
 
 @query("w15_rolling_rate_per_panel", ctes=SITE_SQL, sql=f"SELECT site, compressed, workers, threads, ord, {rolled_sql(','.join(PANEL), 20)} AS rolling FROM site_runs")
 def w15(t):
-    return rounded(ordered.rolling_rows(sites(t).select(*PANEL, "ord", gibit().alias("g")), PANEL, "ord", F.col("g"), 20, narrow=True).select(*PANEL, "ord", "rolling"))
+    return rounded(ordered.rolling_rows(sites(t).select(*PANEL, "ord", gibit().alias("g")), PANEL, "ord", F.col("g"), 20).select(*PANEL, "ord", "rolling"))
 
 
 # Run-log telemetry

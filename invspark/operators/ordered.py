@@ -106,29 +106,37 @@ def chunks(df: DataFrame, keys: Sequence[str], order: str, size: int, name: str
 
 def rolling_rows(
     df: DataFrame, keys: Sequence[str], order: str, value: Column, n: int, name: str = "rolling",
-    full_only: bool = False, shifts=ROWS, block: int = 1 << 16, narrow: bool = False,
+    full_only: bool = False, shifts=ROWS,
 ) -> DataFrame:
     """Mean over the last ``n`` rows, null until ``n`` values were seen and where one of them is null.
 
-    Rows are numbered, cut into blocks, and the last ``n - 1`` rows of each
-    block are also given to the next one, so every frame is complete inside
-    its block.
+    Rows are shuffled once, into buckets of the order key. A bucket's last
+    ``n - 1`` values are its summary; from the summaries before it each bucket
+    gets the ``n - 1`` values that precede its first row, and the frames of its
+    first rows are filled up from them.
     """
-    block = max(block, n)
-    rows = numbered(df, keys, order, "_idx", shifts, narrow).withColumn("_value", value)
-    home = F.floor(F.col("_idx") / block)
-    at_end = F.col("_idx") % block >= block - (n - 1)
-    spread = rows.withColumn("_home", home).withColumn(
-        "_block", F.explode(F.when(at_end, F.array(home, home + 1)).otherwise(F.array(home)))
-    )
-    frame = Window.partitionBy(*keys, "_block").orderBy("_idx").rowsBetween(1 - n, 0)
-    out = (
-        spread.withColumn(name, F.when(F.count("_value").over(frame) == n, F.avg("_value").over(frame)))
-        .filter(F.col("_block") == F.col("_home"))
-    )
-    if full_only:
-        out = out.filter(F.col("_idx") >= n - 1)
-    return out.select(*df.columns, name)
+    rows = df.withColumns({"_value": value, "_bucket": F.shiftright(F.col(order), shifts[0])}).repartition(*keys, "_bucket")
+    own, other = [*keys, "_bucket"], list(keys) or [F.lit(0)]
+    backwards = F.row_number().over(Window.partitionBy(*own).orderBy(F.desc(order)))
+    ends = rows.select(*own, order, "_value").withColumn("_from_end", backwards).filter(F.col("_from_end") < n)
+    tails = ends.groupBy(*own).agg(F.transform(F.array_sort(F.collect_list(F.struct(order, "_value"))), lambda x: x["_value"]).alias("_tail"))
+    # The n - 1 buckets before hold at least as many values, if there are that many.
+    before = Window.partitionBy(*other).orderBy("_bucket").rowsBetween(1 - n, -1) if n > 1 else None
+    held = F.flatten(F.collect_list("_tail").over(before)) if n > 1 else F.array().cast("array<double>")
+    carried = tails.select(*own, F.slice(held, F.greatest(F.size(held) - (n - 2), F.lit(1)), F.lit(max(n - 1, 1))).alias("_carried")) if n > 1 else None
+    frame = Window.partitionBy(*own).orderBy(order).rowsBetween(1 - n, 0)
+    inside = rows.withColumns({"_seen": F.count(F.lit(1)).over(frame), "_known": F.count("_value").over(frame), "_mean": F.avg("_value").over(frame)})
+    if carried is None:
+        return inside.withColumn(name, F.col("_mean")).select(*df.columns, name)
+    joined = inside.join(carried, own)
+    lacking = F.lit(n) - F.col("_seen")
+    there = F.size("_carried") >= lacking
+    filling = F.slice("_carried", F.greatest(F.size("_carried") - lacking + 1, F.lit(1)).cast("int"), F.greatest(lacking, F.lit(0)).cast("int"))
+    whole = (F.col("_known") == F.col("_seen")) & F.forall(filling, lambda x: x.isNotNull())
+    total = F.col("_mean") * F.col("_seen") + F.aggregate(filling, F.lit(0.0), lambda a, x: a + x)
+    mean = F.when(lacking == 0, F.when(F.col("_known") == n, F.col("_mean"))).when(there & whole, total / n)
+    out = joined.filter(there) if full_only else joined
+    return out.withColumn(name, mean).select(*df.columns, name)
 
 
 def rolling_span(df: DataFrame, keys: Sequence[str], order: str, value: Column, span: int, name: str = "rolling") -> DataFrame:

@@ -47,17 +47,21 @@ def test_numbers_and_chunks(df, frame):
     assert (out["chunk"] == frame.groupby("run").cumcount() // 7).all()
 
 
-@pytest.mark.parametrize("n,block", [(1, 8), (10, 16), (10, 64), (100, 8)])
-def test_rolling_rows(df, frame, n, block):
-    out = ordered_pdf(ordered.rolling_rows(df, ["run"], "ord", F.col("v"), n, block=block, shifts=(5,)))
+@pytest.mark.parametrize("n,shift", [(1, 3), (2, 0), (10, 4), (10, 6), (100, 3), (100, 5)])
+def test_rolling_rows(df, frame, n, shift):
+    """Also where a frame reaches over many buckets, some of them empty."""
+    out = ordered_pdf(ordered.rolling_rows(df, ["run"], "ord", F.col("v"), n, shifts=(shift,)))
     want = frame.groupby("run")["v"].rolling(n).mean().reset_index(drop=True)
     np.testing.assert_allclose(out["rolling"], want)
 
 
 def test_rolling_rows_with_null_values(spark):
     rows = spark.createDataFrame([(i, None if i == 3 else float(i)) for i in range(8)], "ord long, v double")
-    out = ordered.rolling_rows(rows, [], "ord", F.col("v"), 3).orderBy("ord").toPandas()["rolling"]
-    np.testing.assert_allclose(out, pd.Series([0, 1, 2, np.nan, 4, 5, 6, 7]).rolling(3).mean())
+    for shift in (20, 1, 0):
+        out = ordered.rolling_rows(rows, [], "ord", F.col("v"), 3, shifts=(shift,)).orderBy("ord").toPandas()["rolling"]
+        np.testing.assert_allclose(out, pd.Series([0, 1, 2, np.nan, 4, 5, 6, 7]).rolling(3).mean())
+    full = ordered.rolling_rows(rows, [], "ord", F.col("v"), 3, shifts=(1,), full_only=True)
+    assert sorted(r["ord"] for r in full.collect()) == [2, 3, 4, 5, 6, 7]
 
 
 def test_rolling_span_counts_ties_and_open_start(spark):
