@@ -172,6 +172,31 @@ def u05(t):
     return first.select("key", "target", F.col("status").alias("copied")).join(moved, "target").join(old_gone, "key").drop("target")
 
 
+@query("c11_resumed_actions", sql="SELECT source||'/'||lang||'/'||doc_id||'.txt' AS key, 1::BIGINT AS n_done, CASE WHEN n_chars%2=0 THEN 1 ELSE 2 END::BIGINT AS n_tried, md5(text) AS md5 FROM documents")
+def c11_actions(t):
+    """A plan of copies run twice under its id: what could not be read the first time is done the second time, the rest is not done again."""
+    where, results = document_files(t), mounted_dir(t.spark, "results")
+    # The first run finds half of the files gone.
+    sizes = t.table("documents").select(F.concat("source", F.lit("/"), "lang", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("key"), "n_chars")
+    plan = materialise(actions.with_plan_id(actions.move(sizes, "copies"), "plan 1"), "plan")
+    away = sizes.filter("n_chars % 2 <> 0").select(F.lit("copy").alias("action"), "key", F.concat(F.lit("away/"), "key").alias("target"))
+    gone = materialise(archive.apply_actions(away, where), "away")
+    materialise(archive.apply_actions(gone.select(F.lit("delete").alias("action"), "key", F.lit(None).cast("string").alias("target")), where), "gone")
+
+    def run(todo, number):
+        done = actions.with_plan_id(archive.apply_actions(todo, where), "plan 1").withColumn("run", F.lit(number))
+        done.write.mode("append").parquet(results)
+        return t.spark.read.parquet(results)
+
+    first = run(plan, 1)
+    back = gone.select(F.lit("copy").alias("action"), F.col("target").alias("key"), F.col("key").alias("target"))
+    materialise(archive.apply_actions(back, where), "back")
+    both = run(actions.undone(plan, first), 2)
+    copied = archive.digest_files(both.filter("status = 'done'").select(F.concat(F.lit(where + "/"), "target").alias("path")))
+    counts = both.groupBy("key").agg(F.count_if(F.col("status") == "done").alias("n_done"), F.count(F.lit(1)).alias("n_tried"))
+    return counts.join(copied.select(below("path", where + "/copies").alias("key"), "md5"), "key")
+
+
 @query("u01_partition_function", sql="""SELECT p_partkey, ((len(b)+list_sum(list_transform(b, lambda x, i: (len(b)-i+1)*x)))%65521*65536+(1+list_sum(b))%65521)::BIGINT AS checksum
     FROM (SELECT p_partkey, list_transform(string_split(p_name,''), lambda c: ascii(c)::BIGINT) AS b FROM part)""")
 def u01(t):

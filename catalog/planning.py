@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from invspark.functions import names, paths, units
-from invspark.operators import batching, folders, lookups, ordered, stats
+from invspark.operators import batching, folders, lookups, ordered, reconcile, stats
 from invspark.plans import segments, upload, verify
 from invspark.session import materialise, shared_dir
 from invspark.sources import listing
@@ -151,6 +151,16 @@ def j14(t):
     return lookups.verified_folders(lines.filter("l_returnflag <> 'R'"), lines.filter("l_linestatus = 'F'"))
 
 
+@query("j14_differing_names", ctes="""logged AS (SELECT DISTINCT l_orderkey AS folder, l_partkey||'-'||l_linenumber AS name FROM lineitem WHERE l_returnflag<>'R'),
+    disk AS (SELECT DISTINCT l_orderkey AS folder, l_partkey||'-'||l_linenumber AS name FROM lineitem WHERE l_linestatus='F')""",
+    sql="""SELECT folder, name, 'left' AS side FROM (SELECT * FROM logged EXCEPT SELECT * FROM disk) UNION ALL SELECT folder, name, 'right' FROM (SELECT * FROM disk EXCEPT SELECT * FROM logged)""")
+def j14_names(t):
+    """The names that keep folders from being verified, by invertible tables: logged and not on disk, or the other way."""
+    lines = t.table("lineitem")
+    names_ = lambda rows: rows.select(F.col("l_orderkey").alias("folder"), F.concat_ws("-", "l_partkey", "l_linenumber").alias("name")).distinct()
+    return reconcile.differences(names_(lines.filter("l_returnflag <> 'R'")), names_(lines.filter("l_linestatus = 'F'")), "folder", "name")
+
+
 @query("j15_complete_folders", sql="""SELECT regexp_replace(path,'/?[^/]*$','') AS folder, count(*) AS n_files, count(r.key) AS n_present, count(*)=count(r.key) AS skip
     FROM files LEFT JOIN remote r ON r.key=object_name GROUP BY 1""")
 def j15(t):
