@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 
 import public_tokenizers
 import pytest
@@ -53,6 +54,38 @@ def test_small_bounds_change_nothing(machine, library, monkeypatch):
         assert bpe.encode_text(small, SPLIT, text).tolist() == library.encode_ordinary(text), text[:40]
 
 
+def test_latin_texts_are_split_alike():
+    """The spelled-out classes are those of the properties, for all characters that choose them."""
+    split, rng = bpe.Splitter(public_tokenizers.PATTERN), random.Random(3)
+    assert split.latin is not None and bpe.Splitter(r"(?i:'s)|\p{L}+").latin is None and bpe.Splitter(r"\w+|\p{Lu}").latin is None
+    for c in map(chr, range(0x0250)):
+        if bpe.LATIN.fullmatch(c):
+            for pattern, chars in ((r"\p{L}", f"[{bpe.LETTERS}]"), (r"\p{N}", "[0-9]"), (r"\s", f"[{bpe.SPACES}]")):
+                assert bool(regex.match(pattern, c)) == bool(re.match(chars, c)), hex(ord(c))
+    alphabet = [chr(c) for c in range(1, 0x0260)] + list(" \n\t's'll  ") * 30
+    for _ in range(3000):
+        text = "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 40)))
+        latin = "".join(c for c in text if bpe.LATIN.fullmatch(c))
+        for some in (text, latin, latin.lower() + "  \n x"):
+            assert split.findall(some) == SPLIT.findall(some), some
+
+
+def test_short_pieces_are_read_through_determinised_arcs(machine):
+    """Every byte of them by an arc, most of which earlier pieces have made; a text read again makes none."""
+    fresh = bpe.Transducer(machine.ranks)
+    rng = random.Random(11)
+    syllables = ["ti", "on", "er", "schw", "ün", "pa", "lle", "que", "th", "ing", "re", "ab"]
+    pieces = {" " + "".join(rng.choice(syllables) for _ in range(rng.randint(2, 6))) for _ in range(8000)}
+    unknown = [p.encode() for p in pieces if p.encode() not in machine.ranks]
+    for piece in unknown:
+        fresh.encode(piece)
+    assert fresh.arcs_read == sum(map(len, unknown)) and fresh.arcs_made < fresh.arcs_read / 6
+    made = fresh.arcs_made
+    for piece in unknown:
+        fresh.encode(piece)
+    assert fresh.arcs_made == made
+
+
 def test_other_vocabularies():
     ranks = bpe.read_ranks(open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb").read())
     other = bpe.Transducer(ranks)
