@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import names, values
-from . import ordered
 
 
 def key_set(df: DataFrame, column: str, name: str, unique: bool = False) -> DataFrame:

@@ -14,7 +14,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
-import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F

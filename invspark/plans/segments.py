@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import hashlib
 
-import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import values

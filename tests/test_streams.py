@@ -4,7 +4,6 @@ import random
 from types import SimpleNamespace
 
 import pytest
-from pyspark.sql import functions as F
 
 from invspark.operators import lookups, stats
 from invspark.streaming import progress
