@@ -156,48 +156,65 @@ def read_growth(spark: SparkSession, out_path: str, keys: Sequence[str] = ()) ->
     return stats.growth_of(read_totals(spark, out_path), keys)
 
 
-def start_new_logs(listings: DataFrame, out_path: str, checkpoint: str, wait_us: int, late_us: int | None = None, **suffixes):
+#: Groups that the state of ``start_new_logs`` lies in. A checkpoint keeps the number it was begun with.
+BUCKETS = 1024
+
+
+def start_new_logs(listings: DataFrame, out_path: str, checkpoint: str, wait_us: int, late_us: int | None = None, buckets: int = BUCKETS, **suffixes):
     """Report logs that no verification table followed, once each, over repeated listings (key, listed_us).
 
-    State is kept per verification name: whether it has been seen, which logs wait for it and until when, and which were reported. A
+    State says which verification names have been seen, which logs wait for theirs and until when, and which were reported. A
     log and its verification may come in any order, in one listing or many triggers apart. A log is reported when the newest
     listing was taken more than ``wait_us`` after the one that first held it; a verification that comes earlier settles it, one that
     comes later does not take the report back. Time moves with every listing; an empty one may move it by a row without a key.
     Listings may come up to ``late_us`` (if not given: ``wait_us``) later than others taken after them; rows that are later still, and
     those of listings at or before 1970, are not looked at.
 
+    Names are dealt by hash to ``buckets`` groups, and a call takes all of a group: a call costs milliseconds, a name in it
+    microseconds. A trigger reads and writes the groups that its listing touches, so a whole listing costs what it holds. State of about
+    a hundred bytes a log or verification is spread evenly over the groups; other keys have none. With many more than some hundred
+    million names start with more groups; the number stays as long as the checkpoint.
+
     Each trigger takes the listings there are and writes (key) to its own folder; neither earlier listings nor results are read again.
     """
     late_us = wait_us if late_us is None else late_us
     kind, key = names.log_class(F.col("key"), **suffixes), F.col("key")
-    twin = F.when(kind == "verification", key).otherwise(names.verification_twin(key, **suffixes))
-    rows = listings.select("key", twin.alias("twin"), kind.alias("kind"), "listed_us", F.timestamp_micros("listed_us").alias("listed")).withWatermark("listed", f"{late_us} microseconds")
-
-    def watch(name, batches, state):
-        verified, waiting, until, reported = state.get if state.exists else (False, [], [], [])
-        held = dict(zip(waiting, until))
-        out = []
+    twin = F.when(kind == "verification", key).when(kind.isNotNull(), names.verification_twin(key, **suffixes))
+    # Rows of other keys stay, as time moves by them; they are dealt by their key.
+    bucket = F.pmod(F.xxhash64(F.coalesce(twin, key)), F.lit(buckets)).cast("int")
+    rows = listings.select(
+        bucket.alias("bucket"), F.when(kind.isNotNull(), key).alias("key"), twin.alias("twin"), (kind == "verification").alias("is_check"), "listed_us",
+        F.timestamp_micros("listed_us").alias("listed"),
+    ).withWatermark("listed", f"{late_us} microseconds")
+
+    def watch(_, batches, state):
+        settled, waiting, twins, until, reported = state.get if state.exists else ([], [], [], [], [])
+        settled, reported, held = set(settled), set(reported), {log: (name, end) for log, name, end in zip(waiting, twins, until)}
         if not state.hasTimedOut:
             for batch in batches:
-                if name[0] is None:
-                    continue
-                verified = verified or bool((batch["kind"] == "verification").any())
-                logs = batch[batch["kind"].isin(["log", "previous log"])].groupby("key")["listed_us"].min()
-                for log, listed in logs.items():
-                    if log not in reported:
-                        held[log] = min(held.get(log, listed + wait_us), listed + wait_us)
-        if name[0] is not None:
-            # The watermark is in milliseconds, and lies behind the newest listing by what may come late.
-            now = state.getCurrentWatermarkMs()
-            due = {log: (end - late_us) // 1000 + 1 for log, end in held.items()} if not verified else {}
-            out = sorted(log for log, time in due.items() if time <= now)
-            held = {log: held[log] for log, time in due.items() if time > now}
-            state.update((verified, list(held), list(held.values()), [*reported, *out]))
-            if held:
-                state.setTimeoutTimestamp(min(due[log] for log in held))
+                batch = batch[batch["key"].notna()]
+                checks = batch["is_check"].astype(bool)
+                settled.update(batch["twin"][checks])
+                logs = batch[~checks & batch["listed_us"].notna()]
+                for log, name, listed in zip(logs["key"], logs["twin"], logs["listed_us"].astype("int64").tolist()):
+                    end = listed + wait_us
+                    if log not in reported and (log not in held or end < held[log][1]):
+                        held[log] = (name, end)
+        # The watermark is in milliseconds, and lies behind the newest listing by what may come late.
+        now = state.getCurrentWatermarkMs()
+        held = {log: pair for log, pair in held.items() if pair[0] not in settled}
+        due = {log: (end - late_us) // 1000 + 1 for log, (_, end) in held.items()}
+        out = sorted(log for log, time in due.items() if time <= now)
+        held = {log: pair for log, pair in held.items() if due[log] > now}
+        reported.update(out)
+        if settled or held or reported:
+            state.update((list(settled), list(held), [name for name, _ in held.values()], [end for _, end in held.values()], list(reported)))
+        if held:
+            state.setTimeoutTimestamp(min(due[log] for log in held))
         yield pd.DataFrame({"key": out}, dtype=object)
 
-    found = rows.groupBy("twin").applyInPandasWithState(watch, "key string", "verified boolean, waiting array<string>, until array<bigint>, reported array<string>", "append", "EventTimeTimeout")
+    kept = "settled array<string>, waiting array<string>, twins array<string>, until array<bigint>, reported array<string>"
+    found = rows.groupBy("bucket").applyInPandasWithState(watch, "key string", kept, "append", "EventTimeTimeout")
 
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out_path}/batch={number}")
