@@ -48,6 +48,29 @@ def test_any_order_equals_the_batch_twin(spark, tmp_path, seed):
     assert take(spark, str(tmp_path), [(None, 100)]) == sorted(r.key for r in want.collect())
 
 
+@pytest.mark.parametrize("buckets", [1, 3])
+def test_names_of_one_group_of_state_keep_their_own_times(spark, tmp_path, buckets):
+    """Entries of state follow the groups, not the names; logs of a group fall due apart, and other keys leave no state."""
+    path, check = str(tmp_path), "{}-backup-verification.csv".format
+    triggers = [
+        [(f"n{i}-backup.csv", i % 7) for i in range(60)] + [(f"x{i}.txt", 6) for i in range(50)],
+        [(check(f"n{i}"), 10) for i in range(0, 60, 3)] + [(f"n{i}-backup.csv", 10) for i in range(60)],
+        [(None, 28)], [(None, 29)], [(check("n1"), 60), ("n1-backup.csv", 60)], [(None, 200)],
+    ]
+    seen = []
+    for rows in triggers:
+        data = spark.createDataFrame([(k, START + h * HOUR) for k, h in rows], "key string, listed_us long")
+        data.coalesce(1).write.mode("append").parquet(f"{path}/in")
+        stream = spark.readStream.schema(data.schema).parquet(f"{path}/in")
+        query = progress.start_new_logs(stream, f"{path}/out", f"{path}/log", wait_us=24 * HOUR, buckets=buckets)
+        query.awaitTermination()
+        assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= buckets
+        found = spark.read.schema("key string").option("recursiveFileLookup", True).parquet(f"{path}/out")
+        seen.append(sorted(r.key for r in found.collect()))
+    due = lambda hour: sorted(f"n{i}-backup.csv" for i in range(60) if i % 3 and i % 7 < hour - 24)
+    assert seen == [[], [], due(28), due(29), due(60), due(200)] and len(seen[-1]) == 40
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_growth_in_any_order(spark, tmp_path, seed):
     rng = random.Random(seed)
