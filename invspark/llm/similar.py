@@ -10,10 +10,13 @@ surely.
 
 Within a run of any size all pairs are connected that differ in at most
 ``radius`` bits. Pairs already connected are not looked at again, so near copies
-cost a comparison each, not one by pair. In a long run, members outside its
-largest class are held against the others in order of the distance to a pivot
-(a member): by the triangle inequality only a stretch of them can be near.
-Links go through the same components as those of ``simhash``.
+cost a comparison each, not one by pair. As in ``simhash``, distances to some
+pivots (members) are tabled, and by the triangle inequality pairs drop out whose
+maximum coordinate difference exceeds the radius; what is left is verified by
+counting differing bits. In a long run, members outside its largest class are
+held against the others in order of the first coordinate, where only a stretch
+of them can be near. Links go through the same components as those of
+``simhash``.
 """
 
 from __future__ import annotations
@@ -38,6 +41,8 @@ WIDTH = 5
 SIMILARITY = 0.8
 #: In runs up to this size pairs are compared place by place, in longer ones member by member; both connect the same.
 SMALL = 16
+#: Columns of a pivot table.
+N_PIVOTS = 8
 #: Rows looked at together, if no group is larger.
 CHUNK = 1 << 16
 
@@ -103,6 +108,16 @@ def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.bitwise_count(a ^ b).sum(axis=-1, dtype=np.int32)
 
 
+def pivot_table(prints: np.ndarray) -> np.ndarray:
+    """The distances of each row to ``N_PIVOTS`` of them, spread evenly."""
+    return np.stack([distances(prints, prints[one]).astype(np.int16) for one in np.linspace(0, len(prints) - 1, N_PIVOTS).astype(int)], axis=1)
+
+
+def within(table: np.ndarray, first, second, radius: int) -> np.ndarray:
+    """Which of the pairs may be near: those whose distances to no pivot differ by more than the radius."""
+    return np.abs(table[first] - table[second]).max(axis=1, initial=0) <= radius
+
+
 def merged(label: np.ndarray, first: np.ndarray, second: np.ndarray) -> np.ndarray:
     """The labels (the smallest place of each class) after the classes of linked places become one."""
     if not len(first):
@@ -115,32 +130,33 @@ def merged(label: np.ndarray, first: np.ndarray, second: np.ndarray) -> np.ndarr
 
 def sweep(prints: np.ndarray, label: np.ndarray, radius: int) -> np.ndarray:
     """Labels of one run's members, with all pairs connected that are within the radius."""
-    label = np.unique(label, return_inverse=True)[1]
+    label, table = np.unique(label, return_inverse=True)[1], pivot_table(prints)
 
-    def take(one: int, others: np.ndarray) -> None:
-        others = others[label[others] != label[one]]
-        near = others[distances(prints[others], prints[one]) <= radius]
+    def take(one: int, near: np.ndarray) -> None:
+        near = near[label[near] != label[one]]
         if len(near):
             label[np.isin(label, label[near])] = label[one]
 
-    everyone = np.arange(len(prints))
-    for one in np.linspace(0, len(prints) - 1, 8).astype(int):
-        take(one, everyone)
+    for one, apart in zip(np.linspace(0, len(prints) - 1, N_PIVOTS).astype(int), table.T):
+        take(one, np.flatnonzero(apart <= radius))
     # One class is settled on; pairs inside it are connected, so only the members outside need a look at the others.
     anchor = np.flatnonzero(label == np.bincount(label).argmax())[0]
-    pivot = distances(prints, prints[anchor])
-    order = np.argsort(pivot, kind="stable")
-    sorted_ = pivot[order]
+    first = distances(prints, prints[anchor])
+    order = np.argsort(first, kind="stable")
+    sorted_ = first[order]
     for one in np.flatnonzero(label != label[anchor]):
         if label[one] != label[anchor]:
-            low, high = np.searchsorted(sorted_, [pivot[one] - radius, pivot[one] + radius + 1])
-            take(one, order[low:high])
+            low, high = np.searchsorted(sorted_, [first[one] - radius, first[one] + radius + 1])
+            others = order[low:high]
+            others = others[label[others] != label[one]]
+            others = others[within(table, others, one, radius)]
+            take(one, others[distances(prints[others], prints[one]) <= radius])
     return label
 
 
 def connect(key: np.ndarray, prints: np.ndarray, radius: int) -> np.ndarray:
     """For rows of whole groups, in order of the key: the smallest place each is connected with over runs of its group."""
-    label = np.arange(len(key))
+    label, table = np.arange(len(key)), pivot_table(prints)
     group = np.cumsum(np.concatenate([[0], key[1:] != key[:-1]])) << 16
     columns = np.ascontiguousarray(prints.view(np.uint8).reshape(len(key), -1).T).astype(np.int64)
     for a, b in INNER:
@@ -162,6 +178,8 @@ def connect(key: np.ndarray, prints: np.ndarray, radius: int) -> np.ndarray:
             x, y = at[first], at[first + apart]
             near = label[x] != label[y]
             x, y = x[near], y[near]
+            near = within(table, x, y, radius)
+            x, y = x[near], y[near]
             near = distances(prints[x], prints[y]) <= radius
             found.append((x[near], y[near]))
         for k in np.flatnonzero(mixed & (sizes > SMALL)):

@@ -190,6 +190,27 @@ def test_runs_of_any_size_connect_all_pairs():
             assert len(set(zip(label.tolist(), want))) == len(set(want)) == len(set(label.tolist()))
 
 
+def test_pivot_tables_discard_far_pairs_only(monkeypatch):
+    """Of two clouds in one run, pairs across them are discarded before their bits are counted; near pairs never are."""
+    rng = np.random.default_rng(16)
+    centres = rng.integers(0, 1 << 64, (2, similar.LANES), dtype=np.uint64)
+    for size in (12, 60):
+        prints = np.array([flipped(rng, centres[i % 2], 30) for i in range(size)])
+        first, second = np.triu_indices(size, 1)
+        near = similar.distances(prints[first], prints[second]) <= 51
+        kept = similar.within(similar.pivot_table(prints), first, second, 51)
+        assert kept[near].all() and not kept[(first + second) % 2 == 1].any()
+        verified, count = [], similar.distances
+        monkeypatch.setattr(similar, "distances", lambda a, b: verified.append((a, b)) or count(a, b))
+        label = similar.connect(np.zeros(size, np.int64), prints, 51)
+        monkeypatch.undo()
+        want = simhash.roots(size, first[near], second[near])
+        assert all(want[a] == want[b] for a, b in enumerate(label.tolist()))
+        pairs = [(a, b) for a, b in verified if a.ndim == b.ndim == 2 and len(a) != size]
+        across = [np.bitwise_count((a ^ b)).sum(axis=-1) > 51 + 60 for a, b in pairs]
+        assert not np.concatenate([np.zeros(1, bool), *across]).any()
+
+
 def test_pairs_at_the_radius_meet(spark):
     """Pairs exactly 51 bits apart, and none of 52."""
     rng = np.random.default_rng(15)
