@@ -1,4 +1,4 @@
-"""Differences between two families of sets without joining their members.
+"""Differences between two families of sets, without joining the members of large ones.
 
 Each group's set becomes a small invertible table: every member is added to
 three of its cells, as a count and as XORs of its hash and of a check on the
@@ -8,6 +8,9 @@ size. While few members differ, cells that hold a single one give it away, and
 taking it out of its other cells frees further ones. Groups that cannot be taken
 apart, or whose members found do not account for the difference of the
 two sets' fingerprints, are joined member by member, and only those.
+
+A group with no more members than its table has cells would be more cells than
+members, as each goes to three of them: its members are counted themselves.
 """
 
 from __future__ import annotations
@@ -86,7 +89,18 @@ def differences(left: DataFrame, right: DataFrame, group: str, member: str, cell
     Equal to the two anti-joins. Groups are not null; a null member belongs to no set. Members are compared by 64-bit hashes
     within a group, and what is found is held against 192 bits of the whole difference; a group where it fails is joined.
     """
-    sides = {"left": left.select(group, member), "right": right.select(group, member)}
+    both = left.select(group, member, F.lit(1).alias("_sign")).unionByName(right.select(group, member, F.lit(-1).alias("_sign")))
+    members = materialise(both.filter(F.col(member).isNotNull()), "members")
+    large = materialise(members.groupBy(group).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > cells).select(group), "large")
+    single = members.join(large, group, "left_anti").groupBy(group, member).agg(F.sum("_sign").alias("_sign")).filter("_sign <> 0")
+    small = single.select(group, member, F.when(F.col("_sign") > 0, "left").otherwise("right").alias("side"))
+    held = members.join(large, group, "left_semi")
+    sides = {side: held.filter(F.col("_sign") == sign).select(group, member) for side, sign in (("left", 1), ("right", -1))}
+    return small.unionByName(_by_cells(sides, group, member, cells))
+
+
+def _by_cells(sides: dict[str, DataFrame], group: str, member: str, cells: int) -> DataFrame:
+    """The same of groups of any size, by invertible tables."""
     rows = materialise(_cells(sides, group, member, cells), "cells")
     found = materialise(rows.mapInArrow(lambda parts: _taken(parts, cells), "_group string, h long, sign int, whole boolean"), "taken")
     # Names are looked up where their hash is known: the differences are the small side.

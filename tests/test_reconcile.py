@@ -45,6 +45,16 @@ def test_few_differences_need_no_join(spark, monkeypatch):
     assert found(spark, left, right, "long") == brute(left, right)
 
 
+def test_small_groups_are_no_cells(spark, monkeypatch):
+    """Groups of no more members than cells are not spread over cells; larger ones beside them are."""
+    given, cells = [], reconcile._cells
+    monkeypatch.setattr(reconcile, "_cells", lambda sides, *rest: given.append({side: df.count() for side, df in sides.items()}) or cells(sides, *rest))
+    left = {i: {f"m{j}" for j in range(4)} for i in range(50)} | {99: {f"m{j}" for j in range(100)}}
+    right = {i: {f"m{j}" for j in range(i % 3, 5)} for i in range(50)} | {99: {f"m{j}" for j in range(1, 100)}}
+    assert found(spark, left, right, "long") == brute(left, right)
+    assert given == [{"left": 100, "right": 99}]
+
+
 def test_a_false_table_is_joined(spark, monkeypatch):
     """What a table gives is not believed where the fingerprints say otherwise."""
     monkeypatch.setattr(reconcile, "peel", lambda cells, size: [])
@@ -73,3 +83,10 @@ def test_tables_are_taken_apart():
                 held[1] ^= h
                 held[2] ^= reconcile.spark_hash(h)
         assert sorted(reconcile.peel(cells, size)) == sorted(members.items())
+
+
+def test_a_false_table_of_a_large_group_is_joined(spark, monkeypatch):
+    monkeypatch.setattr(reconcile, "peel", lambda cells, size: [])
+    left = {"a": {f"x{i}" for i in range(20)}, "b": {f"z{i}" for i in range(20)}}
+    right = {"a": left["a"] - {"x3"}, "b": left["b"] | {"w"}}
+    assert found(spark, left, right, cells=6) == brute(left, right)
