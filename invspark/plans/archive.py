@@ -20,6 +20,8 @@ import pandas as pd
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, functions as F
 
+from ..session import dealt
+
 # Fixed value: every member carries the same date, so equal input gives equal archives.
 MEMBER_DATE = (1980, 1, 1, 0, 0, 0)
 BLOCK = 8 * 1024**2
@@ -162,7 +164,7 @@ def pack_files(plan: DataFrame, out_root: str, dest: str, compress: bool = False
                 })
 
     rows = plan.select("zip_key", "members", F.expr("uuid()").alias("attempt"))
-    rows = rows.repartition(tasks, "zip_key") if tasks else rows.repartition("zip_key")
+    rows = rows.repartition(tasks, "zip_key") if tasks else dealt(rows, "zip_key")
     return rows.mapInPandas(pack, PACKED)
 
 
@@ -201,7 +203,7 @@ def write_manifests(manifest: DataFrame, root: str) -> DataFrame:
             yield batch[["zip_key"]].assign(size=sizes)
 
     rows = manifest.select("zip_key", "text", F.expr("uuid()").alias("attempt"))
-    return rows.repartition("zip_key").mapInPandas(write, "zip_key string, size long")
+    return dealt(rows, "zip_key").mapInPandas(write, "zip_key string, size long")
 
 
 def _digest(system, path: str) -> tuple[int, str]:
@@ -226,7 +228,7 @@ def digest_files(paths: DataFrame, path: str = "path") -> DataFrame:
                     found.append((name, None, None, type(error).__name__))
             yield pd.DataFrame(found, columns=[path, "size", "md5", "error"]).astype({"size": "Int64"})
 
-    return paths.select(path).mapInPandas(digest, f"{path} string, size long, md5 string, error string")
+    return dealt(paths.select(path), path).mapInPandas(digest, f"{path} string, size long, md5 string, error string")
 
 
 def _members(zip_key: str, archive: zipfile.ZipFile, keep: bool) -> Iterator[pd.DataFrame]:
@@ -290,7 +292,7 @@ def unpack_files(archives: DataFrame, root: str, keep_content: bool = False) ->
                 except UNREADABLE as error:
                     yield _failed(key, error)
 
-    return archives.select("zip_key").mapInPandas(unpack, UNPACKED)
+    return dealt(archives.select("zip_key"), "zip_key").mapInPandas(unpack, UNPACKED)
 
 
 def extract_files(wanted: DataFrame, root: str, out_root: str) -> DataFrame:
@@ -330,7 +332,7 @@ def extract_files(wanted: DataFrame, root: str, out_root: str) -> DataFrame:
                 yield pd.DataFrame(rows, columns=columns).astype({"size": "Int64"})
 
     rows = wanted.groupBy("zip_key").agg(F.sort_array(F.collect_set("member")).alias("members"))
-    return rows.withColumn("attempt", F.expr("uuid()")).mapInPandas(extract, EXTRACTED)
+    return dealt(rows, "zip_key").withColumn("attempt", F.expr("uuid()")).mapInPandas(extract, EXTRACTED)
 
 
 def apply_actions(actions: DataFrame, root: str) -> DataFrame:
@@ -369,4 +371,4 @@ def apply_actions(actions: DataFrame, root: str) -> DataFrame:
             yield batch.assign(status=status, error=errors)[["action", "key", "target", "status", "error"]]
 
     rows = actions.select("action", "key", "target", F.expr("uuid()").alias("attempt"))
-    return rows.repartition("key").mapInPandas(apply, "action string, key string, target string, status string, error string")
+    return dealt(rows, "key").mapInPandas(apply, "action string, key string, target string, status string, error string")

@@ -27,7 +27,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..operators import ordered
-from ..session import materialise
+from ..session import dealt, materialise
 from . import segments
 from .archive import BLOCK, EXTRACTED, UNREADABLE, Written, open_path, target_of
 
@@ -60,7 +60,7 @@ def index_archives(archives: DataFrame, root: str) -> DataFrame:
                     row = dict.fromkeys(columns) | {"zip_key": key, "error": type(error).__name__}
                     yield pd.DataFrame([row]).astype(dict.fromkeys(columns[2:8], "Int64"))
 
-    return archives.select("zip_key").repartition("zip_key").mapInPandas(index, INDEX)
+    return dealt(archives.select("zip_key"), "zip_key").mapInPandas(index, INDEX)
 
 
 class BadMember(Exception):
@@ -102,7 +102,7 @@ def inflate(source, header: int, packed: int, size: int, crc: int, method: int,
 def _dealt(index: DataFrame, range_bytes: int) -> DataFrame:
     """Members that begin in one part of an archive together, in order: a large archive is read by many tasks, each in one direction."""
     part = F.call_function("div", F.col("header"), F.lit(range_bytes))
-    rows = index.withColumns({"_part": part, "attempt": F.expr("uuid()")}).repartition("zip_key", "_part")
+    rows = dealt(index.withColumns({"_part": part, "attempt": F.expr("uuid()")}), "zip_key", "_part")
     return rows.sortWithinPartitions("zip_key", "header").drop("_part")
 
 
@@ -198,7 +198,7 @@ def deflate_pieces(members: DataFrame, work: str, compress: bool = True, piece:
     A piece that cannot be read has an ``error``. ``size`` is that of the listing; a last piece reads whatever follows.
     """
     cut = segments.segments(members.select(F.struct("zip_key", "ord", "member", "path").alias("key"), "size"), piece)
-    rows = cut.select("key.*", F.col("segment").alias("piece"), F.col("segment").eqNullSafe(F.col("n_segments")).alias("last"), "start", "end").repartition("zip_key", "ord", "piece")
+    rows = dealt(cut.select("key.*", F.col("segment").alias("piece"), F.col("segment").eqNullSafe(F.col("n_segments")).alias("last"), "start", "end"), "zip_key", "ord", "piece")
 
     def deflate(batches):
         columns = [name.split()[0] for name in PIECES.split(", ")]
@@ -306,7 +306,7 @@ def write_ranges(layout: DataFrame, root: str, build: str, range_bytes: int = RA
     bytes to the same places. ``finish`` renames the files once all is written.
     """
     part = F.call_function("div", F.col("offset"), F.lit(range_bytes))
-    rows = layout.withColumn("_part", part).repartition("zip_key", "_part").sortWithinPartitions("zip_key", "offset").drop("_part")
+    rows = dealt(layout.withColumn("_part", part), "zip_key", "_part").sortWithinPartitions("zip_key", "offset").drop("_part")
 
     def write(batches):
         for batch in batches:
@@ -369,7 +369,7 @@ def finish(written: DataFrame, root: str, build: str) -> DataFrame:
                 rows.append((key, size, "failed" if error else "done", error))
             yield pd.DataFrame(rows, columns=["zip_key", "size", "status", "error"])
 
-    return sums.repartition("zip_key").mapInPandas(rename, "zip_key string, size long, status string, error string")
+    return dealt(sums, "zip_key").mapInPandas(rename, "zip_key string, size long, status string, error string")
 
 
 def skipped_members(pieces: DataFrame) -> DataFrame:

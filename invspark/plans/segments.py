@@ -7,6 +7,7 @@ import hashlib
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import values
+from ..session import dealt
 
 SEGMENT = 2 * 1024**3
 
@@ -52,7 +53,7 @@ def digests(ranges: DataFrame) -> DataFrame:
                 failed.append(error)
             yield batch[["key", "segment", "start", "end"]].assign(md5=found, error=failed)
 
-    rows = ranges.select("key", "segment", "start", "end", "path").repartition("key", "segment")
+    rows = dealt(ranges.select("key", "segment", "start", "end", "path"), "key", "segment")
     return rows.mapInPandas(digest, "key string, segment long, start long, end long, md5 string, error string")
 
 

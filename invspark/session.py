@@ -60,6 +60,15 @@ def mounted_dir(spark: SparkSession, name: str) -> str:
     return place
 
 
+def dealt(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows dealt by columns to as many tasks as shuffles have.
+
+    For rows that name files: they are small and their work is not, so the number of tasks must not follow from their bytes, as
+    after ``repartition`` by columns alone, where adaptive execution gives a megabyte of names to one task.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *columns)
+
+
 def materialise(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Write ``df`` once as parquet and read it back: a stable cut in the lineage."""
     target = path or shared_dir(df.sparkSession, name)

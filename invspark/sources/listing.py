@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import paths
 from ..operators import ordered
-from ..session import materialise, shared_dir
+from ..session import dealt, materialise, shared_dir
 
 ENTRY = "path string, is_dir boolean, is_link boolean, link_target string, size long, modified_us long, error string"
 
@@ -60,7 +60,7 @@ def walk_tree(spark: SparkSession, root: str, skip: DataFrame | None = None) ->
     out = shared_dir(spark, "walk")
     level, depth = spark.createDataFrame([(root,)], "path string"), 0
     while True:
-        found = level.repartition("path").mapInPandas(_scan_folders, ENTRY)
+        found = dealt(level, "path").mapInPandas(_scan_folders, ENTRY)
         if skip is not None:
             found = found.join(skip.select(F.col("folder").alias("path")).distinct(), "path", "left_anti").select(*found.columns)
         done = materialise(found, "level", f"{out}/level={depth}")

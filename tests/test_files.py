@@ -209,3 +209,15 @@ def test_bucket_configuration(spark, tmp_path):
 
     (tmp_path / "one.json").write_text('[\n {"name": "a", "description": "first"},\n {"name": "b"}\n]\n')
     assert [tuple(r) for r in listing.buckets(spark, str(tmp_path / "one.json")).collect()] == [("a", "first"), ("b", None)]
+
+
+def test_file_work_is_not_dealt_by_bytes(spark, tmp_path):
+    """Names of many files are few bytes; their work is spread over the tasks all the same."""
+    for i in range(40):
+        (tmp_path / f"f{i}").write_text("x")
+    keys = spark.createDataFrame([(f"f{i}",) for i in range(40)], "key string").coalesce(1)
+    copies = archive.apply_actions(actions.move(keys, "there"), str(tmp_path)).withColumn("task", F.spark_partition_id())
+    assert copies.filter("status = 'done'").agg(F.countDistinct("task"), F.count("key")).first() == (4, 40)
+    names = copies.select(F.concat(F.lit(f"{tmp_path}/"), "target").alias("path"))
+    digests = archive.digest_files(names.distinct().coalesce(1)).withColumn("task", F.spark_partition_id())
+    assert digests.filter("size = 1").agg(F.countDistinct("task"), F.count("path")).first() == (4, 40)
