@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Settings the jobs are written for. On a cluster they belong in spark-defaults.
 RECOMMENDED = {
@@ -64,9 +64,10 @@ def dealt(df: DataFrame, *columns: str) -> DataFrame:
     """Rows dealt by columns to as many tasks as shuffles have.
 
     For rows that name files: they are small and their work is not, so the number of tasks must not follow from their bytes, as
-    after ``repartition`` by columns alone, where adaptive execution gives a megabyte of names to one task.
+    after ``repartition`` by columns alone, where adaptive execution gives a megabyte of names to one task. Rows go by a hash of the
+    columns: by the columns themselves Spark would leave a grouping by them as it is, and coalesce that.
     """
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *columns)
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.xxhash64(*columns))
 
 
 def materialise(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
