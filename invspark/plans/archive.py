@@ -17,6 +17,7 @@ import zlib
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, functions as F
 
@@ -177,16 +178,19 @@ def _put(system, path: str, data: bytes, attempt: str) -> None:
 def write_contents(archives: DataFrame, root: str) -> DataFrame:
     """Write archives given by value (zip_key, content) below ``root``; (zip_key, size) of each."""
 
-    def write(batches):
-        for batch in batches:
-            for key, content, attempt in zip(batch["zip_key"], batch["content"], batch["attempt"]):
-                system, path = open_path(f"{root}/{key}")
+    def write(parts):
+        for part in parts:
+            # Contents are written from Arrow's own memory, one after the other, so a batch is held once.
+            sizes = []
+            for key, content, attempt in zip(*part.columns):
+                system, path = open_path(f"{root}/{key.as_py()}")
                 system.create_dir(path.rsplit("/", 1)[0], recursive=True)
-                _put(system, path, content, attempt)
-            yield batch[["zip_key"]].assign(size=batch["content"].str.len())
+                _put(system, path, content.as_buffer(), attempt.as_py())
+                sizes.append(content.as_buffer().size)
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64())], names=["zip_key", "size"])
 
     rows = archives.select("zip_key", "content", F.expr("uuid()").alias("attempt"))
-    return rows.mapInPandas(write, "zip_key string, size long")
+    return rows.mapInArrow(write, "zip_key string, size long")
 
 
 def write_manifests(manifest: DataFrame, root: str) -> DataFrame:
@@ -264,16 +268,26 @@ UNREADABLE = (OSError, ValueError, zipfile.BadZipFile, zlib.error, NotImplemente
 def unpack_contents(archives: DataFrame, keep_content: bool = True) -> DataFrame:
     """Members with size and md5 of archives given as (zip_key, content); an unreadable archive gives a row with its error."""
 
-    def unpack(batches):
-        for batch in batches:
-            for row in batch.itertuples(index=False):
-                try:
-                    with zipfile.ZipFile(io.BytesIO(row.content or b"")) as archive:
-                        yield from _members(row.zip_key, archive, keep_content)
-                except UNREADABLE as error:
-                    yield _failed(row.zip_key, error)
+    fields = [("zip_key", pa.string()), ("member", pa.string()), ("size", pa.int64()), ("md5", pa.string()), ("content", pa.binary()), ("error", pa.string())]
+
+    def unpack(parts):
+        schema = pa.schema(fields)
+        for part in parts:
+            # Archives are opened in Arrow's own memory, so a batch is held once.
+            for key, content in zip(*part.columns):
+                key = key.as_py()
+                for found in _readable(key, pa.BufferReader(content.as_buffer() or b""), keep_content):
+                    yield pa.RecordBatch.from_pandas(found, schema, preserve_index=False)
+
+    return archives.select("zip_key", "content").mapInArrow(unpack, UNPACKED)
+
 
-    return archives.select("zip_key", "content").mapInPandas(unpack, UNPACKED)
+def _readable(key: str, source, keep: bool) -> Iterator[pd.DataFrame]:
+    try:
+        with zipfile.ZipFile(source) as archive:
+            yield from _members(key, archive, keep)
+    except UNREADABLE as error:
+        yield _failed(key, error)
 
 
 def unpack_files(archives: DataFrame, root: str, keep_content: bool = False) -> DataFrame:

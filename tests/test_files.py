@@ -221,3 +221,19 @@ def test_file_work_is_not_dealt_by_bytes(spark, tmp_path):
     names = copies.select(F.concat(F.lit(f"{tmp_path}/"), "target").alias("path"))
     digests = archive.digest_files(names.distinct().coalesce(1)).withColumn("task", F.spark_partition_id())
     assert digests.filter("size = 1").agg(F.countDistinct("task"), F.count("path")).first() == (4, 40)
+
+
+def test_archives_by_value_are_read_in_arrow_memory(spark, tmp_path):
+    """A batch of archives is not copied into a frame; null, empty and damaged ones give their errors as before."""
+    members = spark.createDataFrame([("a.zip", 0, "x", b"1"), ("a.zip", 1, "y", b""), ("b.zip", 0, "z", b"22")], "zip_key string, ord long, member string, content binary")
+    odd = spark.createDataFrame([("n.zip", None), ("e.zip", b""), ("d.zip", b"PK damaged")], "zip_key string, content binary")
+    found = archive.unpack_contents(archive.pack_contents(members).select("zip_key", "content").unionByName(odd))
+    assert "MapInArrow" in found._jdf.queryExecution().executedPlan().toString()
+    rows = sorted((r.zip_key, r.member or "", r.size, r.content and bytes(r.content), r.error) for r in found.collect())
+    assert rows == [
+        ("a.zip", "x", 1, b"1", None), ("a.zip", "y", 0, b"", None), ("b.zip", "z", 2, b"22", None),
+        ("d.zip", "", None, None, "BadZipFile"), ("e.zip", "", None, None, "BadZipFile"), ("n.zip", "", None, None, "BadZipFile"),
+    ]
+    written = archive.write_contents(members.select(F.col("member").alias("zip_key"), "content"), str(tmp_path))
+    assert sorted(tuple(r) for r in written.collect()) == [("x", 1), ("y", 0), ("z", 2)]
+    assert (tmp_path / "z").read_bytes() == b"22" and (tmp_path / "y").read_bytes() == b""
