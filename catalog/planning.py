@@ -128,8 +128,7 @@ def j03(t):
 
 def _folder_members(t):
     # Orders seen as folders: their lines are the files on disk.
-    lines = t.table("lineitem").filter(F.col("l_linestatus") == "F")
-    return lines.select("l_orderkey", "l_partkey", "l_linenumber", "l_suppkey").distinct().select(
+    return t.distinct_lines("l_linestatus = 'F'").select(
         F.col("l_orderkey").alias("folder"), t._lake_member().alias("member")
     )
 
@@ -138,7 +137,7 @@ def _folder_members(t):
     fl AS (SELECT folder, list(member ORDER BY member) AS names FROM disk GROUP BY folder), zl AS (SELECT zip_key, list(member ORDER BY member) AS names FROM packed GROUP BY zip_key)""",
     sql="SELECT folder, min(zip_key) AS zip_key FROM fl JOIN zl ON fl.names=zl.names GROUP BY folder")
 def j13(t):
-    return lookups.matching_manifests(_folder_members(t), t.packed)
+    return lookups.matching_manifests(_folder_members(t), t.packed, t.table("lineitem").count())
 
 
 @query("j14_verified_folders", ctes="""logged AS (SELECT DISTINCT l_orderkey AS folder, l_partkey||'-'||l_linenumber AS name FROM lineitem WHERE l_returnflag<>'R'),

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from invspark.functions import manifests, names, paths, times, units, values
 from invspark.operators import ordered
+from invspark.session import spread
 
 ROOT = "/data"
 DEST = "backup"
@@ -128,9 +129,12 @@ class Tables:
     @cached_property
     def packed(self) -> DataFrame:
         """Exploded manifests at size: one archive per order, one member per line."""
-        # Distinct before the strings are built: four numbers are cheaper to shuffle and compare.
-        lines = self.table("lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_suppkey").distinct()
-        return lines.select(paths.archive_key(F.col("l_orderkey"), LAKE).alias("zip_key"), self._lake_member().alias("member"))
+        return self.distinct_lines().select(paths.archive_key(F.col("l_orderkey"), LAKE).alias("zip_key"), self._lake_member().alias("member"))
+
+    def distinct_lines(self, condition: str = "true") -> DataFrame:
+        # Distinct before strings are built: four numbers are cheaper to shuffle and compare.
+        lines = self.table("lineitem").filter(condition).select("l_orderkey", "l_partkey", "l_linenumber", "l_suppkey")
+        return spread(lines, self.table("lineitem").count(), *lines.columns).distinct()
 
     @staticmethod
     def _lake_member() -> Column:

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import names, values
+from ..session import materialise, shuffles_for
 
 
 def key_set(df: DataFrame, column: str, name: str, unique: bool = False) -> DataFrame:
@@ -80,18 +81,21 @@ def fingerprint(member: Column) -> list[Column]:
     return [F.count(F.lit(1)).alias("n"), *[wide(seed).alias(f"h{seed}") for seed in (1, 2, 3, 4)]]
 
 
-def matching_manifests(folders: DataFrame, manifests: DataFrame) -> DataFrame:
+def matching_manifests(folders: DataFrame, manifests: DataFrame, rows: int = 0) -> DataFrame:
     """Folders (folder, member) whose file set equals that of some archive (zip_key, member).
 
     Sets are compared through order-free fingerprints, summed up map-side, so
     members are neither collected nor joined; two different sets agree by a
     chance of 2**-256. Both inputs hold distinct rows and are read once.
-    Returns (folder, zip_key), the smallest key.
+    ``rows`` is about the larger input's number of rows: the number of tasks
+    follows it, so that the tables of a task do not grow with the inputs.
+    Returns (folder, zip_key), the smallest key; a written table.
     """
     mark = ["n", "h1", "h2", "h3", "h4"]
     sets = folders.groupBy("folder").agg(*fingerprint(F.col("member")))
     archives = manifests.groupBy("zip_key").agg(*fingerprint(F.col("member"))).groupBy(*mark).agg(F.min("zip_key").alias("zip_key"))
-    return sets.join(archives, mark).select("folder", "zip_key")
+    with shuffles_for(folders.sparkSession, rows):
+        return materialise(sets.join(archives, mark).select("folder", "zip_key"), "matching")
 
 
 def verified_folders(logged: DataFrame, local: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -70,6 +71,32 @@ def dealt(df: DataFrame, *columns: str) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.xxhash64(*columns))
 
 
+#: Rows that a task of ``spread`` gets, about.
+SPREAD_ROWS = 500_000
+
+
+def spread(df: DataFrame, rows: int, *columns: str) -> DataFrame:
+    """``df`` of about ``rows`` rows dealt by columns to as many tasks as shuffles have, or to more, so that none gets many more than ``SPREAD_ROWS``.
+
+    For groupings that hold next to every row, as of distinct rows: their tables take the memory of a task in proportion to its rows, on
+    either side of a shuffle. Behind this they have no side before it, and the number of tasks follows from the input.
+    """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(tasks, -(-rows // SPREAD_ROWS)), *columns)
+
+
+@contextmanager
+def shuffles_for(spark: SparkSession, rows: int):
+    """Jobs run within it shuffle to a partition per ``SPREAD_ROWS`` of ``rows``, if those are more than the session's; adaptive execution joins small ones."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(max(int(before), -(-rows // SPREAD_ROWS))))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def materialise(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Write ``df`` once as parquet and read it back: a stable cut in the lineage."""
     target = path or shared_dir(df.sparkSession, name)

@@ -4,6 +4,8 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from catalog import views
+from invspark import session
 from invspark.functions import manifests, names, paths, times, units, values
 from invspark.operators import batching, folders, links, lookups, selection, stats
 from invspark.plans import actions, segments, verify
@@ -218,3 +220,19 @@ def test_resumable_actions(spark):
     plan = actions.with_plan_id(spark.createDataFrame([("delete", "a"), ("delete", "b")], "action string, key string"), "p1")
     done = spark.createDataFrame([("p1", "a", "delete", "done"), ("p1", "b", "delete", "failed")], "plan_id string, key string, action string, status string")
     assert [r["key"] for r in actions.undone(plan, done).collect()] == ["b"]
+
+
+def test_tasks_of_matching_manifests_follow_the_rows(spark, monkeypatch):
+    """What a task holds does not grow with the tables: distinct lines and sets of members go to as many tasks as their rows need."""
+    lines = views.Tables(spark, "/root/testdata/sf0.001")
+    rows = lines.table("lineitem").count()
+    monkeypatch.setattr(session, "SPREAD_ROWS", 500)
+    tasks = -(-rows // 500)
+    assert tasks > 4 and lines.distinct_lines().rdd.getNumPartitions() == lines.packed.rdd.getNumPartitions() == tasks
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    seen = []
+    monkeypatch.setattr(lookups, "materialise", lambda df, name: seen.append(spark.conf.get("spark.sql.shuffle.partitions")) or session.materialise(df, name))
+    members = lines.packed.select(F.col("zip_key").alias("folder"), "member")
+    found = lookups.matching_manifests(members, lines.packed, rows)
+    assert seen == [str(tasks)] and spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert found.count() == lines.packed.select("zip_key").distinct().count() > 1000
