@@ -7,10 +7,11 @@ bound every score from above and below; vectors are then read in the order of
 their best possible score, until the kth exact score exceeds what any unread
 vector can reach. What a scan cannot rule out is always read: results are exact.
 
-Work is a list of (candidate block, query block) units: candidate blocks are
-dealt over buckets, and every query block is sent to each bucket once. A unit
-holds two blocks, whatever the number of rows, and gives the k best per query;
-these are ranked again over all blocks, limited before the shuffle.
+Work is a grid of buckets of candidate blocks and groups of query blocks; a cell
+of it is a task's. The task holds the queries of the group with the k best so
+far, and the candidate blocks of the bucket pass one after the other, so that
+what one block gave lets the next be read less. A cell gives the k best per
+query; these are ranked again over all cells, limited before the shuffle.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ BLOCK = 4096
 QUERIES = 256
 #: Vectors read at a time, in the order of their bounds.
 READ = 32
+#: Bytes of query vectors that a task holds, about.
+HELD = 32 << 20
 
 BLOCKS = "block long, dim int, n int, ids binary, exact binary, cells binary, low binary, high binary"
 LONG = (-(1 << 63), (1 << 63) - 1)
@@ -58,19 +61,38 @@ def scores(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     return np.array([[min(max(int(x), LONG[0]), LONG[1]) for x in row] for row in exact], dtype=np.int64).reshape(len(queries), len(vectors))
 
 
+def reach(queries: np.ndarray, lower: np.ndarray, upper: np.ndarray) -> np.ndarray:
+    """The most that the score of each query with each vector can be, the vectors' components being between ``lower`` and ``upper``."""
+    over, under = np.maximum(queries, 0), np.minimum(queries, 0)
+    with np.errstate(over="ignore", invalid="ignore"):
+        most = np.abs(queries).max(initial=0) * max(np.abs(lower).max(initial=0), np.abs(upper).max(initial=0)) * max(1, queries.shape[1])
+        bound = over @ upper.T + under @ lower.T
+        if most < 1 << 53:
+            return bound
+        # Rounding is made up for by the slack; what overflowed can be anything; scores are held to the range of a long.
+        bound += most * 1e-12
+        bound[np.isnan(bound)] = np.inf
+    return np.maximum(bound, LONG[0])
+
+
 def best(query_ids, queries, ids, exact, cells, low, high, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """For each query of a unit: (its place, ids, scores) of its k best candidates with another id."""
-    dims = np.arange(exact.shape[1])
-    lower, upper = low[dims, cells], high[dims, cells]
-    over, under = np.maximum(queries, 0), np.minimum(queries, 0)
-    # The most a score can be. Rounding, if any, is made up for by the slack.
-    bound = over @ upper.T + under @ lower.T
-    bound += np.abs(bound) * 1e-12
-    for place in range(len(queries)):
-        mine = bound[place]
-        first = np.argpartition(-mine, READ)[:READ] if len(mine) > READ else np.arange(len(mine))
-        order, held_i, held_s = first[np.argsort(-mine[first])], ids[:0], np.zeros(0, np.int64)
-        rest = None
+    dims, none = np.arange(exact.shape[1]), (ids[:0], np.zeros(0, np.int64))
+    return better(query_ids, queries, ids, exact, low[dims, cells], high[dims, cells], k, [none] * len(queries))
+
+
+def better(query_ids, queries, ids, exact, lower, upper, k: int, held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(place, ids, scores) of the k best of what is ``held`` and these candidates, for each query that any of them may be among the best of."""
+    bound = reach(queries, lower, upper)
+    certain = np.array([scored[-1] if len(scored) == k else -np.inf for _, scored in held], np.float64)
+    for place in np.nonzero(bound.max(axis=1, initial=-np.inf) >= certain)[0].tolist():
+        mine, (held_i, held_s) = bound[place], held[place]
+        if len(held_s) == k:  # only vectors that may reach the kth are put in order
+            rest = np.nonzero(mine >= certain[place])[0]
+            order = rest[np.argsort(-mine[rest])]
+        else:
+            rest, first = None, np.argpartition(-mine, READ)[:READ] if len(mine) > READ else np.arange(len(mine))
+            order = first[np.argsort(-mine[first])]
         while len(order):
             some, order = order[:READ], order[READ:]
             got = scores(queries[place : place + 1], exact[some])[0]
@@ -78,9 +100,8 @@ def best(query_ids, queries, ids, exact, cells, low, high, k: int) -> Iterator[t
             held_i, held_s = np.concatenate([held_i, ids[some][other]]), np.concatenate([held_s, got[other]])
             top = np.lexsort((held_i, -held_s))[:k]
             held_i, held_s = held_i[top], held_s[top]
-            if rest is None:  # the first reads give a threshold; only vectors that may reach it are put in order
-                certain = held_s[-1] if len(held_s) == k else -np.inf
-                rest = np.nonzero(mine >= certain)[0]
+            if rest is None:  # the first reads give a threshold
+                rest = np.nonzero(mine >= (held_s[-1] if len(held_s) == k else -np.inf))[0]
                 rest = rest[~np.isin(rest, first)]
                 order = rest[np.argsort(-mine[rest])]
             elif len(held_s) == k and len(order) and mine[order[0]] < held_s[-1]:
@@ -142,19 +163,66 @@ def unpack(row: dict, *names: str) -> list[np.ndarray]:
     return [np.frombuffer(row[name], dtype=kinds.get(name, np.float64)).reshape(shape[name]) for name in names]
 
 
+class Asked:
+    """Queries of one length, whose blocks may be of any size, and the best found for them so far."""
+
+    def __init__(self):
+        self.blocks: list[tuple[int, np.ndarray, np.ndarray]] = []
+        self.pieces: list[tuple[np.ndarray, ...]] = []
+        self.held: list[list[tuple[np.ndarray, np.ndarray]]] = []
+
+    def cut(self) -> None:
+        """The blocks as pieces of ``QUERIES``, each (block, place, id, vector) of its queries."""
+        blocks, self.blocks = self.blocks, []
+        columns = (np.repeat([b for b, _, _ in blocks], [len(ids) for _, ids, _ in blocks]), np.concatenate([np.arange(len(ids), dtype=np.int32) for _, ids, _ in blocks]), *(np.concatenate([x[i] for x in blocks]) for i in (1, 2)))
+        self.pieces = [tuple(c[at : at + QUERIES] for c in columns) for at in range(0, len(columns[0]), QUERIES)]
+        self.held = [[(np.zeros(0, np.int64), np.zeros(0, np.int64))] * len(piece[0]) for piece in self.pieces]
+
+    def offer(self, row: dict, k: int) -> None:
+        """A candidate block."""
+        if self.blocks:
+            self.cut()
+        ids, exact, cells, low, high = unpack(row, "ids", "exact", "cells", "low", "high")
+        dims = np.arange(row["dim"])
+        lower, upper = low[dims, cells], high[dims, cells]
+        for (_, _, query_ids, queries), held in zip(self.pieces, self.held):
+            for place, found_i, found_s in better(query_ids, queries, ids, exact, lower, upper, k, held):
+                held[place] = found_i, found_s
+
+    def found(self) -> Iterator[pa.RecordBatch]:
+        for (blocks, places, query_ids, _), held in zip(self.pieces, self.held):
+            rows = np.repeat(np.arange(len(held)), [len(ids) for ids, _ in held])
+            columns = (blocks[rows], places[rows], query_ids[rows], *(np.concatenate([x[i] for x in held]) for i in (0, 1)))
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["block", "place", "query_id", "vec_id", "score"])
+
+
 def _search(parts: Iterable[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """Cells of the grid, one after the other: first the query blocks of a cell, then its candidate blocks."""
+    now, asked = None, {}
     for part in parts:
-        for row in range(len(part)):
-            candidate = {name: part.column(name)[row].as_py() for name in ("dim", "n", "ids", "exact", "cells", "low", "high")}
-            asked = {name: part.column(f"q_{name}")[row].as_py() for name in ("block", "n", "ids", "exact")} | {"dim": candidate["dim"]}
-            query_ids, queries = unpack(asked, "ids", "exact")
-            found = list(best(query_ids, queries, *unpack(candidate, "ids", "exact", "cells", "low", "high"), k))
-            sizes = [len(ids) for _, ids, _ in found]
-            places = np.repeat([place for place, _, _ in found], sizes).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(places), asked["block"])), pa.array(places), pa.array(query_ids[places]), pa.array(np.concatenate([i for _, i, _ in found])), pa.array(np.concatenate([s for _, _, s in found]))],
-                names=["block", "place", "query_id", "vec_id", "score"],
-            )
+        for at in range(len(part)):
+            row = {name: part.column(name)[at].as_py() for name in ("cell", "candidates", "block", "dim", "n")}
+            row |= {name: part.column(name)[at].as_buffer() for name in ("ids", "exact", "cells", "low", "high")}
+            if now != (now := row["cell"]):
+                yield from (batch for mine in asked.values() for batch in mine.found())
+                asked = {}
+            if row["candidates"]:
+                if row["dim"] in asked:
+                    asked[row["dim"]].offer(row, k)
+            else:  # copied, as a batch would stay as long as its queries
+                asked.setdefault(row["dim"], Asked()).blocks.append((row["block"], *(x.copy() for x in unpack(row, "ids", "exact"))))
+    yield from (batch for mine in asked.values() for batch in mine.found())
+
+
+def grid(candidates: int, asked: int, bytes: int, tasks: int) -> tuple[int, int]:
+    """How many buckets of candidate blocks and groups of query blocks, of which there are ``bytes`` in all.
+
+    Queries are sent once per bucket and candidates once per group, so there are as few groups as can be held, and as many buckets as give
+    each task a cell; only where there are too few blocks for that, there are more groups.
+    """
+    least = max(1, -(-bytes // HELD))
+    buckets = max(1, min(candidates, -(-tasks // least)))
+    return buckets, max(least, min(asked, -(-tasks // buckets)))
 
 
 def top_k(candidates: DataFrame, queries: DataFrame, k: int = 5, id: str = "vec_id", vector: str = "embedding", scale: int = 256) -> DataFrame:
@@ -166,12 +234,22 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int = 5, id: str = "vec_
     Scores beyond a long are held at its ends.
     """
     blocks = materialise(pack(candidates, id, vector, scale, BLOCK), "vectors")
-    asked = materialise(pack(queries, id, vector, scale, QUERIES), "queries").select(F.col("dim"), *[F.col(c).alias(f"q_{c}") for c in ("block", "n", "ids", "exact")])
-    # As many buckets as blocks; any number gives the same result.
-    buckets = max(1, blocks.count())
-    dealt = blocks.withColumn("bucket", F.pmod(F.xxhash64("block"), F.lit(buckets)))
-    sent = asked.withColumn("bucket", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(buckets - 1).cast("long"))))
-    units = dealt.drop("block").join(sent, ["bucket", "dim"])
-    found = units.mapInArrow(lambda parts: _search(parts, k), "block long, place int, query_id long, vec_id long, score long")
+    asked = materialise(pack(queries, id, vector, scale, QUERIES), "queries")
+    home = F.shiftright("block", 32)
+    counts = (F.count(F.lit(1)).alias("n"), (F.coalesce(F.max(home), F.lit(0)) + 1).alias("homes"), F.coalesce(F.sum(F.octet_length("exact")), F.lit(0)).alias("bytes"))
+    of_blocks, of_asked = blocks.agg(*counts).first(), asked.agg(*counts).first()
+    # Any grid gives the same result.
+    buckets, groups = grid(of_blocks["n"], of_asked["n"], of_asked["bytes"], int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+    def placed(df: DataFrame, homes: int, n: int, others: int, cell, is_candidates: bool) -> DataFrame:
+        # Blocks are numbered by place within their homes; counted through over all homes, neighbours go to different shares.
+        mine = F.pmod(home + F.col("block").bitwiseAND((1 << 32) - 1) * homes, F.lit(n))
+        each = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(others - 1).cast("long")))
+        return df.select("*", mine.alias("mine"), each.alias("other")).select(cell.alias("cell"), F.lit(is_candidates).alias("candidates"), *df.columns)
+
+    sent = placed(asked.withColumns({c: F.lit(b"") for c in ("cells", "low", "high")}), of_asked["homes"], groups, buckets, F.col("other") * groups + F.col("mine"), False)
+    dealt = placed(blocks, of_blocks["homes"], buckets, groups, F.col("mine") * groups + F.col("other"), True)
+    cells = sent.unionByName(dealt).repartitionById(buckets * groups, F.col("cell").cast("int")).sortWithinPartitions("cell", "candidates")
+    found = cells.mapInArrow(lambda parts: _search(parts, k), "block long, place int, query_id long, vec_id long, score long")
     rank = F.row_number().over(Window.partitionBy("block", "place").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -75,3 +75,51 @@ def test_vectors_are_read_by_bounds_only_as_far_as_needed():
 
 def test_query_equals_sql(spark):
     assert not differences(queries.QUERIES["op9_exact_top_k"](spark, SF), oracle(SF), queries.SQL["op9_exact_top_k"])
+
+
+def test_any_grid_gives_the_same(spark, monkeypatch):
+    rng = random.Random(9)
+    rows = [(i, [rng.choice([-0.5, 0.0, 0.25, rng.uniform(-1, 1)]) for _ in range(6 if i % 7 else 3)]) for i in range(600)]
+    rows += [(i, [0.1] * 6) for i in range(600, 700)] + [(20, rows[20][1]), (20, [9.0] * 6)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    wanted = brute(rows, [r for r in rows if r[0] % 20 == 0], 5)
+    monkeypatch.setattr(vafile, "BLOCK", 16)
+    monkeypatch.setattr(vafile, "QUERIES", 4)
+    shapes = set()
+    for tasks, held in ((1, 1 << 20), (8, 1 << 20), (8, 500), (1, 1)):
+        monkeypatch.setattr(vafile, "HELD", held)
+        monkeypatch.setattr(vafile, "grid", lambda a, b, c, d, g=vafile.grid, t=tasks: shapes.add(shape := g(a, b, c, t)) or shape)
+        assert sorted(tuple(r) for r in vafile.top_k(df, df.filter("vec_id % 20 = 0"), 5).collect()) == wanted
+        monkeypatch.undo()
+        monkeypatch.setattr(vafile, "BLOCK", 16)
+        monkeypatch.setattr(vafile, "QUERIES", 4)
+    assert len(shapes) == 4
+
+
+def test_queries_are_not_broadcast(spark, capsys):
+    """Queries go to each bucket of candidates: sent through the driver, they took its memory with the square of the input."""
+    rows = [(i, [float(i % 7), float(i % 5)]) for i in range(100)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = vafile.top_k(df, df.filter("vec_id % 50 = 0"), 5)
+    assert found.count() == 10
+    found.explain()
+    assert "Broadcast" not in capsys.readouterr().out
+
+
+def test_grid_sends_little_and_keeps_queries_few():
+    """Bytes held are bounded, and candidates are sent again only for that or for want of blocks."""
+    for candidates, asked, size, tasks in ((150, 72, 6 << 20, 24), (150, 72, 1 << 30, 24), (1, 40, 1 << 20, 12), (0, 0, 0, 8), (5000, 4000, 1 << 40, 200)):
+        buckets, groups = vafile.grid(candidates, asked, size, tasks)
+        assert buckets >= 1 and groups >= 1 and -(-size // groups) <= vafile.HELD
+        assert buckets * groups >= min(tasks, max(1, candidates) * max(1, asked))
+        assert groups <= max(1, -(-size // vafile.HELD), -(-tasks // buckets))
+
+
+def test_carried_thresholds_at_the_ends_of_a_long(spark, monkeypatch):
+    monkeypatch.setattr(vafile, "BLOCK", 8)
+    rows = [(i, [-1e30 * (i % 3 + 1), 1e290, -1e290][: 2 if i % 2 else 3]) for i in range(100, 0, -1)] + [(0, [1e30, 1e300, 1e300]), (200, [1e30, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(1)
+    asked = [(0, rows[-2][1]), (200, rows[-1][1])]
+    found = sorted(tuple(r) for r in vafile.top_k(df, df.filter("vec_id in (0, 200)"), 5).collect())
+    wanted = [(q, rank, i, min(max(s, vafile.LONG[0]), vafile.LONG[1])) for q, v in asked for rank, (s, i) in enumerate(sorted(((max(min(sum(math.floor(256 * a) * math.floor(256 * b) for a, b in zip(v, w)), vafile.LONG[1]), vafile.LONG[0]), i) for i, w in rows if i != q and len(w) == len(v)), key=lambda x: (-x[0], x[1]))[:5], 1)]
+    assert found == wanted
