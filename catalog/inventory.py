@@ -25,7 +25,7 @@ def i01(t):
 
 @query("i01_listed_files", sql="SELECT source||'/'||lang||'/'||doc_id||'.txt' AS path, octet_length(encode(text))::BIGINT AS size FROM documents")
 def i01_files(t):
-    """The same files by Spark's own listing."""
+    """The same files as Spark's file sources list them."""
     where = document_files(t)
     path = F.regexp_extract("path", "([^/]+/[^/]+/[^/]+)$", 1)
     return listing.list_files(t.spark, where).select(path.alias("path"), "size")

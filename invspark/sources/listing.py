@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import os
+import stat
+from collections.abc import Callable, Iterable, Iterator
+from itertools import islice
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import paths
@@ -11,12 +15,60 @@ from ..operators import ordered
 from ..session import dealt, materialise, shared_dir
 
 ENTRY = "path string, is_dir boolean, is_link boolean, link_target string, size long, modified_us long, error string"
+FILE = "path string, is_dir boolean, size long, modified_ms long"
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """Every file below ``root`` with size and time; contents are not read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    return files.select("path", F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
+    """Every file below ``root`` with size and time, as Spark's file sources list them; contents are not read.
+
+    Links are followed. Left out are empty files, hidden names (with all below them), links to nowhere and names that are not UTF-8.
+    Spark's own listing holds all files on the driver. A mounted folder is therefore read by tasks, level by level (``_walk``); a
+    folder that cannot be read is an error, as it is there. Stores, patterns and single files are left to Spark.
+    """
+    if (folder := _mounted_folder(spark, root)) is None:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+        return files.select("path", F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
+    found = _walk(spark, folder, lambda level: level.mapInArrow(_list_folders, FILE), FILE, "is_dir")
+    files = found.filter("not is_dir and size > 0")
+    return files.select(F.concat(F.lit("file:"), "path").alias("path"), "size", F.timestamp_millis("modified_ms").alias("modified"))
+
+
+def _mounted_folder(spark: SparkSession, root: str) -> str | None:
+    """The absolute path of ``root`` if to Spark it is one folder of the local file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    system = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if set(root) & set("{}[]*?\\") or system.getUri().getScheme() != "file" or not system.isDirectory(path):
+        return None
+    return system.makeQualified(path).toUri().getPath()
+
+
+def _left_out(name: str, is_dir: bool) -> bool:
+    """Names that Spark's file sources do not list: hidden ones and unfinished copies. Folders may have the names of parquet's metadata."""
+    hidden = name.startswith("_") and "=" not in name
+    if name.startswith(("_metadata", "_common_metadata")):
+        return hidden and not is_dir
+    return hidden or name.startswith(".") or name.endswith("._COPYING_")
+
+
+def _list_folders(parts: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows(entries) -> Iterator[tuple]:
+        for entry in entries:
+            try:
+                entry.name.encode()
+                found = entry.stat()
+            except (OSError, UnicodeEncodeError):  # no file, or gone since
+                continue
+            is_dir = stat.S_ISDIR(found.st_mode)
+            if not _left_out(entry.name, is_dir):
+                yield entry.path, is_dir, 0 if is_dir else found.st_size, found.st_mtime_ns // 1_000_000
+
+    for part in parts:
+        for folder in part.column(0).to_pylist():
+            with os.scandir(folder) as entries:
+                found = rows(entries)
+                while some := list(islice(found, 10_000)):
+                    columns = zip(zip(*some), (pa.string(), pa.bool_(), pa.int64(), pa.int64()))
+                    yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in columns], names=["path", "is_dir", "size", "modified_ms"])
 
 
 def _scan_folders(batches):
@@ -49,27 +101,38 @@ def _scan_folders(batches):
                 yield pd.DataFrame(rows, columns=columns).astype({"modified_us": "Int64"})
 
 
-def walk_tree(spark: SparkSession, root: str, skip: DataFrame | None = None) -> DataFrame:
-    """List a mounted tree level by level, the folders of a level in parallel.
+def _walk(spark: SparkSession, root: str, scan: Callable[[DataFrame], DataFrame], schema: str, enter: str) -> DataFrame:
+    """What ``scan`` finds in folders (path), level by level, the folders of a level in parallel; it enters rows that meet ``enter``.
 
-    Each level is written out before the next is read, so a lost executor
-    repeats one level at most and the driver never sees the listing. A folder
-    that cannot be read has a second row with its ``error``.
-    ``skip`` holds folders (folder) not to enter.
+    Each level is written out before the next is read, so a lost executor repeats one level at most and the driver never sees
+    the listing.
     """
     out = shared_dir(spark, "walk")
     level, depth = spark.createDataFrame([(root,)], "path string"), 0
     while True:
-        found = dealt(level, "path").mapInPandas(_scan_folders, ENTRY)
-        if skip is not None:
-            found = found.join(skip.select(F.col("folder").alias("path")).distinct(), "path", "left_anti").select(*found.columns)
-        done = materialise(found, "level", f"{out}/level={depth}")
-        level = done.filter("is_dir and error is null").select("path")
+        done = materialise(scan(dealt(level, "path")), "level", f"{out}/level={depth}")
+        level = done.filter(enter).select("path")
         if level.isEmpty():
-            return spark.read.schema(ENTRY).parquet(out).drop("level")
+            return spark.read.schema(schema).parquet(out).drop("level")
         depth += 1
 
 
+def walk_tree(spark: SparkSession, root: str, skip: DataFrame | None = None) -> DataFrame:
+    """List a mounted tree level by level (``_walk``).
+
+    A folder that cannot be read has a second row with its ``error``.
+    ``skip`` holds folders (folder) not to enter.
+    """
+
+    def scan(level: DataFrame) -> DataFrame:
+        found = level.mapInPandas(_scan_folders, ENTRY)
+        if skip is not None:
+            found = found.join(skip.select(F.col("folder").alias("path")).distinct(), "path", "left_anti").select(*found.columns)
+        return found
+
+    return _walk(spark, root, scan, ENTRY, "is_dir and error is null")
+
+
 def freeze(entries: DataFrame, root: str, dest: str) -> DataFrame:
     """A listing with ``ord`` fixed once, in path order, ready for planning.
 

@@ -4,6 +4,7 @@ import hashlib
 import os
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from invspark import schemas
@@ -49,6 +50,45 @@ def test_spark_listing(spark, tree):
     assert found.count() == len([p for p in (tree / "d1").rglob("*") if p.is_file()])
 
 
+def test_listing_passes_the_driver_by(spark, tree):
+    """A listing that the driver holds takes its memory with the number of files; inputFiles() names what it holds."""
+    found = listing.list_files(spark, str(tree))
+    assert found.count() == len([p for p in tree.rglob("*") if p.is_file()])
+    assert not [f for f in found.inputFiles() if f.startswith(f"file://{tree}/")]
+
+
+def test_listing_is_that_of_spark(spark, tmp_path, monkeypatch):
+    """Hidden and odd names, links, empty files and times, by tasks as by Spark's own listing, which other places are left to."""
+    root = tmp_path / "t r%20ee"
+    names = ("f.txt", "_f", ".f", "_f=1", "_metadata.txt", "_metadata=1", "_common_metadata", "g._COPYING_", "_metadata=._COPYING_", "h \u00fc", "i%20j", "k#l", ".n=1", "q*r", "[s]", "empty")
+    for folder in ("a", "a/b c", "_d", ".d", "_d=1", "_metadata", "_common_metadata_", "x._COPYING_", "\u00fc", "p=1", "q?w"):
+        (root / folder).mkdir(parents=True)
+        for i, name in enumerate(names):
+            (root / folder / name).write_bytes(b"x" * (0 if name == "empty" else i + 1))
+    (root / "a" / "file").symlink_to("f.txt")
+    (root / "a" / "folder").symlink_to("b c")
+    (root / "a" / "lost").symlink_to("nowhere")
+    (root / "round").symlink_to("round")
+    (root / "none").mkdir()
+    os.makedirs(os.fsencode(root) + b"/bad\xff")
+    open(os.fsencode(root) + b"/bad\xff/x", "w").close()
+    os.utime(root / "a" / "f.txt", ns=(1_234_567_891_999, 1_234_567_891_999))
+
+    def rows(where):
+        found = listing.list_files(spark, where)
+        return sorted(tuple(r) for r in found.collect()), found.dtypes
+
+    places = [str(root), f"{root}/", f"file://{root}", str(root / "_d"), str(root / "none"), str(root / "a" / "f.txt"), f"{root}/p=*"]
+    by_tasks = [rows(where) for where in places]
+    monkeypatch.setattr(listing, "_mounted_folder", lambda spark, root: None)
+    assert by_tasks == [rows(where) for where in places]
+    assert len(by_tasks[0][0]) > 60
+    monkeypatch.undo()
+    for where in (str(root / "nothing"), f"{root}/nothing*"):
+        with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+            listing.list_files(spark, where)
+
+
 def test_pack_and_unpack_files(spark, tree, tmp_path):
     entries = listing.walk_tree(spark, str(tree)).filter("not is_link")
     files = listing.freeze(entries, str(tree), "dest")
