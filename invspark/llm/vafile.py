@@ -214,14 +214,14 @@ def _search(parts: Iterable[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]
     yield from (batch for mine in asked.values() for batch in mine.found())
 
 
-def grid(candidates: int, asked: int, bytes: int, tasks: int) -> tuple[int, int]:
-    """How many buckets of candidate blocks and groups of query blocks, of which there are ``bytes`` in all.
+def grid(candidates: int, sent: int, asked: int, held: int, tasks: int) -> tuple[int, int]:
+    """How many buckets of ``candidates`` blocks of ``sent`` bytes in all, and groups of ``asked`` query blocks of ``held`` bytes in all.
 
-    Queries are sent once per bucket and candidates once per group, so there are as few groups as can be held, and as many buckets as give
-    each task a cell; only where there are too few blocks for that, there are more groups.
+    There are as many groups as keep one within ``HELD``, and a cell for each task where there are blocks enough. Queries are sent once
+    per bucket and candidates once per group, so buckets outnumber groups as their bytes do those of queries.
     """
-    least = max(1, -(-bytes // HELD))
-    buckets = max(1, min(candidates, -(-tasks // least)))
+    least = max(1, -(-held // HELD))
+    buckets = max(1, min(candidates, -(-tasks // least), round((tasks * sent / max(1, held)) ** 0.5)))
     return buckets, max(least, min(asked, -(-tasks // buckets)))
 
 
@@ -239,7 +239,7 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int = 5, id: str = "vec_
     counts = (F.count(F.lit(1)).alias("n"), (F.coalesce(F.max(home), F.lit(0)) + 1).alias("homes"), F.coalesce(F.sum(F.octet_length("exact")), F.lit(0)).alias("bytes"))
     of_blocks, of_asked = blocks.agg(*counts).first(), asked.agg(*counts).first()
     # Any grid gives the same result.
-    buckets, groups = grid(of_blocks["n"], of_asked["n"], of_asked["bytes"], int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    buckets, groups = grid(of_blocks["n"], of_blocks["bytes"], of_asked["n"], of_asked["bytes"], 2 * blocks.sparkSession.sparkContext.defaultParallelism)
 
     def placed(df: DataFrame, homes: int, n: int, others: int, cell, is_candidates: bool) -> DataFrame:
         # Blocks are numbered by place within their homes; counted through over all homes, neighbours go to different shares.

@@ -88,7 +88,7 @@ def test_any_grid_gives_the_same(spark, monkeypatch):
     shapes = set()
     for tasks, held in ((1, 1 << 20), (8, 1 << 20), (8, 500), (1, 1)):
         monkeypatch.setattr(vafile, "HELD", held)
-        monkeypatch.setattr(vafile, "grid", lambda a, b, c, d, g=vafile.grid, t=tasks: shapes.add(shape := g(a, b, c, t)) or shape)
+        monkeypatch.setattr(vafile, "grid", lambda a, b, c, d, _, g=vafile.grid, t=tasks: shapes.add(shape := g(a, b, c, d, t)) or shape)
         assert sorted(tuple(r) for r in vafile.top_k(df, df.filter("vec_id % 20 = 0"), 5).collect()) == wanted
         monkeypatch.undo()
         monkeypatch.setattr(vafile, "BLOCK", 16)
@@ -107,12 +107,13 @@ def test_queries_are_not_broadcast(spark, capsys):
 
 
 def test_grid_sends_little_and_keeps_queries_few():
-    """Bytes held are bounded, and candidates are sent again only for that or for want of blocks."""
-    for candidates, asked, size, tasks in ((150, 72, 6 << 20, 24), (150, 72, 1 << 30, 24), (1, 40, 1 << 20, 12), (0, 0, 0, 8), (5000, 4000, 1 << 40, 200)):
-        buckets, groups = vafile.grid(candidates, asked, size, tasks)
-        assert buckets >= 1 and groups >= 1 and -(-size // groups) <= vafile.HELD
+    """Bytes held are bounded, tasks have cells, and little is sent twice."""
+    for candidates, sent, asked, held, tasks in ((150, 300 << 20, 72, 6 << 20, 12), (750, 1 << 31, 300, 1 << 30, 12), (1, 2 << 20, 40, 1 << 20, 12), (0, 0, 0, 0, 8), (90, 1 << 28, 90, 1 << 28, 64), (5000, 1 << 42, 4000, 1 << 40, 200)):
+        buckets, groups = vafile.grid(candidates, sent, asked, held, tasks)
+        assert buckets >= 1 and groups >= 1 and -(-held // groups) <= vafile.HELD
         assert buckets * groups >= min(tasks, max(1, candidates) * max(1, asked))
-        assert groups <= max(1, -(-size // vafile.HELD), -(-tasks // buckets))
+        assert buckets <= max(1, candidates) and groups <= max(1, asked, -(-held // vafile.HELD))
+    assert vafile.grid(150, 300 << 20, 72, 6 << 20, 12) == (12, 1) and vafile.grid(90, 1 << 28, 90, 1 << 28, 64) == (8, 8)
 
 
 def test_carried_thresholds_at_the_ends_of_a_long(spark, monkeypatch):
