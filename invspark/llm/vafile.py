@@ -236,7 +236,7 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int = 5, id: str = "vec_
     blocks = materialise(pack(candidates, id, vector, scale, BLOCK), "vectors")
     asked = materialise(pack(queries, id, vector, scale, QUERIES), "queries")
     home = F.shiftright("block", 32)
-    counts = (F.count(F.lit(1)).alias("n"), (F.coalesce(F.max(home), F.lit(0)) + 1).alias("homes"), F.coalesce(F.sum(F.octet_length("exact")), F.lit(0)).alias("bytes"))
+    counts = (F.count(F.lit(1)).alias("n"), (F.coalesce(F.max(home), F.lit(0)) + 1).alias("homes"), F.coalesce(F.sum(F.col("n").cast("long") * F.col("dim") * 8), F.lit(0)).alias("bytes"))
     of_blocks, of_asked = blocks.agg(*counts).first(), asked.agg(*counts).first()
     # Any grid gives the same result.
     buckets, groups = grid(of_blocks["n"], of_blocks["bytes"], of_asked["n"], of_asked["bytes"], 2 * blocks.sparkSession.sparkContext.defaultParallelism)
